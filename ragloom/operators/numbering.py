@@ -42,7 +42,7 @@ def ordered_offsets(df: DataFrame, by: list[str], num: str,
 
     b1, b2 = "__blk1", "__blk2"
     wcols = {name: f"__w_{name}" for name in weights}
-    base = df.withColumn(b1, F.floor(F.col(num) / F.lit(block)).cast("bigint"))
+    base = df.withColumn(b1, F.expr(f"`{num}` div {int(block)}"))
     for name, w in weights.items():
         base = base.withColumn(wcols[name], w.cast("bigint"))
 
@@ -56,7 +56,7 @@ def ordered_offsets(df: DataFrame, by: list[str], num: str,
     # level 2: block totals inside super-blocks of `block` blocks
     t1 = (base.groupBy(*by, b1)
           .agg(*[F.sum(wcols[n]).alias(f"__s1_{n}") for n in weights])
-          .withColumn(b2, F.floor(F.col(b1) / F.lit(block)).cast("bigint")))
+          .withColumn(b2, F.expr(f"`{b1}` div {int(block)}")))
     w2 = (Window.partitionBy(*by, b2).orderBy(b1)
           .rowsBetween(Window.unboundedPreceding, -1))
     for name in weights:
@@ -73,6 +73,8 @@ def ordered_offsets(df: DataFrame, by: list[str], num: str,
         t2 = t2.withColumn(f"__e3_{name}",
                            F.coalesce(F.sum(f"__s2_{name}").over(w3), F.lit(0)))
 
+    # plain equi-joins: the row side stays partitioned by (by, b1) from the
+    # level-1 window, so only the (small) offset tables move
     t2 = t2.select(*by, b2, *[f"__e3_{n}" for n in weights])
     t1 = (t1.join(t2, on=[*by, b2], how="inner")
           .select(*by, b1, *[(F.col(f"__e2_{n}") + F.col(f"__e3_{n}")).alias(f"__e23_{n}")

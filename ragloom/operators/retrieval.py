@@ -62,12 +62,18 @@ class _TopK:
         self.idx = np.zeros((n_queries, 0), dtype=np.int64)   # row in `self.vectors`
         self.ids = np.zeros((n_queries, 0), dtype=np.int64)
         self.vectors = np.zeros((0, 0))
+        self.payload: pd.DataFrame | None = None             # carried columns, aligned with vectors
 
-    def offer(self, qm: np.ndarray, qn: np.ndarray, cm: np.ndarray, cid: np.ndarray) -> None:
+    def offer(self, qm: np.ndarray, qn: np.ndarray, cm: np.ndarray, cid: np.ndarray,
+              payload: pd.DataFrame | None = None) -> None:
         if len(cid) == 0:
             return
         base = len(self.vectors)
         self.vectors = cm if base == 0 else np.vstack([self.vectors, cm])
+        if payload is not None:
+            payload = payload.reset_index(drop=True)
+            self.payload = payload if self.payload is None else pd.concat([self.payload, payload],
+                                                                          ignore_index=True)
         cn = np.einsum("ij,ij->i", cm, cm)
         new_d, new_i = [], []
         for lo in range(0, len(qm), QUERY_TILE):
@@ -90,13 +96,13 @@ class _TopK:
         remap = np.full(len(self.vectors), -1, dtype=np.int64)
         remap[live] = np.arange(len(live))
         self.vectors = self.vectors[live]
+        if self.payload is not None:
+            self.payload = self.payload.iloc[live].reset_index(drop=True)
         self.idx = remap[self.idx]
 
-    def finish(self, qm: np.ndarray, qids: np.ndarray, k: int) -> pd.DataFrame:
+    def finish(self, qm: np.ndarray, qids: np.ndarray, k: int, carry=()) -> pd.DataFrame:
         if self.idx.shape[1] == 0:
-            return pd.DataFrame({"query_id": pd.Series([], dtype="int64"),
-                                 "corpus_id": pd.Series([], dtype="int64"),
-                                 "distance": pd.Series([], dtype="float64")})
+            return _empty(carry)
         nq, m = self.idx.shape
         exact = _exact_sq_l2(np.repeat(qm, m, axis=0), self.vectors[self.idx.reshape(-1)])
         exact = exact.reshape(nq, m)
@@ -104,55 +110,88 @@ class _TopK:
         order = np.lexsort((ids, exact), axis=1)[:, :k]
         out_d = np.take_along_axis(exact, order, axis=1)
         out_i = np.take_along_axis(ids, order, axis=1)
+        rows = np.take_along_axis(self.idx, order, axis=1).reshape(-1)
         kk = out_d.shape[1]
-        return pd.DataFrame({"query_id": np.repeat(qids, kk).astype("int64"),
-                             "corpus_id": out_i.reshape(-1).astype("int64"),
-                             "distance": out_d.reshape(-1)})
+        out = pd.DataFrame({"query_id": np.repeat(qids, kk).astype("int64"),
+                            "corpus_id": out_i.reshape(-1).astype("int64"),
+                            "distance": out_d.reshape(-1)})
+        for c in carry:
+            out[c] = self.payload[c].to_numpy()[rows]
+        return out
+
+
+def _empty(carry=()) -> pd.DataFrame:
+    cols = {"query_id": pd.Series([], dtype="int64"), "corpus_id": pd.Series([], dtype="int64"),
+            "distance": pd.Series([], dtype="float64")}
+    for c in carry:
+        cols[c] = pd.Series([], dtype="object")
+    return pd.DataFrame(cols)
 
 
 CANDIDATE_SCHEMA = "query_id bigint, corpus_id bigint, distance double"
 
 
-def _scan_with_broadcast(bq, k: int, keep: int):
+def _scan_with_broadcast(bq, k: int, keep: int, carry=()):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         qids, qm = bq.value
         qn = np.einsum("ij,ij->i", qm, qm)
         top = _TopK(len(qids), keep)
         for pdf in batches:
             if len(pdf):
-                top.offer(qm, qn, _to_matrix(pdf["embedding"]), pdf["corpus_id"].to_numpy("int64"))
-        yield top.finish(qm, qids, k)
+                top.offer(qm, qn, _to_matrix(pdf["embedding"]), pdf["corpus_id"].to_numpy("int64"),
+                          pdf[list(carry)] if carry else None)
+        yield top.finish(qm, qids, k, carry)
     return run
 
 
-def _block_pair(k: int, keep: int):
+def _block_pair(k: int, keep: int, carry=()):
     def run(qpdf: pd.DataFrame, cpdf: pd.DataFrame) -> pd.DataFrame:
         if len(qpdf) == 0 or len(cpdf) == 0:
-            return pd.DataFrame({"query_id": pd.Series([], dtype="int64"),
-                                 "corpus_id": pd.Series([], dtype="int64"),
-                                 "distance": pd.Series([], dtype="float64")})
+            return _empty(carry)
         qm = _to_matrix(qpdf["embedding"])
         qids = qpdf["query_id"].to_numpy("int64")
         top = _TopK(len(qids), keep)
         top.offer(qm, np.einsum("ij,ij->i", qm, qm), _to_matrix(cpdf["embedding"]),
-                  cpdf["corpus_id"].to_numpy("int64"))
-        return top.finish(qm, qids, k)
+                  cpdf["corpus_id"].to_numpy("int64"), cpdf[list(carry)] if carry else None)
+        return top.finish(qm, qids, k, carry)
     return run
 
 
 def knn_topk(queries: DataFrame, corpus: DataFrame, k: int = TOP_K,
              query_id: str = "query_id", corpus_id: str = "corpus_id",
              vector: str = "embedding", slack: int = SLACK,
-             max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
+             max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
+             carry: tuple[str, ...] = ()) -> DataFrame:
     """Exact k nearest corpus vectors per query (squared L2, ascending).
 
-    Output: query_id, rank (1..k, BIGINT), corpus_id, distance.
+    Output: query_id, rank (1..k, BIGINT), corpus_id, distance, *carry --
+    ``carry`` names narrow corpus columns (ids, labels) returned with each hit
+    so that no lookup join against the corpus is needed afterwards.
     """
+    return knn_search(queries, corpus, k, query_id, corpus_id, vector, slack,
+                      max_broadcast_bytes, carry, materialize=False)[0]
+
+
+def knn_search(queries: DataFrame, corpus: DataFrame, k: int = TOP_K,
+               query_id: str = "query_id", corpus_id: str = "corpus_id",
+               vector: str = "embedding", slack: int = SLACK,
+               max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
+               carry: tuple[str, ...] = (), materialize: bool = True) -> tuple[DataFrame, int]:
+    """:func:`knn_topk` plus a proven upper bound of its row count
+    (``n_queries * k``), used to decide whether the hits may be broadcast.
+
+    With ``materialize`` the hits (n_queries * k small rows, expensive to
+    recompute) are cut from their lineage once, so that every consumer --
+    text fetch, verdicts, contexts -- reads them instead of rerunning the
+    corpus scan, and a lost executor does not rerun it either."""
     spark = queries.sparkSession
+    carry = tuple(carry)
     q = queries.select(F.col(query_id).cast("bigint").alias("query_id"),
                        F.col(vector).alias("embedding"))
     c = corpus.select(F.col(corpus_id).cast("bigint").alias("corpus_id"),
-                      F.col(vector).alias("embedding"))
+                      F.col(vector).alias("embedding"), *carry)
+    schema = CANDIDATE_SCHEMA + "".join(
+        f", {f.name} {f.dataType.simpleString()}" for f in corpus.schema.fields if f.name in carry)
     keep = k + slack
     stats = q.agg(F.count(F.lit(1)).alias("n"),
                   F.coalesce(F.max(F.size("embedding")), F.lit(0)).alias("d")).first()
@@ -163,7 +202,7 @@ def knn_topk(queries: DataFrame, corpus: DataFrame, k: int = TOP_K,
         qpdf = q.toPandas()
         qm = _to_matrix(qpdf["embedding"]) if n_q else np.zeros((0, dim))
         bq = spark.sparkContext.broadcast((qpdf["query_id"].to_numpy("int64"), qm))
-        cand = c.mapInPandas(_scan_with_broadcast(bq, k, keep), CANDIDATE_SCHEMA)
+        cand = c.mapInPandas(_scan_with_broadcast(bq, k, keep, carry), schema)
     else:
         n_blocks_q = max(1, math.ceil(q_bytes / max_broadcast_bytes))
         n_c = c.count()
@@ -173,17 +212,38 @@ def knn_topk(queries: DataFrame, corpus: DataFrame, k: int = TOP_K,
         cb = (c.withColumn("cb", F.pmod(F.xxhash64("corpus_id"), F.lit(n_blocks_c)))
               .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(n_blocks_q - 1)))))
         cand = (qb.groupBy("qb", "cb").cogroup(cb.groupBy("qb", "cb"))
-                .applyInPandas(_block_pair(k, keep), CANDIDATE_SCHEMA))
+                .applyInPandas(_block_pair(k, keep, carry), schema))
     w = Window.partitionBy("query_id").orderBy("distance", "corpus_id")
-    return (cand.withColumn("rank", F.row_number().over(w).cast("bigint"))
+    hits = (cand.withColumn("rank", F.row_number().over(w).cast("bigint"))
             .where(F.col("rank") <= k)
-            .select("query_id", "rank", "corpus_id", "distance"))
+            .select("query_id", "rank", "corpus_id", "distance", *carry))
+    if materialize:
+        from ragloom.session import cut_lineage
+        hits = cut_lineage(hits)
+    return hits, n_q * k
+
 
+# hits below this many rows are broadcast when fetching their documents
+MAX_BROADCAST_HIT_ROWS = 2_000_000
 
-def ranked_contexts(hits: DataFrame, corpus_meta: DataFrame,
-                    text_col: str = "text") -> DataFrame:
-    """Attach corpus metadata to the top-k hits (J3: left lookup by id)."""
-    return hits.join(corpus_meta, on="corpus_id", how="left")
+
+def fetch_rows(hits: DataFrame, table: DataFrame, key: str, cols: list[str],
+               hit_rows_bound: int | None = None,
+               max_broadcast_rows: int = MAX_BROADCAST_HIT_ROWS) -> DataFrame:
+    """Late materialisation (J3): attach ``cols`` of ``table`` to the hits by
+    ``key`` (left join) without moving the whole table.
+
+    The table is first reduced by a semi join to the keys the hits need; when
+    the hits are proven small (``hit_rows_bound`` from the kNN, n_queries * k)
+    their keys are broadcast, so the table is streamed through once and never
+    shuffled.  Beyond the bound both steps are ordinary shuffle joins.
+    """
+    need = hits.select(key).where(F.col(key).isNotNull()).distinct()
+    small = hit_rows_bound is not None and hit_rows_bound <= max_broadcast_rows
+    need = F.broadcast(need) if small else need
+    rows = table.select(key, *cols).join(need, key, "left_semi")
+    rows = F.broadcast(rows) if small else rows
+    return hits.join(rows, key, "left")
 
 
 def joined_context(hits_with_text: DataFrame, sep: str = " ", lower: bool = True,
@@ -201,9 +261,9 @@ def joined_context(hits_with_text: DataFrame, sep: str = " ", lower: bool = True
             .select(key, F.array_join(F.transform("__ranked", lambda s: s["t"]), sep).alias(out)))
 
 
-def cited_sources(hits: DataFrame, corpus_meta: DataFrame) -> DataFrame:
+def cited_sources(hits_with_source: DataFrame) -> DataFrame:
     """Rank, source basename and page for every retrieved chunk."""
-    return (hits.join(corpus_meta.select("corpus_id", "source", "page"), "corpus_id", "left")
+    return (hits_with_source
             .select("query_id", "rank", "corpus_id",
                     basename_or_unknown("source").alias("source"),
                     F.col("page").cast("bigint").alias("page")))

@@ -72,16 +72,6 @@ def vec_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
                     (F.col("vec_id") % CORPUS_TEXT_DOCS).alias("doc_id")))
 
 
-def corpus_meta(spark: SparkSession, sf_dir: str, with_page: bool = False) -> DataFrame:
-    """corpus_id -> doc_id, text, source (and page) of the corpus vectors."""
-    corpus = vec_corpus(spark, sf_dir).select("corpus_id", "label", "doc_id")
-    if with_page:
-        docs = page_docs(spark, sf_dir).select("doc_id", "text", "source", "page")
-    else:
-        docs = documents(spark, sf_dir).select("doc_id", "text", "source")
-    return corpus.join(docs, "doc_id", "left")
-
-
 def qa_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """User turn + the assistant turn that follows it.
 

@@ -78,7 +78,10 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """
     if bind_checkpoint_dir(df.sparkSession):
         return df.checkpoint(eager=eager)
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = df.persist(StorageLevel.MEMORY_AND_DISK)
+    if eager:
+        out.count()
+    return out
 
 
 def local_session_for_tests(tmp_root: str, cores: str = "local[4]",

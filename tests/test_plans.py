@@ -19,10 +19,13 @@ def test_no_pair_producing_joins(spark, name):
 
 
 def test_knn_ranks_with_partial_window_group_limit(spark):
-    df = entry.queries()["knn_topk"](spark, SF001)
+    from ragloom.operators.retrieval import knn_topk
+    from ragloom.plans import derived
+    df = knn_topk(derived.vec_queries(spark, SF001), derived.vec_corpus(spark, SF001))
     df.collect()
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "WindowGroupLimit" in plan or "Window" in plan
+    assert "WindowGroupLimit" in plan and "Partial" in plan
+    assert "MapInPandas" in plan
 
 
 def test_scan_is_pruned(spark):
