@@ -140,13 +140,15 @@ def delta_vs_baselines(rows: DataFrame, versions: list[str] | None = None,
     ids = [c for c in IDENTITY_COLS if c in rows.columns]
     delta_cols = []
     if mode == "unique":
-        base = rows.groupBy("question_text").agg(*[
+        # null-safe key as two plain columns: the aggregate's shuffle then
+        # already partitions the baselines the way the join needs them
+        nk = [F.coalesce(F.col("question_text"), F.lit("")).alias("__k1"),
+              F.col("question_text").isNull().alias("__k2")]
+        base = rows.groupBy(*nk).agg(*[
             F.max(F.when(F.col("prompt_version") == F.lit(b), F.col(m))).alias(f"__{m}__{b}")
             for b in vs for m in metrics])
-        j = rows.alias("r").join(base.alias("b"),
-                                 F.col("r.question_text").eqNullSafe(F.col("b.question_text")),
-                                 "left")
-        out = j.select("r.*", *[F.col(f"b.`__{m}__{b}`") for b in vs for m in metrics])
+        keyed = rows.select("*", *nk)
+        out = keyed.join(base, ["__k1", "__k2"], "left")
         for b in vs:
             for m in metrics:
                 name = f"{m}_delta_vs_{b}"

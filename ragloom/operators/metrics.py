@@ -116,26 +116,29 @@ def answer_relevancy(samples: DataFrame, question: str = "query", answer: str =
     """M6 (lexical): cosine between the bag-of-words of the question and of the
     answer; 0 when either side has no word (a non-committal answer).
 
-    Relational form: tokens are exploded to (sample, side, token) counts with
-    partial aggregation, the two sides joined on (sample, token) and the dot
-    product summed -- no per-row quadratic work on long texts, and the keys
-    stay fine-grained even when one sample is huge.
+    One pass, no join: the tokens of both sides are exploded together with a
+    side tag (plus one sentinel row, so that a sample without any token still
+    appears), counted per (sample, token) -- a partial aggregation, so a hot
+    word or a huge sample is pre-aggregated map-side -- and the squared norms
+    and the dot product are summed per sample in a second partial aggregation.
     """
-    def side(col, name):
-        return (samples.select(key, F.explode(lower_tokens(col)).alias("token"))
-                .groupBy(key, "token").agg(F.count(F.lit(1)).alias(name)))
-
-    qs, as_ = side(question, "qc"), side(answer, "ac")
-    qn = qs.groupBy(key).agg(F.sum(F.col("qc") * F.col("qc")).alias("qn"))
-    an = as_.groupBy(key).agg(F.sum(F.col("ac") * F.col("ac")).alias("an"))
-    dot = (qs.join(as_, [key, "token"]).groupBy(key)
-           .agg(F.sum(F.col("qc") * F.col("ac")).alias("dot")))
-    base = samples.select(key)
-    j = base.join(qn, key, "left").join(an, key, "left").join(dot, key, "left")
-    cos = (F.coalesce(F.col("dot"), F.lit(0)).cast("double")
-           / (F.sqrt(F.col("qn").cast("double")) * F.sqrt(F.col("an").cast("double"))))
-    return j.select(key, F.when(F.col("qn").isNull() | F.col("an").isNull(), F.lit(0.0))
-                    .otherwise(cos).alias("answer_relevancy"))
+    tagged = F.concat(
+        F.transform(F.coalesce(lower_tokens(question), F.array().cast("array<string>")),
+                    lambda t: F.struct(F.lit(1).alias("q"), F.lit(0).alias("a"), t.alias("token"))),
+        F.transform(F.coalesce(lower_tokens(answer), F.array().cast("array<string>")),
+                    lambda t: F.struct(F.lit(0).alias("q"), F.lit(1).alias("a"), t.alias("token"))),
+        F.array(F.struct(F.lit(0).alias("q"), F.lit(0).alias("a"),
+                         F.lit(None).cast("string").alias("token"))))
+    per_token = (samples.select(key, F.inline(tagged))
+                 .groupBy(key, "token")
+                 .agg(F.sum("q").alias("qc"), F.sum("a").alias("ac")))
+    per_sample = per_token.groupBy(key).agg(
+        F.sum(F.col("qc") * F.col("qc")).alias("qn"),
+        F.sum(F.col("ac") * F.col("ac")).alias("an"),
+        F.sum(F.col("qc") * F.col("ac")).alias("dot"))
+    cos = F.col("dot").cast("double") / (F.sqrt(F.col("qn").cast("double")) * F.sqrt(F.col("an").cast("double")))
+    return per_sample.select(key, F.when((F.col("qn") == 0) | (F.col("an") == 0), F.lit(0.0))
+                             .otherwise(cos).alias("answer_relevancy"))
 
 
 # ------------------------------------------------------------------ A3 -----
