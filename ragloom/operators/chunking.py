@@ -56,6 +56,22 @@ def _window_count(length, size: int, step: int):
             .cast("bigint"))
 
 
+def _length_col(documents: DataFrame):
+    """Text length for the chunk counts.  A stored ``n_chars`` column is used
+    when the table has one, so that the offset aggregates read a narrow column
+    instead of the text; it is checked against the text where the text is cut."""
+    if "n_chars" in documents.columns:
+        return F.coalesce(F.col("n_chars"), F.lit(0)).cast("bigint")
+    return F.coalesce(F.length("text"), F.lit(0)).cast("bigint")
+
+
+def window_chunk_total(documents: DataFrame, size: int = CHUNK_SIZE,
+                       overlap: int = CHUNK_OVERLAP) -> DataFrame:
+    """Number of window chunks of a document table (one narrow aggregate)."""
+    return documents.agg(F.coalesce(F.sum(_window_count(_length_col(documents), size, size - overlap)),
+                                    F.lit(0)).cast("bigint").alias("n"))
+
+
 def window_chunks(documents: DataFrame, size: int = CHUNK_SIZE,
                   overlap: int = CHUNK_OVERLAP) -> DataFrame:
     """P2 + P3: fixed windows of ``size`` characters every ``size - overlap``.
@@ -66,13 +82,16 @@ def window_chunks(documents: DataFrame, size: int = CHUNK_SIZE,
     if step <= 0:
         raise ValueError("overlap must be smaller than size")
     df = documents.select(F.col("doc_id"), basename_or_unknown("source").alias("source"),
-                          F.col("text"))
-    df = df.withColumn("__n", _window_count(F.coalesce(F.length("text"), F.lit(0)), size, step))
+                          F.col("text"), _length_col(documents).alias("__len"))
+    df = df.withColumn("__n", _window_count(F.col("__len"), size, step))
     df = ordered_offsets(df, by=["source"], num="doc_id",
                          weights={"page": F.lit(1), "__base": F.col("__n")},
                          reset_by={"page": ["source"]})
+    checked = F.when(F.coalesce(F.length("text"), F.lit(0)) != F.col("__len"),
+                     F.raise_error(F.lit("documents.n_chars differs from length(text)"))
+                     ).otherwise(F.col("__n"))
     out = (df.where(F.col("__n") > 0)
-           .withColumn("pos", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("__n") - 1)))
+           .withColumn("pos", F.explode(F.sequence(F.lit(0).cast("bigint"), checked - 1)))
            .withColumn("start", F.col("pos") * F.lit(step))
            .withColumn("chunk_no", F.col("__base") + F.col("pos"))
            .withColumn("chunk_id", F.concat(F.lit("chunk_"), F.col("chunk_no").cast("string")))

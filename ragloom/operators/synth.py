@@ -28,28 +28,43 @@ def sample_rows(df: DataFrame, n: int = NUM_SAMPLES, seed: int = 42,
 
 
 def tfidf_keywords(chunks: DataFrame, n: int = N_CASE_KEYWORDS, key: str = "chunk_id",
-                   text: str = "text") -> DataFrame:
+                   text: str = "text", n_docs: int | None = None,
+                   carry_text: bool = False) -> DataFrame:
     """G1 keyword part: the ``n`` words of highest tf * ln(N / df) per chunk,
-    ties by the word; (key, keywords ARRAY<STRING>, n_keywords).
-
-    Document frequency is a partial aggregation per word (a very common word
-    is pre-aggregated per task, not shipped row by row); ``N`` is one count.
+    ties by the word; (key, keywords ARRAY<STRING>, n_keywords[, text]).
+
+    One pass over the chunks: every chunk explodes its words plus one
+    sentinel row (which also carries the text when ``carry_text``), so a chunk
+    without any word still gets its (empty) keyword list and nothing has to
+    be joined back.  Term and document frequencies are partial aggregations
+    (a very common word is pre-aggregated per task); the per-chunk ranking is
+    a window bounded by the words of one chunk.  ``N`` (number of chunks) is
+    one count unless the caller knows it.
     """
-    n_docs = chunks.count()
-    toks = chunks.select(key, F.explode(lower_tokens(text, KEYWORD_PATTERN)).alias("token"))
-    tf = toks.groupBy(key, "token").agg(F.count(F.lit(1)).alias("tf"))
+    if n_docs is None:
+        n_docs = chunks.count()
+    words = F.transform(lower_tokens(text, KEYWORD_PATTERN),
+                        lambda t: F.struct(t.alias("token"), F.lit(None).cast("string").alias("body")))
+    sentinel = F.array(F.struct(F.lit(None).cast("string").alias("token"),
+                                (F.col(text) if carry_text else F.lit(None).cast("string")).alias("body")))
+    toks = chunks.select(key, F.inline(F.concat(F.coalesce(words, F.array()), sentinel)))
+    tf = toks.groupBy(key, "token").agg(F.count(F.lit(1)).alias("tf"), F.max("body").alias("body"))
+    # the sentinel's null token forms a group of its own and never matches the
+    # equi-join below; not filtering it keeps both uses of `tf` identical, so
+    # Spark reuses its shuffle instead of recomputing the chunks
     df_ = tf.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
-    scored = (tf.join(df_, "token")
+    scored = (tf.join(df_, "token", "left")
               .withColumn("score", F.round(F.col("tf").cast("double")
                                            * F.log(F.lit(float(n_docs)) / F.col("df").cast("double")), 9)))
-    w = Window.partitionBy(key).orderBy(F.desc("score"), F.asc("token"))
-    top = scored.withColumn("r", F.row_number().over(w)).where(F.col("r") <= n)
-    kw = (top.groupBy(key)
-          .agg(F.array_sort(F.collect_list(F.struct("r", "token"))).alias("__k"))
-          .select(key, F.transform("__k", lambda s: s["token"]).alias("keywords")))
-    return (chunks.select(key).join(kw, key, "left")
-            .select(key, F.coalesce("keywords", F.array().cast("array<string>")).alias("keywords"))
-            .withColumn("n_keywords", F.size("keywords").cast("bigint")))
+    w = Window.partitionBy(key).orderBy(F.desc_nulls_last("score"), F.asc("token"))
+    top = scored.withColumn("r", F.row_number().over(w)).where(
+        (F.col("r") <= n) | F.col("token").isNull())
+    kw = top.groupBy(key).agg(
+        F.array_sort(F.collect_list(F.when(F.col("token").isNotNull(), F.struct("r", "token")))).alias("__k"),
+        F.max("body").alias(text))
+    out = kw.select(key, F.transform("__k", lambda s: s["token"]).alias("keywords"),
+                    *([text] if carry_text else []))
+    return out.withColumn("n_keywords", F.size("keywords").cast("bigint"))
 
 
 def case_batches(chunks_kw: DataFrame, text: str = "text", key: str = "chunk_id") -> DataFrame:

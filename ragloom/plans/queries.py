@@ -338,9 +338,10 @@ def q_case_quarantine(spark, sf):
     return q.select("case_id", "status", F.size("expected_keywords").cast("bigint").alias("n_keywords"))
 
 
-def _chunk_keywords(spark, sf):
+def _chunk_keywords(spark, sf, carry_text=False):
     ch = _window_chunks(spark, sf).select("chunk_id", "text")
-    return synth.tfidf_keywords(ch).join(ch, "chunk_id")
+    n = chunking.window_chunk_total(derived.documents(spark, sf)).first()["n"]
+    return synth.tfidf_keywords(ch, n_docs=n, carry_text=carry_text)
 
 
 def q_synthetic_keywords(spark, sf):
@@ -349,7 +350,7 @@ def q_synthetic_keywords(spark, sf):
 
 
 def q_synthetic_cases(spark, sf):
-    flat = synth.flatten_batches(synth.case_batches(_chunk_keywords(spark, sf)))
+    flat = synth.flatten_batches(synth.case_batches(_chunk_keywords(spark, sf, carry_text=True)))
     r = flat["retrieval"].select("chunk_id", F.lit("retrieval").alias("case_type"), "query",
                                  F.array_join("expected_keywords", ",").alias("expected"))
     g = flat["generation"].select("chunk_id", F.lit("generation").alias("case_type"), "query",
