@@ -19,6 +19,7 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 # Fixed values of the reference's retry policy: five attempts; only errors
@@ -89,3 +90,9 @@ def generate_answers(df: DataFrame, make_generator: Callable = extractive_genera
             pdf["error"] = errors
             yield pdf
     return df.mapInPandas(run, schema)
+
+
+def result_metadata(results: DataFrame, answer: str = "answer", out: str = "metadata") -> DataFrame:
+    """Every field of a result except the answer, as one struct."""
+    keep = [c for c in results.columns if c != answer]
+    return results.withColumn(out, F.struct(*keep))
