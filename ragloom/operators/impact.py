@@ -234,16 +234,24 @@ def baseline_pairs(responses: DataFrame, baseline: str = BASELINE_VERSION,
     return new.join(base, key, "inner")
 
 
-def answer_diff(pairs: DataFrame, key: str = "question_text") -> DataFrame:
-    """M11 (offline form): how an answer differs from its baseline -- length
-    change, token Jaccard and the share of tokens new to the answer."""
-    bt = F.array_distinct(lower_tokens("base_response", KEYWORD_PATTERN))
-    nt = F.array_distinct(lower_tokens("response", KEYWORD_PATTERN))
-    df = pairs.select(
-        key, "prompt_version",
-        F.length("base_response").cast("bigint").alias("base_chars"),
-        F.length("response").cast("bigint").alias("new_chars"),
-        bt.alias("__bt"), nt.alias("__nt"))
+def answer_diff(responses: DataFrame, baseline: str = BASELINE_VERSION,
+                key: str = "question_text") -> DataFrame:
+    """J6 + M11 (offline form): how each answer differs from the baseline
+    answer of its question -- length change, token Jaccard and the share of
+    tokens new to the answer.
+
+    Every response is tokenized once (distinct ``[a-z]{6,}`` words) before the
+    pairing, so the join moves the narrow token sets, not the answer texts,
+    and a baseline text is not re-tokenized for each version paired with it.
+    """
+    toks = responses.select(key, "prompt_version",
+                            F.length("response").cast("bigint").alias("n_chars"),
+                            F.array_distinct(lower_tokens("response", KEYWORD_PATTERN)).alias("toks"))
+    base = toks.where(F.col("prompt_version") == F.lit(baseline)).select(
+        key, F.col("n_chars").alias("base_chars"), F.col("toks").alias("__bt"))
+    new = toks.where(F.col("prompt_version") != F.lit(baseline)).select(
+        key, "prompt_version", F.col("n_chars").alias("new_chars"), F.col("toks").alias("__nt"))
+    df = new.join(base, key, "inner")
     inter = F.size(F.array_intersect("__bt", "__nt")).cast("double")
     union = F.size(F.array_union("__bt", "__nt")).cast("double")
     fresh = F.size(F.array_except("__nt", "__bt")).cast("double")

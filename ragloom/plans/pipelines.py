@@ -200,7 +200,7 @@ def run_prompt_versions(spark: SparkSession, cases: DataFrame, vectors: DataFram
     new = cut_lineage(new)
     allr = existing.select("question_text", "prompt_version", "response").unionByName(
         new.select("question_text", "prompt_version", "response"))
-    diffs = impact.answer_diff(impact.baseline_pairs(allr))
+    diffs = impact.answer_diff(allr)
     return new.join(diffs, ["question_text", "prompt_version"], "left")
 
 

@@ -121,14 +121,14 @@ def q_retrieval_score(spark, sf):
     return metrics.mean_score(_retrieval_recall(spark, sf)).select(round6("score").alias("score"))
 
 
-def _qa_keyword_cases(spark, sf):
-    qa = derived.qa_cases(spark, sf)
+def _qa_keyword_cases(spark, sf, qa=None):
+    qa = qa if qa is not None else derived.qa_cases(spark, sf)
     return qa.withColumn("expected_keywords",
                          F.slice(lower_tokens("query"), 1, derived.N_KEYWORDS))
 
 
-def _generation_recall(spark, sf):
-    return metrics.generation_recall(_qa_keyword_cases(spark, sf))
+def _generation_recall(spark, sf, qa=None):
+    return metrics.generation_recall(_qa_keyword_cases(spark, sf, qa))
 
 
 def q_generation_recall(spark, sf):
@@ -169,8 +169,8 @@ def q_context_recall(spark, sf):
                                              round6("context_recall").alias("context_recall"))
 
 
-def _faithfulness(spark, sf):
-    qa = metrics.judged_case_filter(derived.qa_cases(spark, sf))
+def _faithfulness(spark, sf, qa=None):
+    qa = metrics.judged_case_filter(qa if qa is not None else derived.qa_cases(spark, sf))
     return metrics.statement_support(qa, "answer", "query", out="faithfulness")
 
 
@@ -179,22 +179,23 @@ def q_faithfulness(spark, sf):
                                            round6("faithfulness").alias("faithfulness"))
 
 
-def _answer_relevancy(spark, sf):
-    return metrics.answer_relevancy(metrics.judged_case_filter(derived.qa_cases(spark, sf)))
+def _answer_relevancy(spark, sf, qa=None):
+    qa = qa if qa is not None else derived.qa_cases(spark, sf)
+    return metrics.answer_relevancy(metrics.judged_case_filter(qa))
 
 
 def q_answer_relevancy(spark, sf):
     return _answer_relevancy(spark, sf).select("case_id", round6("answer_relevancy").alias("answer_relevancy"))
 
 
-def _judged_long(spark, sf, hits=None):
+def _judged_long(spark, sf, hits=None, qa=None):
     def lng(df, key, col):
         return df.select(F.col(key).cast("bigint").alias("sample_id"), F.lit(col).alias("metric"),
                          F.col(col).cast("double").alias("value"))
     return (lng(_context_precision(spark, sf, hits), "query_id", "context_precision")
             .unionByName(lng(_context_recall(spark, sf, hits), "case_id", "context_recall"))
-            .unionByName(lng(_faithfulness(spark, sf), "case_id", "faithfulness"))
-            .unionByName(lng(_answer_relevancy(spark, sf), "case_id", "answer_relevancy")))
+            .unionByName(lng(_faithfulness(spark, sf, qa), "case_id", "faithfulness"))
+            .unionByName(lng(_answer_relevancy(spark, sf, qa), "case_id", "answer_relevancy")))
 
 
 def q_judged_mean_of_means(spark, sf):
@@ -206,10 +207,12 @@ def evaluation_report(spark, sf, name: str = "offline") -> DataFrame:
     (M2 -> A2), judged (M3-M6 -> A3) -> Q1-Q4.  The kNN hits feed three
     metrics, so they are materialised once (reliable checkpoint when the
     cluster names a checkpoint folder)."""
+    from ragloom.session import cut_lineage
     hits = _hits(spark, sf)
+    qa = cut_lineage(derived.qa_cases(spark, sf))
     r = metrics.mean_score(_retrieval_recall(spark, sf, hits))
-    g = metrics.mean_score(_generation_recall(spark, sf))
-    j = metrics.mean_of_means(_judged_long(spark, sf, hits))
+    g = metrics.mean_score(_generation_recall(spark, sf, qa))
+    j = metrics.mean_of_means(_judged_long(spark, sf, hits, qa))
     rep = report.single_run_report(r, g, j, name)
     return rep.select("model_name", *[round6(c).alias(c) for c in ("retrieval", "generation", "ragas", "rqi")],
                       "grade", "justification")
@@ -306,7 +309,7 @@ def q_baseline_pairs(spark, sf):
 
 
 def q_answer_diff(spark, sf):
-    out = impact.answer_diff(_pairs(spark, sf))
+    out = impact.answer_diff(derived.impact_responses(spark, sf))
     return out.select("question_text", "prompt_version", "base_chars", "new_chars", "len_delta",
                       round6("jaccard").alias("jaccard"), round6("new_token_share").alias("new_token_share"))
 

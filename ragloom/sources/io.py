@@ -190,3 +190,16 @@ def save_vectors(vectors: DataFrame, path: str, partition_by: str | None = None)
 
 def load_vectors(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
+
+
+# ------------------------------------------------------------------ G3 -----
+
+def write_case_tables(tables: dict[str, DataFrame], root: str) -> list[str]:
+    """The three generated case tables (retrieval, generation, ragas),
+    each as JSON under ``root/test_<name>_synthetic``."""
+    written = []
+    for name, df in tables.items():
+        p = os.path.join(root, f"test_{name}_synthetic")
+        df.write.mode("overwrite").json(p)
+        written.append(p)
+    return written

@@ -110,3 +110,18 @@ def test_vector_store_roundtrip_and_table_csv(spark, tmp_path):
     back = io.read_table_file(spark, str(tmp_path / "csv"), fmt="csv",
                               schema="chunk_id string, source string, page bigint, text string")
     assert back.first()["page"] == 0
+
+
+def test_case_tables_and_observed_counts(spark, tmp_path):
+    from ragloom.operators import counts, synth
+    ch = chunking.window_chunks(derived.documents(spark, SF001)).select("chunk_id", "text")
+    kw = synth.tfidf_keywords(ch, carry_text=True)
+    flat = synth.flatten_batches(synth.case_batches(kw))
+    paths = io.write_case_tables(flat, str(tmp_path))
+    assert len(paths) == 3
+    n = ch.count()
+    for p in paths:
+        assert spark.read.json(p).count() == n
+    obs_df, obs = counts.observed(ch, "chunks")
+    obs_df.write.format("noop").mode("overwrite").save()
+    assert obs.get["chunks"] == n
