@@ -6,10 +6,10 @@ Physical form (no pair rows are ever emitted):
 * **broadcast path** -- when the query side is proven small (its count times
   its dimension is checked against ``max_broadcast_bytes``), the query matrix
   is shipped once to every executor and the corpus is scanned with
-  ``mapInPandas``.  Each task keeps a running top-(k+slack) per query across
-  its Arrow batches (query tiles bound the distance matrix in memory),
-  recomputes the candidates' distances exactly, and emits only ``k`` rows per
-  query per task.
+  ``mapInPandas``.  Each Arrow batch shortlists k+slack candidates per query
+  (query tiles bound the distance matrix in memory), re-ranks them by exact
+  distance into a running top-k, and each task emits only ``k`` rows per
+  query.
 * **blocked path** -- otherwise, queries are hashed into ``Q`` blocks that each
   fit the same bound and the corpus into ``C`` blocks; query blocks are
   replicated over corpus blocks and corpus blocks over query blocks (a block
@@ -54,69 +54,56 @@ def _exact_sq_l2(q: np.ndarray, c: np.ndarray) -> np.ndarray:
 
 
 class _TopK:
-    """Running top-``keep`` per query across corpus batches."""
+    """Running exact top-``k`` per query across corpus batches.
+
+    Per batch and query tile: the expanded form ``|q|^2 + |x|^2 - 2 q.x``
+    shortlists ``keep`` (= k + slack) candidates, their distances are
+    recomputed exactly by the direct sum (the expanded form cancels near 0 and
+    may misorder near-ties), and the exact candidates are merged into the
+    running top-k ordered by (distance, corpus id).  A task holds only
+    n_queries x k distances, ids and carried values -- no vectors.
+    """
 
-    def __init__(self, n_queries: int, keep: int):
-        self.keep = keep
-        self.dist = np.full((n_queries, 0), np.inf)
-        self.idx = np.zeros((n_queries, 0), dtype=np.int64)   # row in `self.vectors`
+    def __init__(self, n_queries: int, k: int, keep: int, carry=()):
+        self.k, self.keep, self.carry = k, keep, tuple(carry)
+        self.dist = np.zeros((n_queries, 0))
         self.ids = np.zeros((n_queries, 0), dtype=np.int64)
-        self.vectors = np.zeros((0, 0))
-        self.payload: pd.DataFrame | None = None             # carried columns, aligned with vectors
+        self.vals = {c: np.empty((n_queries, 0), dtype=object) for c in self.carry}
 
     def offer(self, qm: np.ndarray, qn: np.ndarray, cm: np.ndarray, cid: np.ndarray,
               payload: pd.DataFrame | None = None) -> None:
         if len(cid) == 0:
             return
-        base = len(self.vectors)
-        self.vectors = cm if base == 0 else np.vstack([self.vectors, cm])
-        if payload is not None:
-            payload = payload.reset_index(drop=True)
-            self.payload = payload if self.payload is None else pd.concat([self.payload, payload],
-                                                                          ignore_index=True)
         cn = np.einsum("ij,ij->i", cm, cm)
+        take = min(self.keep, len(cid))
         new_d, new_i = [], []
         for lo in range(0, len(qm), QUERY_TILE):
             tile = qm[lo:lo + QUERY_TILE]
-            d = qn[lo:lo + QUERY_TILE, None] + cn[None, :] - 2.0 * (tile @ cm.T)
-            take = min(self.keep, d.shape[1])
-            part = np.argpartition(d, take - 1, axis=1)[:, :take]
-            new_d.append(np.take_along_axis(d, part, axis=1))
-            new_i.append(part + base)
+            approx = qn[lo:lo + QUERY_TILE, None] + cn[None, :] - 2.0 * (tile @ cm.T)
+            part = np.argpartition(approx, take - 1, axis=1)[:, :take]
+            diff = tile[:, None, :] - cm[part]
+            new_d.append(np.einsum("qkd,qkd->qk", diff, diff))
+            new_i.append(part)
+        rows = np.vstack(new_i)                      # positions inside this batch
         d_all = np.concatenate([self.dist, np.vstack(new_d)], axis=1)
-        i_all = np.concatenate([self.idx, np.vstack(new_i)], axis=1)
-        id_all = np.concatenate([self.ids, cid[i_all[:, self.idx.shape[1]:] - base]], axis=1)
-        take = min(self.keep, d_all.shape[1])
-        part = np.argpartition(d_all, take - 1, axis=1)[:, :take]
-        self.dist = np.take_along_axis(d_all, part, axis=1)
-        self.idx = np.take_along_axis(i_all, part, axis=1)
-        self.ids = np.take_along_axis(id_all, part, axis=1)
-        # keep only the vectors that are still candidates
-        live = np.unique(self.idx)
-        remap = np.full(len(self.vectors), -1, dtype=np.int64)
-        remap[live] = np.arange(len(live))
-        self.vectors = self.vectors[live]
-        if self.payload is not None:
-            self.payload = self.payload.iloc[live].reset_index(drop=True)
-        self.idx = remap[self.idx]
-
-    def finish(self, qm: np.ndarray, qids: np.ndarray, k: int, carry=()) -> pd.DataFrame:
-        if self.idx.shape[1] == 0:
-            return _empty(carry)
-        nq, m = self.idx.shape
-        exact = _exact_sq_l2(np.repeat(qm, m, axis=0), self.vectors[self.idx.reshape(-1)])
-        exact = exact.reshape(nq, m)
-        ids = self.ids
-        order = np.lexsort((ids, exact), axis=1)[:, :k]
-        out_d = np.take_along_axis(exact, order, axis=1)
-        out_i = np.take_along_axis(ids, order, axis=1)
-        rows = np.take_along_axis(self.idx, order, axis=1).reshape(-1)
-        kk = out_d.shape[1]
+        id_all = np.concatenate([self.ids, cid[rows]], axis=1)
+        order = np.lexsort((id_all, d_all), axis=1)[:, :self.k]
+        self.dist = np.take_along_axis(d_all, order, axis=1)
+        self.ids = np.take_along_axis(id_all, order, axis=1)
+        for c in self.carry:
+            batch_vals = payload[c].to_numpy(dtype=object)[rows]
+            v_all = np.concatenate([self.vals[c], batch_vals], axis=1)
+            self.vals[c] = np.take_along_axis(v_all, order, axis=1)
+
+    def finish(self, qids: np.ndarray) -> pd.DataFrame:
+        if self.ids.shape[1] == 0:
+            return _empty(self.carry)
+        kk = self.ids.shape[1]
         out = pd.DataFrame({"query_id": np.repeat(qids, kk).astype("int64"),
-                            "corpus_id": out_i.reshape(-1).astype("int64"),
-                            "distance": out_d.reshape(-1)})
-        for c in carry:
-            out[c] = self.payload[c].to_numpy()[rows]
+                            "corpus_id": self.ids.reshape(-1).astype("int64"),
+                            "distance": self.dist.reshape(-1)})
+        for c in self.carry:
+            out[c] = self.vals[c].reshape(-1)
         return out
 
 
@@ -135,12 +122,12 @@ def _scan_with_broadcast(bq, k: int, keep: int, carry=()):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         qids, qm = bq.value
         qn = np.einsum("ij,ij->i", qm, qm)
-        top = _TopK(len(qids), keep)
+        top = _TopK(len(qids), k, keep, carry)
         for pdf in batches:
             if len(pdf):
                 top.offer(qm, qn, _to_matrix(pdf["embedding"]), pdf["corpus_id"].to_numpy("int64"),
                           pdf[list(carry)] if carry else None)
-        yield top.finish(qm, qids, k, carry)
+        yield top.finish(qids)
     return run
 
 
@@ -150,10 +137,10 @@ def _block_pair(k: int, keep: int, carry=()):
             return _empty(carry)
         qm = _to_matrix(qpdf["embedding"])
         qids = qpdf["query_id"].to_numpy("int64")
-        top = _TopK(len(qids), keep)
+        top = _TopK(len(qids), k, keep, carry)
         top.offer(qm, np.einsum("ij,ij->i", qm, qm), _to_matrix(cpdf["embedding"]),
                   cpdf["corpus_id"].to_numpy("int64"), cpdf[list(carry)] if carry else None)
-        return top.finish(qm, qids, k, carry)
+        return top.finish(qids)
     return run
 
 
