@@ -144,6 +144,15 @@ def _block_pair(k: int, keep: int, carry=()):
     return run
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Give an under-partitioned corpus one partition per core (a few large
+    files or row groups would otherwise leave cores idle); a corpus that
+    already has at least that many partitions -- any corpus on a cluster --
+    is left as it is, without a shuffle."""
+    want = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+
+
 def knn_topk(queries: DataFrame, corpus: DataFrame, k: int = TOP_K,
              query_id: str = "query_id", corpus_id: str = "corpus_id",
              vector: str = "embedding", slack: int = SLACK,
@@ -180,6 +189,7 @@ def knn_search(queries: DataFrame, corpus: DataFrame, k: int = TOP_K,
     schema = CANDIDATE_SCHEMA + "".join(
         f", {f.name} {f.dataType.simpleString()}" for f in corpus.schema.fields if f.name in carry)
     keep = k + slack
+    c = _spread(c)
     stats = q.agg(F.count(F.lit(1)).alias("n"),
                   F.coalesce(F.max(F.size("embedding")), F.lit(0)).alias("d")).first()
     n_q, dim = int(stats["n"]), int(stats["d"])
