@@ -64,8 +64,9 @@ class _TopK:
     n_queries x k distances, ids and carried values -- no vectors.
     """
 
-    def __init__(self, n_queries: int, k: int, keep: int, carry=()):
+    def __init__(self, n_queries: int, k: int, keep: int, carry=(), qids: np.ndarray | None = None):
         self.k, self.keep, self.carry = k, keep, tuple(carry)
+        self.qids = qids          # set: a query never matches the corpus row with its own id
         self.dist = np.zeros((n_queries, 0))
         self.ids = np.zeros((n_queries, 0), dtype=np.int64)
         self.vals = {c: np.empty((n_queries, 0), dtype=object) for c in self.carry}
@@ -80,9 +81,14 @@ class _TopK:
         for lo in range(0, len(qm), QUERY_TILE):
             tile = qm[lo:lo + QUERY_TILE]
             approx = qn[lo:lo + QUERY_TILE, None] + cn[None, :] - 2.0 * (tile @ cm.T)
+            if self.qids is not None:
+                approx[self.qids[lo:lo + QUERY_TILE, None] == cid[None, :]] = np.inf
             part = np.argpartition(approx, take - 1, axis=1)[:, :take]
             diff = tile[:, None, :] - cm[part]
-            new_d.append(np.einsum("qkd,qkd->qk", diff, diff))
+            exact = np.einsum("qkd,qkd->qk", diff, diff)
+            if self.qids is not None:
+                exact[self.qids[lo:lo + QUERY_TILE, None] == cid[part]] = np.inf
+            new_d.append(exact)
             new_i.append(part)
         rows = np.vstack(new_i)                      # positions inside this batch
         d_all = np.concatenate([self.dist, np.vstack(new_d)], axis=1)
@@ -104,7 +110,7 @@ class _TopK:
                             "distance": self.dist.reshape(-1)})
         for c in self.carry:
             out[c] = self.vals[c].reshape(-1)
-        return out
+        return out[np.isfinite(out["distance"].to_numpy())]
 
 
 def _empty(carry=()) -> pd.DataFrame:
@@ -118,11 +124,11 @@ def _empty(carry=()) -> pd.DataFrame:
 CANDIDATE_SCHEMA = "query_id bigint, corpus_id bigint, distance double"
 
 
-def _scan_with_broadcast(bq, k: int, keep: int, carry=()):
+def _scan_with_broadcast(bq, k: int, keep: int, carry=(), exclude_self: bool = False):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         qids, qm = bq.value
         qn = np.einsum("ij,ij->i", qm, qm)
-        top = _TopK(len(qids), k, keep, carry)
+        top = _TopK(len(qids), k, keep, carry, qids if exclude_self else None)
         for pdf in batches:
             if len(pdf):
                 top.offer(qm, qn, _to_matrix(pdf["embedding"]), pdf["corpus_id"].to_numpy("int64"),
@@ -131,13 +137,13 @@ def _scan_with_broadcast(bq, k: int, keep: int, carry=()):
     return run
 
 
-def _block_pair(k: int, keep: int, carry=()):
+def _block_pair(k: int, keep: int, carry=(), exclude_self: bool = False):
     def run(qpdf: pd.DataFrame, cpdf: pd.DataFrame) -> pd.DataFrame:
         if len(qpdf) == 0 or len(cpdf) == 0:
             return _empty(carry)
         qm = _to_matrix(qpdf["embedding"])
         qids = qpdf["query_id"].to_numpy("int64")
-        top = _TopK(len(qids), k, keep, carry)
+        top = _TopK(len(qids), k, keep, carry, qids if exclude_self else None)
         top.offer(qm, np.einsum("ij,ij->i", qm, qm), _to_matrix(cpdf["embedding"]),
                   cpdf["corpus_id"].to_numpy("int64"), cpdf[list(carry)] if carry else None)
         return top.finish(qids)
@@ -157,22 +163,25 @@ def knn_topk(queries: DataFrame, corpus: DataFrame, k: int = TOP_K,
              query_id: str = "query_id", corpus_id: str = "corpus_id",
              vector: str = "embedding", slack: int = SLACK,
              max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
-             carry: tuple[str, ...] = ()) -> DataFrame:
+             carry: tuple[str, ...] = (), exclude_self: bool = False) -> DataFrame:
     """Exact k nearest corpus vectors per query (squared L2, ascending).
 
     Output: query_id, rank (1..k, BIGINT), corpus_id, distance, *carry --
     ``carry`` names narrow corpus columns (ids, labels) returned with each hit
     so that no lookup join against the corpus is needed afterwards.
+    ``exclude_self`` skips the corpus row whose id equals the query id
+    (leave-one-out search of a table against itself).
     """
     return knn_search(queries, corpus, k, query_id, corpus_id, vector, slack,
-                      max_broadcast_bytes, carry, materialize=False)[0]
+                      max_broadcast_bytes, carry, materialize=False, exclude_self=exclude_self)[0]
 
 
 def knn_search(queries: DataFrame, corpus: DataFrame, k: int = TOP_K,
                query_id: str = "query_id", corpus_id: str = "corpus_id",
                vector: str = "embedding", slack: int = SLACK,
                max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
-               carry: tuple[str, ...] = (), materialize: bool = True) -> tuple[DataFrame, int]:
+               carry: tuple[str, ...] = (), materialize: bool = True,
+               exclude_self: bool = False) -> tuple[DataFrame, int]:
     """:func:`knn_topk` plus a proven upper bound of its row count
     (``n_queries * k``), used to decide whether the hits may be broadcast.
 
@@ -199,7 +208,7 @@ def knn_search(queries: DataFrame, corpus: DataFrame, k: int = TOP_K,
         qpdf = q.toPandas()
         qm = _to_matrix(qpdf["embedding"]) if n_q else np.zeros((0, dim))
         bq = spark.sparkContext.broadcast((qpdf["query_id"].to_numpy("int64"), qm))
-        cand = c.mapInPandas(_scan_with_broadcast(bq, k, keep, carry), schema)
+        cand = c.mapInPandas(_scan_with_broadcast(bq, k, keep, carry, exclude_self), schema)
     else:
         n_blocks_q = max(1, math.ceil(q_bytes / max_broadcast_bytes))
         n_c = c.count()
@@ -209,7 +218,7 @@ def knn_search(queries: DataFrame, corpus: DataFrame, k: int = TOP_K,
         cb = (c.withColumn("cb", F.pmod(F.xxhash64("corpus_id"), F.lit(n_blocks_c)))
               .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(n_blocks_q - 1)))))
         cand = (qb.groupBy("qb", "cb").cogroup(cb.groupBy("qb", "cb"))
-                .applyInPandas(_block_pair(k, keep, carry), schema))
+                .applyInPandas(_block_pair(k, keep, carry, exclude_self), schema))
     w = Window.partitionBy("query_id").orderBy("distance", "corpus_id")
     hits = (cand.withColumn("rank", F.row_number().over(w).cast("bigint"))
             .where(F.col("rank") <= k)

@@ -9,9 +9,10 @@ grows with the tables.  The same definitions are written in SQL in
   lower-cased text (duplicates kept).  Items ``item_id % 10 = 9`` get an empty
   keyword list and items ``% 10 = 8`` a missing query, so the skip / zero
   rules of the evaluators are exercised.
-* ``vec_queries`` / ``vec_corpus`` -- a hold-out split of the embeddings:
-  every 25th vector is a query (case ``vec_id div 25``), the rest is the
-  corpus; corpus vector ``v`` carries the text of document ``v % 200``.
+* ``vec_queries`` / ``vec_corpus`` -- leave-one-out retrieval over the whole
+  embeddings table: every vector is a query (for case ``vec_id``) against all
+  other vectors; vector ``v`` carries the text of document ``v % N`` with N
+  the number of documents, so the corpus texts span the document table.
 * ``qa_cases`` -- a user turn answered by the next (assistant) turn.
 * ``impact_rows`` -- the tidy question x prompt-version fact table: document
   ``d`` is the answer of question ``q(d div 5)`` under ``prompt_v(d % 5)``;
@@ -28,8 +29,6 @@ from ragloom.functions.text import KEYWORD_PATTERN, lower_tokens
 from ragloom.operators.chunking import page_docs as _page_docs
 from ragloom.sources.tables import read_table
 
-QUERY_EVERY = 25        # every 25th embedding is a query vector
-CORPUS_TEXT_DOCS = 200  # corpus vector v carries the text of document v % 200
 N_KEYWORDS = 4
 VERSIONS_PER_QUESTION = 5
 
@@ -55,21 +54,25 @@ def keyword_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def vec_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding as a query; its case is the item with the same id."""
     e = read_table(spark, sf_dir, "embeddings")
-    return (e.where(F.col("vec_id") % QUERY_EVERY == 0)
-            .select(F.col("vec_id").alias("query_id"),
-                    F.expr(f"vec_id div {QUERY_EVERY}").alias("case_id"),
-                    "label", "embedding"))
+    return e.select(F.col("vec_id").alias("query_id"), F.col("vec_id").alias("case_id"),
+                    "label", "embedding")
+
+
+def n_documents(spark: SparkSession, sf_dir: str) -> int:
+    return documents(spark, sf_dir).count()
 
 
 def vec_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Corpus vectors only (id, label, embedding, doc_id) -- no text, so the
-    kNN scan reads the narrowest possible rows; text is attached to the k
-    hits afterwards (late materialisation)."""
+    """Every embedding as a corpus vector (id, label, embedding, doc_id) --
+    no text, so the kNN scan reads the narrowest possible rows; text is
+    attached to the k hits afterwards (late materialisation).  The search
+    excludes a query's own vector (leave-one-out)."""
     e = read_table(spark, sf_dir, "embeddings")
-    return (e.where(F.col("vec_id") % QUERY_EVERY != 0)
-            .select(F.col("vec_id").alias("corpus_id"), "label", "embedding",
-                    (F.col("vec_id") % CORPUS_TEXT_DOCS).alias("doc_id")))
+    n = max(n_documents(spark, sf_dir), 1)
+    return e.select(F.col("vec_id").alias("corpus_id"), "label", "embedding",
+                    F.pmod(F.col("vec_id"), F.lit(n)).alias("doc_id"))
 
 
 def qa_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,10 +120,11 @@ def impact_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("text").alias("response"))
 
 
-def run_scores(spark: SparkSession, sf_dir: str, missing=("src0", "ragas")) -> DataFrame:
+def run_scores(spark: SparkSession, sf_dir: str, missing=None) -> DataFrame:
     """Long score table (run, metric, value): per source of the documents the
-    mean of each metric; one (run, metric) entry is left out so that the
-    missing-key default of the report is exercised."""
+    mean of each metric (null when a source has no labelled document; the
+    report reads a null or absent score as 0).  ``missing=(run, metric)``
+    removes one entry, for tests of the absent-score default."""
     imp = impact_rows(spark, sf_dir)
     src = documents(spark, sf_dir).select("doc_id", "source")
     per_run = (imp.join(src, "doc_id").groupBy(F.col("source").alias("run"))

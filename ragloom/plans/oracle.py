@@ -51,9 +51,10 @@ KEYWORD_CASES = """keyword_cases AS (
   FROM benchmark)"""
 
 VECS = """vec_queries AS (
-  SELECT vec_id AS query_id, vec_id // 25 AS case_id, label, embedding FROM embeddings WHERE vec_id % 25 = 0),
+  SELECT vec_id AS query_id, vec_id AS case_id, label, embedding FROM embeddings),
 vec_corpus AS (
-  SELECT vec_id AS corpus_id, label, embedding, vec_id % 200 AS doc_id FROM embeddings WHERE vec_id % 25 <> 0)"""
+  SELECT vec_id AS corpus_id, label, embedding, vec_id % (SELECT count(*) FROM documents) AS doc_id
+  FROM embeddings)"""
 
 HITS = VECS + """,
 dists AS (
@@ -61,7 +62,8 @@ dists AS (
          list_sum(list_transform(range(1, len(q.embedding) + 1),
              lambda i: (q.embedding[i]::DOUBLE - c.embedding[i]::DOUBLE)
                      * (q.embedding[i]::DOUBLE - c.embedding[i]::DOUBLE))) AS distance
-  FROM vec_queries q, vec_corpus c),
+  FROM vec_queries q, vec_corpus c
+  WHERE q.query_id <> c.corpus_id),
 hits AS (
   SELECT query_id, rank, corpus_id, distance FROM (
     SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, corpus_id) AS rank FROM dists)
@@ -175,11 +177,9 @@ per_run AS (
   SELECT d.source AS run, avg(i.retrieval) AS retrieval, avg(i.generation) AS generation, avg(i.ragas) AS ragas
   FROM impact2 i JOIN documents d USING (doc_id) GROUP BY d.source),
 long AS (
-  SELECT * FROM (
-    SELECT run, 'retrieval' AS metric, retrieval AS value FROM per_run
-    UNION ALL SELECT run, 'generation', generation FROM per_run
-    UNION ALL SELECT run, 'ragas', ragas FROM per_run)
-  WHERE NOT (run = 'src0' AND metric = 'ragas')),
+  SELECT run, 'retrieval' AS metric, retrieval AS value FROM per_run
+  UNION ALL SELECT run, 'generation', generation FROM per_run
+  UNION ALL SELECT run, 'ragas', ragas FROM per_run),
 wide AS (
   SELECT run AS model_name,
          coalesce(max(CASE WHEN metric = 'retrieval' THEN value END), 0.0) AS retrieval,

@@ -45,7 +45,7 @@ def _search(spark, sf):
     """Top-3 hits per query vector with the corpus doc_id and label carried
     along, plus the proven bound n_queries * 3 on their number."""
     return retrieval.knn_search(derived.vec_queries(spark, sf), derived.vec_corpus(spark, sf),
-                                carry=("doc_id", "label"))
+                                carry=("doc_id", "label"), exclude_self=True)
 
 
 def _hits(spark, sf):
