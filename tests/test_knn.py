@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from ragloom.operators.retrieval import knn_topk
 
@@ -48,3 +49,27 @@ def test_knn_fewer_corpus_rows_than_k(spark):
     q, c, qdf, cdf = _frames(spark, nq=3, nc=2)
     out = knn_topk(qdf, cdf, k=3).collect()
     assert len(out) == 6
+
+
+@pytest.mark.parametrize("max_bytes", [64 * 1024 * 1024, 512])
+def test_leave_one_out_with_carried_columns(spark, max_bytes):
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(120, 8)).astype(np.float32)
+    x[5] = x[6]                      # an exact copy is still a neighbour; only the same id is skipped
+    df = spark.createDataFrame([(i, x[i].tolist(), i % 7, f"d{i}") for i in range(len(x))],
+                               "vec_id long, embedding array<float>, label int, tag string")
+    q = df.select(F.col("vec_id").alias("query_id"), "embedding")
+    c = df.select(F.col("vec_id").alias("corpus_id"), "embedding", "label", "tag").repartition(5)
+    out = knn_topk(q, c, k=3, max_broadcast_bytes=max_bytes, carry=("label", "tag"), exclude_self=True).collect()
+    got = {}
+    for r in out:
+        got.setdefault(r["query_id"], []).append((r["rank"], r["corpus_id"], r["label"], r["tag"]))
+    xd = x.astype(np.float64)
+    for i in range(len(x)):
+        d = ((xd[i] - xd) ** 2).sum(axis=1)
+        order = [j for j in sorted(range(len(x)), key=lambda j: (d[j], j)) if j != i][:3]
+        lst = sorted(got[i])
+        assert [t[1] for t in lst] == order
+        assert [t[2] for t in lst] == [j % 7 for j in order]
+        assert [t[3] for t in lst] == [f"d{j}" for j in order]
+    assert sorted(got[5])[0][1] == 6 and sorted(got[6])[0][1] == 5
