@@ -30,10 +30,6 @@ CHUNK_SIZE = 1000
 CHUNK_OVERLAP = 200
 SEPARATORS = ("\n\n", "\n", " ", "")
 
-# chunk position inside a page is packed below this factor to give every chunk
-# row one integral sort key (page * POS_FACTOR + pos)
-POS_FACTOR = 1 << 20
-
 
 def page_docs(documents: DataFrame, id_col: str = "doc_id", source_col: str = "source",
               text_col: str = "text", keep: tuple[str, ...] = ("lang",)) -> DataFrame:
@@ -195,8 +191,9 @@ def recursive_chunks(pages: DataFrame, size: int = CHUNK_SIZE,
     """
     chunks = (pages.select("doc_id", "source", "page", "text")
               .mapInPandas(_recursive_batches(size, overlap), RECURSIVE_SCHEMA))
-    keyed = chunks.withColumn("__k", F.col("page") * F.lit(POS_FACTOR) + F.col("pos"))
-    numbered = ordered_offsets(keyed, by=["source"], num="__k", weights={"chunk_no": F.lit(1)})
+    # blocks are cut on the page number; chunks of a page follow by position
+    numbered = ordered_offsets(chunks, by=["source"], num="page", then=["pos"],
+                               weights={"chunk_no": F.lit(1)})
     return (numbered
             .withColumn("chunk_id", F.concat(F.lit("chunk_"), F.col("chunk_no").cast("string")))
             .select("doc_id", "source", "page", "pos", "chunk_no", "chunk_id", "text"))

@@ -27,14 +27,18 @@ DEFAULT_BLOCK = 1024
 
 def ordered_offsets(df: DataFrame, by: list[str], num: str,
                     weights: dict[str, Column], reset_by: dict[str, list[str]] | None = None,
-                    block: int = DEFAULT_BLOCK) -> DataFrame:
+                    block: int = DEFAULT_BLOCK, then: list[str] | None = None) -> DataFrame:
     """Add, for each ``name -> weight``, the exclusive running sum of ``weight``
-    over the order ``(by..., num)``.
+    over the order ``(by..., num, then...)``.
 
-    ``num`` must be an integral column, unique within ``by``.  ``reset_by[name]``
-    (a prefix of ``by``) restarts that sum for each distinct value; default is a
-    global running sum.  Weights are cast to BIGINT.
+    ``num`` is an integral column; blocks are cut on it.  ``(num, then...)``
+    must be unique within ``by`` -- e.g. ``num=page, then=[pos]`` numbers the
+    chunks of pages, a block then holding the chunks of at most ``block``
+    pages.  ``reset_by[name]`` (a prefix of ``by``) restarts that sum for each
+    distinct value; default is a global running sum.  Weights are cast to
+    BIGINT.
     """
+    then = list(then or [])
     reset_by = reset_by or {}
     for name, keys in reset_by.items():
         if list(keys) != list(by[:len(keys)]):
@@ -47,7 +51,7 @@ def ordered_offsets(df: DataFrame, by: list[str], num: str,
         base = base.withColumn(wcols[name], w.cast("bigint"))
 
     # level 1: inside blocks of at most `block` rows
-    w1 = (Window.partitionBy(*by, b1).orderBy(num)
+    w1 = (Window.partitionBy(*by, b1).orderBy(num, *then)
           .rowsBetween(Window.unboundedPreceding, -1))
     for name in weights:
         base = base.withColumn(f"__e1_{name}",

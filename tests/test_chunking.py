@@ -78,3 +78,12 @@ def test_recursive_chunks_ids_dense(spark):
     assert max(r["n"] for r in rows) <= 1000
     order = sorted(rows, key=lambda r: (r["source"], r["page"], r["pos"]))
     assert [r["chunk_no"] for r in order] == list(range(len(rows)))
+
+
+@pytest.mark.parametrize("block", [2, 1024])
+def test_ordered_offsets_with_secondary_order(spark, block):
+    rows = [(s, p, pos) for s in ("a", "b") for p in range(7) for pos in range((p * 3) % 4 + 1)]
+    df = spark.createDataFrame(rows, "source string, page long, pos long")
+    out = ordered_offsets(df, by=["source"], num="page", then=["pos"], weights={"no": F.lit(1)}, block=block)
+    got = sorted((r["source"], r["page"], r["pos"], r["no"]) for r in out.collect())
+    assert [g[3] for g in got] == list(range(len(rows)))
