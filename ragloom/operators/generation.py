@@ -96,3 +96,39 @@ def result_metadata(results: DataFrame, answer: str = "answer", out: str = "meta
     """Every field of a result except the answer, as one struct."""
     keep = [c for c in results.columns if c != answer]
     return results.withColumn(out, F.struct(*keep))
+
+
+# Fixed value: the text recorded when a change summary cannot be produced.
+SUMMARY_FAILED = "Comparison failed."
+
+
+def offline_summariser():
+    """Default change summariser (deterministic): states the length change and
+    the share of words the new answer shares with the baseline."""
+    def summarise(base: str, new: str) -> str:
+        b, n = set(_WORD.findall((base or "").lower())), set(_WORD.findall((new or "").lower()))
+        shared = len(b & n) / len(b | n) if (b | n) else 1.0
+        delta = len(new or "") - len(base or "")
+        longer = "longer" if delta > 0 else "shorter" if delta < 0 else "the same length"
+        return f"The new answer is {longer} ({delta:+d} characters) and shares {shared:.0%} of its words with the baseline."
+    return summarise
+
+
+def summarise_changes(pairs: DataFrame, make_summariser: Callable = offline_summariser,
+                      base: str = "base_response", new: str = "response") -> DataFrame:
+    """M11 with a model: one sentence per (answer, baseline answer) pair, in
+    Arrow batches; a failing call records the fixed failure text."""
+    schema = StructType(list(pairs.schema.fields) + [StructField("change_summary", StringType())])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        summarise = make_summariser()
+        for pdf in batches:
+            out = []
+            for b, n in zip(pdf[base], pdf[new]):
+                try:
+                    out.append(summarise(b, n))
+                except Exception:  # noqa: BLE001
+                    out.append(SUMMARY_FAILED)
+            pdf["change_summary"] = out
+            yield pdf
+    return pairs.mapInPandas(run, schema)

@@ -176,7 +176,8 @@ def run_suite(retrieval_cases: DataFrame, generation_cases: DataFrame, judged_ca
 def run_prompt_versions(spark: SparkSession, cases: DataFrame, vectors: DataFrame, versions_spec: str,
                         existing: DataFrame | None = None,
                         make_generator: Callable = generation.extractive_generator,
-                        catalogue: dict | None = None) -> DataFrame:
+                        catalogue: dict | None = None,
+                        make_summariser: Callable | None = generation.offline_summariser) -> DataFrame:
     """P11 -> J8 -> J5 -> M8 -> J6 + M11: answers for every (case, version)
     not answered yet, each paired with its baseline answer.
 
@@ -201,7 +202,15 @@ def run_prompt_versions(spark: SparkSession, cases: DataFrame, vectors: DataFram
     allr = existing.select("question_text", "prompt_version", "response").unionByName(
         new.select("question_text", "prompt_version", "response"))
     diffs = impact.answer_diff(allr)
-    return new.join(diffs, ["question_text", "prompt_version"], "left")
+    out = new.join(diffs, ["question_text", "prompt_version"], "left")
+    if make_summariser is not None:
+        # A sentence for each new non-baseline answer that has a baseline
+        pairs = impact.baseline_pairs(allr).join(
+            new.select("question_text", "prompt_version"), ["question_text", "prompt_version"], "left_semi")
+        summaries = generation.summarise_changes(pairs, make_summariser).select(
+            "question_text", "prompt_version", "change_summary")
+        out = out.join(summaries, ["question_text", "prompt_version"], "left")
+    return out
 
 
 def dashboard(rows: DataFrame, out_root: str | None = None) -> dict[str, DataFrame]:

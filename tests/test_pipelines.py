@@ -62,6 +62,8 @@ def test_prompt_versions_incremental(spark, vectors):
     assert all(r["error"] is None for r in rows)
     v1 = [r for r in rows if r["prompt_version"] == "prompt_v1"]
     assert all(r["jaccard"] is not None or r["new_chars"] is not None for r in v1)
+    assert all(r["change_summary"].startswith("The new answer") for r in v1)
+    assert all(r["change_summary"] is None for r in rows if r["prompt_version"] == "prompt_v0")
     existing = first.select("question_text", "prompt_version", "response")
     again = pipelines.run_prompt_versions(spark, cases, vectors, "prompt_v0,prompt_v1,prompt_v2", existing)
     assert {r["prompt_version"] for r in again.collect()} == {"prompt_v2"}   # only the missing pairs

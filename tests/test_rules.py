@@ -210,3 +210,19 @@ def test_baseline_pairs_inner(spark):
                                   ("b", "prompt_v1", "lonely")], "question_text string, prompt_version string, response string")
     pairs = impact.baseline_pairs(resp)
     assert [(r["question_text"], r["prompt_version"]) for r in pairs.collect()] == [("a", "prompt_v1")]
+
+
+def test_change_summary_plugin_and_failure_text(spark):
+    pairs = spark.createDataFrame([("q", "prompt_v1", "alpha beta", "alpha beta gamma"), ("q2", "prompt_v1", "x", "boom")],
+                                  "question_text string, prompt_version string, base_response string, response string")
+    out = {r["question_text"]: r["change_summary"] for r in generation.summarise_changes(pairs).collect()}
+    assert out["q"].startswith("The new answer is longer (+6 characters)")
+
+    def make():
+        def summarise(b, n):
+            if n == "boom":
+                raise RuntimeError("model down")
+            return "more detail"
+        return summarise
+    out = {r["question_text"]: r["change_summary"] for r in generation.summarise_changes(pairs, make).collect()}
+    assert out == {"q": "more detail", "q2": "Comparison failed."}
