@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from ragloom.functions.text import basename_or_unknown
 from ragloom.operators.numbering import ordered_offsets
+from ragloom.session import cut_lineage
 
 # Fixed values of the reference's chunker: 1000 characters per chunk, 200 of
 # overlap, separators paragraph, line, space, character.
@@ -191,6 +192,9 @@ def recursive_chunks(pages: DataFrame, size: int = CHUNK_SIZE,
     """
     chunks = (pages.select("doc_id", "source", "page", "text")
               .mapInPandas(_recursive_batches(size, overlap), RECURSIVE_SCHEMA))
+    # the numbering reads the chunks in two branches (rows and block totals);
+    # materialise them once so the Python splitter runs once per page
+    chunks = cut_lineage(chunks)
     # blocks are cut on the page number; chunks of a page follow by position
     numbered = ordered_offsets(chunks, by=["source"], num="page", then=["pos"],
                                weights={"chunk_no": F.lit(1)})

@@ -60,8 +60,15 @@ def vec_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "label", "embedding")
 
 
+_COUNTS: dict[tuple[int, str], int] = {}
+
+
 def n_documents(spark: SparkSession, sf_dir: str) -> int:
-    return documents(spark, sf_dir).count()
+    """Number of documents (one count per session and table; tables are read-only)."""
+    key = (id(spark._jsparkSession), sf_dir)
+    if key not in _COUNTS:
+        _COUNTS[key] = documents(spark, sf_dir).count()
+    return _COUNTS[key]
 
 
 def vec_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:

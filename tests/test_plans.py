@@ -44,3 +44,27 @@ def test_entry_smoke(spark):
 
 def test_every_sql_query_is_registered():
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def _subtree(lines, i):
+    """Lines of the plan subtree rooted at line i (deeper indentation)."""
+    def depth(line):
+        return len(line) - len(line.lstrip(" :+-"))
+    d = depth(lines[i])
+    out = []
+    for line in lines[i + 1:]:
+        if line.strip() and depth(line) <= d:
+            break
+        out.append(line)
+    return out
+
+
+@pytest.mark.parametrize("name", ["window_chunks", "chunk_ids", "page_docs", "recursive_chunks"])
+def test_unpartitioned_window_reads_only_block_totals(spark, name):
+    df = entry.queries()[name](spark, SF001)
+    lines = _plan(df).splitlines()
+    singles = [i for i, line in enumerate(lines) if "SinglePartition" in line]
+    for i in singles:
+        sub = "\n".join(_subtree(lines, i))
+        assert "HashAggregate" in sub            # block totals, not rows
+        assert "text" not in sub.split("HashAggregate")[0]   # no row with its text reaches it
