@@ -38,7 +38,6 @@ TOP_K = 3              # fixed value of the reference: three chunks per query
 SLACK = 8              # extra candidates before the exact re-ranking
 QUERY_TILE = 1024      # queries per distance tile inside a task
 DEFAULT_MAX_BROADCAST_BYTES = 64 * 1024 * 1024
-CORPUS_BLOCK_ROWS = 200_000
 
 
 def _to_matrix(series: pd.Series) -> np.ndarray:
@@ -150,15 +149,6 @@ def _block_pair(k: int, keep: int, carry=(), exclude_self: bool = False):
     return run
 
 
-def _spread(df: DataFrame) -> DataFrame:
-    """Give an under-partitioned corpus one partition per core (a few large
-    files or row groups would otherwise leave cores idle); a corpus that
-    already has at least that many partitions -- any corpus on a cluster --
-    is left as it is, without a shuffle."""
-    want = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
-
-
 def knn_topk(queries: DataFrame, corpus: DataFrame, k: int = TOP_K,
              query_id: str = "query_id", corpus_id: str = "corpus_id",
              vector: str = "embedding", slack: int = SLACK,
@@ -198,7 +188,6 @@ def knn_search(queries: DataFrame, corpus: DataFrame, k: int = TOP_K,
     schema = CANDIDATE_SCHEMA + "".join(
         f", {f.name} {f.dataType.simpleString()}" for f in corpus.schema.fields if f.name in carry)
     keep = k + slack
-    c = _spread(c)
     stats = q.agg(F.count(F.lit(1)).alias("n"),
                   F.coalesce(F.max(F.size("embedding")), F.lit(0)).alias("d")).first()
     n_q, dim = int(stats["n"]), int(stats["d"])
@@ -212,7 +201,8 @@ def knn_search(queries: DataFrame, corpus: DataFrame, k: int = TOP_K,
     else:
         n_blocks_q = max(1, math.ceil(q_bytes / max_broadcast_bytes))
         n_c = c.count()
-        n_blocks_c = max(1, math.ceil(n_c / CORPUS_BLOCK_ROWS))
+        # corpus blocks of at most max_broadcast_bytes of float64 vectors each
+        n_blocks_c = max(1, math.ceil(n_c * max(dim, 1) * 8 / max_broadcast_bytes))
         qb = (q.withColumn("qb", F.pmod(F.xxhash64("query_id"), F.lit(n_blocks_q)))
               .withColumn("cb", F.explode(F.sequence(F.lit(0), F.lit(n_blocks_c - 1)))))
         cb = (c.withColumn("cb", F.pmod(F.xxhash64("corpus_id"), F.lit(n_blocks_c)))
