@@ -203,3 +203,26 @@ def write_case_tables(tables: dict[str, DataFrame], root: str) -> list[str]:
         df.write.mode("overwrite").json(p)
         written.append(p)
     return written
+
+
+# ------------------------------------------------------------------ S1 -----
+
+PAGE_SCHEMA = "source STRING, page BIGINT, text STRING"
+
+
+def read_page_texts(spark: SparkSession, path: str, pattern: str = "*.txt") -> DataFrame:
+    """S1 for a directory of extracted page texts (one file per page): source
+    = the file path, page = 0 per file; unreadable files are skipped and an
+    empty directory gives no rows (not an error)."""
+    files = os.path.join(path, pattern)
+    if not any(True for _ in _glob(files)):
+        return spark.createDataFrame([], PAGE_SCHEMA)
+    df = (spark.read.option("ignoreCorruptFiles", "true").option("wholetext", True).text(files)
+          .select(F.col("_metadata.file_path").alias("source"), F.lit(0).cast("bigint").alias("page"),
+                  F.col("value").alias("text")))
+    return df
+
+
+def _glob(pattern: str):
+    import glob
+    return glob.iglob(pattern)

@@ -125,3 +125,15 @@ def test_case_tables_and_observed_counts(spark, tmp_path):
     obs_df, obs = counts.observed(ch, "chunks")
     obs_df.write.format("noop").mode("overwrite").save()
     assert obs.get["chunks"] == n
+
+
+def test_page_text_directory(spark, tmp_path):
+    empty = tmp_path / "empty"
+    empty.mkdir()
+    assert io.read_page_texts(spark, str(empty)).count() == 0
+    d = tmp_path / "pages"
+    d.mkdir()
+    (d / "a.txt").write_text("first page\nline two")
+    (d / "b.txt").write_text("second")
+    rows = sorted((r["source"].rsplit("/", 1)[-1], r["text"]) for r in io.read_page_texts(spark, str(d)).collect())
+    assert rows == [("a.txt", "first page\nline two"), ("b.txt", "second")]

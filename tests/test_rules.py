@@ -226,3 +226,25 @@ def test_change_summary_plugin_and_failure_text(spark):
         return summarise
     out = {r["question_text"]: r["change_summary"] for r in generation.summarise_changes(pairs, make).collect()}
     assert out == {"q": "more detail", "q2": "Comparison failed."}
+
+
+def test_prompt_resolution_order(spark):
+    df = spark.createDataFrame([("explicit", "conf"), (None, "conf"), (None, None)], "arg string, conf string")
+    got = [r["p"] for r in df.select(prompts.resolve_prompt(F.col("arg"), F.col("conf"), "default").alias("p")).collect()]
+    assert got == ["explicit", "conf", "default"]
+
+
+def test_result_metadata_excludes_answer(spark):
+    df = spark.createDataFrame([("q", "a", "prompt_v0")], "query string, answer string, prompt_version string")
+    meta = generation.result_metadata(df).first()["metadata"]
+    assert meta.asDict() == {"query": "q", "prompt_version": "prompt_v0"}
+
+
+def test_seeded_sample_is_reproducible(spark):
+    from ragloom.operators import synth
+    df = spark.range(1000).select(F.concat(F.lit("chunk_"), F.col("id").cast("string")).alias("chunk_id"))
+    a = [r["chunk_id"] for r in synth.sample_rows(df, 5, seed=42).collect()]
+    b = [r["chunk_id"] for r in synth.sample_rows(df.repartition(7), 5, seed=42).collect()]
+    c = [r["chunk_id"] for r in synth.sample_rows(df, 5, seed=7).collect()]
+    assert a == b and len(set(a)) == 5 and a != c
+    assert synth.sample_rows(df.limit(3), 5).count() == 3          # min(n, count)
