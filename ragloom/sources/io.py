@@ -214,15 +214,15 @@ def read_page_texts(spark: SparkSession, path: str, pattern: str = "*.txt") -> D
     """S1 for a directory of extracted page texts (one file per page): source
     = the file path, page = 0 per file; unreadable files are skipped and an
     empty directory gives no rows (not an error)."""
-    files = os.path.join(path, pattern)
-    if not any(True for _ in _glob(files)):
+    from pyspark.errors import AnalysisException
+    files = path.rstrip("/") + "/" + pattern
+    try:
+        # ``text()`` has its own ``wholetext`` argument; an earlier ``.option``
+        # would be overridden by its default
+        raw = spark.read.option("ignoreCorruptFiles", "true").text(files, wholetext=True)
+    except AnalysisException as e:  # nothing matches the pattern: no pages
+        if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+            raise
         return spark.createDataFrame([], PAGE_SCHEMA)
-    df = (spark.read.option("ignoreCorruptFiles", "true").option("wholetext", True).text(files)
-          .select(F.col("_metadata.file_path").alias("source"), F.lit(0).cast("bigint").alias("page"),
-                  F.col("value").alias("text")))
-    return df
-
-
-def _glob(pattern: str):
-    import glob
-    return glob.iglob(pattern)
+    return raw.select(F.col("_metadata.file_path").alias("source"), F.lit(0).cast("bigint").alias("page"),
+                      F.col("value").alias("text"))
