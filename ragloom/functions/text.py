@@ -19,9 +19,20 @@ def tokens(text, pattern: str = KEYWORD_PATTERN) -> Column:
     return F.regexp_extract_all(_c(text), F.lit(pattern), F.lit(0))
 
 
+def word_runs(text, min_len: int = 6) -> Column:
+    """Maximal runs of ASCII lower-case letters at least ``min_len`` long, in
+    order: exactly the matches of ``[a-z]{min_len,}``, found by one linear
+    split on the non-letters instead of a regex search that restarts inside
+    every shorter word."""
+    return F.filter(F.split(_c(text), "[^a-z]+"), lambda t: F.length(t) >= min_len)
+
+
 def lower_tokens(text, pattern: str = KEYWORD_PATTERN) -> Column:
     """Tokens of the lower-cased text."""
-    return tokens(F.lower(_c(text)), pattern)
+    low = F.lower(_c(text))
+    if pattern == KEYWORD_PATTERN:
+        return word_runs(low, 6)
+    return tokens(low, pattern)
 
 
 def keyword_recall(keywords, haystack, empty_is_zero: bool = False) -> Column:

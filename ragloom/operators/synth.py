@@ -10,9 +10,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ragloom.functions.text import KEYWORD_PATTERN, lower_tokens
+from ragloom.session import cut_lineage
 
 NUM_SAMPLES = 5        # fixed value of the reference: five sampled chunks
 N_CASE_KEYWORDS = 5    # cases carry 3 to 5 keywords
+WORD_SALT = 32         # tasks one word's rows are spread over in the tf-idf join
+MAX_BROADCAST_WORDS = 2_000_000   # vocabulary rows (word, count) shipped to every task
 
 
 def sample_rows(df: DataFrame, n: int = NUM_SAMPLES, seed: int = 42,
@@ -29,7 +32,8 @@ def sample_rows(df: DataFrame, n: int = NUM_SAMPLES, seed: int = 42,
 
 def tfidf_keywords(chunks: DataFrame, n: int = N_CASE_KEYWORDS, key: str = "chunk_id",
                    text: str = "text", n_docs: int | None = None,
-                   carry_text: bool = False) -> DataFrame:
+                   carry_text: bool = False, salt: int = WORD_SALT,
+                   max_broadcast_words: int = MAX_BROADCAST_WORDS) -> DataFrame:
     """G1 keyword part: the ``n`` words of highest tf * ln(N / df) per chunk,
     ties by the word; (key, keywords ARRAY<STRING>, n_keywords[, text]).
 
@@ -37,8 +41,10 @@ def tfidf_keywords(chunks: DataFrame, n: int = N_CASE_KEYWORDS, key: str = "chun
     sentinel row (which also carries the text when ``carry_text``), so a chunk
     without any word still gets its (empty) keyword list and nothing has to
     be joined back.  Term and document frequencies are partial aggregations
-    (a very common word is pre-aggregated per task); the per-chunk ranking is
-    a window bounded by the words of one chunk.  ``N`` (number of chunks) is
+    (a very common word is pre-aggregated per task); their join broadcasts
+    the vocabulary when its measured size is small and is salted otherwise
+    (below); the per-chunk ranking is a window bounded by the words of one
+    chunk.  ``N`` (number of chunks) is
     one count unless the caller knows it.
     """
     if n_docs is None:
@@ -50,10 +56,28 @@ def tfidf_keywords(chunks: DataFrame, n: int = N_CASE_KEYWORDS, key: str = "chun
     toks = chunks.select(key, F.inline(F.concat(F.coalesce(words, F.array()), sentinel)))
     tf = toks.groupBy(key, "token").agg(F.count(F.lit(1)).alias("tf"), F.max("body").alias("body"))
     # the sentinel's null token forms a group of its own and never matches the
-    # equi-join below; not filtering it keeps both uses of `tf` identical, so
-    # Spark reuses its shuffle instead of recomputing the chunks
-    df_ = tf.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
-    scored = (tf.join(df_, "token", "left")
+    # equi-join below
+    # both frequencies read the per-(chunk, word) counts: they are written
+    # once, so the chunks are cut and tokenized once (chunking shuffles the
+    # whole text) and a lost executor does not rerun it
+    tf = cut_lineage(tf)
+    # the vocabulary (one row per word) is written too; its size, read from
+    # the written files, decides the join
+    df_ = cut_lineage(tf.groupBy("token").agg(F.count(F.lit(1)).alias("df")))
+    if df_.count() <= max_broadcast_words:
+        # proven small: every task looks its words up locally, nothing is
+        # shuffled by word, so a word common to all chunks costs nothing extra
+        joined = tf.join(F.broadcast(df_), "token", "left")
+    else:
+        # keyed by (word, salt): the rows of a word found in a third of all
+        # chunks, and the null-token sentinel row of every chunk, are spread
+        # over `salt` tasks by a hash of the chunk; each word's frequency row
+        # is repeated once per salt value
+        salted_tf = tf.withColumn("__salt", F.pmod(F.xxhash64(key), F.lit(salt)))
+        salted_df = df_.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("bigint"),
+                                                                  F.lit(salt - 1).cast("bigint"))))
+        joined = salted_tf.join(salted_df, ["token", "__salt"], "left").drop("__salt")
+    scored = (joined
               .withColumn("score", F.round(F.col("tf").cast("double")
                                            * F.log(F.lit(float(n_docs)) / F.col("df").cast("double")), 9)))
     w = Window.partitionBy(key).orderBy(F.desc_nulls_last("score"), F.asc("token"))

@@ -9,6 +9,7 @@ is missing.
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -70,14 +71,23 @@ def set_checkpoint_dir_if_unset(spark: SparkSession, path: str) -> str:
 
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Materialise ``df`` reliably so that a lost executor does not force a
-    recomputation of the whole upstream plan.
-
-    Uses ``checkpoint()`` into the shared checkpoint folder when the session
-    names one; otherwise falls back to a disk-backed ``persist`` (lineage is
-    kept, so a lost block is recomputed rather than lost).
+    recomputation of the whole upstream plan, and so that several consumers
+    read it instead of recomputing it.
+
+    When the session names a shared checkpoint folder, ``df`` is written once
+    as a parquet table under it and read back: one computation (an eager
+    ``Dataset.checkpoint`` of an unpersisted plan computes it twice, once to
+    count and once to write), columnar and compressed, and the scan of the
+    written files carries real size statistics for the planner.  Without a
+    folder it falls back to a disk-backed ``persist`` (lineage is kept, so a
+    lost block is recomputed rather than lost).
     """
-    if bind_checkpoint_dir(df.sparkSession):
-        return df.checkpoint(eager=eager)
+    spark = df.sparkSession
+    d = bind_checkpoint_dir(spark)
+    if d:
+        path = f"{d.rstrip('/')}/ragloom-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        return spark.read.parquet(path)
     out = df.persist(StorageLevel.MEMORY_AND_DISK)
     if eager:
         out.count()
