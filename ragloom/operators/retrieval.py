@@ -227,18 +227,24 @@ def fetch_rows(hits: DataFrame, table: DataFrame, key: str, cols: list[str],
                hit_rows_bound: int | None = None,
                max_broadcast_rows: int = MAX_BROADCAST_HIT_ROWS) -> DataFrame:
     """Late materialisation (J3): attach ``cols`` of ``table`` to the hits by
-    ``key`` (left join) without moving the whole table.
-
-    The table is first reduced by a semi join to the keys the hits need; when
-    the hits are proven small (``hit_rows_bound`` from the kNN, n_queries * k)
-    their keys are broadcast, so the table is streamed through once and never
-    shuffled.  Beyond the bound both steps are ordinary shuffle joins.
+    ``key`` (left join), ``table`` holding at most one row per key.
+
+    * Hits proven small (``hit_rows_bound`` from the kNN, n_queries * k, within
+      ``max_broadcast_rows``): the needed keys are broadcast, the table is
+      reduced to those rows while it streams through once (never shuffled),
+      and the reduced rows are broadcast to the hits.
+    * Beyond the bound: one plain shuffle join of the hits with the table.  A
+      semi-join reduction would shuffle the table as well and only hide the
+      join's inputs from adaptive execution; as it is, both inputs are direct
+      shuffles, so AQE's skew join splits the hits of a hub document (the
+      nearest neighbour of a third of all queries) over many tasks, each
+      paired with a copy of that one document row.
     """
-    need = hits.select(key).where(F.col(key).isNotNull()).distinct()
     small = hit_rows_bound is not None and hit_rows_bound <= max_broadcast_rows
-    need = F.broadcast(need) if small else need
-    rows = table.select(key, *cols).join(need, key, "left_semi")
-    rows = F.broadcast(rows) if small else rows
+    if not small:
+        return hits.join(table.select(key, *cols), key, "left")
+    need = F.broadcast(hits.select(key).where(F.col(key).isNotNull()).distinct())
+    rows = F.broadcast(table.select(key, *cols).join(need, key, "left_semi"))
     return hits.join(rows, key, "left")
 
 

@@ -73,3 +73,45 @@ def test_leave_one_out_with_carried_columns(spark, max_bytes):
         assert [t[2] for t in lst] == [j % 7 for j in order]
         assert [t[3] for t in lst] == [f"d{j}" for j in order]
     assert sorted(got[5])[0][1] == 6 and sorted(got[6])[0][1] == 5
+
+
+def test_hub_document_join_is_split_by_adaptive_skew_join(spark):
+    """Beyond the broadcast bound, the hits of one hub document (a third of
+    all hits) are joined in several tasks, not one."""
+    from pyspark.sql import functions as F
+
+    from ragloom.operators.retrieval import fetch_rows
+
+    conf = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+            "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            # many partitions, as on a cluster: one third of the rows in one
+            # partition is then far above the skew factor times the median
+            "spark.sql.shuffle.partitions": "64"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        n = 300_000
+        hits = spark.range(n).select(
+            F.col("id").alias("query_id"), F.lit(1).cast("bigint").alias("rank"),
+            F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 5000).alias("doc_id"))
+        docs = spark.range(5000).select(F.col("id").alias("doc_id"),
+                                        F.concat(F.lit("doc "), F.col("id").cast("string")).alias("text"))
+        out = fetch_rows(hits, docs, "doc_id", ["text"], hit_rows_bound=None)
+        got = out.groupBy().agg(F.count("text").alias("n"),
+                                F.sum(F.when(F.col("text") == "doc 7", 1).otherwise(0)).alias("hub")).first()
+        hub = sum(1 for i in range(n) if i % 3 == 0 or i % 5000 == 7)
+        assert got["n"] == n and got["hub"] == hub
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan
+        out.collect()  # runs this DataFrame's own adaptive plan
+        final = out._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in final or "isSkewJoin=true" in final, final
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
