@@ -130,9 +130,11 @@ def delta_vs_baselines(rows: DataFrame, versions: list[str] | None = None,
     question, half-to-even 4 places after the subtraction, null if either
     side is null.  Null question keys match each other, as in pandas.
 
-    ``mode="unique"`` (default) assumes one row per (question, version): the
+    ``mode="unique"`` (default) needs one row per (question, version): the
     baselines of all versions come from one partial aggregation per question
-    and one left join (AQE splits a hot question on the row side).
+    and one left join, so no key holds more than one row per version.  The
+    same aggregation counts the rows of each version and the query fails
+    (``raise_error``, no extra job) when a key repeats -- use ``fanout`` then.
     ``mode="fanout"`` reproduces the reference on duplicated keys: one left
     join per baseline version, each multiplying the duplicates.
     """
@@ -144,9 +146,15 @@ def delta_vs_baselines(rows: DataFrame, versions: list[str] | None = None,
         # already partitions the baselines the way the join needs them
         nk = [F.coalesce(F.col("question_text"), F.lit("")).alias("__k1"),
               F.col("question_text").isNull().alias("__k2")]
+        per_version = [F.count(F.when(F.col("prompt_version") == F.lit(b), F.lit(1))) for b in vs]
         base = rows.groupBy(*nk).agg(*[
             F.max(F.when(F.col("prompt_version") == F.lit(b), F.col(m))).alias(f"__{m}__{b}")
-            for b in vs for m in metrics])
+            for b in vs for m in metrics],
+            (F.greatest(*per_version) if len(per_version) > 1 else per_version[0]).alias("__dup"))
+        # a filter (not a dropped column) so that the check is always evaluated
+        base = base.where(F.when(F.col("__dup") > 1, F.raise_error(F.lit(
+            "delta_vs_baselines(mode='unique'): a (question, version) pair repeats; use mode='fanout'")))
+            .isNull()).drop("__dup")
         keyed = rows.select("*", *nk)
         out = keyed.join(base, ["__k1", "__k2"], "left")
         for b in vs:

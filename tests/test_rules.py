@@ -120,6 +120,10 @@ def test_delta_fanout_duplicates_and_null_keys(spark):
     assert len(nulls) == 1 and nulls[0]["rqi_delta_vs_v0"] == 0.0
     uniq = impact.delta_vs_baselines(df.where(F.col("rqi") != 0.7))
     assert uniq.where(F.col("question_text").isNull()).first()["rqi_delta_vs_v0"] == 0.0
+    # the unique mode refuses repeated (question, version) pairs instead of
+    # silently picking one baseline value
+    with pytest.raises(Exception, match="pair repeats"):
+        impact.delta_vs_baselines(df).collect()
 
 
 def test_prompt_summary_skips_nulls_and_null_version(spark):
