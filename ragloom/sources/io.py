@@ -23,6 +23,20 @@ JUDGED_SCHEMA = ("user_input STRING, retrieved_contexts STRING, response STRING,
 BUNDLE_SHEETS = ("Raw_Data", "Prompt_Summary", "Question_RQI", "Delta_Analysis")
 
 
+def read_or_empty(spark: SparkSession, read, schema: str) -> DataFrame:
+    """``read()``, or no rows of ``schema`` when its path does not exist.
+
+    The existence test is Spark's own (the file system of the path, whatever
+    it is), not a check of the driver's local disk."""
+    from pyspark.errors import AnalysisException
+    try:
+        return read()
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def _required(col: str, what: str):
     """Lazy not-null check: the job fails on the first row missing ``col``
     (the reference aborts on a missing key) without a separate pass."""
@@ -71,16 +85,19 @@ def select_dataset(cases: DataFrame, synthetic: bool = True) -> DataFrame:
 def read_score_files(spark: SparkSession, results_dir: str) -> DataFrame:
     """The three scalar score files -> long (run, metric, value).  A
     missing file contributes no row (the report then uses 0.0); a file
-    without its key gives a null value (also 0.0 in the report)."""
-    present = [m for m in SCORE_KEYS if os.path.exists(os.path.join(results_dir, f"{m}_score.json"))]
-    if not present:
-        return spark.createDataFrame([], "run STRING, metric STRING, value DOUBLE")
-    paths = [os.path.join(results_dir, f"{m}_score.json") for m in present]
+    without its key gives a null value (also 0.0 in the report).  One read of
+    a glob over the three names: a missing file simply matches nothing."""
+    names = ",".join(SCORE_KEYS)
+    pattern = f"{results_dir.rstrip('/')}/{{{names}}}_score.json"
     schema = ", ".join(f"{k} DOUBLE" for k in SCORE_KEYS.values())
-    df = spark.read.schema(schema).json(paths).withColumn("__f", F.col("_metadata.file_name"))
-    metric = F.regexp_extract("__f", r"^(.*)_score\.json$", 1)
-    value = F.coalesce(*[F.when(metric == F.lit(m), F.col(k)) for m, k in SCORE_KEYS.items()])
-    return df.select(F.lit("default").alias("run"), metric.alias("metric"), value.alias("value"))
+    out_schema = "run STRING, metric STRING, value DOUBLE"
+
+    def read():
+        df = spark.read.schema(schema).json(pattern).withColumn("__f", F.col("_metadata.file_name"))
+        metric = F.regexp_extract("__f", r"^(.*)_score\.json$", 1)
+        value = F.coalesce(*[F.when(metric == F.lit(m), F.col(k)) for m, k in SCORE_KEYS.items()])
+        return df.select(F.lit("default").alias("run"), metric.alias("metric"), value.alias("value"))
+    return read_or_empty(spark, read, out_schema)
 
 
 # ------------------------------------------------------------------ S6 -----

@@ -24,15 +24,18 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ragloom.operators import generation, impact, metrics, prompts
 from ragloom.session import checkpoint_dir
+from ragloom.sources.io import read_or_empty
 
 CASE_STREAM_SCHEMA = "query STRING, expected_keywords ARRAY<STRING>, ground_truth STRING"
 ANSWER_SCHEMA = "question_text STRING, prompt_version STRING, response STRING, error STRING"
 
 
 def _existing(spark: SparkSession, path: str) -> DataFrame:
-    if os.path.exists(path) and any(n.startswith("prompt_version=") for n in os.listdir(path)):
-        return spark.read.parquet(path).select("question_text", "prompt_version")
-    return spark.createDataFrame([], "question_text string, prompt_version string")
+    """The (question, version) pairs the answers table already holds; none
+    before its first write.  With the schema given, an empty folder reads as
+    no rows and a missing one is caught."""
+    schema = "question_text string, prompt_version string"
+    return read_or_empty(spark, lambda: spark.read.schema(schema).parquet(path), schema)
 
 
 def answer_batch(batch: DataFrame, vectors: DataFrame, versions: list[str], out_path: str,

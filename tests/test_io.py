@@ -51,6 +51,8 @@ def test_score_files_with_missing_file_and_key(spark, tmp_path):
     assert rep["generation"] == 0.0 and rep["ragas"] == 0.0       # missing key, missing file
     empty = io.read_score_files(spark, str(tmp_path / "nothing"))
     assert report.scores_wide(empty).count() == 0
+    (tmp_path / "no_scores").mkdir()
+    assert io.read_score_files(spark, str(tmp_path / "no_scores")).count() == 0
 
 
 def test_reports_partitioned_roundtrip(spark, tmp_path):
