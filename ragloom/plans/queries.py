@@ -108,8 +108,9 @@ def q_prompt_render(spark, sf):
 
 # ---------------------------------------------------------- evaluation -----
 
-def _retrieval_recall(spark, sf, hits=None):
-    return metrics.retrieval_recall(derived.keyword_cases(spark, sf), _case_contexts(spark, sf, hits))
+def _retrieval_recall(spark, sf, hits=None, ctx=None):
+    ctx = ctx if ctx is not None else _case_contexts(spark, sf, hits)
+    return metrics.retrieval_recall(derived.keyword_cases(spark, sf), ctx)
 
 
 def q_retrieval_recall(spark, sf):
@@ -158,9 +159,10 @@ def q_context_precision(spark, sf):
         "query_id", round6("context_precision").alias("context_precision"))
 
 
-def _context_recall(spark, sf, hits=None):
+def _context_recall(spark, sf, hits=None, ctx=None):
     cases = metrics.judged_case_filter(derived.keyword_cases(spark, sf).withColumn("ground_truth", F.col("query")))
-    s = cases.join(_case_contexts(spark, sf, hits), "case_id", "left")
+    ctx = ctx if ctx is not None else _case_contexts(spark, sf, hits)
+    s = cases.join(ctx, "case_id", "left")
     return metrics.statement_support(s, "ground_truth", "context", out="context_recall")
 
 
@@ -188,12 +190,12 @@ def q_answer_relevancy(spark, sf):
     return _answer_relevancy(spark, sf).select("case_id", round6("answer_relevancy").alias("answer_relevancy"))
 
 
-def _judged_long(spark, sf, hits=None, qa=None):
+def _judged_long(spark, sf, hits=None, qa=None, ctx=None):
     def lng(df, key, col):
         return df.select(F.col(key).cast("bigint").alias("sample_id"), F.lit(col).alias("metric"),
                          F.col(col).cast("double").alias("value"))
     return (lng(_context_precision(spark, sf, hits), "query_id", "context_precision")
-            .unionByName(lng(_context_recall(spark, sf, hits), "case_id", "context_recall"))
+            .unionByName(lng(_context_recall(spark, sf, hits, ctx), "case_id", "context_recall"))
             .unionByName(lng(_faithfulness(spark, sf, qa), "case_id", "faithfulness"))
             .unionByName(lng(_answer_relevancy(spark, sf, qa), "case_id", "answer_relevancy")))
 
@@ -204,15 +206,18 @@ def q_judged_mean_of_means(spark, sf):
 
 def evaluation_report(spark, sf, name: str = "offline") -> DataFrame:
     """Lifecycle A as one lineage: retrieval (R1 -> M1 -> A1), generation
-    (M2 -> A2), judged (M3-M6 -> A3) -> Q1-Q4.  The kNN hits feed three
-    metrics, so they are materialised once (reliable checkpoint when the
-    cluster names a checkpoint folder)."""
+    (M2 -> A2), judged (M3-M6 -> A3) -> Q1-Q4.  Shared inputs are
+    materialised once under the cluster's checkpoint folder: the kNN hits
+    (three metrics), the question-answer cases (three metrics) and the
+    retrieved contexts of the cases (M1 and M4) -- so the document table is
+    scanned for hit texts once, not once per metric."""
     from ragloom.session import cut_lineage
     hits = _hits(spark, sf)
     qa = cut_lineage(derived.qa_cases(spark, sf))
-    r = metrics.mean_score(_retrieval_recall(spark, sf, hits))
+    ctx = cut_lineage(_case_contexts(spark, sf, hits))
+    r = metrics.mean_score(_retrieval_recall(spark, sf, hits, ctx))
     g = metrics.mean_score(_generation_recall(spark, sf, qa))
-    j = metrics.mean_of_means(_judged_long(spark, sf, hits, qa))
+    j = metrics.mean_of_means(_judged_long(spark, sf, hits, qa, ctx))
     rep = report.single_run_report(r, g, j, name)
     return rep.select("model_name", *[round6(c).alias(c) for c in ("retrieval", "generation", "ragas", "rqi")],
                       "grade", "justification")
