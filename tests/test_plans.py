@@ -68,3 +68,17 @@ def test_unpartitioned_window_reads_only_block_totals(spark, name):
         sub = "\n".join(_subtree(lines, i))
         assert "HashAggregate" in sub            # block totals, not rows
         assert "text" not in sub.split("HashAggregate")[0]   # no row with its text reaches it
+
+
+@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_single_partition_exchanges_carry_only_aggregates(spark, name):
+    """No registered plan sends rows to one task: every single-partition
+    exchange sits directly on an aggregate (partial results of a global
+    mean / count, one row per task, or the numbering's top-level block
+    totals)."""
+    df = entry.queries()[name](spark, SF001)
+    lines = _plan(df).splitlines()
+    for i, line in enumerate(lines):
+        if "Exchange SinglePartition" in line:
+            child = next(x for x in lines[i + 1:] if x.strip())
+            assert "HashAggregate" in child, (name, line, child)
