@@ -306,6 +306,8 @@ ORACLE_SQL: dict[str, str] = {
     "chunk_ids": _with(CHUNKS) + "SELECT chunk_id, chunk_no, doc_id, source, page, pos FROM chunks",
 
     "knn_topk": _with(HITS) + "SELECT query_id, rank, corpus_id, round(distance, 6) AS distance FROM hits",
+    # the blocked physical path computes the same hits
+    "knn_block": _with(HITS) + "SELECT query_id, rank, corpus_id, round(distance, 6) AS distance FROM hits",
 
     "cited_sources": _with(HITS, PAGE_DOCS)
     + "SELECT h.query_id, h.rank, h.corpus_id, coalesce(nullif(string_split(p.source, '/')[-1], ''), 'unknown') AS source, "

@@ -73,6 +73,21 @@ def q_knn_topk(spark, sf):
     return _hits(spark, sf).select("query_id", "rank", "corpus_id", round6("distance").alias("distance"))
 
 
+# Block bound of the blocked-path query: small enough that the driver
+# tables' query side exceeds it, so queries and corpus are cut into hashed
+# blocks and paired by cogroup (the path taken at scale) instead of the
+# query matrix being broadcast.
+KNN_BLOCK_BYTES = 128 * 1024
+
+
+def q_knn_block(spark, sf):
+    """R1, blocked physical path: same result as ``knn_topk``."""
+    hits = retrieval.knn_topk(derived.vec_queries(spark, sf), derived.vec_corpus(spark, sf),
+                              carry=("doc_id", "label"), exclude_self=True,
+                              max_broadcast_bytes=KNN_BLOCK_BYTES)
+    return hits.select("query_id", "rank", "corpus_id", round6("distance").alias("distance"))
+
+
 def q_cited_sources(spark, sf):
     hits, bound = _search(spark, sf)
     pages = derived.page_docs(spark, sf).select("doc_id", "source", "page")
@@ -401,6 +416,7 @@ QUERIES: dict[str, Query] = {
     "window_chunks": q_window_chunks,
     "chunk_ids": q_chunk_ids,
     "knn_topk": q_knn_topk,
+    "knn_block": q_knn_block,
     "cited_sources": q_cited_sources,
     "vector_listing": q_vector_listing,
     "context_format": q_context_format,

@@ -82,3 +82,9 @@ def test_single_partition_exchanges_carry_only_aggregates(spark, name):
         if "Exchange SinglePartition" in line:
             child = next(x for x in lines[i + 1:] if x.strip())
             assert "HashAggregate" in child, (name, line, child)
+
+
+def test_knn_block_query_takes_the_blocked_path(spark):
+    df = entry.queries()["knn_block"](spark, SF001)
+    plan = _plan(df)
+    assert "FlatMapCoGroupsInPandas" in plan and "MapInPandas" not in plan
