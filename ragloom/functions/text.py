@@ -71,7 +71,10 @@ def nan_to_null(c) -> Column:
 
 
 def round6(c) -> Column:
-    return F.round(_c(c), 6)
+    """Six places after a 12-place pre-round (as :func:`bround_stable`), so
+    that the last-bit noise of a parallel sum -- whose order depends on the
+    partitioning -- cannot move a value across a half-way point."""
+    return F.round(F.round(_c(c), 12), 6)
 
 
 def bround_stable(c, scale: int = 4) -> Column:

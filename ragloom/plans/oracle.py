@@ -234,8 +234,8 @@ def _delta_sql() -> str:
     deltas = ", ".join(f"{_br4(f'i.{m} - b.{m}__{b}')} AS {m}_delta_vs_{b}"
                        for b in VERSIONS for m in ("rqi", "ragas"))
     return (_with(IMPACT, f"base AS (SELECT question_text, {base_cols} FROM impact2 GROUP BY question_text)")
-            + "SELECT i.question_id, i.question_text, i.prompt_version, i.grade, round(i.rqi, 6) AS rqi, "
-              "round(i.ragas, 6) AS ragas, round(i.retrieval, 6) AS retrieval, round(i.generation, 6) AS generation, "
+            + "SELECT i.question_id, i.question_text, i.prompt_version, i.grade, round(round(i.rqi, 12), 6) AS rqi, "
+              "round(round(i.ragas, 12), 6) AS ragas, round(round(i.retrieval, 12), 6) AS retrieval, round(round(i.generation, 12), 6) AS generation, "
               f"i.model_name, {deltas} "
               "FROM impact2 i LEFT JOIN base b ON i.question_text IS NOT DISTINCT FROM b.question_text")
 
@@ -259,7 +259,7 @@ def _prompt_sql() -> str:
 
 
 def _run_compare_sql() -> str:
-    cols = ", ".join(f"round(max(rqi) FILTER (WHERE model = {_lit(m)}), 6) AS {m}" for m in MODELS)
+    cols = ", ".join(f"round(round(max(rqi) FILTER (WHERE model = {_lit(m)}), 12), 6) AS {m}" for m in MODELS)
     return _with(RUNS) + f"SELECT run_no, {cols} FROM reports GROUP BY run_no"
 
 
@@ -280,9 +280,9 @@ def _upsert_sql() -> str:
                "WHERE rqi IS NOT NULL UNION ALL SELECT question_text, prompt_version, rqi, grade, 'added' "
                "FROM impact2 WHERE rqi IS NULL AND prompt_version = 'prompt_v2')")
     return (_with(IMPACT, rep, allrows)
-            + "SELECT question_text, prompt_version, round(rqi, 6) AS rqi, grade, state FROM allrows "
+            + "SELECT question_text, prompt_version, round(round(rqi, 12), 6) AS rqi, grade, state FROM allrows "
               "WHERE prompt_version <> 'prompt_v2' "
-              f"UNION ALL SELECT a.question_text, a.prompt_version, round(r.rqi, 6), {_grade('r.rqi')}, a.state "
+              f"UNION ALL SELECT a.question_text, a.prompt_version, round(round(r.rqi, 12), 6), {_grade('r.rqi')}, a.state "
               "FROM allrows a, rep r WHERE a.prompt_version = 'prompt_v2'")
 
 
@@ -292,8 +292,8 @@ def _evaluation_sql() -> str:
                   "s0 AS (SELECT (SELECT coalesce(avg(CASE WHEN n_keywords = 0 THEN NULL ELSE n_found::DOUBLE / n_keywords END), 0.0) FROM rr) AS r, "
                   "(SELECT coalesce(avg(recall), 0.0) FROM gr2) AS g, (SELECT ragas FROM judged) AS j)",
                   f"s AS (SELECT r, g, j, {_rqi('r', 'g', 'j')} AS rqi FROM s0)")
-            + f"SELECT 'offline' AS model_name, round({r}, 6) AS retrieval, round({g}, 6) AS generation, "
-              f"round({j}, 6) AS ragas, round(s.rqi, 6) AS rqi, {_grade('s.rqi')} AS grade, "
+            + f"SELECT 'offline' AS model_name, round(round({r}, 12), 6) AS retrieval, round(round({g}, 12), 6) AS generation, "
+              f"round(round({j}, 12), 6) AS ragas, round(round(s.rqi, 12), 6) AS rqi, {_grade('s.rqi')} AS grade, "
               f"{_just(r, g, j)} AS justification FROM s")
 
 
@@ -305,9 +305,9 @@ ORACLE_SQL: dict[str, str] = {
 
     "chunk_ids": _with(CHUNKS) + "SELECT chunk_id, chunk_no, doc_id, source, page, pos FROM chunks",
 
-    "knn_topk": _with(HITS) + "SELECT query_id, rank, corpus_id, round(distance, 6) AS distance FROM hits",
+    "knn_topk": _with(HITS) + "SELECT query_id, rank, corpus_id, round(round(distance, 12), 6) AS distance FROM hits",
     # the blocked physical path computes the same hits
-    "knn_block": _with(HITS) + "SELECT query_id, rank, corpus_id, round(distance, 6) AS distance FROM hits",
+    "knn_block": _with(HITS) + "SELECT query_id, rank, corpus_id, round(round(distance, 12), 6) AS distance FROM hits",
 
     "cited_sources": _with(HITS, PAGE_DOCS)
     + "SELECT h.query_id, h.rank, h.corpus_id, coalesce(nullif(string_split(p.source, '/')[-1], ''), 'unknown') AS source, "
@@ -316,7 +316,7 @@ ORACLE_SQL: dict[str, str] = {
     "vector_listing": _with(VECS)
     + "SELECT c.corpus_id, coalesce(nullif(string_split(d.source, '/')[-1], ''), 'unknown') AS source, "
       "len(c.embedding)::BIGINT AS dim, "
-      "round(sqrt(list_sum(list_transform(c.embedding, lambda x: x::DOUBLE * x::DOUBLE))), 6) AS norm "
+      "round(round(sqrt(list_sum(list_transform(c.embedding, lambda x: x::DOUBLE * x::DOUBLE))), 12), 6) AS norm "
       "FROM vec_corpus c LEFT JOIN documents d USING (doc_id)",
 
     "context_format": _with(HITS)
@@ -327,39 +327,39 @@ ORACLE_SQL: dict[str, str] = {
     "prompt_render": _prompt_sql(),
 
     "retrieval_recall": _with(HITS, KEYWORD_CASES, RETRIEVAL)
-    + "SELECT case_id, n_keywords, n_found, round(n_found::DOUBLE / n_keywords, 6) AS recall FROM rr",
+    + "SELECT case_id, n_keywords, n_found, round(round(n_found::DOUBLE / n_keywords, 12), 6) AS recall FROM rr",
 
     "retrieval_score": _with(HITS, KEYWORD_CASES, RETRIEVAL)
-    + "SELECT round(coalesce(avg(n_found::DOUBLE / n_keywords), 0.0), 6) AS score FROM rr",
+    + "SELECT round(round(coalesce(avg(n_found::DOUBLE / n_keywords), 0.0), 12), 6) AS score FROM rr",
 
     "generation_recall": _with(QA, GENERATION)
-    + "SELECT case_id, n_keywords, n_found, round(recall, 6) AS recall FROM gr2",
+    + "SELECT case_id, n_keywords, n_found, round(round(recall, 12), 6) AS recall FROM gr2",
 
     "generation_score": _with(QA, GENERATION)
-    + "SELECT round(coalesce(avg(recall), 0.0), 6) AS score FROM gr2",
+    + "SELECT round(round(coalesce(avg(recall), 0.0), 12), 6) AS score FROM gr2",
 
     "context_precision": _with(HITS, KEYWORD_CASES, QA, JUDGED)
-    + "SELECT sample_id AS query_id, round(value, 6) AS context_precision FROM cp",
+    + "SELECT sample_id AS query_id, round(round(value, 12), 6) AS context_precision FROM cp",
 
     "context_recall": _with(HITS, KEYWORD_CASES, QA, JUDGED)
-    + "SELECT case_id, n_statements, n_supported, round(CASE WHEN n_statements = 0 THEN NULL "
-      "ELSE n_supported::DOUBLE / n_statements END, 6) AS context_recall FROM cr",
+    + "SELECT case_id, n_statements, n_supported, round(round(CASE WHEN n_statements = 0 THEN NULL "
+      "ELSE n_supported::DOUBLE / n_statements END, 12), 6) AS context_recall FROM cr",
 
     "faithfulness": _with(HITS, KEYWORD_CASES, QA, JUDGED)
-    + "SELECT case_id, n_statements, n_supported, round(CASE WHEN n_statements = 0 THEN NULL "
-      "ELSE n_supported::DOUBLE / n_statements END, 6) AS faithfulness FROM ff",
+    + "SELECT case_id, n_statements, n_supported, round(round(CASE WHEN n_statements = 0 THEN NULL "
+      "ELSE n_supported::DOUBLE / n_statements END, 12), 6) AS faithfulness FROM ff",
 
     "answer_relevancy": _with(HITS, KEYWORD_CASES, QA, JUDGED)
-    + "SELECT case_id, round(value, 6) AS answer_relevancy FROM ar",
+    + "SELECT case_id, round(round(value, 12), 6) AS answer_relevancy FROM ar",
 
     "judged_mean_of_means": _with(HITS, KEYWORD_CASES, QA, JUDGED)
-    + "SELECT round(ragas, 6) AS ragas FROM judged",
+    + "SELECT round(round(ragas, 12), 6) AS ragas FROM judged",
 
     "evaluation_report": _evaluation_sql(),
 
     "rqi_report": _with(RUN_SCORES)
-    + "SELECT model_name, round(retrieval, 6) AS retrieval, round(generation, 6) AS generation, "
-      f"round(ragas, 6) AS ragas, round(rqi, 6) AS rqi, {_grade('rqi')} AS grade FROM rep",
+    + "SELECT model_name, round(round(retrieval, 12), 6) AS retrieval, round(round(generation, 12), 6) AS generation, "
+      f"round(round(ragas, 12), 6) AS ragas, round(round(rqi, 12), 6) AS rqi, {_grade('rqi')} AS grade FROM rep",
 
     "rqi_justification": _with(RUN_SCORES)
     + f"SELECT model_name, {_just('retrieval', 'generation', 'ragas')} AS justification FROM rep",
@@ -369,8 +369,8 @@ ORACLE_SQL: dict[str, str] = {
       "printf('%.2f', ragas) AS ragas_txt, printf('%.2f', rqi) AS rqi_txt, " + _grade("rqi") + " AS grade FROM rep",
 
     "impact_rows": _with(IMPACT)
-    + "SELECT question_id, question_text, prompt_version, grade, round(rqi, 6) AS rqi, round(ragas, 6) AS ragas, "
-      "round(retrieval, 6) AS retrieval, round(generation, 6) AS generation, model_name FROM impact2",
+    + "SELECT question_id, question_text, prompt_version, grade, round(round(rqi, 12), 6) AS rqi, round(round(ragas, 12), 6) AS ragas, "
+      "round(round(retrieval, 12), 6) AS retrieval, round(round(generation, 12), 6) AS generation, model_name FROM impact2",
 
     "prompt_summary": _with(IMPACT)
     + "SELECT prompt_version, " + ", ".join(f"{_br4(f'avg({c})')} AS {c}" for c in ("rqi", "ragas", "retrieval", "generation"))
@@ -387,8 +387,8 @@ ORACLE_SQL: dict[str, str] = {
                            "coalesce(avg(generation), 0.0) AS g, coalesce(avg(ragas), 0.0) AS j FROM impact2 "
                            "GROUP BY prompt_version)",
                            "rep AS (SELECT *, " + _rqi("r", "g", "j") + " AS rqi FROM reports)")
-    + "SELECT i.question_id, i.prompt_version, rep.prompt_version AS model_name, round(rep.r, 6) AS retrieval, "
-      "round(rep.g, 6) AS generation, round(rep.j, 6) AS ragas, round(rep.rqi, 6) AS rqi, "
+    + "SELECT i.question_id, i.prompt_version, rep.prompt_version AS model_name, round(round(rep.r, 12), 6) AS retrieval, "
+      "round(round(rep.g, 12), 6) AS generation, round(round(rep.j, 12), 6) AS ragas, round(round(rep.rqi, 12), 6) AS rqi, "
       + _grade("rep.rqi") + " AS grade FROM impact2 i LEFT JOIN rep USING (prompt_version)",
 
     "pending_generation": _with(IMPACT, "vers AS (SELECT * FROM (VALUES "
@@ -408,9 +408,9 @@ ORACLE_SQL: dict[str, str] = {
          list_distinct(regexp_extract_all(lower(response), '[a-z]{6,}')) AS nt
   FROM pairs)""")
     + "SELECT question_text, prompt_version, base_chars, new_chars, new_chars - base_chars AS len_delta, "
-      "round(CASE WHEN len(list_distinct(list_concat(bt, nt))) = 0 THEN NULL "
-      "ELSE len(list_intersect(bt, nt))::DOUBLE / len(list_distinct(list_concat(bt, nt))) END, 6) AS jaccard, "
-      "round(CASE WHEN len(nt) = 0 THEN NULL ELSE (len(nt) - len(list_intersect(nt, bt)))::DOUBLE / len(nt) END, 6) "
+      "round(round(CASE WHEN len(list_distinct(list_concat(bt, nt))) = 0 THEN NULL "
+      "ELSE len(list_intersect(bt, nt))::DOUBLE / len(list_distinct(list_concat(bt, nt))) END, 12), 6) AS jaccard, "
+      "round(round(CASE WHEN len(nt) = 0 THEN NULL ELSE (len(nt) - len(list_intersect(nt, bt)))::DOUBLE / len(nt) END, 12), 6) "
       "AS new_token_share FROM tk",
 
     "table_counts": _counts_sql(),
@@ -436,17 +436,17 @@ ORACLE_SQL: dict[str, str] = {
       "|| coalesce(kw[2], 'its context') || '.', md5(text) FROM chunk_kw",
 
     "run_average": _with(RUNS)
-    + "SELECT model, round(avg(rqi), 6) AS rqi_mean, round(stddev_samp(rqi), 6) AS rqi_std, "
+    + "SELECT model, round(round(avg(rqi), 12), 6) AS rqi_mean, round(round(stddev_samp(rqi), 12), 6) AS rqi_std, "
       "count(*)::BIGINT AS n_runs FROM reports GROUP BY model",
 
     "run_compare": _run_compare_sql(),
 
     "quality_gate": _with(RUNS)
-    + f"SELECT model, run_no, round(rqi, 6) AS rqi, {_grade('rqi')} AS grade, rqi >= 0.7 AS passed FROM reports",
+    + f"SELECT model, run_no, round(round(rqi, 12), 6) AS rqi, {_grade('rqi')} AS grade, rqi >= 0.7 AS passed FROM reports",
 
     "quality_trend": _with(RUNS)
-    + "SELECT model, run_no, round(rqi, 6) AS rqi, round(lag(rqi) OVER w, 6) AS prev_rqi, "
-      "round(rqi - lag(rqi) OVER w, 6) AS rqi_change, "
-      "round(avg(rqi) OVER (PARTITION BY model ORDER BY run_no ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 6) "
+    + "SELECT model, run_no, round(round(rqi, 12), 6) AS rqi, round(round(lag(rqi) OVER w, 12), 6) AS prev_rqi, "
+      "round(round(rqi - lag(rqi) OVER w, 12), 6) AS rqi_change, "
+      "round(round(avg(rqi) OVER (PARTITION BY model ORDER BY run_no ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 12), 6) "
       "AS rqi_moving_avg FROM reports WINDOW w AS (PARTITION BY model ORDER BY run_no)",
 }
