@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from ragloom.functions.scoring import grade, rqi
 from ragloom.functions.text import KEYWORD_PATTERN, lower_tokens
 from ragloom.operators.chunking import page_docs as _page_docs
-from ragloom.sources.tables import read_table
+from ragloom.sources.tables import read_table, spread_small_scan
 
 N_KEYWORDS = 4
 VERSIONS_PER_QUESTION = 5
@@ -120,7 +120,9 @@ def impact_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def impact_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(question_text, prompt_version, response): the document text is the
     answer given under that version."""
-    d = documents(spark, sf_dir).select("doc_id", "text")
+    # every response is tokenized right after the scan (before the pairing
+    # shuffle): an under-split scan is spread over the cores first
+    d = spread_small_scan(documents(spark, sf_dir)).select("doc_id", "text")
     q = F.concat(F.lit("q"), F.expr(f"doc_id div {VERSIONS_PER_QUESTION}").cast("string"))
     v = F.concat(F.lit("prompt_v"), (F.col("doc_id") % VERSIONS_PER_QUESTION).cast("string"))
     return d.select(q.alias("question_text"), v.alias("prompt_version"),

@@ -33,23 +33,27 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     key = (id(spark._jsparkSession), path)
     df = _READ_CACHE.get(key)
     if df is None:
-        df = spread_small_scan(spark.read.option("ignoreCorruptFiles", "true").parquet(path))
+        df = spark.read.option("ignoreCorruptFiles", "true").parquet(path)
         _READ_CACHE[key] = df
     return df
 
 
 def spread_small_scan(df: DataFrame) -> DataFrame:
     """Give a scan with fewer splits than the session has cores one partition
-    per core.
+    per core -- for a scan whose rows get heavy per-row work (tokenizing
+    whole texts) before any shuffle.
 
     A table stored as a few large files or row groups is read by that many
-    tasks, and every narrow step after the scan (tokenizing, chunking, the
-    kNN distance kernel) would run on them alone.  Such a scan is spread
-    round-robin (skew-free whatever the keys; Spark sorts before a round-robin
-    exchange, so a retried task gets the same rows).  A table on a cluster
-    has far more splits than cores and is returned unchanged -- no shuffle.
-    Filters and column pruning still reach the scan through the exchange.
-    Planning the scan lists the files; no job runs.
+    tasks, and every narrow step after the scan would run on them alone.
+    Such a scan is spread round-robin (skew-free whatever the keys; Spark
+    sorts before a round-robin exchange, so a retried task gets the same
+    rows).  A table on a cluster has far more splits than cores and is
+    returned unchanged -- no shuffle.  Filters and column pruning still reach
+    the scan through the exchange.  Call it on a plain scan: counting its
+    splits lists the files and runs no job (on a plan with shuffles, adaptive
+    execution would run them).  Where a shuffle or a selective filter follows
+    the scan anyway, do not call it: the extra exchange would only move the
+    table twice.
     """
     want = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(want) if df.rdd.getNumPartitions() < want else df
