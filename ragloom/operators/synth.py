@@ -37,15 +37,19 @@ def tfidf_keywords(chunks: DataFrame, n: int = N_CASE_KEYWORDS, key: str = "chun
     """G1 keyword part: the ``n`` words of highest tf * ln(N / df) per chunk,
     ties by the word; (key, keywords ARRAY<STRING>, n_keywords[, text]).
 
-    One pass over the chunks: every chunk explodes its words plus one
-    sentinel row (which also carries the text when ``carry_text``), so a chunk
-    without any word still gets its (empty) keyword list and nothing has to
-    be joined back.  Term and document frequencies are partial aggregations
-    (a very common word is pre-aggregated per task); their join broadcasts
-    the vocabulary when its measured size is small and is salted otherwise
-    (below); the per-chunk ranking is a window bounded by the words of one
-    chunk.  ``N`` (number of chunks) is
-    one count unless the caller knows it.
+    * One pass over the chunks: every chunk explodes its words plus one
+      sentinel row (which also carries the text when ``carry_text``), so a
+      chunk without any word still gets its (empty) keyword list and nothing
+      has to be joined back.
+    * Term counts per (chunk, word) are a partial aggregation, written once
+      (chunking shuffles the whole text; both frequencies read the counts).
+    * Document frequencies are a partial aggregation of those counts (a word
+      common to a third of all chunks is pre-aggregated per task), written as
+      the vocabulary; its row count, from the written files, decides the
+      join: broadcast up to ``max_broadcast_words``, else keyed by (word,
+      salt).
+    * The per-chunk ranking is a window bounded by the words of one chunk.
+    ``N`` (number of chunks) is one count unless the caller knows it.
     """
     if n_docs is None:
         n_docs = chunks.count()
@@ -55,11 +59,10 @@ def tfidf_keywords(chunks: DataFrame, n: int = N_CASE_KEYWORDS, key: str = "chun
                                 (F.col(text) if carry_text else F.lit(None).cast("string")).alias("body")))
     toks = chunks.select(key, F.inline(F.concat(F.coalesce(words, F.array()), sentinel)))
     tf = toks.groupBy(key, "token").agg(F.count(F.lit(1)).alias("tf"), F.max("body").alias("body"))
-    # the sentinel's null token forms a group of its own and never matches the
-    # equi-join below
-    # both frequencies read the per-(chunk, word) counts: they are written
-    # once, so the chunks are cut and tokenized once (chunking shuffles the
-    # whole text) and a lost executor does not rerun it
+    # both frequencies read the per-(chunk, word) counts: written once, so the
+    # chunks are cut and tokenized once and a lost executor does not rerun it.
+    # The sentinel's null token forms a group of its own and never matches
+    # the equi-join below.
     tf = cut_lineage(tf)
     # the vocabulary (one row per word) is written too; its size, read from
     # the written files, decides the join
