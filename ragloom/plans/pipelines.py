@@ -201,12 +201,20 @@ def run_prompt_versions(spark: SparkSession, cases: DataFrame, vectors: DataFram
     new = cut_lineage(new)
     allr = existing.select("question_text", "prompt_version", "response").unionByName(
         new.select("question_text", "prompt_version", "response"))
-    diffs = impact.answer_diff(allr)
+    # only the new answers are compared: the baselines of their questions
+    # (from earlier runs or this one) and the new non-baseline answers, so an
+    # incremental run does not re-tokenize and re-pair everything answered
+    # before
+    base_v = F.lit(impact.BASELINE_VERSION)
+    scope = (allr.where(F.col("prompt_version") == base_v)
+             .join(new.select("question_text").distinct(), "question_text", "left_semi")
+             .unionByName(new.where(F.col("prompt_version") != base_v)
+                          .select("question_text", "prompt_version", "response")))
+    diffs = impact.answer_diff(scope)
     out = new.join(diffs, ["question_text", "prompt_version"], "left")
     if make_summariser is not None:
         # A sentence for each new non-baseline answer that has a baseline
-        pairs = impact.baseline_pairs(allr).join(
-            new.select("question_text", "prompt_version"), ["question_text", "prompt_version"], "left_semi")
+        pairs = impact.baseline_pairs(scope)
         summaries = generation.summarise_changes(pairs, make_summariser).select(
             "question_text", "prompt_version", "change_summary")
         out = out.join(summaries, ["question_text", "prompt_version"], "left")

@@ -66,7 +66,10 @@ def test_prompt_versions_incremental(spark, vectors):
     assert all(r["change_summary"] is None for r in rows if r["prompt_version"] == "prompt_v0")
     existing = first.select("question_text", "prompt_version", "response")
     again = pipelines.run_prompt_versions(spark, cases, vectors, "prompt_v0,prompt_v1,prompt_v2", existing)
-    assert {r["prompt_version"] for r in again.collect()} == {"prompt_v2"}   # only the missing pairs
+    again_rows = again.collect()
+    assert {r["prompt_version"] for r in again_rows} == {"prompt_v2"}   # only the missing pairs
+    # the new answers are compared with the baselines of the earlier run
+    assert all(r["change_summary"] is not None and r["base_chars"] is not None for r in again_rows)
     with pytest.raises(ValueError):
         pipelines.run_prompt_versions(spark, cases, vectors, "prompt_v7")
 
