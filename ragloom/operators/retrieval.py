@@ -10,15 +10,21 @@ Physical form (no pair rows are ever emitted):
   (query tiles bound the distance matrix in memory), re-ranks them by exact
   distance into a running top-k, and each task emits only ``k`` rows per
   query.
+* **broadcast-corpus path** -- when the query side is too large but the
+  corpus is proven small (its count times its dimension, plus its narrow
+  carried columns, within the same bound), the corpus is shipped once and the
+  queries are streamed with ``mapInPandas``: every query meets the whole
+  corpus in one task, so its top-k is final there -- no ranking shuffle.
 * **blocked path** -- otherwise, queries are hashed into ``Q`` blocks that each
   fit the same bound and the corpus into ``C`` blocks; query blocks are
   replicated over corpus blocks and corpus blocks over query blocks (a block
   nested loop, not a row cross join), and ``cogroup(...).applyInPandas``
   computes the per-block top-k.
 
-Either way the final ranking is ``row_number() over (partition by query order
-by distance, corpus id) <= k`` on at most ``k`` candidates per task per query,
-which Spark plans with a partial ``WindowGroupLimit`` before the exchange.
+On the broadcast and blocked paths the final ranking is ``row_number() over
+(partition by query order by distance, corpus id) <= k`` on at most ``k``
+candidates per task per query, which Spark plans with a partial
+``WindowGroupLimit`` before the exchange.
 Distances are squared L2 in float64, ties broken by the corpus id.
 """
 
@@ -37,6 +43,8 @@ from ragloom.functions.text import basename_or_unknown
 TOP_K = 3              # fixed value of the reference: three chunks per query
 SLACK = 8              # extra candidates before the exact re-ranking
 QUERY_TILE = 1024      # queries per distance tile inside a task
+CORPUS_TILE = 4096     # corpus rows per distance tile on the broadcast-corpus path
+CARRY_BYTES = 16       # assumed width of one narrow carried value (id, label)
 DEFAULT_MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
@@ -149,6 +157,26 @@ def _block_pair(k: int, keep: int, carry=(), exclude_self: bool = False):
     return run
 
 
+def _scan_queries_with_broadcast_corpus(bc, k: int, keep: int, carry=(), exclude_self: bool = False):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        cids, cm, payload = bc.value
+        for pdf in batches:
+            if len(pdf) == 0:
+                continue
+            qm = _to_matrix(pdf["embedding"])
+            qids = pdf["query_id"].to_numpy("int64")
+            qn = np.einsum("ij,ij->i", qm, qm)
+            top = _TopK(len(qids), k, keep, carry, qids if exclude_self else None)
+            for lo in range(0, len(cids), CORPUS_TILE):
+                top.offer(qm, qn, cm[lo:lo + CORPUS_TILE], cids[lo:lo + CORPUS_TILE],
+                          payload.iloc[lo:lo + CORPUS_TILE] if carry else None)
+            out = top.finish(qids)
+            # rows of a query are contiguous and ordered by (distance, id)
+            out["rank"] = (out.groupby("query_id", sort=False).cumcount() + 1).astype("int64")
+            yield out
+    return run
+
+
 def knn_topk(queries: DataFrame, corpus: DataFrame, k: int = TOP_K,
              query_id: str = "query_id", corpus_id: str = "corpus_id",
              vector: str = "embedding", slack: int = SLACK,
@@ -192,6 +220,7 @@ def knn_search(queries: DataFrame, corpus: DataFrame, k: int = TOP_K,
                   F.coalesce(F.max(F.size("embedding")), F.lit(0)).alias("d")).first()
     n_q, dim = int(stats["n"]), int(stats["d"])
     q_bytes = n_q * max(dim, 1) * 8
+    final = None
     if q_bytes <= max_broadcast_bytes:
         # proven small: n_q * d float64 values <= max_broadcast_bytes
         qpdf = q.toPandas()
@@ -199,20 +228,33 @@ def knn_search(queries: DataFrame, corpus: DataFrame, k: int = TOP_K,
         bq = spark.sparkContext.broadcast((qpdf["query_id"].to_numpy("int64"), qm))
         cand = c.mapInPandas(_scan_with_broadcast(bq, k, keep, carry, exclude_self), schema)
     else:
-        n_blocks_q = max(1, math.ceil(q_bytes / max_broadcast_bytes))
         n_c = c.count()
-        # corpus blocks of at most max_broadcast_bytes of float64 vectors each
-        n_blocks_c = max(1, math.ceil(n_c * max(dim, 1) * 8 / max_broadcast_bytes))
-        qb = (q.withColumn("qb", F.pmod(F.xxhash64("query_id"), F.lit(n_blocks_q)))
-              .withColumn("cb", F.explode(F.sequence(F.lit(0), F.lit(n_blocks_c - 1)))))
-        cb = (c.withColumn("cb", F.pmod(F.xxhash64("corpus_id"), F.lit(n_blocks_c)))
-              .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(n_blocks_q - 1)))))
-        cand = (qb.groupBy("qb", "cb").cogroup(cb.groupBy("qb", "cb"))
-                .applyInPandas(_block_pair(k, keep, carry, exclude_self), schema))
-    w = Window.partitionBy("query_id").orderBy("distance", "corpus_id")
-    hits = (cand.withColumn("rank", F.row_number().over(w).cast("bigint"))
-            .where(F.col("rank") <= k)
-            .select("query_id", "rank", "corpus_id", "distance", *carry))
+        if n_c * (max(dim, 1) * 8 + CARRY_BYTES * len(carry)) <= max_broadcast_bytes:
+            # corpus proven small: ship it, stream the queries; each query's
+            # top-k is complete inside its task
+            cpdf = c.toPandas()
+            cm = _to_matrix(cpdf["embedding"]) if n_c else np.zeros((0, dim))
+            bc = spark.sparkContext.broadcast((cpdf["corpus_id"].to_numpy("int64"), cm,
+                                               cpdf[list(carry)].reset_index(drop=True) if carry else None))
+            final = q.mapInPandas(_scan_queries_with_broadcast_corpus(bc, k, keep, carry, exclude_self),
+                                  schema + ", rank bigint")
+        else:
+            n_blocks_q = max(1, math.ceil(q_bytes / max_broadcast_bytes))
+            # corpus blocks of at most max_broadcast_bytes of float64 vectors each
+            n_blocks_c = max(1, math.ceil(n_c * max(dim, 1) * 8 / max_broadcast_bytes))
+            qb = (q.withColumn("qb", F.pmod(F.xxhash64("query_id"), F.lit(n_blocks_q)))
+                  .withColumn("cb", F.explode(F.sequence(F.lit(0), F.lit(n_blocks_c - 1)))))
+            cb = (c.withColumn("cb", F.pmod(F.xxhash64("corpus_id"), F.lit(n_blocks_c)))
+                  .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(n_blocks_q - 1)))))
+            cand = (qb.groupBy("qb", "cb").cogroup(cb.groupBy("qb", "cb"))
+                    .applyInPandas(_block_pair(k, keep, carry, exclude_self), schema))
+    if final is not None:
+        hits = final.select("query_id", "rank", "corpus_id", "distance", *carry)
+    else:
+        w = Window.partitionBy("query_id").orderBy("distance", "corpus_id")
+        hits = (cand.withColumn("rank", F.row_number().over(w).cast("bigint"))
+                .where(F.col("rank") <= k)
+                .select("query_id", "rank", "corpus_id", "distance", *carry))
     if materialize:
         from ragloom.session import cut_lineage
         hits = cut_lineage(hits)

@@ -115,3 +115,45 @@ def test_hub_document_join_is_split_by_adaptive_skew_join(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("dup", [False, True])
+def test_broadcast_corpus_path_equals_brute_force(spark, dup):
+    """Queries above the bound, corpus within it: the corpus is broadcast and
+    each query's top-k is final inside its task (no ranking window)."""
+    q, c, qdf, cdf = _frames(spark, nq=400, nc=30, dup=dup)
+    k = 5
+    df = knn_topk(qdf.repartition(6), cdf, k=k, max_broadcast_bytes=4096)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "MapInPandas" in plan and "Window" not in plan and "CoGroup" not in plan
+    got = {}
+    for r in df.collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["corpus_id"], r["distance"]))
+    exp = _brute(q, c, k)
+    assert set(got) == set(exp)
+    for i, lst in got.items():
+        lst.sort()
+        assert [x[0] for x in lst] == list(range(1, k + 1))
+        assert [x[1] for x in lst] == [e[0] for e in exp[i]]
+        assert np.allclose([x[2] for x in lst], [e[1] for e in exp[i]], rtol=0, atol=1e-9)
+
+
+def test_broadcast_corpus_path_leave_one_out_with_carry(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(200, 4)).astype(np.float32)
+    df = spark.createDataFrame([(i, x[i].tolist(), i % 3) for i in range(len(x))],
+                               "vec_id long, embedding array<float>, label int")
+    q = df.select(F.col("vec_id").alias("query_id"), "embedding").repartition(4)
+    c = df.where(F.col("vec_id") < 40).select(F.col("vec_id").alias("corpus_id"), "embedding", "label")
+    # queries 200 x 4 x 8 B > 4096 >= corpus 40 x (4 x 8 + 16) B
+    out = knn_topk(q, c, k=3, max_broadcast_bytes=4096, carry=("label",), exclude_self=True).collect()
+    got = {}
+    for r in out:
+        got.setdefault(r["query_id"], []).append((r["rank"], r["corpus_id"], r["label"]))
+    xd = x.astype(np.float64)
+    for i in range(len(x)):
+        d = ((xd[i] - xd[:40]) ** 2).sum(axis=1)
+        order = [j for j in sorted(range(40), key=lambda j: (d[j], j)) if j != i][:3]
+        lst = sorted(got[i])
+        assert [t[0] for t in lst] == [1, 2, 3]
+        assert [t[1] for t in lst] == order and [t[2] for t in lst] == [j % 3 for j in order]
