@@ -33,14 +33,18 @@ SEPARATORS = ("\n\n", "\n", " ", "")
 
 
 def page_docs(documents: DataFrame, id_col: str = "doc_id", source_col: str = "source",
-              text_col: str = "text", keep: tuple[str, ...] = ("lang",)) -> DataFrame:
+              text_col: str | None = "text", keep: tuple[str, ...] = ("lang",)) -> DataFrame:
     """documents -> (doc_id, source, page, text, ...): ``source`` is the file
     basename (``unknown`` when missing), ``page`` numbers the documents of a
-    source from 0 in ``doc_id`` order."""
+    source from 0 in ``doc_id`` order.  With ``text_col=None`` only the keys
+    and ``keep`` columns are numbered -- the numbering shuffles the rows, so
+    a caller that needs only facts about the text (its length) computes them
+    first and keeps the text out of the shuffle."""
     extra = [c for c in keep if c in documents.columns]
+    text = [F.col(text_col).alias("text")] if text_col else []
     df = documents.select(F.col(id_col).alias("doc_id"),
                           basename_or_unknown(source_col).alias("source"),
-                          F.col(text_col).alias("text"), *extra)
+                          *text, *extra)
     return ordered_offsets(df, by=["source"], num="doc_id",
                            weights={"page": F.lit(1)}, reset_by={"page": ["source"]})
 

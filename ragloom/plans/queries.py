@@ -23,8 +23,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 # ------------------------------------------------------------ ingestion ----
 
 def q_page_docs(spark, sf):
-    return derived.page_docs(spark, sf).select(
-        "doc_id", "source", "page", "lang", F.length("text").cast("bigint").alias("n_chars"))
+    # the length is taken at the scan; the page numbering shuffles narrow rows
+    docs = derived.documents(spark, sf).withColumn("n_chars", F.length("text").cast("bigint"))
+    return chunking.page_docs(docs, text_col=None, keep=("lang", "n_chars")).select(
+        "doc_id", "source", "page", "lang", "n_chars")
 
 
 def _window_chunks(spark, sf):
