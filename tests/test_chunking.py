@@ -87,3 +87,17 @@ def test_ordered_offsets_with_secondary_order(spark, block):
     out = ordered_offsets(df, by=["source"], num="page", then=["pos"], weights={"no": F.lit(1)}, block=block)
     got = sorted((r["source"], r["page"], r["pos"], r["no"]) for r in out.collect())
     assert [g[3] for g in got] == list(range(len(rows)))
+
+
+def test_window_chunks_refuse_a_wrong_stored_length(spark):
+    """The chunk counts come from the stored n_chars; a row whose stored
+    length differs from its text fails the job, whether or not the chunk
+    text is part of the output."""
+    docs = spark.createDataFrame([(1, "a" * 2500, "s/x", 2500), (2, "b" * 900, "s/x", 901)],
+                                 "doc_id long, text string, source string, n_chars long")
+    with pytest.raises(Exception, match="differs from length"):
+        chunking.window_chunks(docs).collect()
+    with pytest.raises(Exception, match="differs from length"):
+        chunking.window_chunks(docs).select("chunk_id").collect()
+    ok = chunking.window_chunks(docs.where(F.col("doc_id") == 1)).select("chunk_id", "start").collect()
+    assert sorted(r["start"] for r in ok) == [0, 800, 1600]
