@@ -49,6 +49,16 @@ def page_docs(documents: DataFrame, id_col: str = "doc_id", source_col: str = "s
                            weights={"page": F.lit(1)}, reset_by={"page": ["source"]})
 
 
+def document_pages(documents: DataFrame, id_col: str = "doc_id", source_col: str = "source",
+                   text_col: str = "text") -> DataFrame:
+    """documents -> (doc_id, source basename, text), not yet numbered: the
+    input of :func:`recursive_chunks`, which numbers pages and chunks in one
+    pass."""
+    return documents.select(F.col(id_col).alias("doc_id"),
+                            basename_or_unknown(source_col).alias("source"),
+                            F.col(text_col).alias("text"))
+
+
 def _window_count(length, size: int, step: int):
     """Number of windows of ``size`` with stride ``step`` covering ``length``."""
     return (F.when(length <= 0, F.lit(0))
@@ -176,13 +186,21 @@ def split_recursive(text: str, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVER
 RECURSIVE_SCHEMA = "doc_id bigint, source string, page bigint, pos bigint, text string"
 
 
-def _recursive_batches(size: int, overlap: int):
+def _recursive_batches(size: int, overlap: int, numbered: bool = True):
+    """Chunks of each page.  Without page numbers (``numbered=False``) the
+    page column is a placeholder and a document without any chunk emits one
+    marker row (pos -1, no text), so that it still counts as a page."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = {"doc_id": [], "source": [], "page": [], "pos": [], "text": []}
-            for doc_id, source, page, text in zip(pdf["doc_id"], pdf["source"],
-                                                  pdf["page"], pdf["text"]):
-                for pos, chunk in enumerate(split_recursive(text or "", size, overlap)):
+            pages = pdf["page"] if numbered else [-1] * len(pdf)
+            for doc_id, source, page, text in zip(pdf["doc_id"], pdf["source"], pages, pdf["text"]):
+                parts = split_recursive(text or "", size, overlap)
+                if not parts and not numbered:
+                    parts, first = [None], -1
+                else:
+                    first = 0
+                for pos, chunk in enumerate(parts, start=first):
                     rows["doc_id"].append(doc_id)
                     rows["source"].append(source)
                     rows["page"].append(page)
@@ -194,18 +212,40 @@ def _recursive_batches(size: int, overlap: int):
 
 def recursive_chunks(pages: DataFrame, size: int = CHUNK_SIZE,
                      overlap: int = CHUNK_OVERLAP) -> DataFrame:
-    """P1 + P3 over a page table (doc_id, source, page, text).
+    """P1 + P3 over a page table (doc_id, source, page, text), or over a
+    document table (doc_id, source, text) whose page numbers -- the position
+    of a document among those of its source, in ``doc_id`` order -- are
+    counted here.
 
     Output: doc_id, source, page, pos, chunk_no, chunk_id, text.
+
+    Without page numbers, both numbers come from one pass over the chunk
+    rows in (source, doc_id, pos) order: the chunk id counts the chunks
+    before a row, the page the documents before it (each document's first
+    row, or its marker row when it has no chunk, counts one).  So the page
+    text is never shuffled to number the pages; only the chunk rows are.
     """
-    chunks = (pages.select("doc_id", "source", "page", "text")
-              .mapInPandas(_recursive_batches(size, overlap), RECURSIVE_SCHEMA))
+    numbered = "page" in pages.columns
+    cols = ["doc_id", "source", "page", "text"] if numbered else ["doc_id", "source", "text"]
+    chunks = (pages.select(*cols)
+              .mapInPandas(_recursive_batches(size, overlap, numbered), RECURSIVE_SCHEMA))
     # the numbering reads the chunks in two branches (rows and block totals);
     # materialise them once so the Python splitter runs once per page
     chunks = cut_lineage(chunks)
-    # blocks are cut on the page number; chunks of a page follow by position
-    numbered = ordered_offsets(chunks, by=["source"], num="page", then=["pos"],
-                               weights={"chunk_no": F.lit(1)})
-    return (numbered
+    if numbered:
+        # blocks are cut on the page number; chunks of a page follow by position
+        out = ordered_offsets(chunks, by=["source"], num="page", then=["pos"],
+                              weights={"chunk_no": F.lit(1)})
+    else:
+        first_row = F.col("pos") <= 0
+        out = ordered_offsets(chunks.drop("page"), by=["source"], num="doc_id", then=["pos"],
+                              weights={"chunk_no": (F.col("pos") >= 0).cast("int"),
+                                       "__docs": first_row.cast("int")},
+                              reset_by={"__docs": ["source"]})
+        # the documents before this row, less the row's own document once
+        # its first row has passed
+        out = (out.where(F.col("pos") >= 0)
+               .withColumn("page", F.col("__docs") - (F.col("pos") > 0).cast("bigint")))
+    return (out
             .withColumn("chunk_id", F.concat(F.lit("chunk_"), F.col("chunk_no").cast("string")))
             .select("doc_id", "source", "page", "pos", "chunk_no", "chunk_id", "text"))

@@ -43,7 +43,7 @@ def load_and_chunk(documents: DataFrame, chunker: str = "recursive", size: int =
                    overlap: int = chunking.CHUNK_OVERLAP, out_path: str | None = None) -> DataFrame:
     """S1 + P1/P2 + P3 (+ S2): documents -> numbered chunks."""
     if chunker == "recursive":
-        ch = chunking.recursive_chunks(chunking.page_docs(documents), size, overlap)
+        ch = chunking.recursive_chunks(chunking.document_pages(documents), size, overlap)
     elif chunker == "window":
         ch = chunking.window_chunks(documents, size, overlap)
     else:

@@ -15,7 +15,7 @@ from ragloom.plans import derived, queries
 
 def q_recursive_chunks(spark, sf):
     """P1 + P3: recursive separator chunks of every page with global ids."""
-    ch = chunking.recursive_chunks(derived.page_docs(spark, sf))
+    ch = chunking.recursive_chunks(chunking.document_pages(derived.documents(spark, sf)))
     return ch.select("chunk_id", "chunk_no", "doc_id", "source", "page", "pos",
                      F.length("text").cast("bigint").alias("n_chars"))
 

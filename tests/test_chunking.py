@@ -101,3 +101,32 @@ def test_window_chunks_refuse_a_wrong_stored_length(spark):
         chunking.window_chunks(docs).select("chunk_id").collect()
     ok = chunking.window_chunks(docs.where(F.col("doc_id") == 1)).select("chunk_id", "start").collect()
     assert sorted(r["start"] for r in ok) == [0, 800, 1600]
+
+
+def _doc_pages(docs):
+    return chunking.document_pages(docs)
+
+
+def test_recursive_chunks_count_pages_in_the_chunk_pass(spark):
+    """Numbering pages inside the chunk pass gives the same rows as numbering
+    the page table first -- also with documents that yield no chunk (they
+    still count as pages) at the start, middle and end of a source."""
+    docs = spark.createDataFrame(
+        [(1, "", "a/s1"), (2, "x " * 900, "a/s1"), (3, None, "a/s1"), (4, "y\\n\\n" * 400, "a/s1"),
+         (5, "   ", "a/s1"), (6, "z" * 2100, "b/s2"), (7, "", "b/s2"), (8, "w w", "b/s2")],
+        "doc_id long, text string, source string")
+    cols = ["doc_id", "source", "page", "pos", "chunk_no", "chunk_id", "text"]
+    old = sorted(tuple(r) for r in chunking.recursive_chunks(chunking.page_docs(docs)).select(cols).collect())
+    new = sorted(tuple(r) for r in chunking.recursive_chunks(_doc_pages(docs)).select(cols).collect())
+    assert new == old and len(new) > 0
+    assert {(r[0], r[2]) for r in new} >= {(2, 1), (4, 3), (6, 0), (8, 2)}
+
+
+def test_recursive_chunks_both_paths_on_the_tables(spark):
+    from ragloom.plans import derived
+    docs = derived.documents(spark, SF001)
+    cols = ["doc_id", "source", "page", "pos", "chunk_no", "chunk_id"]
+    old = chunking.recursive_chunks(chunking.page_docs(docs)).select(*cols, F.md5("text").alias("h"))
+    new = chunking.recursive_chunks(_doc_pages(docs)).select(*cols, F.md5("text").alias("h"))
+    assert old.exceptAll(new).count() == 0 and new.exceptAll(old).count() == 0
+    assert new.count() == old.count()
