@@ -11,11 +11,15 @@ from pyspark.sql import functions as F
 from ragloom.functions.text import round6
 from ragloom.operators import chunking, embedding, generation, impact, prompts, retrieval
 from ragloom.plans import derived, queries
+from ragloom.sources.tables import spread_small_scan
 
 
 def q_recursive_chunks(spark, sf):
     """P1 + P3: recursive separator chunks of every page with global ids."""
-    ch = chunking.recursive_chunks(chunking.document_pages(derived.documents(spark, sf)))
+    # the splitter runs right after the scan (no shuffle before it): an
+    # under-split scan is spread over the cores first
+    docs = spread_small_scan(derived.documents(spark, sf))
+    ch = chunking.recursive_chunks(chunking.document_pages(docs))
     return ch.select("chunk_id", "chunk_no", "doc_id", "source", "page", "pos",
                      F.length("text").cast("bigint").alias("n_chars"))
 
