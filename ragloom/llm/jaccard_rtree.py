@@ -9,19 +9,25 @@ In as many dimensions as texts need, the boxes of an R-tree over the whole
 corpus overlap too much to rule out anything, so its top level is a partition
 that no linked pair can fall through: sets that link differ in at most D
 tokens, so of D + 1 (or more) groups at least one is the same in both.  Sets
-that share a group (with its content) belong to one subtree, found by one
-shuffle and connected components of that coarse relation.  Below, per subtree:
-
-1. every member against the subtree's centre (the member that shares most
-   groups): coordinate minima, then the exact intersection;
-2. members not linked to the centre, if any: the subtree's points are sorted
-   and cut into leaves; pairs of leaves whose corners pass the bound are
-   joined, then the pairs of points that pass it verified, unless both are
-   known to be connected already.
-
-Equal sets are one point, so copies cost nothing after the first pass.  No
-pairs within a group are listed: a subtree of m near copies costs m checks if
-its centre links them, and only the rest go through the leaves.
+that share a group, with its content, meet in a subtree; a set lies in as many
+subtrees as it shares groups.  Subtrees are cut into leaves of ``LEAF`` points
+in order of size.  Then:
+
+1. every member is compared with the centre of its leaf and of its subtree, the
+   members that lie in most subtrees: if the sum of coordinate minima allows a
+   link, the exact intersection decides; the links found so far give parts;
+2. in subtrees with members of more than one part, pairs of leaves whose upper
+   corners pass the bound are joined, pairs of points of different parts that
+   pass it are kept once, and these verified on the sets.
+
+A point has about one group for every eight tokens, so that the bound tells
+long texts apart as well as short ones; points of different detail are
+compared in the coarser.  Only the sets of documents in pairs that pass the
+bound are ever moved.
+
+Equal sets are one point, so copies cost nothing after the first pass.  A
+group of m near copies costs m checks if its centre links them; only points of
+different parts are ever paired, never all pairs of a group.
 
 Defined results: null, empty and blank texts have an empty set and link with
 nothing; a text of fewer than k words is one shingle; rows that repeat a
@@ -40,16 +46,15 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .components import Forest, components
+from .components import components
 from .tables import stored
 from .words import UnitCache
 
-GROUPS = 64
-LEAF_ROWS = 64
-LEAF_BYTES = 4 << 20
+GROUPS = 64  # of the corners; a point has as many or more
+LEAF = 64
 _U = np.uint64
 _ODD = [_U(x) for x in np.random.default_rng(7).integers(1, 1 << 63, 64, np.uint64) * _U(2) + _U(1)]
 
@@ -96,14 +101,17 @@ class Limit:
 
     def groups(self, band: int) -> tuple[int, int]:
         """Groups for pairs whose larger set lies in a band, and how many of
-        them may be empty in a set that signs by its other groups alone; no
-        groups if only equal sets link."""
+        them may hold fewer than two tokens in a set that signs by its other
+        groups alone; no groups if only equal sets link."""
         differ = 2 * (self.starts[band + 1] - 1) * (self.den - self.num) // (self.den + self.num)
         if not differ:
             return 0, 0
-        smallest = self.starts[max(band - 1, 0)]
-        spare = 2 + math.ceil(1.5 * (differ + 1) * math.exp(-smallest / (differ + 1)))
-        return differ + 1 + spare, spare
+        count = differ + 1
+        for _ in range(3):
+            mean = self.starts[band] / count
+            spare = 2 + math.ceil(1.3 * count * math.exp(-mean) * (1 + mean))
+            count = differ + 1 + spare
+        return count, spare
 
 
 def signatures(tokens: np.ndarray, limit: Limit) -> np.ndarray:
@@ -120,7 +128,10 @@ def signatures(tokens: np.ndarray, limit: Limit) -> np.ndarray:
         first = np.flatnonzero(np.r_[True, sorted_group[1:] != sorted_group[:-1]])
         content = np.add.reduceat(weight[order], first)
         present = sorted_group[first]
-        if count - len(present) > spare:
+        filled = np.diff(np.r_[first, len(group)]) > 1
+        if count - filled.sum() <= spare:
+            present, content = present[filled], content[filled]
+        else:  # too many small groups: they sign as well, the empty ones too
             missing = np.setdiff1d(np.arange(count, dtype=np.uint64), present)
             present, content = np.r_[present, missing], np.r_[content, np.zeros(len(missing), np.uint64)]
         out.append(_mix(content + _mix(present + _U(b << 40))))
@@ -140,18 +151,26 @@ def _table(schema: list[tuple[str, pa.DataType]], *columns) -> pa.RecordBatch:
 
 
 def _sizes(k: int):
-    fields = [("uid", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64()), ("sid", pa.int64())]
+    fields = [("uid", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64()), ("sid", pa.int64()), ("point", pa.binary())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = _word_cache()
         for batch in batches:
             sets = [shingle_set(t.as_py(), k, cache) for t in batch.column("text")]
-            yield _table(fields, batch.column("uid"), batch.column("doc_id"), [len(s) for s in sets], [_set_id(s) for s in sets])
+            yield _table(fields, batch.column("uid"), batch.column("doc_id"), [len(s) for s in sets], [_set_id(s) for s in sets],
+                         [_point(s).tobytes() for s in sets])
     return run
 
 
 def _signed(k: int, limit: Limit):
-    fields = [("sig", pa.int64()), ("sid", pa.int64())]
+    fields = [("sig", pa.int64()), ("sid", pa.int64()), ("n", pa.int64())]
+
+    def pack(rows):
+        if not rows:
+            return _table(fields, [], [], [])
+        times = [len(s) for s, _, _ in rows]
+        columns = [np.repeat(np.array([r[i] for r in rows], np.int64), times) for i in (1, 2)]
+        return _table(fields, np.concatenate([s for s, _, _ in rows]).view(np.int64), *columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, seen = _word_cache(), set()
@@ -165,35 +184,73 @@ def _signed(k: int, limit: Limit):
                 if len(seen) > 1_000_000:
                     seen.clear()
                 seen.add(sid)
-                rows.append((signatures(tokens, limit), sid))
+                rows.append((signatures(tokens, limit), sid, len(tokens)))
                 held += len(rows[-1][0])
                 if held > 200_000:
-                    yield _pack(fields, rows)
+                    yield pack(rows)
                     rows, held = [], 0
-            yield _pack(fields, rows)
+            yield pack(rows)
     return run
 
 
-def _pack(fields, rows) -> pa.RecordBatch:
-    if not rows:
-        return _table(fields, [], [])
-    sigs = np.concatenate([s for s, _ in rows]).view(np.int64)
-    return _table(fields, sigs, np.repeat(np.array([sid for _, sid in rows], np.int64), [len(s) for s, _ in rows]))
-
+def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Leaves of the subtrees with two members or more, from rows sorted by
+    sig, n, sid.  Subtrees of one leaf are named by their members."""
+    fields = [("cell", pa.int64()), ("leaf", pa.int64()), ("members", pa.list_(pa.int64()))]
+    state = {"sig": None, "leaf": 0, "held": []}
+    out: list[tuple] = []
 
-def _points(k: int):
-    fields = [("cluster", pa.int64()), ("sid", pa.int64()), ("n", pa.int64()), ("tokens", pa.binary())]
+    def close():
+        held = state["held"]
+        if len(held) > 1 or (held and state["leaf"]):
+            cell = state["sig"] if state["leaf"] else _set_id(np.array(held, np.int64))
+            out.append((cell, state["leaf"], held))
 
+    for batch in batches:
+        sig, sid = batch.column("sig").to_numpy(), batch.column("sid").to_numpy()
+        pair = np.r_[False, (sig[1:] == sig[:-1]) & (sid[1:] != sid[:-1])] if len(sig) else np.empty(0, bool)
+        use = pair | np.r_[pair[1:], False]
+        if len(sig):
+            use[0] = use[-1] = True
+        for g, m in zip(sig[use].tolist(), sid[use].tolist(), strict=True):
+            if g != state["sig"]:
+                close()
+                state.update(sig=g, leaf=0, held=[])
+            elif state["held"] and state["held"][-1] == m:
+                continue
+            elif len(state["held"]) >= LEAF:
+                out.append((g, state["leaf"], state["held"]))
+                state.update(leaf=state["leaf"] + 1, held=[])
+            state["held"].append(m)
+        if len(out) > 10_000:
+            yield _table(fields, *([r[i] for r in out] for i in range(3)))
+            out.clear()
+    close()
+    yield _table(fields, *([r[i] for r in out] for i in range(3)))
+
+
+def _tokens(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = _word_cache()
         for batch in batches:
-            sets = [shingle_set(t.as_py(), k, cache) for t in batch.column("text")]
-            yield _table(fields, batch.column("cluster"), batch.column("sid"), [len(s) for s in sets], [s.tobytes() for s in sets])
+            sets = [shingle_set(t.as_py(), k, cache).tobytes() for t in batch.column("text")]
+            yield pa.RecordBatch.from_arrays([batch.column("sid"), pa.array(sets, pa.large_binary()).cast(pa.binary())], ["sid", "tokens"])
     return run
 
 
 def _point(tokens: np.ndarray) -> np.ndarray:
-    return np.bincount((tokens >> _U(7)).astype(np.int64) % GROUPS, minlength=GROUPS)
+    """Counts of tokens per group; the number of groups is a power of two."""
+    groups = max(GROUPS, 1 << max(len(tokens) // 8, 1).bit_length())
+    return np.bincount((tokens >> _U(7)).astype(np.int64) & (groups - 1), minlength=groups).astype("<i4")
+
+
+def _folded(point: np.ndarray, groups: int) -> np.ndarray:
+    return point.reshape(-1, groups).sum(axis=0)
+
+
+def _overlap_bound(a: np.ndarray, b: np.ndarray) -> int:
+    groups = min(len(a), len(b))
+    return int(np.minimum(_folded(a, groups), _folded(b, groups)).sum())
 
 
 def _common(a: np.ndarray, b: np.ndarray) -> int:
@@ -202,120 +259,140 @@ def _common(a: np.ndarray, b: np.ndarray) -> int:
     return int((b[at] == a).sum())
 
 
-def _against_centre(limit: Limit):
-    fields = [("sid", pa.int64()), ("centre", pa.int64()), ("linked", pa.bool_())]
-
+def _verified(limit: Limit):
+    """Pairs (a, b) with both sets: those that link."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = []
-            for mine, other in zip(batch.column("tokens"), batch.column("centre_tokens"), strict=True):
-                a, b = np.frombuffer(mine.as_buffer(), np.uint64), np.frombuffer(other.as_buffer(), np.uint64)
-                need = limit.least_common(len(a), len(b))
-                passes = np.minimum(_point(a), _point(b)).sum() >= need
-                found.append(bool(passes and limit.linked(_common(a, b), len(a), len(b))))
-            yield _table(fields, batch.column("sid"), batch.column("centre"), found)
+            for mine, other in zip(batch.column("a_tokens"), batch.column("b_tokens"), strict=True):
+                x, y = np.frombuffer(mine.as_buffer(), np.uint64), np.frombuffer(other.as_buffer(), np.uint64)
+                found.append(limit.linked(_common(x, y), len(x), len(y)))
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(found, pa.bool_()))
     return run
 
 
-_MEMBER = pa.struct([("sid", pa.int64()), ("part", pa.int64()), ("rest", pa.bool_()), ("tokens", pa.binary())])
-_LEAF = [("leaf", pa.string()), ("cluster", pa.int64()), ("has_rest", pa.bool_()), ("least_n", pa.int64()),
-         ("corner", pa.list_(pa.int64())), ("members", pa.list_(_MEMBER))]
-_LEAF_SQL = ("leaf string, cluster long, has_rest boolean, least_n long, corner array<long>, "
-             "members array<struct<sid:long,part:long,rest:boolean,tokens:binary>>")
+def _verify(pairs: DataFrame, texts: DataFrame, member: DataFrame, k: int, limit: Limit) -> DataFrame:
+    """The pairs (a, b) that link; only the texts in them are read as sets."""
+    ends = pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).distinct()
+    wanted = stored(ends.join(member, "sid").select("uid", "sid"), "wanted")
+    sets = stored(texts.select("uid", "text").join(wanted, "uid").select("sid", "text").mapInArrow(_tokens(k), "sid long, tokens binary"), "tokens")
+    side = lambda c: sets.select(F.col("sid").alias(c), F.col("tokens").alias(f"{c}_tokens"))
+    return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_verified(limit), "a long, b long")
 
 
-def _leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted points cut into leaves, each with the upper corner of its box."""
-    from pyspark import TaskContext
-    task, number, held, cluster, size = TaskContext.get().partitionId(), 0, [], None, 0
+_MEMBERS = "cell long, leaf long, members array<struct<sid:long,w:long,n:long,point:binary>>"
+_PAIR = [("a", pa.int64()), ("b", pa.int64())]
 
-    def leaf():
-        points = [_point(np.frombuffer(m["tokens"], np.uint64)) for m in held]
-        return _table(_LEAF, [f"{task}-{number}"], [cluster], [any(m["rest"] for m in held)],
-                      [min(len(m["tokens"]) // 8 for m in held)], [np.max(points, axis=0)], [held])
 
-    for batch in batches:
-        for row in batch.to_pylist():
-            if held and (row["cluster"] != cluster or len(held) >= LEAF_ROWS or size > LEAF_BYTES):
-                yield leaf()
-                number, held, size = number + 1, [], 0
-            cluster, size = row.pop("cluster"), size + len(row["tokens"])
-            held.append({f: row[f] for f in ("sid", "part", "rest", "tokens")})
-    if held:
-        yield leaf()
+def _pairs_of(found: list) -> pa.RecordBatch:
+    """Pairs of a batch, each once."""
+    a, b = (np.concatenate([p[i] for p in found]) if found else np.empty(0, np.int64) for i in (0, 1))
+    once = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
+    return _table(_PAIR, once[0], once[1])
 
 
-def _leaf_pairs(limit: Limit):
+def _matrix(members: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids, sizes and points (in the detail of the coarsest) of members."""
+    points = [np.frombuffer(m["point"], "<i4") for m in members]
+    groups = min(map(len, points))
+    return (np.array([m["sid"] for m in members], np.int64), np.array([m["n"] for m in members], np.int64),
+            np.array([_folded(p, groups) for p in points]))
+
+
+def _may_link(limit: Limit, point, n, points, sizes) -> np.ndarray:
+    need = limit.least_common(n, sizes)
+    at = np.flatnonzero(np.minimum(sizes, n) >= need)
+    groups = min(len(point), points.shape[1])
+    mine, others = _folded(point, groups), points[at].reshape(len(at), points.shape[1] // groups, groups).sum(axis=1)
+    return at[np.minimum(mine, others).sum(axis=1) >= need[at]]
+
+
+def _stars(limit: Limit):
+    """Members that may link with the centre of their leaf, or of the subtree."""
+    def near(members):
+        sid, n, points = _matrix(members)
+        centre = max(range(len(members)), key=lambda i: (members[i]["w"], members[i]["sid"]))
+        at = _may_link(limit, points[centre], n[centre], points, n)
+        at = at[at != centre]
+        return sid[at], np.full(len(at), sid[centre])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            edges: list[tuple[int, int]] = []
-            for row in batch.to_pylist():
-                edges += _linked_members(row["left_members"], row["right_members"], row["left"] == row["right"], limit)
-            yield _table([("a", pa.int64()), ("b", pa.int64())], [a for a, _ in edges], [b for _, b in edges])
+            yield _pairs_of([near(m) for m in batch.column("members").to_pylist()])
     return run
 
 
-def _linked_members(left: list[dict], right: list[dict], same: bool, limit: Limit) -> list[tuple[int, int]]:
-    a, b = ([np.frombuffer(m["tokens"], np.uint64) for m in side] for side in (left, right))
-    pa_, pb = (np.array([_point(t) for t in side]) for side in (a, b))
-    na, nb = (np.array([len(t) for t in side]) for side in (a, b))
-    forest, out = Forest(), []
-    for i, m in enumerate(left):
-        bound = np.minimum(pa_[i], pb).sum(axis=1) >= limit.least_common(na[i], nb)
-        for j in np.flatnonzero(bound):
-            o = right[j]
-            if (same and j <= i) or not (m["rest"] or o["rest"]) or forest.find(m["part"]) == forest.find(o["part"]):
-                continue
-            if limit.linked(_common(a[i], b[j]), na[i], nb[j]):
-                forest.join(m["part"], o["part"])
-                out.append((m["sid"], o["sid"]))
-    return out
+def _corners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Leaves with the upper corner of their box and their smallest set."""
+    for batch in batches:
+        held = [_matrix(m) for m in batch.column("members").to_pylist()]
+        corner = [_folded(points.max(axis=0), GROUPS) if len(points) else [] for _, _, points in held]
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([n.min() for _, n, _ in held], pa.int64()), pa.array(corner, pa.list_(pa.int64()))],
+                                         [*batch.schema.names, "least_n", "corner"])
+
+
+def _part_of(members: list[dict], parts: list[dict]) -> np.ndarray:
+    part = {p["sid"]: p["part"] for p in parts}
+    return np.array([part[m["sid"]] for m in members], np.int64)
+
+
+def _leaf_pairs(limit: Limit):
+    """Pairs of points of different parts that may link."""
+    def near(row):
+        same = row["left_leaf"] == row["right_leaf"]
+        (a, n_a, left), (b, n_b, right) = (_matrix(row[f"{side}_members"]) for side in ("left", "right"))
+        part_a, part_b = (_part_of(row[f"{side}_members"], row[f"{side}_parts"]) for side in ("left", "right"))
+        need = limit.least_common(n_a[:, None], n_b[None])
+        use = (part_a[:, None] != part_b[None]) & (np.minimum(n_a[:, None], n_b[None]) >= need)
+        i, j = np.nonzero(np.triu(use, 1) if same else use)
+        for groups in (GROUPS, min(left.shape[1], right.shape[1])):  # coarse first, then in detail
+            x, y = (p.reshape(len(p), p.shape[1] // groups, groups).sum(axis=1, dtype=np.int32) for p in (left, right))
+            bound = [np.minimum(x[i[c:c + 1024]], y[j[c:c + 1024]]).sum(axis=1) for c in range(0, len(i), 1024)]
+            keep = np.concatenate(bound) >= need[i, j] if bound else np.empty(0, bool)
+            i, j = i[keep], j[keep]
+        return a[i], b[j]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield _pairs_of([near(row) for row in batch.to_pylist()])
+    return run
 
 
 def _links(docs: DataFrame, rows: DataFrame, k: int, limit: Limit) -> DataFrame:
     """Edges (a, b) between ids of different sets, enough to connect all that
     are connected by links."""
     texts = _texts(docs)
-    signed = texts.select("text").mapInArrow(_signed(k, limit), "sig long, sid long")
-    cell = Window.partitionBy("sig").orderBy("sid")
-    shared = (signed.withColumn("before", F.lag("sid").over(cell)).withColumn("after", F.lead("sid").over(cell))
-              .where("before != sid or after != sid"))
-    cells = stored(shared.groupBy("sid", "before").agg(F.count("*").alias("w")), "cells")
-    subtree = components(cells.where("before != sid").select(F.col("sid").alias("a"), F.col("before").alias("b")))
-    weight = cells.groupBy(F.col("sid").alias("node")).agg(F.sum("w").alias("w"))
+    signed = texts.select("text").mapInArrow(_signed(k, limit), "sig long, sid long, n long")
+    cells = signed.repartition("sig").sortWithinPartitions("sig", "n", "sid").mapInArrow(_cells, "cell long, leaf long, members array<long>")
+    cells = stored(cells.distinct(), "cells")
+    placed = cells.select("cell", "leaf", F.explode("members").alias("sid"))
+    weight = stored(placed.groupBy("sid").agg(F.count("*").alias("w")), "weights")
     member = rows.where("n > 0").groupBy("sid").agg(F.min("uid").alias("uid"))
-    candidates = subtree.join(weight, "node").join(member, subtree["node"] == member["sid"]).select(
-        "uid", "sid", F.col("component").alias("cluster"), "w")
-    candidates = stored(candidates, "candidates")
-    points = stored(texts.select("uid", "text").join(candidates, "uid").select("cluster", "sid", "text")
-                    .mapInArrow(_points(k), "cluster long, sid long, n long, tokens binary"), "points")
-    centres = candidates.groupBy("cluster").agg(F.max(F.struct("w", "sid"))["sid"].alias("sid")).select("sid")
-    centre_points = (points.join(centres, "sid")
-                     .select("cluster", F.col("sid").alias("centre"), F.col("tokens").alias("centre_tokens")))
-    star = stored(points.join(centre_points, "cluster").select("sid", "tokens", "centre", "centre_tokens")
-                  .mapInArrow(_against_centre(limit), "sid long, centre long, linked boolean"), "star")
-    linked = star.where("linked and sid != centre").select(F.col("sid").alias("a"), F.col("centre").alias("b"))
-
-    rest = star.where("not linked").select("sid")
-    open_clusters = candidates.join(rest, "sid", "left_semi").select("cluster").distinct()
-    marked = (points.join(open_clusters, "cluster", "left_semi").join(star, "sid")
-              .select("cluster", "sid", "n", "tokens", F.when(F.col("linked"), F.col("centre")).otherwise(F.col("sid")).alias("part"),
-                      (~F.col("linked")).alias("rest")))
-    ordered = (marked.repartitionByRange("cluster", F.col("rest").desc(), "n", "sid")
-               .sortWithinPartitions("cluster", F.col("rest").desc(), "n", "sid"))
-    leaves = stored(ordered.select("cluster", "sid", "part", "rest", "tokens").mapInArrow(_leaves, _LEAF_SQL), "leaves")
-    boxes = leaves.select("leaf", "cluster", "has_rest", "least_n", "corner")
-    left, right = (boxes.select("cluster", *(F.col(c).alias(f"{side}_{c}") for c in ("leaf", "has_rest", "least_n", "corner")))
-                   for side in ("left", "right"))
+    point = stored(weight.join(member, "sid").join(rows.select("uid", "n", "point"), "uid").select("sid", "w", "n", "point"), "points")
+
+    # subtrees of several leaves: their centre joins every leaf
+    several = placed.join(stored(cells.where("leaf > 0").select("cell").distinct(), "several"), "cell", "left_semi")
+    centre = stored(several.join(weight, "sid").groupBy("cell").agg(F.max(F.struct("w", "sid"))["sid"].alias("sid")), "centres")
+    placed = placed.union(cells.select("cell", "leaf").join(centre, "cell").select("cell", "leaf", "sid")).distinct()
+    leaves = stored(placed.join(point, "sid").groupBy("cell", "leaf").agg(
+        F.collect_list(F.struct("sid", "w", "n", "point")).alias("members")), "leaves")  # LEAF + 1 at most
+    stars = stored(leaves.mapInArrow(_stars(limit), "a long, b long").distinct(), "stars")
+    linked = stored(_verify(stars, texts, member, k, limit), "star-links")
+
+    parts = stored(components(linked), "star-parts")
+    split = placed.join(parts, placed["sid"] == parts["node"], "left").select("cell", "leaf", "sid", F.coalesce("component", "sid").alias("part"))
+    split = stored(split, "split")
+    mixed = stored(split.groupBy("cell").agg(F.min("part").alias("x"), F.max("part").alias("y")).where("x != y").select("cell"), "mixed")
+    labels = split.join(mixed, "cell").groupBy("cell", "leaf").agg(F.collect_list(F.struct("sid", "part")).alias("parts"))  # LEAF + 1 at most
+    boxes = stored(leaves.join(labels, ["cell", "leaf"]).select("cell", "leaf", "members", "parts").mapInArrow(
+        _corners, f"{_MEMBERS}, parts array<struct<sid:long,part:long>>, least_n long, corner array<long>"), "boxes")
+    sides = [boxes.select("cell", *(F.col(c).alias(f"{side}_{c}") for c in ("leaf", "members", "parts", "least_n", "corner")))
+             for side in ("left", "right")]
     overlap = F.aggregate(F.zip_with("left_corner", "right_corner", lambda x, y: F.least(x, y)), F.lit(0).cast("long"), lambda s, x: s + x)
     need = F.ceil((F.col("left_least_n") + F.col("right_least_n")) * limit.num / (limit.num + limit.den))
-    pairs = (left.where("left_has_rest").join(right, "cluster")
-             .where("not right_has_rest or left_leaf <= right_leaf").where(overlap >= need).select("left_leaf", "right_leaf"))
-    side = lambda name: leaves.select(F.col("leaf").alias(f"{name}_leaf"), F.col("members").alias(f"{name}_members"))
-    joined = (pairs.join(side("left"), "left_leaf").join(side("right"), "right_leaf")
-              .select(F.col("left_leaf").alias("left"), F.col("right_leaf").alias("right"), "left_members", "right_members"))
-    more = joined.mapInArrow(_leaf_pairs(limit), "a long, b long")
-    return linked.unionByName(more)
+    pairs = sides[0].join(sides[1], "cell").where("left_leaf <= right_leaf").where(overlap >= need)
+    pairs = stored(pairs.mapInArrow(_leaf_pairs(limit), "a long, b long").distinct(), "pairs")
+    return linked.unionByName(_verify(pairs, texts, member, k, limit))
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -327,7 +404,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     n_shingles, component_id (least doc_id of the component), first (this row
     is the one that stays of its component)."""
     limit = Limit(num, den)
-    rows = stored(_texts(docs).mapInArrow(_sizes(k), "uid long, doc_id long, n long, sid long"), "sets")
+    rows = stored(_texts(docs).mapInArrow(_sizes(k), "uid long, doc_id long, n long, sid long, point binary"), "sets")
     parts = components(_links(docs, rows, k, limit))
     alone = F.col("n") == 0
     named = rows.join(parts, rows["sid"] == parts["node"], "left").select(
