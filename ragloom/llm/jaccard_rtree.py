@@ -9,7 +9,8 @@ In as many dimensions as texts need, the boxes of an R-tree over the whole
 corpus overlap too much to rule out anything, so its top level is a partition
 that no linked pair can fall through: sets that link differ in at most D
 tokens, so of D + 1 (or more) groups at least one is the same in both.  Sets
-that share a group, with its content, meet in a subtree; a set lies in as many
+that share a group, with its content, meet in a subtree (the most common
+shingles are left out of the contents where a set has enough others); a set lies in as many
 subtrees as it shares groups.  Subtrees are cut into leaves of ``LEAF`` points
 in order of size.  Then:
 
@@ -49,12 +50,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .bpe import frequent
 from .components import components
 from .tables import stored
 from .words import UnitCache
 
 GROUPS = 64  # of the corners; a point has as many or more
 LEAF = 64
+COMMON, COMMON_ROWS, COMMON_SEEN = 1 << 18, 8000, 4
 _U = np.uint64
 _ODD = [_U(x) for x in np.random.default_rng(7).integers(1, 1 << 63, 64, np.uint64) * _U(2) + _U(1)]
 
@@ -101,40 +104,55 @@ class Limit:
 
     def groups(self, band: int) -> tuple[int, int]:
         """Groups for pairs whose larger set lies in a band, and how many of
-        them may hold fewer than two tokens in a set that signs by its other
-        groups alone; no groups if only equal sets link."""
+        them may be empty in a set that signs by its other groups alone (more
+        than in most); no groups if only equal sets link."""
         differ = 2 * (self.starts[band + 1] - 1) * (self.den - self.num) // (self.den + self.num)
         if not differ:
             return 0, 0
         count = differ + 1
         for _ in range(3):
-            mean = self.starts[band] / count
-            spare = 2 + math.ceil(1.3 * count * math.exp(-mean) * (1 + mean))
+            mean = self.starts[max(band - 1, 0)] / count
+            spare = 2 + math.ceil(1.5 * count * math.exp(-mean))
             count = differ + 1 + spare
         return count, spare
 
 
-def signatures(tokens: np.ndarray, limit: Limit) -> np.ndarray:
-    """Hashes of (band, group, content): linked sets that differ share one."""
+def _signed_groups(tokens: np.ndarray, count: int, spare: int, salt: int, fall_back: bool) -> tuple[np.ndarray, bool]:
+    """Hashes of (salt, group, content) of the groups that hold tokens, and
+    whether more than ``spare`` are empty; these sign as well if so and
+    ``fall_back``."""
+    group = tokens % _U(count)
+    order = np.argsort(group.astype(np.uint16) if count < 65536 else group, kind="stable")
+    group = group[order]
+    first = np.flatnonzero(np.r_[True, group[1:] != group[:-1]]) if len(group) else np.empty(0, np.int64)
+    content = np.add.reduceat(_mix(tokens ^ _U(0x9E3779B97F4A7C15))[order], first) if len(group) else np.empty(0, np.uint64)
+    present = group[first]
+    many_empty = count - len(present) > spare
+    if many_empty and fall_back:
+        missing = np.setdiff1d(np.arange(count, dtype=np.uint64), present)
+        present, content = np.r_[present, missing], np.r_[content, np.zeros(len(missing), np.uint64)]
+    return _mix(content + _mix(present + _U(salt << 40))), many_empty
+
+
+def signatures(tokens: np.ndarray, limit: Limit, common: np.ndarray) -> np.ndarray:
+    """What linked sets that differ have in common at least once.
+
+    Groups are compared without the tokens of ``common`` (any sorted set will
+    do), so that a passage that many documents share does not make a group
+    equal by itself.  Sets of which too much is common sign again with all
+    their tokens: of two linked sets, either one has enough groups without
+    them, or both have signed again."""
     out, band = [], limit.band(len(tokens))
-    weight = _mix(tokens ^ _U(0x9E3779B97F4A7C15))
+    at = np.searchsorted(common, tokens)
+    at[at == len(common)] = 0
+    own = tokens[common[at] != tokens] if len(common) else tokens
     for b in (band, band + 1):
         count, spare = limit.groups(b)
-        if not count:
-            continue
-        group = tokens % _U(count)
-        order = np.argsort(group.astype(np.uint16) if count < 65536 else group, kind="stable")
-        sorted_group = group[order]
-        first = np.flatnonzero(np.r_[True, sorted_group[1:] != sorted_group[:-1]])
-        content = np.add.reduceat(weight[order], first)
-        present = sorted_group[first]
-        filled = np.diff(np.r_[first, len(group)]) > 1
-        if count - filled.sum() <= spare:
-            present, content = present[filled], content[filled]
-        else:  # too many small groups: they sign as well, the empty ones too
-            missing = np.setdiff1d(np.arange(count, dtype=np.uint64), present)
-            present, content = np.r_[present, missing], np.r_[content, np.zeros(len(missing), np.uint64)]
-        out.append(_mix(content + _mix(present + _U(b << 40))))
+        if count:
+            sigs, mostly_common = _signed_groups(own, count, spare, 2 * b, False)
+            out.append(sigs)
+            if mostly_common:
+                out.append(_signed_groups(tokens, count, spare, 2 * b + 1, True)[0])
     return np.concatenate(out) if out else np.empty(0, np.uint64)
 
 
@@ -162,7 +180,7 @@ def _sizes(k: int):
     return run
 
 
-def _signed(k: int, limit: Limit):
+def _signed(k: int, limit: Limit, common):
     fields = [("sig", pa.int64()), ("sid", pa.int64()), ("n", pa.int64())]
 
     def pack(rows):
@@ -184,7 +202,7 @@ def _signed(k: int, limit: Limit):
                 if len(seen) > 1_000_000:
                     seen.clear()
                 seen.add(sid)
-                rows.append((signatures(tokens, limit), sid, len(tokens)))
+                rows.append((signatures(tokens, limit, common.value), sid, len(tokens)))
                 held += len(rows[-1][0])
                 if held > 200_000:
                     yield pack(rows)
@@ -358,11 +376,32 @@ def _leaf_pairs(limit: Limit):
     return run
 
 
+def _listed(k: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache = _word_cache()
+        for batch in batches:
+            for t in batch.column("text"):
+                yield pa.RecordBatch.from_arrays([pa.array(shingle_set(t.as_py(), k, cache).view(np.int64))], ["token"])
+    return run
+
+
+def common_shingles(texts: DataFrame, rows: DataFrame, k: int) -> np.ndarray:
+    """Shingles that several of about ``COMMON_ROWS`` rows share; it takes no
+    more than ``COMMON`` of them.  They only spare work: links do not depend on
+    which shingles are here."""
+    n = rows.count()
+    some = texts.where(F.pmod(F.xxhash64("uid"), F.lit(1 << 20)) < int((1 << 20) * min(1.0, COMMON_ROWS / max(n, 1))))
+    seen = some.select("text").mapInArrow(_listed(k), "token long").groupBy("token").agg(F.count("*").alias("n"))
+    top = frequent(seen.where(F.col("n") >= COMMON_SEEN), COMMON).select("token").toArrow()
+    return np.sort(top["token"].to_numpy().view(np.uint64))
+
+
 def _links(docs: DataFrame, rows: DataFrame, k: int, limit: Limit) -> DataFrame:
     """Edges (a, b) between ids of different sets, enough to connect all that
     are connected by links."""
     texts = _texts(docs)
-    signed = texts.select("text").mapInArrow(_signed(k, limit), "sig long, sid long, n long")
+    common = docs.sparkSession.sparkContext.broadcast(common_shingles(texts, rows, k))
+    signed = texts.select("text").mapInArrow(_signed(k, limit, common), "sig long, sid long, n long")
     cells = signed.repartition("sig").sortWithinPartitions("sig", "n", "sid").mapInArrow(_cells, "cell long, leaf long, members array<long>")
     cells = stored(cells.distinct(), "cells")
     placed = cells.select("cell", "leaf", F.explode("members").alias("sid"))
