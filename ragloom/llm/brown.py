@@ -42,7 +42,7 @@ from .words import Counts
 VOCABULARY = 50_000
 MAX_WORD = 64
 CLASSES = 64
-ROUNDS = 6
+ROUNDS = 4
 ALPHA = 1.0
 ADD = 0.1
 
@@ -108,7 +108,8 @@ def best_class(own: int, after: np.ndarray, before: np.ndarray, loops: float, ta
     t[own] -= after
     t[:, own] -= before
     t[own, own] -= loops
-    rows, columns = t.sum(1), t.sum(0)
+    # what precedes the word stays in its rows wherever the word goes, what follows in its columns
+    rows, columns = t.sum(1) + before, t.sum(0) + after
     n_after, n_before = after.sum() + loops, before.sum() + loops
     c = np.arange(classes)
     gain = (_xlogx(t[c] + after) - _xlogx(t[c])).sum(1) + (_xlogx(t[:, c].T + before) - _xlogx(t[:, c].T)).sum(1)

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .tables import stored
+from .tables import rows_of, stored
 
 BLOCK_BYTES = 8192
 SPACES = r"[\x20\x09-\x0D]+"
@@ -118,5 +118,4 @@ def exact_dedup(docs: DataFrame, block_bytes: int = BLOCK_BYTES, hash_bits: int
 
 def drop_copies(docs: DataFrame, **settings) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    keep = exact_dedup(docs, **settings).where("kept").select(F.col("uid").alias("__uid"))
-    return docs.withColumn("__uid", F.monotonically_increasing_id()).join(keep, "__uid", "left_semi").drop("__uid")
+    return rows_of(docs, exact_dedup(docs, **settings).where("kept"))

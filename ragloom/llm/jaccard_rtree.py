@@ -52,7 +52,7 @@ from pyspark.sql import functions as F
 
 from .bpe import frequent
 from .components import components
-from .tables import stored
+from .tables import rows_of, stored
 from .words import UnitCache
 
 GROUPS = 64  # of the corners; a point has as many or more
@@ -459,5 +459,4 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
 
 def drop_near_copies(docs: DataFrame, **settings) -> DataFrame:
     """The rows of ``docs`` that stay, one of each component, all columns."""
-    keep = jaccard_components(docs, **settings).where("first").select(F.col("uid").alias("__uid"))
-    return docs.withColumn("__uid", F.monotonically_increasing_id()).join(keep, "__uid", "left_semi").drop("__uid")
+    return rows_of(docs, jaccard_components(docs, **settings).where("first"))

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import stored
+from .tables import stored, unused
 
 LEAST_CHARS = 40
 
@@ -141,21 +141,24 @@ def repeated_lines(docs: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame
     return blocks.where(F.size("deleted") > 0).groupBy("uid").agg(F.array_distinct(F.flatten(F.collect_list("deleted"))).alias("deleted"))
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        out, lost = [], []
-        for text, deleted in zip(batch.column("text").to_pylist(), batch.column("__deleted").to_pylist(), strict=True):
-            gone = set(deleted or ())
-            out.append("\n".join(x for i, x in enumerate(lines_of(text)) if i not in gone) if gone else text)
-            lost.append(len(gone))
-        at = batch.schema.get_field_index("text")
-        batch = batch.set_column(at, "text", pa.array(out, pa.string()))
-        yield batch.drop_columns(["__deleted"]).append_column("n_deleted", pa.array(lost, pa.int64()))
+def _cut(column: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out, lost = [], []
+            for text, deleted in zip(batch.column("text").to_pylist(), batch.column(column).to_pylist(), strict=True):
+                gone = set(deleted or ())
+                out.append("\n".join(x for i, x in enumerate(lines_of(text)) if i not in gone) if gone else text)
+                lost.append(len(gone))
+            batch = batch.set_column(batch.schema.get_field_index("text"), "text", pa.array(out, pa.string()))
+            yield batch.drop_columns([column]).append_column("n_deleted", pa.array(lost, pa.int64()))
+    return run
 
 
 def dedup_lines(docs: DataFrame, **settings) -> DataFrame:
     """``docs`` with the repeated blocks cut from ``text``, and n_deleted."""
-    deleted = stored(repeated_lines(docs, **settings).select(F.col("uid").alias("__uid"), F.col("deleted").alias("__deleted")), "deleted")
-    marked = docs.withColumn("__uid", F.monotonically_increasing_id()).join(deleted, "__uid", "left").drop("__uid")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.drop("n_deleted").schema)
-    return marked.drop("n_deleted").mapInArrow(_cut, f"{schema}, n_deleted long")
+    docs = docs.drop("n_deleted")
+    uid, cut = unused(docs, "__uid"), unused(docs, "__deleted")
+    deleted = stored(repeated_lines(docs, **settings).select(F.col("uid").alias(uid), F.col("deleted").alias(cut)), "deleted")
+    marked = docs.withColumn(uid, F.monotonically_increasing_id()).join(deleted, uid, "left").drop(uid)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    return marked.mapInArrow(_cut(cut), f"{schema}, n_deleted long")

@@ -9,6 +9,7 @@ import uuid
 
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ragloom.session import checkpoint_dir
 
@@ -38,6 +39,21 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def rows_of(docs: DataFrame, uids: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose number in the scan is in ``uids`` (uid)."""
+    name = unused(docs, "__uid")
+    numbered = docs.withColumn(name, F.monotonically_increasing_id())
+    return numbered.join(uids.select(F.col("uid").alias(name)), name, "left_semi").select(*(F.col(f"`{c}`") for c in docs.columns))
+
+
 def file_system(uri: str) -> tuple[pafs.FileSystem, str]:
     """File system and path of a folder's URI, for code inside tasks."""
     if uri.startswith("file:"):

@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .brown import held_out
+from .tables import rows_of
 
 FOLDS = 5
 SAMPLE = 3000
@@ -195,5 +196,4 @@ def toxicity(docs: DataFrame, labels: DataFrame, folds: int = FOLDS) -> DataFram
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, **settings) -> DataFrame:
     """The rows of ``docs`` that are not toxic by their score, all columns."""
-    keep = toxicity(docs, labels, **settings).where("predicted = 0").select(F.col("uid").alias("__uid"))
-    return docs.withColumn("__uid", F.monotonically_increasing_id()).join(keep, "__uid", "left_semi").drop("__uid")
+    return rows_of(docs, toxicity(docs, labels, **settings).where("predicted = 0"))

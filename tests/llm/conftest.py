@@ -1,0 +1,3 @@
+import pytest
+
+pytest.importorskip("ragloom.llm")
