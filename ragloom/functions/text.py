@@ -6,8 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Keyword / statement token used by the lexical metrics and the derived
-# fixtures: a run of six or more ASCII lower-case letters.
-KEYWORD_PATTERN = "[a-z]{6,}"
+# fixtures: a run of six or more letters of any script.
+KEYWORD_PATTERN = r"\p{L}{6,}"
 
 
 def _c(x) -> Column:
@@ -20,11 +20,11 @@ def tokens(text, pattern: str = KEYWORD_PATTERN) -> Column:
 
 
 def word_runs(text, min_len: int = 6) -> Column:
-    """Maximal runs of ASCII lower-case letters at least ``min_len`` long, in
-    order: exactly the matches of ``[a-z]{min_len,}``, found by one linear
+    """Maximal runs of letters at least ``min_len`` long, in
+    order: exactly the matches of ``\\p{L}{min_len,}``, found by one linear
     split on the non-letters instead of a regex search that restarts inside
     every shorter word."""
-    return F.filter(F.split(_c(text), "[^a-z]+"), lambda t: F.length(t) >= min_len)
+    return F.filter(F.split(_c(text), r"\P{L}+"), lambda t: F.length(t) >= min_len)
 
 
 def lower_tokens(text, pattern: str = KEYWORD_PATTERN) -> Column:

@@ -209,9 +209,11 @@ def expand_versions(cases: DataFrame, versions: list[str]) -> DataFrame:
 
 def pending_pairs(cases: DataFrame, versions: list[str], existing: DataFrame,
                   key: str = "question_text") -> DataFrame:
-    """(case, version) pairs not yet present in ``existing``."""
+    """(case, version) pairs not yet present in ``existing``; one whose
+    only answers are errors is still pending."""
     wanted = expand_versions(cases, versions)
-    have = existing.select(key, "prompt_version")
+    done = existing.where(F.col("error").isNull()) if "error" in existing.columns else existing
+    have = done.select(key, "prompt_version")
     return wanted.join(have, [key, "prompt_version"], "left_anti")
 
 
@@ -248,7 +250,7 @@ def answer_diff(responses: DataFrame, baseline: str = BASELINE_VERSION,
     answer of its question -- length change, token Jaccard and the share of
     tokens new to the answer.
 
-    Every response is tokenized once (distinct ``[a-z]{6,}`` words) before the
+    Every response is tokenized once (distinct six-letter-or-longer words) before the
     pairing, so the join moves the narrow token sets, not the answer texts,
     and a baseline text is not re-tokenized for each version paired with it.
     """

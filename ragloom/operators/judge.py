@@ -43,7 +43,7 @@ def judge_samples(samples: DataFrame, make_judge: Callable = lexical_judge,
 
 
 def statements_of(df: DataFrame, text: str, out: str = "statements") -> DataFrame:
-    """Statements of a text: its ``[a-z]{6,}`` words (offline decomposition)."""
+    """Statements of a text: its six-letter-or-longer words (offline decomposition)."""
     return df.withColumn(out, lower_tokens(text, KEYWORD_PATTERN))
 
 

@@ -32,7 +32,7 @@ def generation_case_filter(cases: DataFrame) -> DataFrame:
 
 def judged_case_filter(cases: DataFrame, reference: str = "ground_truth") -> DataFrame:
     """Skip a case without query; a missing reference becomes ''."""
-    out = cases.where(F.col("query").isNotNull())
+    out = cases.where(F.length("query") > 0)
     if reference in cases.columns:
         out = out.withColumn(reference, F.coalesce(F.col(reference), F.lit("")))
     return out
@@ -93,7 +93,7 @@ def context_precision(verdicts: DataFrame, key: str = "query_id") -> DataFrame:
 
 def statement_support(samples: DataFrame, statements: str, context: str,
                       key: str = "case_id", out: str = "score") -> DataFrame:
-    """Share of the ``[a-z]{6,}`` statements of ``statements`` that the lexical
+    """Share of the six-letter-or-longer statements of ``statements`` that the lexical
     judge finds in ``context`` (both lower-cased); no statement gives null.
 
     M4 (context recall) uses the reference answer as statements, M5

@@ -34,7 +34,7 @@ PROMPT_VERSIONS = {
 DEFAULT_VERSION = "prompt_v0"
 
 # Our human-message template (context first, then the question).
-HUMAN_PREFIX = "Answer the question based only on the following context:\n"
+HUMAN_PREFIX = "Use nothing but these passages for your answer.\n"
 QUESTION_PREFIX = "\n\nQuestion: "
 CONTEXT_SEPARATOR = "\n\n"
 

@@ -6,7 +6,7 @@ Physical form (no pair rows are ever emitted):
 * **broadcast path** -- when the query side is proven small (its count times
   its dimension is checked against ``max_broadcast_bytes``), the query matrix
   is shipped once to every executor and the corpus is scanned with
-  ``mapInPandas``.  Each Arrow batch shortlists k+slack candidates per query
+  ``mapInPandas``.  Each Arrow batch shortlists candidates per query, all ties kept
   (query tiles bound the distance matrix in memory), re-ranks them by exact
   distance into a running top-k, and each task emits only ``k`` rows per
   query.
@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from ragloom.functions.text import basename_or_unknown
 
 TOP_K = 3              # fixed value of the reference: three chunks per query
-SLACK = 8              # extra candidates before the exact re-ranking
+PAIR_TILE = 65536      # (query, candidate) pairs re-ranked at once
 QUERY_TILE = 1024      # queries per distance tile inside a task
 CORPUS_TILE = 4096     # corpus rows per distance tile on the broadcast-corpus path
 CARRY_BYTES = 16       # assumed width of one narrow carried value (id, label)
@@ -63,16 +63,17 @@ def _exact_sq_l2(q: np.ndarray, c: np.ndarray) -> np.ndarray:
 class _TopK:
     """Running exact top-``k`` per query across corpus batches.
 
-    Per batch and query tile: the expanded form ``|q|^2 + |x|^2 - 2 q.x``
-    shortlists ``keep`` (= k + slack) candidates, their distances are
-    recomputed exactly by the direct sum (the expanded form cancels near 0 and
-    may misorder near-ties), and the exact candidates are merged into the
+    Per batch and query tile: all candidates whose expanded form ``|q|^2 +
+    |x|^2 - 2 q.x`` is at most the k-th smallest plus its rounding error are
+    kept, however many tie; their distances are recomputed exactly by the
+    direct sum (the expanded form cancels near 0 and may misorder near-ties),
+    and the exact candidates, ties by corpus id, are merged into the
     running top-k ordered by (distance, corpus id).  A task holds only
     n_queries x k distances, ids and carried values -- no vectors.
     """
 
-    def __init__(self, n_queries: int, k: int, keep: int, carry=(), qids: np.ndarray | None = None):
-        self.k, self.keep, self.carry = k, keep, tuple(carry)
+    def __init__(self, n_queries: int, k: int, carry=(), qids: np.ndarray | None = None):
+        self.k, self.carry = k, tuple(carry)
         self.qids = qids          # set: a query never matches the corpus row with its own id
         self.dist = np.zeros((n_queries, 0))
         self.ids = np.zeros((n_queries, 0), dtype=np.int64)
@@ -83,20 +84,25 @@ class _TopK:
         if len(cid) == 0:
             return
         cn = np.einsum("ij,ij->i", cm, cm)
-        take = min(self.keep, len(cid))
+        take = min(self.k, len(cid))
+        # rounding of the expanded form, for any pair of this batch
+        slip = 8 * (cm.shape[1] + 2) * np.finfo(np.float64).eps
         new_d, new_i = [], []
         for lo in range(0, len(qm), QUERY_TILE):
-            tile = qm[lo:lo + QUERY_TILE]
-            approx = qn[lo:lo + QUERY_TILE, None] + cn[None, :] - 2.0 * (tile @ cm.T)
+            tile, tile_n = qm[lo:lo + QUERY_TILE], qn[lo:lo + QUERY_TILE]
+            approx = tile_n[:, None] + cn[None, :] - 2.0 * (tile @ cm.T)
             if self.qids is not None:
                 approx[self.qids[lo:lo + QUERY_TILE, None] == cid[None, :]] = np.inf
-            part = np.argpartition(approx, take - 1, axis=1)[:, :take]
-            diff = tile[:, None, :] - cm[part]
-            exact = np.einsum("qkd,qkd->qk", diff, diff)
-            if self.qids is not None:
-                exact[self.qids[lo:lo + QUERY_TILE, None] == cid[part]] = np.inf
-            new_d.append(exact)
-            new_i.append(part)
+            kth = np.partition(approx, take - 1, axis=1)[:, take - 1]
+            rows, cols = np.nonzero(approx <= (kth + slip * (tile_n + cn.max()))[:, None])
+            exact = np.concatenate([_exact_sq_l2(tile[rows[a:a + PAIR_TILE]], cm[cols[a:a + PAIR_TILE]])
+                                    for a in range(0, len(rows), PAIR_TILE)])
+            exact[np.isinf(approx[rows, cols])] = np.inf
+            order = np.lexsort((cid[cols], exact, rows))
+            first = np.searchsorted(rows[order], np.arange(len(tile)))
+            best = order[first[:, None] + np.arange(take)]
+            new_d.append(exact[best])
+            new_i.append(cols[best])
         rows = np.vstack(new_i)                      # positions inside this batch
         d_all = np.concatenate([self.dist, np.vstack(new_d)], axis=1)
         id_all = np.concatenate([self.ids, cid[rows]], axis=1)
@@ -131,11 +137,11 @@ def _empty(carry=()) -> pd.DataFrame:
 CANDIDATE_SCHEMA = "query_id bigint, corpus_id bigint, distance double"
 
 
-def _scan_with_broadcast(bq, k: int, keep: int, carry=(), exclude_self: bool = False):
+def _scan_with_broadcast(bq, k: int, carry=(), exclude_self: bool = False):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         qids, qm = bq.value
         qn = np.einsum("ij,ij->i", qm, qm)
-        top = _TopK(len(qids), k, keep, carry, qids if exclude_self else None)
+        top = _TopK(len(qids), k, carry, qids if exclude_self else None)
         for pdf in batches:
             if len(pdf):
                 top.offer(qm, qn, _to_matrix(pdf["embedding"]), pdf["corpus_id"].to_numpy("int64"),
@@ -144,20 +150,20 @@ def _scan_with_broadcast(bq, k: int, keep: int, carry=(), exclude_self: bool = F
     return run
 
 
-def _block_pair(k: int, keep: int, carry=(), exclude_self: bool = False):
+def _block_pair(k: int, carry=(), exclude_self: bool = False):
     def run(qpdf: pd.DataFrame, cpdf: pd.DataFrame) -> pd.DataFrame:
         if len(qpdf) == 0 or len(cpdf) == 0:
             return _empty(carry)
         qm = _to_matrix(qpdf["embedding"])
         qids = qpdf["query_id"].to_numpy("int64")
-        top = _TopK(len(qids), k, keep, carry, qids if exclude_self else None)
+        top = _TopK(len(qids), k, carry, qids if exclude_self else None)
         top.offer(qm, np.einsum("ij,ij->i", qm, qm), _to_matrix(cpdf["embedding"]),
                   cpdf["corpus_id"].to_numpy("int64"), cpdf[list(carry)] if carry else None)
         return top.finish(qids)
     return run
 
 
-def _scan_queries_with_broadcast_corpus(bc, k: int, keep: int, carry=(), exclude_self: bool = False):
+def _scan_queries_with_broadcast_corpus(bc, k: int, carry=(), exclude_self: bool = False):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cids, cm, payload = bc.value
         for pdf in batches:
@@ -166,7 +172,7 @@ def _scan_queries_with_broadcast_corpus(bc, k: int, keep: int, carry=(), exclude
             qm = _to_matrix(pdf["embedding"])
             qids = pdf["query_id"].to_numpy("int64")
             qn = np.einsum("ij,ij->i", qm, qm)
-            top = _TopK(len(qids), k, keep, carry, qids if exclude_self else None)
+            top = _TopK(len(qids), k, carry, qids if exclude_self else None)
             for lo in range(0, len(cids), CORPUS_TILE):
                 top.offer(qm, qn, cm[lo:lo + CORPUS_TILE], cids[lo:lo + CORPUS_TILE],
                           payload.iloc[lo:lo + CORPUS_TILE] if carry else None)
@@ -179,7 +185,7 @@ def _scan_queries_with_broadcast_corpus(bc, k: int, keep: int, carry=(), exclude
 
 def knn_topk(queries: DataFrame, corpus: DataFrame, k: int = TOP_K,
              query_id: str = "query_id", corpus_id: str = "corpus_id",
-             vector: str = "embedding", slack: int = SLACK,
+             vector: str = "embedding",
              max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
              carry: tuple[str, ...] = (), exclude_self: bool = False) -> DataFrame:
     """Exact k nearest corpus vectors per query (squared L2, ascending).
@@ -190,13 +196,13 @@ def knn_topk(queries: DataFrame, corpus: DataFrame, k: int = TOP_K,
     ``exclude_self`` skips the corpus row whose id equals the query id
     (leave-one-out search of a table against itself).
     """
-    return knn_search(queries, corpus, k, query_id, corpus_id, vector, slack,
+    return knn_search(queries, corpus, k, query_id, corpus_id, vector,
                       max_broadcast_bytes, carry, materialize=False, exclude_self=exclude_self)[0]
 
 
 def knn_search(queries: DataFrame, corpus: DataFrame, k: int = TOP_K,
                query_id: str = "query_id", corpus_id: str = "corpus_id",
-               vector: str = "embedding", slack: int = SLACK,
+               vector: str = "embedding",
                max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
                carry: tuple[str, ...] = (), materialize: bool = True,
                exclude_self: bool = False) -> tuple[DataFrame, int]:
@@ -215,7 +221,6 @@ def knn_search(queries: DataFrame, corpus: DataFrame, k: int = TOP_K,
                       F.col(vector).alias("embedding"), *carry)
     schema = CANDIDATE_SCHEMA + "".join(
         f", {f.name} {f.dataType.simpleString()}" for f in corpus.schema.fields if f.name in carry)
-    keep = k + slack
     stats = q.agg(F.count(F.lit(1)).alias("n"),
                   F.coalesce(F.max(F.size("embedding")), F.lit(0)).alias("d")).first()
     n_q, dim = int(stats["n"]), int(stats["d"])
@@ -226,7 +231,7 @@ def knn_search(queries: DataFrame, corpus: DataFrame, k: int = TOP_K,
         qpdf = q.toPandas()
         qm = _to_matrix(qpdf["embedding"]) if n_q else np.zeros((0, dim))
         bq = spark.sparkContext.broadcast((qpdf["query_id"].to_numpy("int64"), qm))
-        cand = c.mapInPandas(_scan_with_broadcast(bq, k, keep, carry, exclude_self), schema)
+        cand = c.mapInPandas(_scan_with_broadcast(bq, k, carry, exclude_self), schema)
     else:
         n_c = c.count()
         if n_c * (max(dim, 1) * 8 + CARRY_BYTES * len(carry)) <= max_broadcast_bytes:
@@ -236,7 +241,7 @@ def knn_search(queries: DataFrame, corpus: DataFrame, k: int = TOP_K,
             cm = _to_matrix(cpdf["embedding"]) if n_c else np.zeros((0, dim))
             bc = spark.sparkContext.broadcast((cpdf["corpus_id"].to_numpy("int64"), cm,
                                                cpdf[list(carry)].reset_index(drop=True) if carry else None))
-            final = q.mapInPandas(_scan_queries_with_broadcast_corpus(bc, k, keep, carry, exclude_self),
+            final = q.mapInPandas(_scan_queries_with_broadcast_corpus(bc, k, carry, exclude_self),
                                   schema + ", rank bigint")
         else:
             n_blocks_q = max(1, math.ceil(q_bytes / max_broadcast_bytes))
@@ -247,7 +252,7 @@ def knn_search(queries: DataFrame, corpus: DataFrame, k: int = TOP_K,
             cb = (c.withColumn("cb", F.pmod(F.xxhash64("corpus_id"), F.lit(n_blocks_c)))
                   .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(n_blocks_q - 1)))))
             cand = (qb.groupBy("qb", "cb").cogroup(cb.groupBy("qb", "cb"))
-                    .applyInPandas(_block_pair(k, keep, carry, exclude_self), schema))
+                    .applyInPandas(_block_pair(k, carry, exclude_self), schema))
     if final is not None:
         hits = final.select("query_id", "rank", "corpus_id", "distance", *carry)
     else:

@@ -1,7 +1,7 @@
 """Synthetic test-set generation.
 
 The default case generator is offline and relational: keywords are the top
-TF-IDF ``[a-z]{6,}`` words of a chunk against the whole chunk corpus.
+TF-IDF six-letter-or-longer words of a chunk against the whole chunk corpus.
 """
 
 from __future__ import annotations

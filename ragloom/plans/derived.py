@@ -5,10 +5,8 @@ grows with the tables.  The same definitions are written in SQL in
 :mod:`ragloom.plans.oracle` so that DuckDB can check every query.
 
 * ``keyword_cases`` -- one case per benchmark item: the item text is the
-  query, the expected keywords are the first four ``[a-z]{6,}`` words of the
-  lower-cased text (duplicates kept).  Items ``item_id % 10 = 9`` get an empty
-  keyword list and items ``% 10 = 8`` a missing query, so the skip / zero
-  rules of the evaluators are exercised.
+  query, the expected keywords are all the words of six letters or more of the
+  lower-cased text (duplicates kept).
 * ``vec_queries`` / ``vec_corpus`` -- leave-one-out retrieval over the whole
   embeddings table: every vector is a query (for case ``vec_id``) against all
   other vectors; vector ``v`` carries the text of document ``v % N`` with N
@@ -29,7 +27,6 @@ from ragloom.functions.text import KEYWORD_PATTERN, lower_tokens
 from ragloom.operators.chunking import page_docs as _page_docs
 from ragloom.sources.tables import read_table, spread_small_scan
 
-N_KEYWORDS = 4
 VERSIONS_PER_QUESTION = 5
 
 
@@ -43,14 +40,8 @@ def page_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def keyword_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = read_table(spark, sf_dir, "benchmark")
-    kws = F.slice(lower_tokens("text", KEYWORD_PATTERN), 1, N_KEYWORDS)
-    return b.select(
-        F.col("item_id").alias("case_id"),
-        F.when(F.col("item_id") % 10 == 8, F.lit(None).cast("string"))
-         .otherwise(F.col("text")).alias("query"),
-        F.when(F.col("item_id") % 10 == 9, F.array().cast("array<string>"))
-         .otherwise(kws).alias("expected_keywords"),
-    )
+    return b.select(F.col("item_id").alias("case_id"), F.col("text").alias("query"),
+                    lower_tokens("text", KEYWORD_PATTERN).alias("expected_keywords"))
 
 
 def vec_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,15 +51,9 @@ def vec_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "label", "embedding")
 
 
-_COUNTS: dict[tuple[int, str], int] = {}
-
-
 def n_documents(spark: SparkSession, sf_dir: str) -> int:
-    """Number of documents (one count per session and table; tables are read-only)."""
-    key = (id(spark._jsparkSession), sf_dir)
-    if key not in _COUNTS:
-        _COUNTS[key] = documents(spark, sf_dir).count()
-    return _COUNTS[key]
+    """Number of documents (answered from the files' footers)."""
+    return documents(spark, sf_dir).count()
 
 
 def vec_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -142,7 +142,7 @@ def q_retrieval_score(spark, sf):
 def _qa_keyword_cases(spark, sf, qa=None):
     qa = qa if qa is not None else derived.qa_cases(spark, sf)
     return qa.withColumn("expected_keywords",
-                         F.slice(lower_tokens("query"), 1, derived.N_KEYWORDS))
+                         lower_tokens("query"))
 
 
 def _generation_recall(spark, sf, qa=None):

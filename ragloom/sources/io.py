@@ -66,12 +66,14 @@ def read_cases(spark: SparkSession, path: str, dataset: str | None = None) -> Da
     survives the load with a null ``query`` (dropped later by the evaluators'
     filters or sent to quarantine).  ``dataset`` (P16) tags the rows, e.g.
     ``synthetic`` / ``curated``; default: the file name without extension."""
-    df = (spark.read.option("multiLine", True).schema(CASE_SCHEMA).json(path)
-          .withColumn("__file", F.col("_metadata.file_name")))
+    files = spark.read.option("pathGlobFilter", "*.json").text(path, wholetext=True)
+    items = F.posexplode(F.from_json("value", f"array<struct<{CASE_SCHEMA}>>"))
+    df = (files.select(F.col("_metadata.file_name").alias("__file"), items.alias("__at", "__case"))
+          .select("__file", "__at", "__case.*"))
     tag = F.lit(dataset) if dataset else F.regexp_replace("__file", r"\.json$", "")
     return (df.withColumn("dataset", tag)
-            .withColumn("case_id", F.xxhash64("__file", "query", F.monotonically_increasing_id()))
-            .drop("__file", "generation_cases"))
+            .withColumn("case_id", F.xxhash64("__file", "query", "__at"))
+            .drop("__file", "__at", "generation_cases"))
 
 
 def select_dataset(cases: DataFrame, synthetic: bool = True) -> DataFrame:

@@ -19,23 +19,10 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-_READ_CACHE: dict[tuple[int, str], DataFrame] = {}
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One driver table.  Corrupt files are skipped (the page loader of the
-    reference reports and skips a file that fails to load).
-
-    The (lazy) DataFrame is memoised per session and path: the input tables
-    are read-only, and each fresh ``spark.read.parquet`` would otherwise run a
-    schema-inference job and a file listing again for every query branch."""
-    path = table_path(sf_dir, name)
-    key = (id(spark._jsparkSession), path)
-    df = _READ_CACHE.get(key)
-    if df is None:
-        df = spark.read.option("ignoreCorruptFiles", "true").parquet(path)
-        _READ_CACHE[key] = df
-    return df
+    """One driver table.  A damaged file fails the read: rows are never lost
+    without an error."""
+    return spark.read.parquet(table_path(sf_dir, name))
 
 
 def spread_small_scan(df: DataFrame) -> DataFrame:

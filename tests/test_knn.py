@@ -157,3 +157,21 @@ def test_broadcast_corpus_path_leave_one_out_with_carry(spark):
         lst = sorted(got[i])
         assert [t[0] for t in lst] == [1, 2, 3]
         assert [t[1] for t in lst] == order and [t[2] for t in lst] == [j % 3 for j in order]
+
+
+def test_topk_keeps_the_smallest_ids_of_many_ties():
+    """More equal distances than k, in any order and batching."""
+    import numpy as np
+
+    from ragloom.operators.retrieval import _TopK
+    rng = np.random.default_rng(0)
+    q = rng.standard_normal((2, 8))
+    corpus = np.vstack([np.tile(q[0], (40, 1)), rng.standard_normal((300, 8))])
+    for trial in range(10):
+        order = rng.permutation(len(corpus))
+        for step in (7, 64, len(corpus)):
+            top = _TopK(2, 3)
+            for a in range(0, len(order), step):
+                part = order[a:a + step]
+                top.offer(q, (q * q).sum(1), corpus[part], part.astype("int64"))
+            assert top.ids[0].tolist() == [0, 1, 2], (trial, step)
