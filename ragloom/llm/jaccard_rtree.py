@@ -52,11 +52,12 @@ from pyspark.sql import functions as F
 
 from .bpe import frequent
 from .components import components
-from .tables import rows_of, stored
+from .tables import batches_of, rows_of, stored
 from .words import UnitCache
 
 GROUPS = 64  # of the corners; a point has as many or more
 LEAF = 64
+BATCH = 128  # leaves, or pairs of sets, in a task's memory at once
 COMMON, COMMON_ROWS, COMMON_SEEN = 1 << 18, 8000, 4
 _U = np.uint64
 _ODD = [_U(x) for x in np.random.default_rng(7).integers(1, 1 << 63, 64, np.uint64) * _U(2) + _U(1)]
@@ -161,7 +162,7 @@ def _set_id(tokens: np.ndarray) -> int:
 
 
 def _word_cache() -> UnitCache:
-    return UnitCache(xxhash.xxh3_64_intdigest)
+    return UnitCache(xxhash.xxh3_64_intdigest, 200_000)
 
 
 def _table(schema: list[tuple[str, pa.DataType]], *columns) -> pa.RecordBatch:
@@ -415,23 +416,26 @@ def _links(docs: DataFrame, rows: DataFrame, k: int, limit: Limit) -> DataFrame:
     placed = placed.union(cells.select("cell", "leaf").join(centre, "cell").select("cell", "leaf", "sid")).distinct()
     leaves = stored(placed.join(point, "sid").groupBy("cell", "leaf").agg(
         F.collect_list(F.struct("sid", "w", "n", "point")).alias("members")), "leaves")  # LEAF + 1 at most
-    stars = stored(leaves.mapInArrow(_stars(limit), "a long, b long").distinct(), "stars")
-    linked = stored(_verify(stars, texts, member, k, limit), "star-links")
+    with batches_of(docs.sparkSession, BATCH):
+        stars = stored(leaves.mapInArrow(_stars(limit), "a long, b long").distinct(), "stars")
+        linked = stored(_verify(stars, texts, member, k, limit), "star-links")
 
     parts = stored(components(linked), "star-parts")
     split = placed.join(parts, placed["sid"] == parts["node"], "left").select("cell", "leaf", "sid", F.coalesce("component", "sid").alias("part"))
     split = stored(split, "split")
     mixed = stored(split.groupBy("cell").agg(F.min("part").alias("x"), F.max("part").alias("y")).where("x != y").select("cell"), "mixed")
     labels = split.join(mixed, "cell").groupBy("cell", "leaf").agg(F.collect_list(F.struct("sid", "part")).alias("parts"))  # LEAF + 1 at most
-    boxes = stored(leaves.join(labels, ["cell", "leaf"]).select("cell", "leaf", "members", "parts").mapInArrow(
-        _corners, f"{_MEMBERS}, parts array<struct<sid:long,part:long>>, least_n long, corner array<long>"), "boxes")
-    sides = [boxes.select("cell", *(F.col(c).alias(f"{side}_{c}") for c in ("leaf", "members", "parts", "least_n", "corner")))
-             for side in ("left", "right")]
-    overlap = F.aggregate(F.zip_with("left_corner", "right_corner", lambda x, y: F.least(x, y)), F.lit(0).cast("long"), lambda s, x: s + x)
-    need = F.ceil((F.col("left_least_n") + F.col("right_least_n")) * limit.num / (limit.num + limit.den))
-    pairs = sides[0].join(sides[1], "cell").where("left_leaf <= right_leaf").where(overlap >= need)
-    pairs = stored(pairs.mapInArrow(_leaf_pairs(limit), "a long, b long").distinct(), "pairs")
-    return linked.unionByName(_verify(pairs, texts, member, k, limit))
+    with batches_of(docs.sparkSession, BATCH):
+        boxes = stored(leaves.join(labels, ["cell", "leaf"]).select("cell", "leaf", "members", "parts").mapInArrow(
+            _corners, f"{_MEMBERS}, parts array<struct<sid:long,part:long>>, least_n long, corner array<long>"), "boxes")
+        sides = [boxes.select("cell", *(F.col(c).alias(f"{side}_{c}") for c in ("leaf", "members", "parts", "least_n", "corner")))
+                 for side in ("left", "right")]
+        overlap = F.aggregate(F.zip_with("left_corner", "right_corner", lambda x, y: F.least(x, y)), F.lit(0).cast("long"), lambda s, x: s + x)
+        need = F.ceil((F.col("left_least_n") + F.col("right_least_n")) * limit.num / (limit.num + limit.den))
+        pairs = sides[0].join(sides[1], "cell").where("left_leaf <= right_leaf").where(overlap >= need)
+        pairs = stored(pairs.mapInArrow(_leaf_pairs(limit), "a long, b long").distinct(), "pairs")
+        more = stored(_verify(pairs, texts, member, k, limit), "more-links")
+    return linked.unionByName(more)
 
 
 def _texts(docs: DataFrame) -> DataFrame:
