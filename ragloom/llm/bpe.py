@@ -225,7 +225,7 @@ def _prepare(pattern: str, known, ranks):
             found = [vocabulary.get(w) or (np.array([ids[w]], np.int32).tobytes() if w in ids else None) for w in parts]
             return b"".join(found) if None not in found else list(zip(parts, found, strict=True))
 
-        further, first = UnitCache(lambda u: look_up(unit_text(u))), UnitCache(look_up, 1000)
+        further, first = UnitCache(lambda u: look_up(unit_text(u)), 200_000), UnitCache(look_up, 1000)
         for batch in batches:
             rows = []
             for uid, doc_id, t in zip(*(batch.column(c).to_pylist() for c in ("uid", "doc_id", "text")), strict=True):
@@ -265,6 +265,11 @@ def _fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str, vocabulary: int = VOCABULARY) -> DataFrame:
     """uid, doc_id and ids (little-endian 32-bit, as binary) of every row."""
+    return _merged(docs, ranks_path, pattern, vocabulary).mapInArrow(_fill, "uid long, doc_id long, ids binary")
+
+
+def _merged(docs: DataFrame, ranks_path: str, pattern: str, vocabulary: int) -> DataFrame:
+    """Documents as sequences with gaps, and the merged words for the gaps."""
     spark = docs.sparkSession
     ranks = RankMap(load_ranks(ranks_path))
     texts = docs.select(F.monotonically_increasing_id().alias("uid"), F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -279,8 +284,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, vocabulary: int = VOC
     prepared = texts.mapInArrow(
         _prepare(pattern, spark.sparkContext.broadcast(known), spark.sparkContext.broadcast(ranks.tokens)),
         "uid long, doc_id long, sequence binary, words array<array<int>>")
-    folded = prepared.select("uid", "doc_id", "sequence", F.transform("words", lambda w: fold_merges(w, ranks)).alias("merged"))
-    return folded.mapInArrow(_fill, "uid long, doc_id long, ids binary")
+    return prepared.select("uid", "doc_id", "sequence", F.transform("words", lambda w: fold_merges(w, ranks)).alias("merged"))
 
 
 def _as_ints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -319,5 +323,9 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def round_trip(docs: DataFrame, ranks_path: str, pattern: str, **settings) -> DataFrame:
     """Per row: doc_id, n_tokens, ids_sha256 (of the decimal ids joined by
     commas), decoded_sha256 (of the decoded bytes)."""
-    decoded = decode(encode(docs, ranks_path, pattern, **settings), ranks_path)
-    return decoded.mapInArrow(_digests, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    tokens = docs.sparkSession.sparkContext.broadcast(load_ranks(ranks_path))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:  # one Python worker for the three steps
+        return _digests(_decoder(tokens)(_fill(batches)))
+    return _merged(docs, ranks_path, pattern, settings.get("vocabulary", VOCABULARY)).mapInArrow(
+        run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
