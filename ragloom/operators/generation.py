@@ -49,7 +49,7 @@ def with_retry(call: Callable[[], str], sleep: Callable[[float], None] = time.sl
             if not is_rate_limited(e):
                 return None, f"{type(e).__name__}: {e}"
             sleep(BASE_DELAY * (attempt + 1) + EXTRA_DELAY)
-    return None, f"rate limited on each of {retries} attempts"
+    return None, f"still rate limited, gave up after {retries} retries"
 
 
 def extractive_generator():
