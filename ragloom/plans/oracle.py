@@ -45,7 +45,7 @@ chunks AS (
 
 KEYWORD_CASES = """keyword_cases AS (
   SELECT item_id AS case_id,
-         text AS query, regexp_extract_all(lower(text), '\p{L}{6,}') AS expected_keywords
+         text AS query, regexp_extract_all(lower(text), '\\p{L}{6,}') AS expected_keywords
   FROM benchmark)"""
 
 VECS = """vec_queries AS (
@@ -115,7 +115,7 @@ def _br4(x: str) -> str:
 
 
 IMPACT = IMPACT.replace("{grade_rqi}", _grade("rqi"))
-KW_RE = "'\p{L}{6,}'"
+KW_RE = "'\\p{L}{6,}'"
 
 JUDGED = """cp AS (
   SELECT query_id AS sample_id, sum(pat * v) / (sum(v) + 1e-10) AS value FROM (
@@ -125,20 +125,20 @@ JUDGED = """cp AS (
           FROM hits h JOIN vec_queries q USING (query_id) JOIN vec_corpus c USING (corpus_id)))
   GROUP BY query_id),
 cr_toks AS (
-  SELECT k.case_id, regexp_extract_all(lower(coalesce(k.query, '')), '\p{L}{6,}') AS toks,
+  SELECT k.case_id, regexp_extract_all(lower(coalesce(k.query, '')), '\\p{L}{6,}') AS toks,
          lower(coalesce(c.context, '')) AS ctx
   FROM keyword_cases k LEFT JOIN case_ctx c USING (case_id) WHERE k.query <> ''),
 cr AS (
   SELECT case_id, len(toks)::BIGINT AS n_statements,
          len(list_filter(toks, lambda t: contains(ctx, t)))::BIGINT AS n_supported FROM cr_toks),
 ff_toks AS (
-  SELECT case_id, regexp_extract_all(lower(answer), '\p{L}{6,}') AS toks, lower(coalesce(query, '')) AS ctx
+  SELECT case_id, regexp_extract_all(lower(answer), '\\p{L}{6,}') AS toks, lower(coalesce(query, '')) AS ctx
   FROM qa_cases WHERE query <> ''),
 ff AS (
   SELECT case_id, coalesce(len(toks), 0)::BIGINT AS n_statements,
          coalesce(len(list_filter(toks, lambda t: contains(ctx, t))), 0)::BIGINT AS n_supported FROM ff_toks),
-qtok AS (SELECT case_id, unnest(regexp_extract_all(lower(query), '\p{L}{6,}')) AS token FROM qa_cases WHERE query <> ''),
-atok AS (SELECT case_id, unnest(regexp_extract_all(lower(answer), '\p{L}{6,}')) AS token FROM qa_cases WHERE query <> ''),
+qtok AS (SELECT case_id, unnest(regexp_extract_all(lower(query), '\\p{L}{6,}')) AS token FROM qa_cases WHERE query <> ''),
+atok AS (SELECT case_id, unnest(regexp_extract_all(lower(answer), '\\p{L}{6,}')) AS token FROM qa_cases WHERE query <> ''),
 qc AS (SELECT case_id, token, count(*) AS c FROM qtok GROUP BY case_id, token),
 ac AS (SELECT case_id, token, count(*) AS c FROM atok GROUP BY case_id, token),
 qn AS (SELECT case_id, sum(c * c) AS n FROM qc GROUP BY case_id),
@@ -166,7 +166,7 @@ RETRIEVAL = """rr AS (
 GENERATION = """gr AS (
   SELECT case_id, len(kw)::BIGINT AS n_keywords,
          len(list_filter(kw, lambda w: contains(lower(coalesce(answer, '')), lower(w))))::BIGINT AS n_found
-  FROM (SELECT *, regexp_extract_all(lower(query), '\p{L}{6,}') AS kw FROM qa_cases)
+  FROM (SELECT *, regexp_extract_all(lower(query), '\\p{L}{6,}') AS kw FROM qa_cases)
   WHERE length(query) > 0),
 gr2 AS (SELECT *, CASE WHEN n_keywords = 0 THEN 0.0 ELSE n_found::DOUBLE / n_keywords END AS recall FROM gr)"""
 
@@ -205,7 +205,7 @@ pairs AS (
   WHERE n.prompt_version <> 'prompt_v0')"""
 
 TFIDF = CHUNKS + """,
-toks AS (SELECT chunk_id, unnest(regexp_extract_all(lower(text), '\p{L}{6,}')) AS token FROM chunks),
+toks AS (SELECT chunk_id, unnest(regexp_extract_all(lower(text), '\\p{L}{6,}')) AS token FROM chunks),
 tf AS (SELECT chunk_id, token, count(*) AS tf FROM toks GROUP BY chunk_id, token),
 dfreq AS (SELECT token, count(*) AS df FROM tf GROUP BY token),
 ndocs AS (SELECT count(*) AS n FROM chunks),
@@ -402,8 +402,8 @@ ORACLE_SQL: dict[str, str] = {
 
     "answer_diff": _with(RESPONSES, """tk AS (
   SELECT question_text, prompt_version, length(base_response)::BIGINT AS base_chars, length(response)::BIGINT AS new_chars,
-         list_distinct(regexp_extract_all(lower(base_response), '\p{L}{6,}')) AS bt,
-         list_distinct(regexp_extract_all(lower(response), '\p{L}{6,}')) AS nt
+         list_distinct(regexp_extract_all(lower(base_response), '\\p{L}{6,}')) AS bt,
+         list_distinct(regexp_extract_all(lower(response), '\\p{L}{6,}')) AS nt
   FROM pairs)""")
     + "SELECT question_text, prompt_version, base_chars, new_chars, new_chars - base_chars AS len_delta, "
       "round(round(CASE WHEN len(list_distinct(list_concat(bt, nt))) = 0 THEN NULL "
