@@ -32,6 +32,8 @@ import uuid
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -89,24 +91,66 @@ def marked_pages(pages: DataFrame) -> DataFrame:
     return joined.select("page_id", "url", "payload", "payload_bytes", "payload_digest", refers.alias("refers_to"))
 
 
+def _cells(sizes: DataFrame, step: int) -> dict[int, tuple[int, int]]:
+    """Ranges of ids: first id -> (last id, bytes).  A range of more than
+    ``step`` bytes is cut again until it holds one id, so sparse or uneven ids
+    give even ranges.  Their number follows from the bytes, not from the rows."""
+    low, high, total = sizes.where("page_id is not null").agg(F.min("page_id"), F.max("page_id"), F.sum("b")).first()
+    waiting, done = [] if low is None else [(low, high, total)], {}
+    while waiting:
+        cells = []
+        for first, last, size in waiting:
+            width = last - first + 1
+            parts = min(max(2 * size // step, 2), RANGES, width)
+            cuts = [first + i * width // parts for i in range(parts + 1)]
+            cells += [(x, y - 1) for x, y in zip(cuts, cuts[1:], strict=False)]
+        starts, ends = (np.array([c[i] for c in cells], np.int64) for i in (0, 1))
+        cell = F.pandas_udf(_cell_of(starts, ends), "long")
+        held = sizes.where("page_id is not null").groupBy(cell("page_id").alias("cell")).agg(F.sum("b").alias("b")).where("cell >= 0").collect()  # one row per cell
+        waiting = []
+        for r in held:
+            first, last = cells[r["cell"]]
+            if r["b"] > step and last > first:
+                waiting.append((first, last, r["b"]))
+            else:
+                done[first] = last, r["b"]
+        waiting.sort()
+    return done
+
+
+def _cell_of(starts: np.ndarray, ends: np.ndarray):
+    def run(ids: pd.Series) -> pd.Series:
+        at = np.searchsorted(starts, ids.to_numpy(), side="right") - 1
+        return pd.Series(np.where((at >= 0) & (ids.to_numpy() <= ends[at]), at, -1))
+    return run
+
+
+def _shard_of(starts: np.ndarray, base: np.ndarray, ways: np.ndarray):
+    def run(ids: pd.Series, salt: pd.Series) -> pd.Series:
+        at = np.maximum(np.searchsorted(starts, ids.to_numpy(), side="right") - 1, 0)
+        return pd.Series(base[at] + salt.to_numpy() % ways[at])
+    return run
+
+
 def _shards(pages: DataFrame, shard_bytes: int, least: int) -> tuple[Column, int]:
-    """The shard of a page_id, from the payload bytes of equal ranges of ids,
-    and the number of shards."""
-    sizes = pages.select(F.col("page_id").cast("long").alias("page_id"), F.coalesce(F.octet_length("html"), F.lit(0)).cast("long").alias("b"))
-    low, high, total = sizes.agg(F.min("page_id"), F.max("page_id"), F.sum("b")).first()
-    width = max((high - low) // RANGES + 1, 1) if low is not None else 1
-    ranges = F.when(F.col("page_id").isNull(), -1).otherwise(F.floor((F.col("page_id") - F.lit(low or 0)) / width)).cast("long")
-    per_range = {r["r"]: r["b"] for r in sizes.groupBy(ranges.alias("r")).agg(F.sum(F.col("b") + 500).alias("b")).collect()}  # RANGES + 1 rows
-    step = max(min(shard_bytes, sum(per_range.values()) // least), 1)
-    shard, seen = {}, 0
-    for r in sorted(per_range):
-        shard[r], seen = seen // step, seen + per_range[r]
-    first = min(per_range, default=0)
-    table = [shard.get(first, 0)]
-    for r in range(first + 1, max(per_range, default=first) + 1):
-        table.append(shard.get(r, table[-1]))
-    column = F.from_json(F.lit(str(table)), "array<long>")
-    return F.get(column, (ranges - first).cast("int")), (table[-1] + 1 if total is not None else 1)
+    """The shard of a page, by page_id, and the number of shards.  An id (or
+    none) with more bytes than a shard has several, told apart by payload."""
+    sizes = stored(pages.select(F.col("page_id").cast("long").alias("page_id"), (F.coalesce(F.octet_length("html"), F.lit(0)) + 500).cast("long").alias("b")), "page-sizes")
+    total, unnamed = sizes.agg(F.sum("b"), F.sum(F.when(F.col("page_id").isNull(), F.col("b")))).first()
+    step = max(min(shard_bytes, (total or 0) // least), 1)
+    n = none = -(-(unnamed or 0) // step)
+    starts, base, ways, room = [], [], [], 0
+    for first, (_, size) in sorted(_cells(sizes, step).items()):
+        if size > room:
+            starts.append(first)
+            base.append(n)
+            ways.append(-(-size // step))
+            n, room = n + ways[-1], step
+        room = 0 if size > step else room - size
+    salt = F.pmod(F.xxhash64("payload"), F.lit(1 << 30))
+    lookup = F.pandas_udf(_shard_of(*(np.array(x or [0], np.int64) for x in (starts, base, ways or [1]))), "long")
+    named = lookup(F.coalesce("page_id", F.lit(0)), salt)
+    return F.when(F.col("page_id").isNull(), salt % max(none, 1)).otherwise(named), max(n, 1)
 
 
 class Roller:
@@ -177,7 +221,7 @@ def write_archives(pages: DataFrame, folder: str, shard_bytes: int = SHARD_BYTES
     spark = pages.sparkSession
     least = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     shard, n = _shards(pages, shard_bytes, least)
-    dealt = marked_pages(pages).withColumn("shard", shard).repartitionByRange(n, "shard").sortWithinPartitions(
+    dealt = marked_pages(pages).withColumn("shard", shard).repartitionById(n, F.col("shard").cast("int")).sortWithinPartitions(
         "shard", "page_id", "url", "payload_digest")
     dealt.mapInArrow(_write(folder, roll_bytes), MANIFEST).write.parquet(f"{folder}/manifest")
     files = spark.read.schema(MANIFEST).parquet(f"{folder}/manifest")
@@ -190,7 +234,7 @@ def records(stream) -> Iterator[tuple[dict, bytes]]:
     z, waiting = zlib.decompressobj(31), b""
     out = io.BytesIO()
     while True:
-        data = waiting or stream.read(1 << 20)
+        data = waiting or stream.read(1 << 16)  # small, as what is left is copied at every record
         if not data:
             break
         out.write(z.decompress(data))

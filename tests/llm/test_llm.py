@@ -279,6 +279,18 @@ def test_warc_files_do_not_depend_on_the_layout(spark, tmp_path):
     assert seen[0] == seen[1] and len(seen[0]) > 3
 
 
+def test_warc_shards_are_even_whatever_the_ids(spark):
+    ids = [*range(200), 10 ** 12, 2 ** 63 - 1, -2 ** 63, *[77] * 60, *[None] * 60]
+    pages = spark.createDataFrame([(x, "u", f"{i} " + "y" * 500) for i, x in enumerate(ids)], "page_id long, url string, html string")
+    shard, n = warc._shards(pages, 10_000, 1)
+    rows = warc.marked_pages(pages).select(shard.alias("shard"), "page_id").collect()
+    sizes = Counter(r["shard"] for r in rows)
+    assert set(sizes) <= set(range(n)) and max(sizes.values()) <= 25 and len(sizes) >= 30
+    single = sorted((r["shard"], r["page_id"]) for r in rows if r["page_id"] not in (None, 77))
+    assert [x for _, x in single] == sorted(x for _, x in single)
+    assert Counter(r["page_id"] for r in warc.archives(pages, shard_bytes=10_000).collect()) == Counter(ids)
+
+
 def test_toxicity_separates_marked_documents(spark, empty):
     rng = np.random.default_rng(1)
     words = [f"{a}{b}{c}" for a in ("ba", "de", "fi", "go") for b in ("la", "me", "ni") for c in ("to", "ru", "sa", "")]
