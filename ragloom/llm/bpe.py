@@ -24,11 +24,13 @@ import base64
 import hashlib
 import heapq
 import json
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,6 +42,8 @@ NO_MERGE = 1 << 20  # more than any rank
 MAX_WORD = 64
 MAX_FOLD = 256
 VOCABULARY = 1 << 19
+COUNTED = 150_000  # units in a task's memory at once
+AT_ONCE = 256  # documents in a batch that holds their words
 
 
 def load_ranks(path: str) -> list[bytes]:
@@ -172,7 +176,7 @@ def word_pattern(pattern: str):
 
 def _count_words(pattern: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rx, counts, heads = word_pattern(pattern), Counts(), Counts()
+        rx, counts, heads = word_pattern(pattern), Counts(COUNTED), Counts(COUNTED)
 
         def drain():
             words = Counter()
@@ -209,6 +213,33 @@ def frequent(counts: DataFrame, limit: int) -> DataFrame:
     return counts.where(F.col("n") >= least)
 
 
+def pack_words(words: pa.Array, ids: pa.Array) -> tuple[np.ndarray, ...]:
+    """Words and their ids as flat arrays in order of the words' hashes: in a
+    worker they take a few bytes more than their contents."""
+    words, ids = words.to_pylist(), ids.to_pylist()
+    hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in words], np.uint64)
+    order = np.argsort(hashes, kind="stable").tolist()
+    ends = [np.cumsum([0, *(len(x[i]) for i in order)], dtype=np.int64) for x in (words, ids)]
+    flat = np.array([t for i in order for t in ids[i]], np.int32)
+    return hashes[order], ends[0], np.frombuffer(b"".join(words[i] for i in order), np.uint8), ends[1], flat
+
+
+class Vocabulary:
+    """Look-up in what ``pack_words`` returns."""
+
+    def __init__(self, packed: tuple[np.ndarray, ...]):
+        self._hashes, self._word_ends, self._words, self._id_ends, self._ids = map(memoryview, packed)
+
+    def get(self, word: bytes) -> bytes | None:
+        h = xxhash.xxh3_64_intdigest(word)
+        i = bisect_left(self._hashes, h)
+        while i < len(self._hashes) and self._hashes[i] == h:
+            if self._words[self._word_ends[i]:self._word_ends[i + 1]] == word:
+                return self._ids[self._id_ends[i]:self._id_ends[i + 1]].tobytes()
+            i += 1
+        return None
+
+
 def _prepare(pattern: str, known, ranks):
     """Documents as ids with gaps: the words still to merge, and the sequence
     of ids in which -(i + 1) stands for the i-th of them."""
@@ -216,7 +247,7 @@ def _prepare(pattern: str, known, ranks):
               pa.field("words", pa.list_(pa.list_(pa.int32())))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rx, vocabulary = word_pattern(pattern), known.value
+        rx, vocabulary = word_pattern(pattern), Vocabulary(known.value)
         ids = worker_state("bpe_ids", lambda: {t: i for i, t in enumerate(ranks.value)})
 
         def look_up(unit: str):
@@ -226,7 +257,7 @@ def _prepare(pattern: str, known, ranks):
             return b"".join(found) if None not in found else list(zip(parts, found, strict=True))
 
         further, first = UnitCache(lambda u: look_up(unit_text(u)), 200_000), UnitCache(look_up, 1000)
-        for batch in batches:
+        for batch in (b.slice(i, AT_ONCE) for b in batches for i in range(0, max(b.num_rows, 1), AT_ONCE)):
             rows = []
             for uid, doc_id, t in zip(*(batch.column(c).to_pylist() for c in ("uid", "doc_id", "text")), strict=True):
                 head, units = gpt2_units(t or "")
@@ -280,7 +311,7 @@ def _merged(docs: DataFrame, ranks_path: str, pattern: str, vocabulary: int) ->
     merged = stored(as_bytes.repartition(spark.sparkContext.defaultParallelism * 2)
                     .select("word", fold_merges(F.col("bytes"), ranks).alias("ids")), "merged-words")
     table = merged.toArrow()  # bounded: ``vocabulary`` words of MAX_WORD bytes
-    known = {w: np.array(x, np.int32).tobytes() for w, x in zip(table["word"].to_pylist(), table["ids"].to_pylist(), strict=True)}
+    known = pack_words(table["word"].combine_chunks(), table["ids"].combine_chunks())
     prepared = texts.mapInArrow(
         _prepare(pattern, spark.sparkContext.broadcast(known), spark.sparkContext.broadcast(ranks.tokens)),
         "uid long, doc_id long, sequence binary, words array<array<int>>")
