@@ -30,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -216,12 +217,12 @@ def frequent(counts: DataFrame, limit: int) -> DataFrame:
 def pack_words(words: pa.Array, ids: pa.Array) -> tuple[np.ndarray, ...]:
     """Words and their ids as flat arrays in order of the words' hashes: in a
     worker they take a few bytes more than their contents."""
-    words, ids = words.to_pylist(), ids.to_pylist()
-    hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in words], np.uint64)
-    order = np.argsort(hashes, kind="stable").tolist()
-    ends = [np.cumsum([0, *(len(x[i]) for i in order)], dtype=np.int64) for x in (words, ids)]
-    flat = np.array([t for i in order for t in ids[i]], np.int32)
-    return hashes[order], ends[0], np.frombuffer(b"".join(words[i] for i in order), np.uint8), ends[1], flat
+    hashes = np.fromiter((xxhash.xxh3_64_intdigest(w.as_buffer()) for w in words), np.uint64, len(words))
+    order = np.argsort(hashes, kind="stable")
+    words, ids = words.cast(pa.large_binary()).take(order), ids.take(order)
+    ends = [np.cumsum(np.r_[0, pc.fill_null(f(x), 0).to_numpy()], dtype=np.int64) for f, x in ((pc.binary_length, words), (pc.list_value_length, ids))]
+    text = np.frombuffer(words.buffers()[2] or b"", np.uint8)[:ends[0][-1]]
+    return hashes[order], ends[0], text, ends[1], ids.flatten().to_numpy().astype(np.int32)
 
 
 class Vocabulary:

@@ -9,6 +9,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -137,6 +138,15 @@ def _encoded(docs, name, end):
     return [(i, np.array([*t.encode(x or "", add_special_tokens=False).ids, end], "<u4")) for i, x in _rows(docs)]
 
 
+def test_packed_words_are_found():
+    words = [b"a", b"ab", bytes(range(64)), b"\xff"]
+    ids = [[1], [2, 3], list(range(9)), [50_000]]
+    known = bpe.Vocabulary(bpe.pack_words(pa.array(words, pa.binary()), pa.array(ids, pa.list_(pa.int32()))))
+    assert [known.get(w) for w in words] == [np.array(x, np.int32).tobytes() for x in ids]
+    assert known.get(b"b") is None
+    assert bpe.Vocabulary(bpe.pack_words(pa.array([], pa.binary()), pa.array([], pa.list_(pa.int32())))).get(b"a") is None
+
+
 def test_token_files_round_trip(docs, empty):
     path = public_tokenizers.path("byte_bpe_50k.json")
     for length in (2048, 7):
