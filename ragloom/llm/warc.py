@@ -6,8 +6,10 @@ the others revisit it.  The pages are range-sorted by page_id into shards
 whose bounds follow from the sorted ids and payload bytes alone, not from the
 table's files or a random sample; each task writes its shard record by record,
 one gzip member each, and begins a new file when the compressed size reaches
-``roll_bytes``.  Headers are generated anew and hold nothing that changes from
-run to run, so the same pages give the same files byte for byte.
+``roll_bytes``.  An id, or no id, with more bytes than a shard is dealt over
+several by a hash of the payload; only equal payloads of one id stay together.
+Headers are generated anew and hold nothing that changes from run to run, so
+the same pages give the same files byte for byte.
 
 Committing: files are written under temporary names of the task attempt; the
 manifest, a table with file, records, bytes and digest, holds those of the
