@@ -1,27 +1,29 @@
 """Line deduplication by pairwise alignment (operator 2).
 
-Documents overlap if they share a line of at least ``LEAST_CHARS`` characters
-(blanks at its ends apart).  Such a line is rare: most occur in one document
-only and meet nothing.  Every document that has a shared line is aligned with
-the first document that has it, by patience diff: lines that occur once on
-either side are matched in the longest common order, the stretches between
-them treated likewise, equal lines next to a match belong to it.  Matched
-lines that follow each other on both sides are a block; blocks that hold a
-line of that length are deleted from the later document.
-
-A line that k documents share makes k - 1 pairs, with the first one, not a
-pair of each two: every line that any earlier document has is also in the
-first of these, so nothing is lost but lines out of order.  No line is too
-common to count.  The joins on lines and first documents are inner joins of
-stored tables, which Spark splits at a frequent line or a document with many
-copies.
+Of every pair of documents, the blocks they share are deleted from the later
+one.  A block is a run of lines that follow each other in both (blanks at
+their ends apart) and hold at least ``LEAST_CHARS`` characters together, be it
+one line or many short ones.  A block counts wherever it lies in either
+document and however often: what a diff of the two aligns in blocks of that
+length is always deleted, and so is what it cannot align because of the order
+or of repetitions.
+
+No pair is formed for this.  The keys of a document are the hashes of its
+shortest runs of that length, from every line onwards and up to every line.
+A block of that length has such a run around each of its lines: up to a line
+if what lies before it in the block is long enough, else from the block's
+start.  So a line is in a block shared with some earlier document if and only
+if a run around it has a key whose first document is an earlier one, and one
+aggregation finds the first document of every key.  No line is too common to
+count; the join of keys and first documents is an inner join of stored
+tables, which Spark splits at a frequent key.
 
 Order of documents: doc_id (null last), then the row's number in the scan.
 Defined results: null and empty texts have one empty line and stay as they
-are; rows that repeat a doc_id are documents of their own; an empty table
-gives no rows; other columns are kept by ``dedup_lines``.  ``docs`` is read
-more than once and must give the same rows in the same partitions each time,
-as a table scan does.
+are; what only one document repeats stays; rows that repeat a doc_id are
+documents of their own; an empty table gives no rows; other columns are kept
+by ``dedup_lines``.  ``docs`` is read more than once and must give the same
+rows in the same partitions each time, as a table scan does.
 """
 
 from __future__ import annotations
@@ -39,6 +41,7 @@ from pyspark.sql import functions as F
 from .tables import stored, unused
 
 LEAST_CHARS = 40
+BASE = 0x9E3779B97F4A7C15  # odd, 5 mod 8
 
 
 def lines_of(text: str | None) -> list[str]:
@@ -89,76 +92,71 @@ def patience(a: list, b: list) -> list[tuple[int, int]]:
     return sorted(found)
 
 
-def common_blocks(later: list, earlier: list, is_long) -> list[int]:
-    """Positions in ``later`` of the aligned blocks that hold a long line."""
-    out, block, last = [], [], None
-    for i, j in [*patience(later, earlier), (None, None)]:
-        if last is not None and (i is None or i != last[0] + 1 or j != last[1] + 1):
-            if any(is_long[x] for x in block):
-                out += block
-            block = []
-        block.append(i)
-        last = i, j
-    return out
-
-
-def _hashed(least_chars: int):
-    fields = [("uid", pa.int64()), ("doc_id", pa.int64()), ("lines", pa.binary()), ("long", pa.binary()), ("keys", pa.list_(pa.int64()))]
-
+def runs_of(lines: list[str], least_chars: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and key of the shortest runs of at least ``least_chars``
+    characters from every line onwards and up to every line."""
+    own = [x.strip() for x in lines]
+    h = np.array([xxhash.xxh3_64_intdigest(x.encode("utf-8", "surrogatepass")) for x in own], np.uint64)
+    sums = np.cumsum([0, *map(len, own)])
+    least = max(least_chars, 1)
+    ends = np.searchsorted(sums, sums[:-1] + least)  # len(sums) if the rest is too short
+    starts = np.searchsorted(sums, sums[1:] - least, "right") - 1  # -1 if what is before is too short
+    lead = np.flatnonzero(ends < len(sums))
+    trail = np.flatnonzero(starts >= 0)
+    start, end = np.r_[lead, starts[trail]], np.r_[ends[lead], trail + 1]
+    up, down = (np.cumprod(np.r_[np.uint64(1), np.full(len(h), x, np.uint64)]) for x in (BASE, pow(BASE, -1, 1 << 64)))
+    prefix = np.cumsum(np.r_[np.uint64(0), h * up[:-1]], dtype=np.uint64)
+    return start, end, ((prefix[end] - prefix[start]) * down[start]).astype(np.int64)
+
+
+def _keys(least_chars: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for uid, doc_id, text in zip(*(batch.column(c).to_pylist() for c in ("uid", "doc_id", "text")), strict=True):
-                own = [x.strip() for x in lines_of(text)]
-                h = np.array([xxhash.xxh3_64_intdigest(x.encode("utf-8", "surrogatepass")) for x in own], np.uint64).astype(np.int64)
-                is_long = np.array([len(x) >= least_chars for x in own])
-                rows.append((uid, doc_id, h.tobytes(), is_long.tobytes(), np.unique(h[is_long])))
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, (_, t) in enumerate(fields)], [n for n, _ in fields])
+            keys = [np.unique(runs_of(lines_of(text), least_chars)[2]) for text in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("uid"), batch.column("doc_id"), pa.array(keys, pa.list_(pa.int64()))], ["uid", "doc_id", "keys"])
     return run
 
 
-def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        out = []
-        for later, is_long, earlier in zip(*(batch.column(c) for c in ("lines", "long", "first_lines")), strict=True):
-            a, b = (np.frombuffer(x.as_buffer(), np.int64).tolist() for x in (later, earlier))
-            out.append(common_blocks(a, b, np.frombuffer(is_long.as_buffer(), bool)))
-        yield pa.RecordBatch.from_arrays([batch.column("uid"), pa.array(out, pa.list_(pa.int32()))], ["uid", "deleted"])
-
-
-def repeated_lines(docs: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame:
-    """uid (the row's number in the scan) and deleted (positions of lines) of
-    the documents that lose lines."""
+def repeated_runs(docs: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame:
+    """uid (the row's number in the scan) and keys (of the runs that an earlier
+    document has) of the documents that lose lines."""
     texts = docs.select(F.monotonically_increasing_id().alias("uid"), F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows = stored(texts.mapInArrow(_hashed(least_chars), "uid long, doc_id long, lines binary, long binary, keys array<long>"), "lines")
+    rows = stored(texts.mapInArrow(_keys(least_chars), "uid long, doc_id long, keys array<long>"), "runs")
     order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("uid"))
     keyed = rows.select("uid", order.alias("place"), F.explode("keys").alias("key"))
-    shared = stored(keyed.groupBy("key").agg(F.min("place")["uid"].alias("first"), F.count("*").alias("n")).where("n > 1").drop("n"), "shared-lines")
-    pairs = stored(keyed.select("uid", "key").join(shared, "key").where("uid != first").select("uid", "first").distinct(), "pairs")
-    first = rows.select(F.col("uid").alias("first"), F.col("lines").alias("first_lines"))
-    joined = pairs.join(rows.select("uid", "lines", "long"), "uid").join(first, "first")
-    blocks = joined.select("uid", "lines", "long", "first_lines").mapInArrow(_aligned, "uid long, deleted array<int>")
-    return blocks.where(F.size("deleted") > 0).groupBy("uid").agg(F.array_distinct(F.flatten(F.collect_list("deleted"))).alias("deleted"))
+    shared = stored(keyed.groupBy("key").agg(F.min("place")["uid"].alias("first"), F.count("*").alias("n")).where("n > 1").drop("n"), "shared-runs")
+    found = stored(keyed.select("uid", "key").join(shared, "key").where("uid != first").select("uid", "key"), "repeated-runs")
+    return found.groupBy("uid").agg(F.collect_list("key").alias("keys"))  # two for each line of the document at most
 
 
-def _cut(column: str):
+def _cut(column: str, least_chars: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out, lost = [], []
-            for text, deleted in zip(batch.column("text").to_pylist(), batch.column(column).to_pylist(), strict=True):
-                gone = set(deleted or ())
-                out.append("\n".join(x for i, x in enumerate(lines_of(text)) if i not in gone) if gone else text)
-                lost.append(len(gone))
+            for text, keys in zip(batch.column("text").to_pylist(), batch.column(column), strict=True):
+                if keys.is_valid:
+                    lines = lines_of(text)
+                    start, end, key = runs_of(lines, least_chars)
+                    hit = np.isin(key, keys.values.to_numpy())
+                    marks = np.zeros(len(lines) + 1, np.int64)
+                    np.add.at(marks, start[hit], 1)
+                    np.add.at(marks, end[hit], -1)
+                    kept = np.cumsum(marks)[:-1] == 0
+                    lost.append(int((~kept).sum()))
+                    text = "\n".join(x for x, k in zip(lines, kept.tolist(), strict=True) if k)
+                else:
+                    lost.append(0)
+                out.append(text)
             batch = batch.set_column(batch.schema.get_field_index("text"), "text", pa.array(out, pa.string()))
             yield batch.drop_columns([column]).append_column("n_deleted", pa.array(lost, pa.int64()))
     return run
 
 
-def dedup_lines(docs: DataFrame, **settings) -> DataFrame:
+def dedup_lines(docs: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame:
     """``docs`` with the repeated blocks cut from ``text``, and n_deleted."""
     docs = docs.drop("n_deleted")
-    uid, cut = unused(docs, "__uid"), unused(docs, "__deleted")
-    deleted = stored(repeated_lines(docs, **settings).select(F.col("uid").alias(uid), F.col("deleted").alias(cut)), "deleted")
-    marked = docs.withColumn(uid, F.monotonically_increasing_id()).join(deleted, uid, "left").drop(uid)
+    uid, cut = unused(docs, "__uid"), unused(docs, "__keys")
+    repeated = stored(repeated_runs(docs, least_chars).select(F.col("uid").alias(uid), F.col("keys").alias(cut)), "repeated")
+    marked = docs.withColumn(uid, F.monotonically_increasing_id()).join(repeated, uid, "left").drop(uid)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return marked.mapInArrow(_cut(cut), f"{schema}, n_deleted long")
+    return marked.mapInArrow(_cut(cut, least_chars), f"{schema}, n_deleted long")

@@ -252,6 +252,46 @@ def test_line_dedup(spark, docs, empty):
     assert line_dedup.dedup_lines(empty).count() == 0
 
 
+def _repeated_blocks(rows, least):
+    """Positions of each document in a block shared with an earlier one: all pairs, all blocks."""
+    order = sorted(range(len(rows)), key=lambda n: _place(rows[n][0]))
+    lines = {n: [x.strip() for x in (rows[n][1] or "").split("\n")] for n in order}
+    out = {n: set() for n in order}
+    for at, n in enumerate(order):
+        for m in order[:at]:
+            a, b = lines[n], lines[m]
+            for i in range(len(a)):
+                for j in range(len(b)):
+                    size = 0
+                    while i + size < len(a) and j + size < len(b) and a[i + size] == b[j + size]:
+                        size += 1
+                    if sum(map(len, a[i:i + size])) >= least:
+                        out[n] |= set(range(i, i + size))
+    return out
+
+
+def _cut_lines(spark, rows, **settings):
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(_table(spark, rows), **settings).collect()}
+    return [got[i] for i, _ in rows]
+
+
+def test_line_dedup_of_passages_in_another_order(spark):
+    p1, p2 = ("this passage has more than forty characters, number %d" % i for i in (1, 2))
+    rows = [(1, f"{p1}\n{p2}"), (2, f"{p2}\n{p1}\nnew"), (3, f"{p2}\n{p1}\nnew"), (4, "\n".join([p1, "x", p2, "y"]))]
+    assert _cut_lines(spark, rows) == [rows[0][1], "new", "", "x\ny"]
+
+
+def test_line_dedup_equals_all_blocks_of_all_pairs(spark):
+    rng = np.random.default_rng(8)
+    words = ["", " ", "a", "bc", "def", "ghij", "k" * 6]
+    rows = [(i, "\n".join(words[x] for x in rng.integers(0, len(words), rng.integers(1, 14)))) for i in range(40)]
+    want = _repeated_blocks(rows, 8)
+    assert any(want.values())
+    lines = {n: rows[n][1].split("\n") for n in want}
+    left = [rows[n][1] if not want[n] else "\n".join(x for i, x in enumerate(lines[n]) if i not in want[n]) for n in range(len(rows))]
+    assert _cut_lines(spark, rows, least_chars=8) == left
+
+
 def test_patience_matches_are_ordered_and_equal():
     rng = np.random.default_rng(6)
     for _ in range(200):
