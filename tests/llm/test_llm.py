@@ -281,6 +281,15 @@ def test_line_dedup_of_passages_in_another_order(spark):
     assert _cut_lines(spark, rows) == [rows[0][1], "new", "", "x\ny"]
 
 
+def test_line_dedup_of_repeated_and_of_short_lines(spark):
+    hot = "a footer that stands on every page of a document"
+    rows = [(1, f"y1\n{hot}\ny2\n{hot}\ny3"), (2, f"x1\n{hot}\nx2\n{hot}\nx3\n{hot}"), (3, f"z1\n{hot}\nz2")]
+    assert _cut_lines(spark, rows) == [rows[0][1], "x1\nx2\nx3", "z1\nz2"]
+    short = "\n".join(["for x in table:", "    if x:", "        count += 1", "", "日本語の行です。", "return count"])
+    rows = [(1, f"head\n{short}\ntail"), (2, f"other\n{short}"), (3, "for x in table:\nno")]
+    assert _cut_lines(spark, rows) == [rows[0][1], "other", rows[2][1]]
+
+
 def test_line_dedup_equals_all_blocks_of_all_pairs(spark):
     rng = np.random.default_rng(8)
     words = ["", " ", "a", "bc", "def", "ghij", "k" * 6]
