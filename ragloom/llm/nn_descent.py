@@ -8,13 +8,16 @@ cells, some times over; neighbours within a cell start the graph.  Then rounds
 of NN-descent: every node joins with its neighbours and reverse neighbours, and
 all of these, being neighbours of neighbours, are compared with each other;
 a pair goes on only if it beats the farthest neighbour that one of the two has
-now.  The lists are merged, and rounds end when few of them change.  Messages
+now.  The lists are merged, and rounds end only when few of them change (a
+list only ever gets nearer, so they do).  Messages
 carry the vectors in half precision; a list keeps ``DEGREE`` neighbours and at
 most ``REVERSE`` reverse ones, the nearest, so every join is bounded by the
 number of nodes.
 
-Searching: greedy graph search for all queries at once.  A query holds a beam
-of the nearest nodes seen; each round joins its best unexpanded nodes with the
+Searching: greedy graph search for all queries at once.  A query starts from
+its own node, so that it is in its own cluster however small that is, and from
+the nearest of ``ENTRIES`` nodes.  It holds a beam of the nearest nodes seen;
+each round joins its best unexpanded nodes with the
 graph and the new ones with the vectors, until no node of the beam is left to
 expand.  Scores are Euclidean distances in double precision on the original
 vectors.
@@ -40,7 +43,6 @@ from .tables import stored
 DEGREE = 24
 REVERSE = 24
 EMIT = 6
-ROUNDS = 5
 LEAST_CHANGE = 0.02
 TREES = 4
 CELL = 64
@@ -221,7 +223,7 @@ def _halves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(half, pa.binary())], ["node", "vec"])
 
 
-def build_graph(nodes: DataFrame, degree: int = DEGREE, rounds: int = ROUNDS) -> DataFrame:
+def build_graph(nodes: DataFrame, degree: int = DEGREE) -> DataFrame:
     """Edges (u, v, d): the nearest neighbours found of every node."""
     spark = nodes.sparkSession
     n = nodes.count()
@@ -237,7 +239,7 @@ def build_graph(nodes: DataFrame, degree: int = DEGREE, rounds: int = ROUNDS) ->
     start = cells.repartition("cell").sortWithinPartitions("cell").mapInArrow(_within_cells(degree), EDGE_SQL)
     edges = stored(_lists(start, degree), "graph")
     halves = stored(nodes.select("node", "vec").mapInArrow(_halves, "node long, vec binary"), "halves")
-    for _ in range(rounds):
+    while True:
         radius = edges.groupBy("u").agg(F.when(F.count("*") >= degree, F.max("d")).otherwise(float("inf")).cast("float").alias("radius"))
         members = halves.join(radius, halves["node"] == radius["u"], "left").select(
             F.col("node").alias("member"), "vec", F.coalesce("radius", F.lit(float("inf")).cast("float")).alias("radius"))
@@ -270,10 +272,14 @@ def _begin(entries):
         nodes, x = entries.value
         for batch in batches:
             rows = []
-            for q, vec in zip(batch.column("query_id").to_pylist(), batch.column("vec").to_pylist(), strict=True):
+            for q, vec, own in zip(*(batch.column(c).to_pylist() for c in ("query_id", "vec", "own")), strict=True):
                 d = exact_distance(np.frombuffer(vec, "<f4"), x)
                 top = np.lexsort((nodes, d))[:EXPAND]
-                rows.append((q, vec, nodes[top], nodes[top], d[top], [True] * len(top)))
+                ids, dist = nodes[top], d[top]
+                if own is not None:
+                    other = ids != own
+                    ids, dist = np.r_[own, ids[other]], np.r_[0.0, dist[other]]
+                rows.append((q, vec, ids, ids, dist, [True] * len(ids)))
             yield _batch(_STATE, *([r[i] for r in rows] for i in range(6)))
     return run
 
@@ -310,7 +316,8 @@ def _advance(beam: int):
 
 
 def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, beam: int = BEAM) -> DataFrame:
-    """query_id, node, score: the beam of every query (query_id, vec)."""
+    """query_id, node, score: the beam of every query (query_id, vec, own: its
+    node, null if it has none)."""
     spark = queries.sparkSession
     links = stored(graph.select("u", "v").union(_reverse(graph, REVERSE).select("u", "v")).distinct()
                    .groupBy("u").agg(F.collect_list("v").alias("next")), "links")  # DEGREE + REVERSE at most
@@ -318,7 +325,7 @@ def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, beam: int = B
     if not first:
         return spark.createDataFrame([], "query_id long, node long, score double")
     entries = spark.sparkContext.broadcast((np.array([r["node"] for r in first], np.int64), np.array([np.frombuffer(r["vec"], "<f4") for r in first])))
-    state = stored(queries.select("query_id", "vec").mapInArrow(_begin(entries), _STATE_SQL), "beams")
+    state = stored(queries.select("query_id", "vec", "own").mapInArrow(_begin(entries), _STATE_SQL), "beams")
     vectors = nodes.select("node", F.col("vec").alias("node_vec"))
     while True:
         to_expand = F.slice(F.filter("beam", lambda x, i: F.get("open", i)), 1, EXPAND)
@@ -343,6 +350,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, vector: str = "em
     nodes = nodes_of(rows.select("vec_id", "vector"), k)
     queries = stored(rows.where("is_query").select(F.col("vec_id").alias("query_id"), "vector").mapInArrow(
         _as_bytes, "query_id long, vec binary").dropDuplicates(["query_id"]), "queries")
+    queries = stored(queries.join(nodes.select("vec", F.col("node").alias("own")), "vec", "left"), "own-nodes")
     found = search(queries, nodes, build_graph(nodes), max(BEAM, k + 1))
     each = (found.join(nodes.select("node", "ids"), "node").select("query_id", "score", F.explode("ids").alias("vec_id"))
             .where("vec_id != query_id"))

@@ -398,6 +398,24 @@ def test_nearest_neighbours_against_brute_force(spark):
     assert nn_descent.nearest(few, F.lit(True)).count() == 12
 
 
+def test_nearest_neighbours_in_clusters_without_an_entry(spark, monkeypatch):
+    monkeypatch.setattr(nn_descent, "ENTRIES", 4)  # as few among these as 1024 are in a large table
+    rng = np.random.default_rng(12)
+    centres = rng.standard_normal((20, 16))
+    x = np.concatenate([centres[i % 20] + 1e-2 * rng.standard_normal(16) for i in range(1000)]).reshape(1000, 16).astype(np.float32)
+    x[500:520] = x[:20]  # copies
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    found = {}
+    for r in nn_descent.nearest(rows, F.col("vec_id") < 100).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = 0
+    for q in range(100):
+        d = nn_descent.exact_distance(x[q], x)
+        d[q] = np.inf
+        hits += len(found[q] & set(np.lexsort((np.arange(1000), d))[:10].tolist()))
+    assert hits >= 950 and all(q + 500 in found[q] for q in range(20))
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline
     folder = "/root/testdata/sf0.001"
