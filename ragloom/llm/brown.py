@@ -171,21 +171,21 @@ def exchange(bigrams: DataFrame, words: int, classes: int, rounds: int) -> tuple
 
 
 def _score(model):
-    fields = [("uid", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64()), ("rare", pa.list_(pa.binary())), ("times", pa.list_(pa.int32()))]
+    fields = [("uid", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64()), ("rare", pa.list_(pa.binary())), ("times", pa.list_(pa.int32()))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model.value
         known, size = m["ids"], len(m["ids"])
         for batch in batches:
             rows = []
-            for uid, text in zip(batch.column("uid").to_pylist(), batch.column("text"), strict=True):
+            for *row, text in zip(*(batch.column(c).to_pylist() for c in ("uid", "doc_id", "held_out")), batch.column("text"), strict=True):
                 words = words_of(text.as_py())
                 x = np.fromiter((known.get(w, size) for w in words), np.int64, len(words))
                 x = np.r_[x, size + 1]
                 c = m["classes"][x]
                 steps = m["transition"][np.r_[len(m["transition"]) - 1, c[:-1]], c].sum()
                 rare = Counter(w for w in words if w not in known)
-                rows.append((uid, len(x), int(m["known"][x].sum()), float(m["base"][x].sum()), float(steps + m["emission"][x].sum()), list(rare), list(rare.values())))
+                rows.append((*row, len(x), int(m["known"][x].sum()), float(m["base"][x].sum()), float(steps + m["emission"][x].sum()), list(rare), list(rare.values())))
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, (_, t) in enumerate(fields)], [n for n, _ in fields])
     return run
 
@@ -224,15 +224,15 @@ def brown_scores(docs: DataFrame, folds: int = 10, vocabulary: int = VOCABULARY,
         "base": np.r_[np.log10(n + ADD), 0, math.log10(ends + ADD)] - log_total,
         "emission": np.r_[np.log10(n + ADD) - np.log10(mass[own] + ADD * members[own]), -rare_base, 0],
     }
-    scored = stored(texts.select("uid", "doc_id", "held_out", "text").select("uid", "text").mapInArrow(
+    scored = stored(texts.mapInArrow(
         _score(spark.sparkContext.broadcast(model)),
-        "uid long, n_tokens long, n_known long, base double, score double, rare array<binary>, times array<int>"), "scored")
+        "uid long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, rare array<binary>, times array<int>"), "scored")
     rare = scored.select("uid", F.explode(F.arrays_zip("rare", "times")).alias("e")).select("uid", F.col("e.rare").alias("word"), F.col("e.times").alias("times"))
     seen = F.col("n").isNotNull()
     parts = rare.join(counts, "word", "left").groupBy("uid").agg(
         F.sum(F.when(seen, F.col("times")).otherwise(0)).alias("rare_known"),
         F.sum(F.col("times") * F.log10(F.coalesce(F.col("n"), F.lit(0)) + ADD)).alias("rare_log"))
-    rows = scored.drop("rare", "times").join(parts, "uid", "left").join(texts.select("uid", "doc_id", "held_out"), "uid")
+    rows = scored.drop("rare", "times").join(parts, "uid", "left")
     extra = F.coalesce(F.col("rare_log"), F.lit(0.0))
     return rows.select("doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
                        F.lit(total).cast("long").alias("train_tokens"), (F.col("base") + extra).alias("base_score"), (F.col("score") + extra).alias("score"))

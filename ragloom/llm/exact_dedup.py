@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .tables import rows_of, stored
+from .tables import numbered, rows_of, stored
 
 BLOCK_BYTES = 8192
 SPACES = r"[\x20\x09-\x0D]+"
@@ -77,10 +77,10 @@ def _hash(block: Column, bits: int) -> Column:
     return h if bits >= 64 else F.pmod(h, F.lit(1 << bits))
 
 
-def exact_dedup(docs: DataFrame, block_bytes: int = BLOCK_BYTES, hash_bits: int = 64) -> DataFrame:
-    """One row per row of ``docs``: uid (the row's number in the scan), doc_id,
+def exact_dedup(docs: DataFrame, block_bytes: int = BLOCK_BYTES, hash_bits: int = 64, uid: str | None = None) -> DataFrame:
+    """One row per row of ``docs``: uid (column ``uid``, else the row's number in the scan), doc_id,
     keep_id, group_size, kept, text_sha256."""
-    texts = docs.select(F.monotonically_increasing_id().alias("uid"), F.col("doc_id").cast("long").alias("doc_id"),
+    texts = docs.select((F.col(uid) if uid else F.monotonically_increasing_id()).alias("uid"), F.col("doc_id").cast("long").alias("doc_id"),
                         normalised(F.col("text")).alias("norm"))
     blocks = _blocks(F.col("norm"), block_bytes)
     rows = stored(texts.select(
@@ -118,4 +118,5 @@ def exact_dedup(docs: DataFrame, block_bytes: int = BLOCK_BYTES, hash_bits: int
 
 def drop_copies(docs: DataFrame, **settings) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    return rows_of(docs, exact_dedup(docs, **settings).where("kept"))
+    rows, uid = numbered(docs)
+    return rows_of(rows, uid, exact_dedup(rows, uid=uid, **settings).where("kept"))

@@ -52,7 +52,7 @@ from pyspark.sql import functions as F
 
 from .bpe import frequent
 from .components import components
-from .tables import batches_of, rows_of, stored
+from .tables import batches_of, numbered, rows_of, stored
 from .words import UnitCache
 
 GROUPS = 64  # of the corners; a point has as many or more
@@ -397,11 +397,10 @@ def common_shingles(texts: DataFrame, rows: DataFrame, k: int) -> np.ndarray:
     return np.sort(top["token"].to_numpy().view(np.uint64))
 
 
-def _links(docs: DataFrame, rows: DataFrame, k: int, limit: Limit) -> DataFrame:
+def _links(texts: DataFrame, rows: DataFrame, k: int, limit: Limit) -> DataFrame:
     """Edges (a, b) between ids of different sets, enough to connect all that
     are connected by links."""
-    texts = _texts(docs)
-    common = docs.sparkSession.sparkContext.broadcast(common_shingles(texts, rows, k))
+    common = texts.sparkSession.sparkContext.broadcast(common_shingles(texts, rows, k))
     signed = texts.select("text").mapInArrow(_signed(k, limit, common), "sig long, sid long, n long")
     cells = signed.repartition("sig").sortWithinPartitions("sig", "n", "sid").mapInArrow(_cells, "cell long, leaf long, members array<long>")
     cells = stored(cells.distinct(), "cells")
@@ -416,7 +415,7 @@ def _links(docs: DataFrame, rows: DataFrame, k: int, limit: Limit) -> DataFrame:
     placed = placed.union(cells.select("cell", "leaf").join(centre, "cell").select("cell", "leaf", "sid")).distinct()
     leaves = stored(placed.join(point, "sid").groupBy("cell", "leaf").agg(
         F.collect_list(F.struct("sid", "w", "n", "point")).alias("members")), "leaves")  # LEAF + 1 at most
-    with batches_of(docs.sparkSession, BATCH):
+    with batches_of(texts.sparkSession, BATCH):
         stars = stored(leaves.mapInArrow(_stars(limit), "a long, b long").distinct(), "stars")
         linked = stored(_verify(stars, texts, member, k, limit), "star-links")
 
@@ -425,7 +424,7 @@ def _links(docs: DataFrame, rows: DataFrame, k: int, limit: Limit) -> DataFrame:
     split = stored(split, "split")
     mixed = stored(split.groupBy("cell").agg(F.min("part").alias("x"), F.max("part").alias("y")).where("x != y").select("cell"), "mixed")
     labels = split.join(mixed, "cell").groupBy("cell", "leaf").agg(F.collect_list(F.struct("sid", "part")).alias("parts"))  # LEAF + 1 at most
-    with batches_of(docs.sparkSession, BATCH):
+    with batches_of(texts.sparkSession, BATCH):
         boxes = stored(leaves.join(labels, ["cell", "leaf"]).select("cell", "leaf", "members", "parts").mapInArrow(
             _corners, f"{_MEMBERS}, parts array<struct<sid:long,part:long>>, least_n long, corner array<long>"), "boxes")
         sides = [boxes.select("cell", *(F.col(c).alias(f"{side}_{c}") for c in ("leaf", "members", "parts", "least_n", "corner")))
@@ -438,17 +437,21 @@ def _links(docs: DataFrame, rows: DataFrame, k: int, limit: Limit) -> DataFrame:
     return linked.unionByName(more)
 
 
-def _texts(docs: DataFrame) -> DataFrame:
-    return docs.select(F.monotonically_increasing_id().alias("uid"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+def _texts(docs: DataFrame, uid: str) -> DataFrame:
+    return docs.select(F.col(uid).alias("uid"), F.col("doc_id").cast("long").alias("doc_id"), "text")
 
 
 def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """One row per row of ``docs``: uid (the row's number in the scan), doc_id,
     n_shingles, component_id (least doc_id of the component), first (this row
     is the one that stays of its component)."""
+    return _components_of(_texts(*numbered(docs.select("doc_id", "text"))), k, num, den)
+
+
+def _components_of(texts: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     limit = Limit(num, den)
-    rows = stored(_texts(docs).mapInArrow(_sizes(k), "uid long, doc_id long, n long, sid long, point binary"), "sets")
-    parts = components(_links(docs, rows, k, limit))
+    rows = stored(texts.mapInArrow(_sizes(k), "uid long, doc_id long, n long, sid long, point binary"), "sets")
+    parts = components(_links(texts, rows, k, limit))
     alone = F.col("n") == 0
     named = rows.join(parts, rows["sid"] == parts["node"], "left").select(
         "uid", "doc_id", "n", alone.alias("alone"),
@@ -463,4 +466,5 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
 
 def drop_near_copies(docs: DataFrame, **settings) -> DataFrame:
     """The rows of ``docs`` that stay, one of each component, all columns."""
-    return rows_of(docs, jaccard_components(docs, **settings).where("first"))
+    rows, uid = numbered(docs)
+    return rows_of(rows, uid, _components_of(_texts(rows, uid), **settings).where("first"))

@@ -22,8 +22,7 @@ Order of documents: doc_id (null last), then the row's number in the scan.
 Defined results: null and empty texts have one empty line and stay as they
 are; what only one document repeats stays; rows that repeat a doc_id are
 documents of their own; an empty table gives no rows; other columns are kept
-by ``dedup_lines``.  ``docs`` is read more than once and must give the same
-rows in the same partitions each time, as a table scan does.
+by ``dedup_lines``.  ``docs`` is read once, to be numbered and written.
 """
 
 from __future__ import annotations
@@ -38,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import stored, unused
+from .tables import numbered, stored, unused
 
 LEAST_CHARS = 40
 BASE = 0x9E3779B97F4A7C15  # odd, 5 mod 8
@@ -117,10 +116,10 @@ def _keys(least_chars: int):
     return run
 
 
-def repeated_runs(docs: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame:
-    """uid (the row's number in the scan) and keys (of the runs that an earlier
+def repeated_runs(docs: DataFrame, uid: str, least_chars: int = LEAST_CHARS) -> DataFrame:
+    """uid (the row's number, ``uid`` in ``docs``) and keys (of the runs that an earlier
     document has) of the documents that lose lines."""
-    texts = docs.select(F.monotonically_increasing_id().alias("uid"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    texts = docs.select(F.col(uid).alias("uid"), F.col("doc_id").cast("long").alias("doc_id"), "text")
     rows = stored(texts.mapInArrow(_keys(least_chars), "uid long, doc_id long, keys array<long>"), "runs")
     order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("uid"))
     keyed = rows.select("uid", order.alias("place"), F.explode("keys").alias("key"))
@@ -155,8 +154,9 @@ def _cut(column: str, least_chars: int):
 def dedup_lines(docs: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame:
     """``docs`` with the repeated blocks cut from ``text``, and n_deleted."""
     docs = docs.drop("n_deleted")
-    uid, cut = unused(docs, "__uid"), unused(docs, "__keys")
-    repeated = stored(repeated_runs(docs, least_chars).select(F.col("uid").alias(uid), F.col("keys").alias(cut)), "repeated")
-    marked = docs.withColumn(uid, F.monotonically_increasing_id()).join(repeated, uid, "left").drop(uid)
+    rows, uid = numbered(docs)
+    cut = unused(docs, "__keys")
+    repeated = stored(repeated_runs(rows, uid, least_chars).select(F.col("uid").alias(uid), F.col("keys").alias(cut)), "repeated")
+    marked = rows.join(repeated, uid, "left").drop(uid)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     return marked.mapInArrow(_cut(cut, least_chars), f"{schema}, n_deleted long")

@@ -61,11 +61,18 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
-def rows_of(docs: DataFrame, uids: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose number in the scan is in ``uids`` (uid)."""
+def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with the number of each row, written once, and that column's
+    name.  The number depends on how the scan is split, which may differ from
+    one scan to the next, so what is joined by it must be read from this table."""
     name = unused(docs, "__uid")
-    numbered = docs.withColumn(name, F.monotonically_increasing_id())
-    return numbered.join(uids.select(F.col("uid").alias(name)), name, "left_semi").select(*(F.col(f"`{c}`") for c in docs.columns))
+    return stored(docs.withColumn(name, F.monotonically_increasing_id()), "numbered"), name
+
+
+def rows_of(docs: DataFrame, name: str, uids: DataFrame) -> DataFrame:
+    """The rows of ``docs`` (``numbered``, by column ``name``) whose number is
+    in ``uids`` (uid), without the number."""
+    return docs.join(uids.select(F.col("uid").alias(name)), name, "left_semi").drop(name)
 
 
 def file_system(uri: str) -> tuple[pafs.FileSystem, str]:

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .brown import held_out
-from .tables import rows_of
+from .tables import unused
 
 FOLDS = 5
 SAMPLE = 3000
@@ -171,7 +171,7 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = FOLDS, sample: int =
     return {"toxic": toxic, "ordinary": ordinary, "weights": calibrate(features, np.array([r["toxic"] for r in parts[1]]), share)}
 
 
-def _score(model):
+def _score(model, name: str = "score"):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model.value
         gains = Gains(m["toxic"], m["ordinary"]) if "weights" in m else None
@@ -179,8 +179,8 @@ def _score(model):
             if gains is None:
                 scores = np.full(batch.num_rows, m["share"])
             else:
-                scores = logistic(np.array([gains.features(t.as_py()) for t in batch.column("text")]).reshape(-1, 5) @ m["weights"])
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(scores, pa.float64())], [*batch.schema.names[:-1], "score"])
+                scores = logistic(np.array([gains.features(t.as_py()) for t in batch.column(batch.num_columns - 1)]).reshape(-1, 5) @ m["weights"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(scores, pa.float64())], [*batch.schema.names[:-1], name])
     return run
 
 
@@ -196,4 +196,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, folds: int = FOLDS) -> DataFram
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, **settings) -> DataFrame:
     """The rows of ``docs`` that are not toxic by their score, all columns."""
-    return rows_of(docs, toxicity(docs, labels, **settings).where("predicted = 0"))
+    model = docs.sparkSession.sparkContext.broadcast(train(docs, labels, **settings))
+    text, score = unused(docs, "__text"), unused(docs, "__score")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    scored = docs.withColumn(text, F.col("text")).mapInArrow(_score(model, score), f"{schema}, {score} double")
+    return scored.where(F.col(score) < 0.5).drop(score)

@@ -416,6 +416,37 @@ def test_nearest_neighbours_in_clusters_without_an_entry(spark, monkeypatch):
     assert hits >= 950 and all(q + 500 in found[q] for q in range(20))
 
 
+@pytest.fixture
+def moving_splits(spark, monkeypatch):
+    """Scans are split in another way after every stored table, as when executors come and go."""
+    from ragloom.llm import tables
+    key, calls = "spark.sql.files.maxPartitionBytes", []
+    before, write = spark.conf.get(key), tables.stored
+
+    def moved(df, name):
+        out = write(df, name)
+        calls.append(name)
+        spark.conf.set(key, "300b" if len(calls) % 2 else before)
+        return out
+    for module in (tables, line_dedup, exact_dedup, jaccard_rtree, brown):
+        monkeypatch.setattr(module, "stored", moved)
+    yield
+    spark.conf.set(key, before)
+
+
+def test_rows_keep_their_numbers_when_splits_move(spark, moving_splits):
+    copy = "one two three four five six seven eight nine ten eleven twelve"
+    rows = [(i, copy if i % 2 else f"a{i} b{i} c{i} d{i} e{i} f{i} g{i} h{i}") for i in range(30)]
+    table = _table(spark, rows)
+    left = {0, 1, *range(2, 30, 2)}
+    assert sorted(r.doc_id for r in exact_dedup.drop_copies(table).collect()) == sorted(left)
+    assert sorted(r.doc_id for r in jaccard_rtree.drop_near_copies(table).collect()) == sorted(left)
+    want = [t if i in left else "" for i, t in rows]
+    assert _cut_lines(spark, rows) == want
+    got = {r.doc_id: r.n_tokens for r in brown.brown_scores(table, vocabulary=5, classes=2, rounds=1).collect()}
+    assert got == {i: len(t.split()) + 1 for i, t in rows}
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline
     folder = "/root/testdata/sf0.001"
