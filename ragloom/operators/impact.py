@@ -18,6 +18,7 @@ from ragloom.functions.text import KEYWORD_PATTERN, bround_stable, lower_tokens
 IDENTITY_COLS = ["question_id", "question_text", "prompt_version", "grade",
                  "rqi", "ragas", "retrieval", "generation", "model_name"]
 NUMERIC_COLS = ["rqi", "ragas", "retrieval", "generation"]
+TEXT_COLS = ["response", "change_summary"]
 DELTA_METRICS = ("rqi", "ragas")
 BASELINE_VERSION = "prompt_v0"
 
@@ -44,14 +45,15 @@ def select_existing(df: DataFrame, wanted) -> DataFrame:
 
 def nest_impact(rows: DataFrame) -> DataFrame:
     """Tidy rows -> one JSON document per question (the reference's nested
-    question -> version -> {scores} form).  A question has at most one entry
+    question -> version -> {response, change_summary, scores} form; the first
+    two are null where ``rows`` has none).  A question has at most one entry
     per prompt version, so every group is bounded by the catalogue."""
     scores = F.struct(*[F.col(c).cast("string").alias(c) if c in NUMERIC_COLS else F.col(c)
                         for c in ("model_name", "retrieval", "generation", "ragas", "rqi", "grade")],
                       F.col("prompt_version"))
+    texts = [(F.col(c) if c in rows.columns else F.lit(None)).cast("string").alias(c) for c in TEXT_COLS]
     entry = F.struct(F.col("prompt_version").alias("key"),
-                     F.struct(F.lit(None).cast("string").alias("response"),
-                              F.lit(None).cast("string").alias("change_summary"),
+                     F.struct(*texts,
                               F.struct(F.col("question_text").alias("query"),
                                        F.col("prompt_version")).alias("metadata"),
                               scores.alias("scores")).alias("value"))
@@ -80,7 +82,8 @@ def flatten_impact(nested: DataFrame, key: str = "question_id", doc: str = "docu
         numeric(F.col(f"{s}.ragas")).alias("ragas"),
         numeric(F.col(f"{s}.retrieval")).alias("retrieval"),
         numeric(F.col(f"{s}.generation")).alias("generation"),
-        F.col(f"{s}.model_name").alias("model_name"))
+        F.col(f"{s}.model_name").alias("model_name"),
+        *[F.col(f"r.{c}").alias(c) for c in TEXT_COLS])
 
 
 def flatten_impact_document(spark, path: str) -> DataFrame:

@@ -79,6 +79,17 @@ def test_impact_documents_roundtrip(spark, tmp_path):
         "prompt_version = 'prompt_v0'").count()
 
 
+def test_impact_documents_keep_answers_and_summaries(spark, tmp_path):
+    want = [("q1", "q1", "v0", "A", 0.9, 0.8, 0.7, 0.6, "m", "an answer\nin \"two\" lines", None),
+            ("q1", "q1", "v1", "B", 0.5, None, 0.7, 0.6, "m", "", "shorter"),
+            ("q2", "q2", "v0", None, None, None, None, None, None, None, None)]
+    cols = [*impact.IDENTITY_COLS, *impact.TEXT_COLS]
+    rows = spark.createDataFrame(want, ", ".join(f"{c} {'double' if c in impact.NUMERIC_COLS else 'string'}" for c in cols))
+    io.write_impact_documents(impact.nest_impact(rows), str(tmp_path / "docs"))
+    back = impact.flatten_impact(io.read_impact_documents(spark, str(tmp_path / "docs"))).select(cols)
+    assert sorted(map(tuple, back.collect()), key=lambda r: r[::2][:2]) == want
+
+
 def test_single_file_impact_document(spark, tmp_path):
     doc = {"What is X?": {"question": "What is X?", "prompt_results": {
         "prompt_v0": {"response": "x", "scores": {"rqi": 0.7, "grade": "B", "model_name": "prompt_v0"}},
