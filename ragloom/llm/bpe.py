@@ -199,19 +199,39 @@ def _count_words(pattern: str):
     return run
 
 
-def frequent(counts: DataFrame, limit: int) -> DataFrame:
+def _top(rows: DataFrame, key: Column, limit: int) -> DataFrame:
+    """The rows whose ``key`` (a long, not negative) is above the least value
+    for which they are no more than ``limit``.  A histogram of the leading bits
+    finds the step at the limit, and finer ones within that step the value."""
+    low, high, shift, room = 0, 1 << 63, 48, limit
+    while True:
+        inside = rows.where((key >= low) & (key <= high - 1)).groupBy(F.shiftright(key, shift).alias("step")).agg(F.count("*").alias("rows"))
+        for step, n in sorted(((r["step"], r["rows"]) for r in inside.collect()), reverse=True):  # 65,536 rows at most
+            if n > room:
+                break
+            room -= n
+        else:
+            return rows.where(key >= low)
+        if shift == 0:
+            return rows.where(key > step)
+        low, high, shift = step << shift, (step + 1) << shift, max(shift - 16, 0)
+
+
+def frequent(counts: DataFrame, limit: int, ties: str | None = None) -> DataFrame:
     """Rows of the most frequent words (word, n), ``limit`` at most: all words
-    above the least count for which they are no more than that.  The counts
-    are looked at as a histogram, so nothing is sorted in one task."""
-    steps = counts.select(F.least(F.col("n"), F.lit(100_000)).alias("n")).groupBy("n").agg(F.count("*").alias("words"))
-    total, least = 0, None
-    for n, words in sorted(((r["n"], r["words"]) for r in steps.collect()), reverse=True):  # 100,000 rows at most
-        if total + words > limit:
-            break
-        total, least = total + words, n
-    if least is None:  # the top step alone is too large
-        return counts.where(F.lit(False))
-    return counts.where(F.col("n") >= least)
+    above the least count for which they are no more than that, and, if
+    ``ties`` names the column that tells rows apart, as many of those that have
+    this count as there is room for, in order of that column's hash.  Nothing
+    is sorted in one task."""
+    top = _top(counts, F.col("n"), limit)
+    if ties is None:
+        return top
+    room, least = limit - top.count(), top.agg(F.min("n")).first()[0]
+    tied = counts if least is None else counts.where(F.col("n") < least)
+    step = tied.agg(F.max("n")).first()[0]
+    if not room or step is None:
+        return top
+    return top.unionByName(_top(tied.where(F.col("n") == step), F.shiftrightunsigned(F.xxhash64(ties), 1), room))
 
 
 def pack_words(words: pa.Array, ids: pa.Array) -> tuple[np.ndarray, ...]:

@@ -2,7 +2,8 @@
 
 The model is a class bigram: P(token | previous) = P(class | previous class) *
 P(token | class).  Words, their counts and the class transitions come from all
-training documents.  The ``vocabulary`` most frequent words (a documented size)
+training documents.  The ``vocabulary`` most frequent words (a documented size;
+equally frequent ones in order of their hash)
 are assigned to classes by exchange clustering: starting from frequency order,
 each round takes the bigram table and, for every word, the counts of its
 neighbours' classes on either side, and moves the word to the class that
@@ -202,7 +203,7 @@ def brown_scores(docs: DataFrame, folds: int = 10, vocabulary: int = VOCABULARY,
     ends = training.count()
     total, distinct = (sums[0] or 0) + ends, sums[1] + (ends > 0)
 
-    common = frequent(counts.where(F.octet_length("word") <= MAX_WORD), vocabulary).orderBy(F.col("n").desc(), "word").toArrow()  # ``vocabulary`` rows at most
+    common = frequent(counts.where(F.octet_length("word") <= MAX_WORD), vocabulary, "word").orderBy(F.col("n").desc(), "word").toArrow()  # ``vocabulary`` rows at most
     n = np.array(common["n"].to_pylist(), np.float64)
     ids = {w: i for i, w in enumerate(common["word"].to_pylist())}
     size = len(ids)

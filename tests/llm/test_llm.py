@@ -213,6 +213,18 @@ def test_brown_base_score_and_counts(docs, empty):
     assert brown.brown_scores(empty).count() == 0
 
 
+def test_frequent_words_are_found_whatever_their_counts(spark):
+    ns = [200_000] * 3 + [10 ** 12 + 1, 10 ** 12, 150_000, 5, 5, 5, 1]
+    counts = spark.createDataFrame([(f"w{i}", n) for i, n in enumerate(ns)], "word string, n long")
+    top = sorted(ns, reverse=True)
+    for limit in range(1, 13):
+        assert sorted((r.n for r in bpe.frequent(counts, limit, "word").collect()), reverse=True) == top[:limit]
+        whole = [n for n in top if sum(m >= n for m in top) <= limit]
+        assert sorted((r.n for r in bpe.frequent(counts, limit).collect()), reverse=True) == whole
+    hot = spark.range(50).select(F.concat(F.lit("w"), "id").alias("word"), F.lit(300_000).cast("long").alias("n"))
+    assert bpe.frequent(hot, 20, "word").count() == 20 and bpe.frequent(hot.limit(0), 20, "word").count() == 0
+
+
 def test_best_class_is_the_best_of_all_moves():
     rng = np.random.default_rng(4)
     bigrams = rng.integers(0, 6, (9, 9)).astype(float)
