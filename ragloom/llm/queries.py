@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, brown, exact_dedup, jaccard_rtree, line_dedup, nn_descent, packing, token_files, toxicity, warc
+from . import (bpe, brown, exact_dedup, fill_middle, hard_negatives, jaccard_rtree, line_dedup, nn_descent, packing,
+               setsketch, token_files, toxicity, warc)
 
 #: Where the public tokenizers' files lie; the package that holds them, if unset.
 TOKENIZERS = os.environ.get("RAGLOOM_TOKENIZERS")
@@ -70,6 +71,23 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(vectors.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = fill_middle.restore(fill_middle.fill_in_middle(_table(spark, sf_dir, "documents")))
+    digest = lambda c: F.sha2(F.col(c).cast("binary"), 256)
+    return cut.select("doc_id", "n", "form", F.col("prefix_units").alias("prefix_chars"), F.col("middle_units").alias("middle_chars"),
+                      digest("output").alias("output_sha256"), digest("text").alias("restored_sha256"))
+
+
+def op13_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setsketch.near_duplicates(_table(spark, sf_dir, "documents"), k=2, num=80, den=100)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -77,5 +95,6 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_nn_descent, op2_line_dedup, op3_exact_dedup, op4_toxicity, op5_warc, op6_packing,
-                            op7_token_files, op8_byte_bpe, op9_brown, op10_jaccard, pipeline)
+                            op7_token_files, op8_byte_bpe, op9_brown, op10_jaccard, op11_hard_negatives, op12_fill_middle,
+                            op13_setsketch, pipeline)
 }
