@@ -15,13 +15,12 @@ Physical form (no pair rows are ever emitted):
   carried columns, within the same bound), the corpus is shipped once and the
   queries are streamed with ``mapInPandas``: every query meets the whole
   corpus in one task, so its top-k is final there -- no ranking shuffle.
-* **blocked path** -- otherwise, queries are hashed into ``Q`` blocks that each
-  fit the same bound and the corpus into ``C`` blocks; query blocks are
-  replicated over corpus blocks and corpus blocks over query blocks (a block
-  nested loop, not a row cross join), and ``cogroup(...).applyInPandas``
-  computes the per-block top-k.
+* **index path** -- otherwise the corpus is cut into cells and blocks with
+  distance rings (:mod:`ragloom.operators.metric_index`); every query visits
+  blocks in order of their lower bound and stops at its k-th distance.  No
+  corpus row is copied, and blocks that cannot hold a neighbour are not read.
 
-On the broadcast and blocked paths the final ranking is ``row_number() over
+On the broadcast-query path the final ranking is ``row_number() over
 (partition by query order by distance, corpus id) <= k`` on at most ``k``
 candidates per task per query, which Spark plans with a partial
 ``WindowGroupLimit`` before the exchange.
@@ -30,7 +29,6 @@ Distances are squared L2 in float64, ties broken by the corpus id.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,6 +37,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ragloom.functions.text import basename_or_unknown
+from ragloom.operators.metric_index import build_index, search_index, usable
+from ragloom.session import cut_lineage
 
 TOP_K = 3              # fixed value of the reference: three chunks per query
 PAIR_TILE = 65536      # (query, candidate) pairs re-ranked at once
@@ -81,7 +81,7 @@ class _TopK:
 
     def offer(self, qm: np.ndarray, qn: np.ndarray, cm: np.ndarray, cid: np.ndarray,
               payload: pd.DataFrame | None = None) -> None:
-        if len(cid) == 0:
+        if len(cid) == 0 or len(qm) == 0:
             return
         cn = np.einsum("ij,ij->i", cm, cm)
         take = min(self.k, len(cid))
@@ -150,19 +150,6 @@ def _scan_with_broadcast(bq, k: int, carry=(), exclude_self: bool = False):
     return run
 
 
-def _block_pair(k: int, carry=(), exclude_self: bool = False):
-    def run(qpdf: pd.DataFrame, cpdf: pd.DataFrame) -> pd.DataFrame:
-        if len(qpdf) == 0 or len(cpdf) == 0:
-            return _empty(carry)
-        qm = _to_matrix(qpdf["embedding"])
-        qids = qpdf["query_id"].to_numpy("int64")
-        top = _TopK(len(qids), k, carry, qids if exclude_self else None)
-        top.offer(qm, np.einsum("ij,ij->i", qm, qm), _to_matrix(cpdf["embedding"]),
-                  cpdf["corpus_id"].to_numpy("int64"), cpdf[list(carry)] if carry else None)
-        return top.finish(qids)
-    return run
-
-
 def _scan_queries_with_broadcast_corpus(bc, k: int, carry=(), exclude_self: bool = False):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cids, cm, payload = bc.value
@@ -194,7 +181,8 @@ def knn_topk(queries: DataFrame, corpus: DataFrame, k: int = TOP_K,
     ``carry`` names narrow corpus columns (ids, labels) returned with each hit
     so that no lookup join against the corpus is needed afterwards.
     ``exclude_self`` skips the corpus row whose id equals the query id
-    (leave-one-out search of a table against itself).
+    (leave-one-out search of a table against itself).  Rows whose vector is
+    null, empty or not finite throughout take no part, as queries or as corpus.
     """
     return knn_search(queries, corpus, k, query_id, corpus_id, vector,
                       max_broadcast_bytes, carry, materialize=False, exclude_self=exclude_self)[0]
@@ -215,10 +203,10 @@ def knn_search(queries: DataFrame, corpus: DataFrame, k: int = TOP_K,
     corpus scan, and a lost executor does not rerun it either."""
     spark = queries.sparkSession
     carry = tuple(carry)
-    q = queries.select(F.col(query_id).cast("bigint").alias("query_id"),
-                       F.col(vector).alias("embedding"))
-    c = corpus.select(F.col(corpus_id).cast("bigint").alias("corpus_id"),
-                      F.col(vector).alias("embedding"), *carry)
+    q = usable(queries.select(F.col(query_id).cast("bigint").alias("query_id"),
+                              F.col(vector).alias("embedding")))
+    c = usable(corpus.select(F.col(corpus_id).cast("bigint").alias("corpus_id"),
+                             F.col(vector).alias("embedding"), *carry))
     schema = CANDIDATE_SCHEMA + "".join(
         f", {f.name} {f.dataType.simpleString()}" for f in corpus.schema.fields if f.name in carry)
     stats = q.agg(F.count(F.lit(1)).alias("n"),
@@ -244,15 +232,8 @@ def knn_search(queries: DataFrame, corpus: DataFrame, k: int = TOP_K,
             final = q.mapInPandas(_scan_queries_with_broadcast_corpus(bc, k, carry, exclude_self),
                                   schema + ", rank bigint")
         else:
-            n_blocks_q = max(1, math.ceil(q_bytes / max_broadcast_bytes))
-            # corpus blocks of at most max_broadcast_bytes of float64 vectors each
-            n_blocks_c = max(1, math.ceil(n_c * max(dim, 1) * 8 / max_broadcast_bytes))
-            qb = (q.withColumn("qb", F.pmod(F.xxhash64("query_id"), F.lit(n_blocks_q)))
-                  .withColumn("cb", F.explode(F.sequence(F.lit(0), F.lit(n_blocks_c - 1)))))
-            cb = (c.withColumn("cb", F.pmod(F.xxhash64("corpus_id"), F.lit(n_blocks_c)))
-                  .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(n_blocks_q - 1)))))
-            cand = (qb.groupBy("qb", "cb").cogroup(cb.groupBy("qb", "cb"))
-                    .applyInPandas(_block_pair(k, carry, exclude_self), schema))
+            index = build_index(c, carry)
+            return search_index(q, index, k, exclude_self), n_q * k
     if final is not None:
         hits = final.select("query_id", "rank", "corpus_id", "distance", *carry)
     else:
@@ -261,7 +242,6 @@ def knn_search(queries: DataFrame, corpus: DataFrame, k: int = TOP_K,
                 .where(F.col("rank") <= k)
                 .select("query_id", "rank", "corpus_id", "distance", *carry))
     if materialize:
-        from ragloom.session import cut_lineage
         hits = cut_lineage(hits)
     return hits, n_q * k
 
@@ -277,9 +257,10 @@ def fetch_rows(hits: DataFrame, table: DataFrame, key: str, cols: list[str],
     ``key`` (left join), ``table`` holding at most one row per key.
 
     * Hits proven small (``hit_rows_bound`` from the kNN, n_queries * k, within
-      ``max_broadcast_rows``): the needed keys are broadcast, the table is
-      reduced to those rows while it streams through once (never shuffled),
-      and the reduced rows are broadcast to the hits.
+      ``max_broadcast_rows``): the needed keys (8 bytes each) are broadcast and
+      the table is reduced to those rows while it streams through once.  How
+      the reduced rows meet the hits is left to adaptive execution, which
+      knows their bytes by then: texts are broadcast only while they are small.
     * Beyond the bound: one plain shuffle join of the hits with the table.  A
       semi-join reduction would shuffle the table as well and only hide the
       join's inputs from adaptive execution; as it is, both inputs are direct
@@ -291,7 +272,7 @@ def fetch_rows(hits: DataFrame, table: DataFrame, key: str, cols: list[str],
     if not small:
         return hits.join(table.select(key, *cols), key, "left")
     need = F.broadcast(hits.select(key).where(F.col(key).isNotNull()).distinct())
-    rows = F.broadcast(table.select(key, *cols).join(need, key, "left_semi"))
+    rows = table.select(key, *cols).join(need, key, "left_semi")
     return hits.join(rows, key, "left")
 
 

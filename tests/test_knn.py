@@ -1,4 +1,4 @@
-"""The block kNN join equals brute force, on both physical paths."""
+"""The kNN join equals brute force, on every physical path."""
 
 import numpy as np
 import pytest
@@ -175,3 +175,66 @@ def test_topk_keeps_the_smallest_ids_of_many_ties():
                 part = order[a:a + step]
                 top.offer(q, (q * q).sum(1), corpus[part], part.astype("int64"))
             assert top.ids[0].tolist() == [0, 1, 2], (trial, step)
+
+
+# ------------------------------------------------------------ metric index --
+
+def _clustered(spark, rng, n=3000, d=12, groups=25):
+    centre = rng.normal(size=(groups, d)) * 12
+    x = (centre[rng.integers(0, groups, n)] + rng.normal(size=(n, d))).astype(np.float32)
+    x[: n // 3] = x[0] + rng.normal(size=(n // 3, d)).astype(np.float32) * 0.01   # one cell with a third of all rows
+    x[100:160] = x[100]                                                            # and many exact copies
+    return x, spark.createDataFrame([(i, x[i].tolist(), f"t{i}") for i in range(n)], "corpus_id long, embedding array<float>, tag string")
+
+
+def test_index_visits_few_blocks_and_is_exact(spark):
+    from ragloom.operators.metric_index import build_index, search_index
+    rng = np.random.default_rng(7)
+    x, corpus = _clustered(spark, rng)
+    ask = [int(i) for i in rng.choice(len(x), 40, replace=False)] + [100, 101]
+    queries = corpus.where(F.col("corpus_id").isin(ask)).select(F.col("corpus_id").alias("query_id"), "embedding")
+    index = build_index(corpus.repartition(6), ("tag",), rows_per_block=64)
+    visited = []
+    got = {}
+    for r in search_index(queries, index, 4, exclude_self=True, visited=visited).collect():
+        assert r["tag"] == f"t{r['corpus_id']}"
+        got.setdefault(r["query_id"], []).append((r["rank"], r["corpus_id"], r["distance"]))
+    xd = x.astype(np.float64)
+    for i in set(ask):
+        d = ((xd[i] - xd) ** 2).sum(axis=1)
+        want = [j for j in sorted(range(len(x)), key=lambda j: (d[j], j)) if j != i][:4]
+        lst = sorted(got[i])
+        assert [t[1] for t in lst] == want
+        assert np.allclose([t[2] for t in lst], d[want], rtol=1e-12, atol=0)
+    # a block holds rows of one cell, none is lost or copied
+    rows = index.blocks.selectExpr("n", "size(corpus_id) AS m", "corpus_id").collect()
+    assert all(r["n"] == r["m"] <= 64 for r in rows)
+    assert sorted(i for r in rows for i in r["corpus_id"]) == list(range(len(x)))
+    assert sum(visited) < 0.5 * index.n_blocks * len(set(ask)), (visited, index.n_blocks)
+
+
+def test_index_bounds_never_exceed_a_distance(spark):
+    from ragloom.operators.metric_index import build_index, lower_bounds
+    rng = np.random.default_rng(8)
+    x, corpus = _clustered(spark, rng, n=800)
+    x, corpus = x * 1000, corpus.withColumn("embedding", F.transform("embedding", lambda v: (v * 1000).cast("float")))
+    index = build_index(corpus, rows_per_block=16)
+    xd = np.array([r["embedding"] for r in corpus.orderBy("corpus_id").collect()], np.float64)
+    bound = lower_bounds(xd, index.centres, index.headers)
+    for r in index.blocks.select("block", "corpus_id").collect():
+        at = int(np.flatnonzero(index.headers["block"] == r["block"])[0])
+        for j in r["corpus_id"]:
+            assert (bound[:, at] <= ((xd - xd[j]) ** 2).sum(axis=1)).all()
+
+
+@pytest.mark.parametrize("max_bytes", [64 * 1024 * 1024, 64])
+def test_rows_without_a_usable_vector_take_no_part(spark, max_bytes):
+    rows = [(1, [0.0, 0.0]), (2, [1.0, 0.0]), (3, None), (4, [float("nan"), 0.0]), (5, [None, 1.0]), (6, []), (7, [float("inf"), 0.0]), (8, [3.0, 0.0])]
+    q = spark.createDataFrame(rows, "query_id long, embedding array<float>")
+    c = spark.createDataFrame(rows, "corpus_id long, embedding array<float>")
+    got = knn_topk(q, c, k=2, exclude_self=True, max_broadcast_bytes=max_bytes)
+    assert sorted((r["query_id"], r["rank"], r["corpus_id"]) for r in got.collect()) == [
+        (1, 1, 2), (1, 2, 8), (2, 1, 1), (2, 2, 8), (8, 1, 2), (8, 2, 1)]
+    empty = c.where("corpus_id < 0")
+    assert knn_topk(q, empty, k=2, max_broadcast_bytes=max_bytes).count() == 0
+    assert knn_topk(q.where("query_id < 0"), c, k=2, max_broadcast_bytes=max_bytes).count() == 0
