@@ -15,6 +15,7 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pandas as pd
@@ -115,75 +116,84 @@ def window_chunks(documents: DataFrame, size: int = CHUNK_SIZE,
 
 
 # --------------------------------------------------------------------------
-# Recursive separator splitter (per page, inside mapInPandas)
+# Separator splitter over break offsets (per page, inside mapInPandas)
 # --------------------------------------------------------------------------
 
-def _cut(text: str, sep: str) -> list[str]:
-    """Split keeping each separator at the start of the piece that follows it;
-    empty pieces are dropped.  The empty separator splits into characters."""
-    if sep == "":
-        return list(text)
-    parts = re.split("(" + re.escape(sep) + ")", text)
-    pieces = [parts[0]]
-    pieces.extend(parts[i] + parts[i + 1] for i in range(1, len(parts) - 1, 2))
-    return [p for p in pieces if p]
-
-
-def _pack(pieces: list[str], size: int, overlap: int) -> list[str]:
-    """Greedy merge of small pieces into chunks of at most ``size`` characters,
-    carrying a tail of at most ``overlap`` characters into the next chunk."""
-    out: list[str] = []
-    window: list[str] = []
-    total = 0
-    for piece in pieces:
-        n = len(piece)
-        if window and total + n > size:
-            merged = "".join(window).strip()
-            if merged:
-                out.append(merged)
-            while window and (total > overlap or total + n > size):
-                total -= len(window[0])
-                window.pop(0)
-        window.append(piece)
-        total += n
-    merged = "".join(window).strip()
-    if merged:
-        out.append(merged)
+def _breaks(text: str, sep: str, start: int, end: int):
+    """Offsets in ``start .. end`` at which a unit may begin: each occurrence
+    of the separator, or every character; the ends included."""
+    if not sep:
+        return range(start, end + 1)
+    found = [m.start() for m in re.compile(re.escape(sep)).finditer(text, start, end)]
+    return [start, *(found[1:] if found and found[0] == start else found), end]
+
+
+def _trimmed(text: str, start: int, end: int) -> tuple[int, int] | None:
+    part = text[start:end]
+    kept = part.strip()
+    if not kept:
+        return None
+    low = start + len(part) - len(part.lstrip())
+    return low, low + len(kept)
+
+
+def _run_spans(text: str, at, first: int, last: int, size: int, overlap: int, out: list) -> None:
+    """Chunks of the short units between the breaks ``at[first .. last]``."""
+    begin = first
+    while True:
+        end = bisect_right(at, at[begin] + size, begin + 1, last + 1) - 1
+        span = _trimmed(text, at[begin], at[end])
+        if span:
+            out.append(span)
+        if end == last:
+            return
+        begin = bisect_left(at, max(at[end] - overlap, at[end + 1] - size), begin, end + 1)
+
+
+def chunk_spans(text: str, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP,
+                separators: tuple[str, ...] = SEPARATORS) -> list[tuple[int, int]]:
+    """Chunks of ``text`` as (start, end) offsets, white space trimmed.
+
+    A stretch of text is cut at the coarsest separator that it holds.  Runs of
+    units shorter than ``size`` become chunks: a chunk ends at the last break
+    that keeps it within ``size``, and the next begins at the first break that
+    keeps what they share within ``overlap`` and leaves room for the unit that
+    follows, both found by search over the offsets.  A unit of ``size`` or more
+    is a stretch of its own, cut at the next separators (as deep as there are
+    separators).  No piece of text is built.
+    """
+    out: list[tuple[int, int]] = []
+
+    def cut(start: int, end: int, level: int) -> None:
+        while level < len(separators) and separators[level] and text.find(separators[level], start, end) < 0:
+            level += 1
+        if level == len(separators):  # nothing left to cut at
+            out.append((start, end))
+            return
+        at = _breaks(text, separators[level], start, end)
+        short = [b - a < size for a, b in zip(at[:-1], at[1:])] if separators[level] else None
+        first = 0
+        while first < len(at) - 1:
+            if (short[first] if short else size > 1):
+                last = next((i for i in range(first, len(short)) if not short[i]), len(short)) if short else len(at) - 1
+                _run_spans(text, at, first, last, size, overlap, out)
+                first = last
+            else:
+                cut(at[first], at[first + 1], level + 1)
+                first += 1
+
+    if text:
+        cut(0, len(text), 0)
     return out
 
 
 def split_recursive(text: str, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP,
                     separators: tuple[str, ...] = SEPARATORS) -> list[str]:
-    """Chunks of ``text``: the first separator present splits the text; pieces
-    shorter than ``size`` are packed greedily, longer ones are split again with
-    the remaining separators.  Lengths are in code points; chunk ends are
-    stripped of whitespace."""
-    if not text:
-        return []
-    sep, rest = separators[-1], ()
-    for i, s in enumerate(separators):
-        if s == "" or s in text:
-            sep, rest = s, separators[i + 1:]
-            break
-    chunks: list[str] = []
-    small: list[str] = []
-    for piece in _cut(text, sep):
-        if len(piece) < size:
-            small.append(piece)
-            continue
-        if small:
-            chunks.extend(_pack(small, size, overlap))
-            small = []
-        if rest:
-            chunks.extend(split_recursive(piece, size, overlap, rest))
-        else:
-            chunks.append(piece)
-    if small:
-        chunks.extend(_pack(small, size, overlap))
-    return chunks
-
-
-RECURSIVE_SCHEMA = "doc_id bigint, source string, page bigint, pos bigint, text string"
+    """The chunks themselves.  Lengths are in code points."""
+    return [text[a:b] for a, b in chunk_spans(text or "", size, overlap, separators)]
+
+
+RECURSIVE_SCHEMA = "doc_id bigint, source string, page bigint, pos bigint, start bigint, text string"
 
 
 def _recursive_batches(size: int, overlap: int, numbered: bool = True):
@@ -192,21 +202,22 @@ def _recursive_batches(size: int, overlap: int, numbered: bool = True):
     marker row (pos -1, no text), so that it still counts as a page."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            rows = {"doc_id": [], "source": [], "page": [], "pos": [], "text": []}
+            rows = {"doc_id": [], "source": [], "page": [], "pos": [], "start": [], "text": []}
             pages = pdf["page"] if numbered else [-1] * len(pdf)
             for doc_id, source, page, text in zip(pdf["doc_id"], pdf["source"], pages, pdf["text"]):
-                parts = split_recursive(text or "", size, overlap)
-                if not parts and not numbered:
-                    parts, first = [None], -1
+                spans = chunk_spans(text or "", size, overlap)
+                if not spans and not numbered:
+                    spans, first = [(0, None)], -1
                 else:
                     first = 0
-                for pos, chunk in enumerate(parts, start=first):
+                for pos, (start, end) in enumerate(spans, start=first):
                     rows["doc_id"].append(doc_id)
                     rows["source"].append(source)
                     rows["page"].append(page)
                     rows["pos"].append(pos)
-                    rows["text"].append(chunk)
-            yield pd.DataFrame(rows).astype({"doc_id": "int64", "page": "int64", "pos": "int64"})
+                    rows["start"].append(start)
+                    rows["text"].append(None if end is None else text[start:end])
+            yield pd.DataFrame(rows).astype({"doc_id": "int64", "page": "int64", "pos": "int64", "start": "int64"})
     return run
 
 
@@ -217,7 +228,8 @@ def recursive_chunks(pages: DataFrame, size: int = CHUNK_SIZE,
     of a document among those of its source, in ``doc_id`` order -- are
     counted here.
 
-    Output: doc_id, source, page, pos, chunk_no, chunk_id, text.
+    Output: doc_id, source, page, pos, start (offset in the page), chunk_no,
+    chunk_id, text.
 
     Without page numbers, both numbers come from one pass over the chunk
     rows in (source, doc_id, pos) order: the chunk id counts the chunks
@@ -248,4 +260,4 @@ def recursive_chunks(pages: DataFrame, size: int = CHUNK_SIZE,
                .withColumn("page", F.col("__docs") - (F.col("pos") > 0).cast("bigint")))
     return (out
             .withColumn("chunk_id", F.concat(F.lit("chunk_"), F.col("chunk_no").cast("string")))
-            .select("doc_id", "source", "page", "pos", "chunk_no", "chunk_id", "text"))
+            .select("doc_id", "source", "page", "pos", "start", "chunk_no", "chunk_id", "text"))

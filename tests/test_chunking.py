@@ -53,14 +53,28 @@ def test_window_chunks_cover_page(spark):
     assert [r["chunk_id"] for r in rows] == [f"chunk_{i}" for i in range(6)]
 
 
-@pytest.mark.parametrize("block", [2, 3, 1024])
-def test_ordered_offsets_equal_row_number(spark, block):
+@pytest.fixture
+def partitions(spark):
+    """Set the number of shuffle partitions, without coalescing them."""
+    keys = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")
+    old = {k: spark.conf.get(k) for k in keys}
+
+    def set_to(n):
+        spark.conf.set(keys[0], str(n))
+        spark.conf.set(keys[1], "false")
+    yield set_to
+    for k, v in old.items():
+        spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("parts", [1, 3, 40])
+def test_ordered_offsets_equal_row_number(spark, parts, partitions):
+    partitions(parts)
     rnd = random.Random(7)
     rows = [(f"s{rnd.randint(0, 3)}", i * 3 + rnd.randint(0, 2), rnd.randint(0, 5)) for i in range(300)]
     df = spark.createDataFrame(rows, "source string, num long, w long")
     out = ordered_offsets(df, by=["source"], num="num",
-                          weights={"page": F.lit(1), "base": F.col("w")}, reset_by={"page": ["source"]},
-                          block=block)
+                          weights={"page": F.lit(1), "base": F.col("w")}, reset_by={"page": ["source"]})
     ref = (df.withColumn("page_ref", F.row_number().over(Window.partitionBy("source").orderBy("num")) - 1)
            .withColumn("base_ref", F.coalesce(F.sum("w").over(
                Window.orderBy("source", "num").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))))
@@ -80,11 +94,12 @@ def test_recursive_chunks_ids_dense(spark):
     assert [r["chunk_no"] for r in order] == list(range(len(rows)))
 
 
-@pytest.mark.parametrize("block", [2, 1024])
-def test_ordered_offsets_with_secondary_order(spark, block):
+@pytest.mark.parametrize("parts", [1, 8])
+def test_ordered_offsets_with_secondary_order(spark, parts, partitions):
+    partitions(parts)
     rows = [(s, p, pos) for s in ("a", "b") for p in range(7) for pos in range((p * 3) % 4 + 1)]
     df = spark.createDataFrame(rows, "source string, page long, pos long")
-    out = ordered_offsets(df, by=["source"], num="page", then=["pos"], weights={"no": F.lit(1)}, block=block)
+    out = ordered_offsets(df, by=["source"], num="page", then=["pos"], weights={"no": F.lit(1)})
     got = sorted((r["source"], r["page"], r["pos"], r["no"]) for r in out.collect())
     assert [g[3] for g in got] == list(range(len(rows)))
 
@@ -130,3 +145,51 @@ def test_recursive_chunks_both_paths_on_the_tables(spark):
     new = chunking.recursive_chunks(_doc_pages(docs)).select(*cols, F.md5("text").alias("h"))
     assert old.exceptAll(new).count() == 0 and new.exceptAll(old).count() == 0
     assert new.count() == old.count()
+
+
+def _numbers(df, by, num):
+    out = ordered_offsets(df, by=by, num=num, weights={"page": F.lit(1), "base": F.col("w")}, reset_by={"page": by})
+    return out, sorted((tuple(r[c] for c in (*by, num)), r["page"], r["base"]) for r in out.collect())
+
+
+def _expected(rows):
+    out, base, page, last = [], 0, 0, object()
+    for source, num, w in sorted(rows):
+        page = page + 1 if source == last else 0
+        out.append(((source, num), page, base))
+        base, last = base + w, source
+    return out
+
+
+def test_numbers_of_100000_one_page_sources(spark):
+    """No task sees more than its share of the keys: nothing is windowed."""
+    df = spark.range(100_000).select(F.format_string("s%06d", "id").alias("source"), F.xxhash64("id").alias("num"), (F.col("id") % 3).alias("w"))
+    out, got = _numbers(df, ["source"], "num")
+    assert got == _expected([(r["source"], r["num"], r["w"]) for r in df.collect()])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan and "Window" not in plan
+
+
+def test_numbers_of_hashed_ids_with_a_hot_source(spark, partitions):
+    partitions(12)
+    df = spark.range(6000).select(F.when(F.col("id") % 3 > 0, F.lit("hot")).otherwise(F.concat(F.lit("s"), F.col("id") % 50)).alias("source"),
+                                  F.xxhash64("id").alias("num"), (F.col("id") % 5).alias("w"))
+    out, got = _numbers(df, ["source"], "num")
+    assert got == _expected([(r["source"], r["num"], r["w"]) for r in df.collect()])
+    assert "Window" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_numbers_of_repeated_and_null_keys(spark, partitions):
+    partitions(5)
+    rows = [("a", 1, 2, "x"), ("a", 1, 2, "y"), ("a", 1, 5, "z"), ("a", None, 1, "n"), ("b", 0, 3, "b"), (None, 7, 4, "q"), (None, 7, 4, "r")]
+    df = spark.createDataFrame(rows, "source string, num long, w long, tag string")
+    out = ordered_offsets(df, by=["source"], num="num", weights={"page": F.lit(1), "base": F.col("w")}, reset_by={"page": ["source"]})
+    got = out.orderBy("base").collect()
+    assert sorted(r["tag"] for r in got) == sorted(r[3] for r in rows)
+    base = 0
+    for r in got:  # dense running sum over (source, num), nulls first
+        assert r["base"] == base
+        base += r["w"]
+    assert [(r["source"], r["num"]) for r in got] == [(None, 7), (None, 7), ("a", None), ("a", 1), ("a", 1), ("a", 1), ("b", 0)]
+    assert [r["page"] for r in got] == [0, 1, 0, 1, 2, 3, 0]
+    assert ordered_offsets(df.where("false"), by=["source"], num="num", weights={"page": F.lit(1)}).count() == 0
