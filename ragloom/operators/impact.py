@@ -15,17 +15,22 @@ from pyspark.sql import functions as F
 from ragloom.functions.scoring import grade, rqi
 from ragloom.functions.text import KEYWORD_PATTERN, bround_stable, lower_tokens
 
+# The names of the tidy table's and the impact document's fields.
 IDENTITY_COLS = ["question_id", "question_text", "prompt_version", "grade",
                  "rqi", "ragas", "retrieval", "generation", "model_name"]
 NUMERIC_COLS = ["rqi", "ragas", "retrieval", "generation"]
 TEXT_COLS = ["response", "change_summary"]
+CONTEXT_COLS = {"retrieved_chunks": "array<string>",
+                "retrieved_metadata": "array<struct<chunk_id:string,source:string,page:bigint>>"}
+ORDER_COL = "run_order"
 DELTA_METRICS = ("rqi", "ragas")
 BASELINE_VERSION = "prompt_v0"
 
 NESTED_SCHEMA = (
     "STRUCT<question: STRING, prompt_results: MAP<STRING, STRUCT<"
     "response: STRING, change_summary: STRING, "
-    "metadata: STRUCT<query: STRING, prompt_version: STRING>, "
+    "metadata: STRUCT<query: STRING, retrieved_chunks: ARRAY<STRING>, "
+    "retrieved_metadata: ARRAY<STRUCT<chunk_id: STRING, source: STRING, page: BIGINT>>, prompt_version: STRING>, "
     "scores: STRUCT<model_name: STRING, retrieval: STRING, generation: STRING, "
     "ragas: STRING, rqi: STRING, grade: STRING, prompt_version: STRING>>>>")
 
@@ -43,23 +48,34 @@ def select_existing(df: DataFrame, wanted) -> DataFrame:
 
 # ------------------------------------------------------------- I1 / S7 / S8 --
 
-def nest_impact(rows: DataFrame) -> DataFrame:
+def nest_impact(rows: DataFrame, order: str = ORDER_COL) -> DataFrame:
     """Tidy rows -> one JSON document per question (the reference's nested
-    question -> version -> {response, change_summary, scores} form; the first
-    two are null where ``rows`` has none).  A question has at most one entry
-    per prompt version, so every group is bounded by the catalogue."""
+    question -> version -> {response, metadata, change_summary, scores} form;
+    what ``rows`` has no column for is null, retrieved chunks and their
+    metadata included).
+
+    A repeated (question, version) keeps its last entry: the one of the
+    greatest ``order`` (a column of ``rows``, if there is one), else and among
+    equals the greatest by value, so the result does not depend on the order
+    of the rows.  The merge by (question, version) comes first, so a question's
+    group has one entry per version and is bounded by the catalogue.  A row
+    without a version has no key in the document and is left out.
+    """
     scores = F.struct(*[F.col(c).cast("string").alias(c) if c in NUMERIC_COLS else F.col(c)
                         for c in ("model_name", "retrieval", "generation", "ragas", "rqi", "grade")],
                       F.col("prompt_version"))
-    texts = [(F.col(c) if c in rows.columns else F.lit(None)).cast("string").alias(c) for c in TEXT_COLS]
-    entry = F.struct(F.col("prompt_version").alias("key"),
-                     F.struct(*texts,
-                              F.struct(F.col("question_text").alias("query"),
-                                       F.col("prompt_version")).alias("metadata"),
-                              scores.alias("scores")).alias("value"))
-    return (rows.groupBy("question_id")
-            .agg(F.first("question_text").alias("question"),
-                 F.map_from_entries(F.collect_list(entry)).alias("prompt_results"))
+    have = lambda c, t: (F.col(c) if c in rows.columns else F.lit(None)).cast(t).alias(c)
+    contexts = [have(c, t) for c, t in CONTEXT_COLS.items()]
+    last = (F.col(order) if order in rows.columns else F.lit(0)).alias("order")
+    value = F.struct(*[have(c, "string") for c in TEXT_COLS],
+                     F.struct(F.col("question_text").alias("query"), *contexts, F.col("prompt_version")).alias("metadata"),
+                     scores.alias("scores"))
+    entries = (rows.where(F.col("prompt_version").isNotNull()).groupBy("question_id", "prompt_version")
+               .agg(F.max(F.struct(last, F.col("question_text").alias("question"), value.alias("value"))).alias("e")))
+    return (entries.groupBy("question_id")
+            .agg(F.max("e.question").alias("question"),
+                 F.map_from_entries(F.collect_list(F.struct(F.col("prompt_version").alias("key"), F.col("e.value").alias("value"))))
+                  .alias("prompt_results"))
             .select("question_id",
                     F.to_json(F.struct("question", "prompt_results")).alias("document")))
 
@@ -83,7 +99,8 @@ def flatten_impact(nested: DataFrame, key: str = "question_id", doc: str = "docu
         numeric(F.col(f"{s}.retrieval")).alias("retrieval"),
         numeric(F.col(f"{s}.generation")).alias("generation"),
         F.col(f"{s}.model_name").alias("model_name"),
-        *[F.col(f"r.{c}").alias(c) for c in TEXT_COLS])
+        *[F.col(f"r.{c}").alias(c) for c in TEXT_COLS],
+        *[F.col(f"r.metadata.{c}").alias(c) for c in CONTEXT_COLS])
 
 
 def flatten_impact_document(spark, path: str) -> DataFrame:
@@ -111,8 +128,20 @@ def prompt_summary(rows: DataFrame) -> DataFrame:
 def distinct_versions(rows: DataFrame, where: Column | None = None) -> list[str]:
     """Sorted distinct versions (a handful of values: the pivot header)."""
     df = rows if where is None else rows.where(where)
-    return [r[0] for r in df.select("prompt_version").where(F.col("prompt_version").isNotNull())
-            .distinct().orderBy("prompt_version").collect()]
+    return header_values(df, "prompt_version")
+
+
+MAX_HEADER = 1000
+
+
+def header_values(rows: DataFrame, col: str) -> list:
+    """Sorted distinct values that become columns.  More than ``MAX_HEADER``
+    is no header but a mistake (a key in the place of a version), and fails
+    before the values reach the driver."""
+    found = [r[0] for r in rows.select(col).where(F.col(col).isNotNull()).distinct().orderBy(col).limit(MAX_HEADER + 1).collect()]
+    if len(found) > MAX_HEADER:
+        raise ValueError(f"{col} has more than {MAX_HEADER} distinct values, too many for columns")
+    return found
 
 
 def question_pivot(rows: DataFrame, versions: list[str] | None = None) -> DataFrame:
@@ -194,13 +223,13 @@ def version_reports(rows: DataFrame) -> DataFrame:
 
 def attach_scores(rows: DataFrame, reports: DataFrame) -> DataFrame:
     """The version's report copied to every question having that version.
-    The reports table has one row per prompt version -- bounded by the
-    validated prompt catalogue -- so it is broadcast."""
+    A plain join: the reports are a row a version, which adaptive execution
+    broadcasts by their measured size."""
     keep = [c for c in rows.columns if c not in
             ("grade", "rqi", "ragas", "retrieval", "generation", "model_name")]
     rep = reports.select("prompt_version", "model_name", "retrieval", "generation",
                          "ragas", "rqi", "grade")
-    return rows.select(*keep).join(F.broadcast(rep), "prompt_version", "left")
+    return rows.select(*keep).join(rep, "prompt_version", "left")
 
 
 def expand_versions(cases: DataFrame, versions: list[str]) -> DataFrame:
