@@ -7,10 +7,16 @@ leaves the JVM.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BooleanType, StringType, StructField, StructType
 
 from ragloom.functions.text import KEYWORD_PATTERN, keyword_recall, lower_tokens
+from ragloom.operators.generation import attempt
+from ragloom.session import cut_lineage
 
 PRECISION_EPS = 1e-10   # fixed value of the judged context-precision formula
 METRICS = ("context_precision", "context_recall", "faithfulness", "answer_relevancy")
@@ -141,6 +147,46 @@ def answer_relevancy(samples: DataFrame, question: str = "query", answer: str =
                              .otherwise(cos).alias("answer_relevancy"))
 
 
+def regenerated_relevancy(samples: DataFrame, make_questions: Callable, embed: Callable,
+                          question: str = "query", answer: str = "answer", key: str = "case_id") -> DataFrame:
+    """M6 with models: the mean cosine between the question and the questions
+    that a plug-in makes of the answer, 0 for a non-committal answer (or one
+    that gives no question), in steps of nested batches:
+
+    answer -> (questions, non-committal) -> one row a question -> vectors of
+    all questions, asked and made, by the one embedder -> cosine per pair.
+
+    ``make_questions()`` returns ``answer -> (questions, non-committal)``, or
+    the same over lists if marked as taking batches; ``embed(df, text, out)``
+    is the run's embedder.  ``key`` is unique.
+    """
+    schema = StructType([*samples.select(key, question, answer).schema.fields, StructField("made", ArrayType(StringType())),
+                         StructField("evasive", BooleanType())])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        ask = make_questions()
+        for pdf in batches:
+            got = attempt(ask, [list(pdf[answer])])
+            for g in got:
+                if isinstance(g, BaseException):
+                    raise g
+            pdf["made"] = [list(g[0]) for g in got]
+            pdf["evasive"] = [bool(g[1]) for g in got]
+            yield pdf
+    made = cut_lineage(samples.select(key, question, answer).mapInPandas(run, schema))
+    asked = made.where(~F.col("evasive") & (F.size("made") > 0))
+    texts = asked.select(F.col(key), F.explode(F.concat(
+        F.array(F.struct(F.lit(True).alias("asked"), F.col(question).alias("t"))),
+        F.transform("made", lambda m: F.struct(F.lit(False).alias("asked"), m.alias("t"))))).alias("q")).select(key, "q.asked", "q.t")
+    vectors = cut_lineage(embed(texts, "t", "v").select(key, "asked", F.transform("v", lambda x: x.cast("double")).alias("v")))
+    norm = lambda c: F.sqrt(F.aggregate(c, F.lit(0.0), lambda s, x: s + x * x))
+    dot = F.aggregate(F.zip_with("v", "u", lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
+    length = norm(F.col("v")) * norm(F.col("u"))
+    pairs = vectors.where(~F.col("asked")).select(key, "v").join(vectors.where("asked").select(key, F.col("v").alias("u")), key)
+    means = pairs.groupBy(key).agg(F.avg(F.coalesce(F.try_divide(dot, F.nullif(length, F.lit(0.0))), F.lit(0.0))).alias("answer_relevancy"))
+    return made.select(key).join(means, key, "left").select(key, F.coalesce("answer_relevancy", F.lit(0.0)).alias("answer_relevancy"))
+
+
 # ------------------------------------------------------------------ A3 -----
 
 def mean_of_means(metric_long: DataFrame) -> DataFrame:
@@ -150,12 +196,6 @@ def mean_of_means(metric_long: DataFrame) -> DataFrame:
     return per.agg(F.coalesce(F.avg("m"), F.lit(0.0)).alias("ragas"))
 
 
-def metric_means(metric_long: DataFrame) -> DataFrame:
-    """Per-metric means (the judged report's detail)."""
-    return metric_long.groupBy("metric").agg(F.avg("value").alias("mean"),
-                                             F.count("value").alias("n"))
-
-
 def to_metric_long(df: DataFrame, key: str, metric_cols) -> DataFrame:
     """Wide judged table -> (key, metric, value), NaN normalised to null."""
     arr = F.array(*[F.struct(F.lit(m).alias("metric"),

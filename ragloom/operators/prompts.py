@@ -62,11 +62,28 @@ def validate_versions(spark: SparkSession, spec: str, versions: dict | None = No
 
 def resolve_prompt(explicit: Column | None = None, run_conf: Column | None = None,
                    default: str | None = None) -> Column:
-    """P10: explicit argument, else the run configuration, else the default."""
+    """P10 on a table: explicit argument, else the run configuration, else the
+    default."""
     parts = [c for c in (explicit, run_conf) if c is not None]
     return F.coalesce(*parts, F.lit(default)) if parts else F.lit(default)
 
 
+# Session settings of a run (the reference takes them from its environment).
+PROMPT_SETTING = "ragloom.systemPrompt"
+VERSION_SETTING = "ragloom.promptVersion"
+
+
+def resolve_run(spark: SparkSession, system_prompt: str | None = None,
+                prompt_version: str = DEFAULT_VERSION) -> tuple[str | None, str]:
+    """P10 for a run: system prompt and version together.  A prompt given as an argument
+    comes with the argument's version; else both come from the run's settings
+    (a setting that is absent leaves the default: no system prompt, and the
+    argument's version)."""
+    if system_prompt is not None:
+        return system_prompt or None, prompt_version
+    return spark.conf.get(PROMPT_SETTING, None) or None, spark.conf.get(VERSION_SETTING, None) or prompt_version
+
+
 def format_context(hits_with_text: DataFrame, key: str = "query_id") -> DataFrame:
     """Chunk texts in rank order joined by a blank line (one row per
     query; a group is the k hits of one query)."""
