@@ -17,3 +17,11 @@ def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     an action on the returned DataFrame."""
     obs = Observation(name)
     return df.observe(obs, F.count(F.lit(1)).alias(name)), obs
+
+
+def counted(df: DataFrame, write) -> int:
+    """Run ``write`` (a function of the DataFrame that writes it) and return
+    the number of rows that passed, counted by that very action."""
+    marked, obs = observed(df, "rows")
+    write(marked)
+    return int(obs.get["rows"])

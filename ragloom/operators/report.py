@@ -32,10 +32,12 @@ def with_justification(rep: DataFrame, sep: str = "\n") -> DataFrame:
                           justification_codes("retrieval", "generation", "ragas", sep))
 
 
-def console_report(rep: DataFrame) -> DataFrame:
-    """Q5: scores with two decimals, next to their weights."""
+def console_report(rep: DataFrame, weights: dict | None = None) -> DataFrame:
+    """Q5: scores with two decimals, next to their weights in the index."""
+    w = weights or WEIGHTS
     return rep.select(
         "model_name",
+        *[F.format_number(F.lit(float(w[m])), 2).alias(f"{m}_weight") for m in SCORE_METRICS],
         F.format_number("retrieval", 2).alias("retrieval_txt"),
         F.format_number("generation", 2).alias("generation_txt"),
         F.format_number("ragas", 2).alias("ragas_txt"),

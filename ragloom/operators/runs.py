@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ragloom.functions.scoring import grade, rqi
+from ragloom.operators.impact import header_values
 
 QUALITY_GATE = 0.7   # fixed value: an index below 0.7 blocks a release
 
@@ -34,8 +35,7 @@ def run_average(reports: DataFrame) -> DataFrame:
 
 def run_compare(reports: DataFrame, models: list[str] | None = None) -> DataFrame:
     """The models side by side per run number (a pivot, not a pair join)."""
-    ms = models if models is not None else [
-        r[0] for r in reports.select("model").distinct().orderBy("model").collect()]
+    ms = models if models is not None else header_values(reports, "model")
     return reports.groupBy("run_no").pivot("model", ms).agg(F.max("rqi"))
 
 

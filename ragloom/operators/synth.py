@@ -6,10 +6,17 @@ TF-IDF six-letter-or-longer words of a chunk against the whole chunk corpus.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ragloom.functions.text import KEYWORD_PATTERN, lower_tokens
+from ragloom.operators.generation import attempt
 from ragloom.session import cut_lineage
 
 NUM_SAMPLES = 5        # fixed value of the reference: five sampled chunks
@@ -30,6 +37,44 @@ def sample_rows(df: DataFrame, n: int = NUM_SAMPLES, seed: int = 42,
     return df.withColumn("sample_key", key).orderBy("sample_key", id_col).limit(n)
 
 
+def _let(value, body) -> Column:
+    """``body`` of a value that is computed once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def word_counts(words) -> Column:
+    """Distinct words of an array with their counts, within the row: the words
+    sorted, a word's count is the distance between where it and the next start."""
+    def counts(s):
+        starts = F.filter(F.sequence(F.lit(1), F.size(s)), lambda i: (i == 1) | (s[i - 1] != s[F.greatest(i - 2, F.lit(0))]))
+        return _let(starts, lambda at: F.zip_with(
+            at, F.concat(F.slice(at, 2, F.size(at)), F.array(F.size(s) + 1)),
+            lambda i, e: F.struct(s[i - 1].alias("token"), (e - i).alias("tf"))))
+    none = F.array().cast("array<struct<token:string,tf:int>>")
+    return _let(F.array_sort(words), lambda s: F.when(F.size(s) > 0, counts(s)).otherwise(none))
+
+
+def _top_words(vocabulary, n_docs: int, n: int):
+    """Rows with their words' hashes and counts -> the ``n`` best words of each."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, df = vocabulary.value
+        for batch in batches:
+            words, tf, keys = (batch.column(c) for c in ("words", "tfs", "hashes"))
+            parent = pc.list_parent_indices(words).to_numpy(zero_copy_only=False)
+            at = np.searchsorted(hashes, keys.flatten().to_numpy(zero_copy_only=False))
+            score = np.round(tf.flatten().to_numpy(zero_copy_only=False) * np.log(float(n_docs) / df[at]), 9)
+            flat = words.flatten()
+            order = pc.sort_indices(pa.table({"p": parent, "s": score, "w": flat}),
+                                    sort_keys=[("p", "ascending"), ("s", "descending"), ("w", "ascending")]).to_numpy()
+            parent = parent[order]
+            best = order[np.arange(len(order)) - np.searchsorted(parent, parent) < n]
+            sizes = np.minimum(np.bincount(parent, minlength=batch.num_rows), n)
+            kept = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)], pa.int32()), flat.take(pa.array(best)))
+            rest = [c for c in batch.schema.names if c not in ("words", "tfs", "hashes")]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), kept], [*rest, "keywords"])
+    return run
+
+
 def tfidf_keywords(chunks: DataFrame, n: int = N_CASE_KEYWORDS, key: str = "chunk_id",
                    text: str = "text", n_docs: int | None = None,
                    carry_text: bool = False, salt: int = WORD_SALT,
@@ -37,61 +82,49 @@ def tfidf_keywords(chunks: DataFrame, n: int = N_CASE_KEYWORDS, key: str = "chun
     """G1 keyword part: the ``n`` words of highest tf * ln(N / df) per chunk,
     ties by the word; (key, keywords ARRAY<STRING>, n_keywords[, text]).
 
-    * One pass over the chunks: every chunk explodes its words plus one
-      sentinel row (which also carries the text when ``carry_text``), so a
-      chunk without any word still gets its (empty) keyword list and nothing
-      has to be joined back.
-    * Term counts per (chunk, word) are a partial aggregation, written once
-      (chunking shuffles the whole text; both frequencies read the counts).
-    * Document frequencies are a partial aggregation of those counts (a word
-      common to a third of all chunks is pre-aggregated per task), written as
-      the vocabulary; its row count, from the written files, decides the
-      join: broadcast up to ``max_broadcast_words``, else keyed by (word,
-      salt).
-    * The per-chunk ranking is a window bounded by the words of one chunk.
+    * Term counts are made inside the row by array functions; the chunks with
+      their distinct words and counts are written once.
+    * Document frequencies are the one shuffle: only distinct words are
+      exploded, and a word common to a third of all chunks is pre-aggregated
+      per task.  The vocabulary is written, and its row count decides the rest.
+    * Up to ``max_broadcast_words`` words its (hash, frequency) columns, 16
+      bytes a word, go to every task and every row ranks its own words: no
+      row moves.  Should two words share a 64-bit hash, or beyond the bound,
+      words meet their frequencies in a join keyed by (word, salt), so the rows
+      of a hot word are spread over ``salt`` tasks.
+    * A chunk without any word has an empty list.
     ``N`` (number of chunks) is one count unless the caller knows it.
     """
+    spark = chunks.sparkSession
     if n_docs is None:
         n_docs = chunks.count()
-    words = F.transform(lower_tokens(text, KEYWORD_PATTERN),
-                        lambda t: F.struct(t.alias("token"), F.lit(None).cast("string").alias("body")))
-    sentinel = F.array(F.struct(F.lit(None).cast("string").alias("token"),
-                                (F.col(text) if carry_text else F.lit(None).cast("string")).alias("body")))
-    toks = chunks.select(key, F.inline(F.concat(F.coalesce(words, F.array()), sentinel)))
-    tf = toks.groupBy(key, "token").agg(F.count(F.lit(1)).alias("tf"), F.max("body").alias("body"))
-    # both frequencies read the per-(chunk, word) counts: written once, so the
-    # chunks are cut and tokenized once and a lost executor does not rerun it.
-    # The sentinel's null token forms a group of its own and never matches
-    # the equi-join below.
-    tf = cut_lineage(tf)
-    # the vocabulary (one row per word) is written too; its size, read from
-    # the written files, decides the join
-    df_ = cut_lineage(tf.groupBy("token").agg(F.count(F.lit(1)).alias("df")))
-    if df_.count() <= max_broadcast_words:
-        # proven small: every task looks its words up locally, nothing is
-        # shuffled by word, so a word common to all chunks costs nothing extra
-        joined = tf.join(F.broadcast(df_), "token", "left")
-    else:
-        # keyed by (word, salt): the rows of a word found in a third of all
-        # chunks, and the null-token sentinel row of every chunk, are spread
-        # over `salt` tasks by a hash of the chunk; each word's frequency row
-        # is repeated once per salt value
-        salted_tf = tf.withColumn("__salt", F.pmod(F.xxhash64(key), F.lit(salt)))
-        salted_df = df_.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("bigint"),
-                                                                  F.lit(salt - 1).cast("bigint"))))
-        joined = salted_tf.join(salted_df, ["token", "__salt"], "left").drop("__salt")
-    scored = (joined
-              .withColumn("score", F.round(F.col("tf").cast("double")
-                                           * F.log(F.lit(float(n_docs)) / F.col("df").cast("double")), 9)))
-    w = Window.partitionBy(key).orderBy(F.desc_nulls_last("score"), F.asc("token"))
-    top = scored.withColumn("r", F.row_number().over(w)).where(
-        (F.col("r") <= n) | F.col("token").isNull())
-    kw = top.groupBy(key).agg(
-        F.array_sort(F.collect_list(F.when(F.col("token").isNotNull(), F.struct("r", "token")))).alias("__k"),
-        F.max("body").alias(text))
-    out = kw.select(key, F.transform("__k", lambda s: s["token"]).alias("keywords"),
-                    *([text] if carry_text else []))
-    return out.withColumn("n_keywords", F.size("keywords").cast("bigint"))
+    words = F.coalesce(lower_tokens(text, KEYWORD_PATTERN), F.array().cast("array<string>"))
+    carried = [text] if carry_text else []
+    counted = chunks.select(key, *carried, word_counts(words).alias("c"))
+    counted = cut_lineage(counted.select(key, *carried, F.col("c.token").alias("words"), F.col("c.tf").alias("tfs")))
+    vocabulary = cut_lineage(counted.select(F.explode("words").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("df")))
+    if vocabulary.count() <= max_broadcast_words:
+        table = vocabulary.select(F.xxhash64("token").alias("h"), "df").toArrow()  # bounded: 16 bytes a word
+        hashes, df = table.column("h").to_numpy(), table.column("df").to_numpy().astype(np.float64)
+        order = np.argsort(hashes)
+        hashes, df = hashes[order], df[order]
+        if not (hashes[1:] == hashes[:-1]).any():
+            shared = spark.sparkContext.broadcast((hashes, df))
+            rows = counted.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
+            out = [f"`{f.name}` {f.dataType.simpleString()}" for f in counted.select(key, *carried).schema.fields]
+            kw = rows.mapInArrow(_top_words(shared, n_docs, n), ", ".join([*out, "keywords array<string>"]))
+            return kw.select(key, "keywords", *carried, F.size("keywords").cast("bigint").alias("n_keywords"))
+    pairs = counted.select(key, F.explode(F.arrays_zip("words", "tfs")).alias("p")).select(
+        key, F.col("p.words").alias("token"), F.col("p.tfs").alias("tf"), F.pmod(F.xxhash64(key), F.lit(salt)).alias("__salt"))
+    salted = vocabulary.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salt - 1).cast("bigint"))))
+    score = F.round(F.col("tf").cast("double") * F.log(F.lit(float(n_docs)) / F.col("df").cast("double")), 9)
+    w = Window.partitionBy(key).orderBy(F.desc("score"), F.asc("token"))
+    top = pairs.join(salted, ["token", "__salt"]).withColumn("score", score).withColumn("r", F.row_number().over(w)).where(F.col("r") <= n)
+    kw = top.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("r", "token"))).alias("__k"))  # n at most
+    empty = F.array().cast("array<string>")
+    return counted.select(key, *carried).join(kw, key, "left").select(
+        key, F.coalesce(F.transform("__k", lambda s: s["token"]), empty).alias("keywords"), *carried
+    ).withColumn("n_keywords", F.size("keywords").cast("bigint"))
 
 
 def case_batches(chunks_kw: DataFrame, text: str = "text", key: str = "chunk_id") -> DataFrame:
@@ -117,6 +150,33 @@ def case_batches(chunks_kw: DataFrame, text: str = "text", key: str = "chunk_id"
                  F.array(reasoning).alias("ragas_cases")).alias("batch"))
 
 
+BATCH_SCHEMA = ("struct<retrieval_cases:array<struct<query:string,expected_keywords:array<string>>>,"
+                "generation_cases:array<struct<query:string,expected_keywords:array<string>>>,"
+                "ragas_cases:array<struct<query:string,ground_truth:string>>>")
+
+
+def generated_batches(chunks: DataFrame, make_generator: Callable, text: str = "text", key: str = "chunk_id") -> DataFrame:
+    """G1 with a model: ``make_generator()`` returns ``chunk text -> JSON`` of
+    the batch schema (or the same over lists, if marked as taking batches).
+    Returns (key, batch, error): a chunk whose call fails, or whose JSON does
+    not parse, has the error and a null batch (it is skipped, not fatal)."""
+    raw = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chunks.select(key).schema.fields) + ", raw string, error string"
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        gen = make_generator()
+        for pdf in batches:
+            got = attempt(gen, [list(pdf[text])])
+            failed = [isinstance(g, BaseException) for g in got]
+            yield pd.DataFrame({key: pdf[key], "raw": [None if f else g for g, f in zip(got, failed, strict=True)],
+                                "error": [f"{type(g).__name__}: {g}" if f else None for g, f in zip(got, failed, strict=True)]})
+    made = cut_lineage(chunks.select(key, text).mapInPandas(run, raw))  # each model is called once
+    batch = F.from_json("raw", BATCH_SCHEMA, {"mode": "PERMISSIVE"})
+    shape = F.coalesce(F.col("batch.retrieval_cases"), F.col("batch.generation_cases")).isNull() & F.col("batch.ragas_cases").isNull()
+    return made.withColumn("batch", batch).select(
+        key, F.when(~shape, F.col("batch")).alias("batch"),
+        F.when(F.col("error").isNull() & shape, F.lit("no batch of cases in the answer")).otherwise(F.col("error")).alias("error"))
+
+
 def flatten_batches(batches: DataFrame, key: str = "chunk_id") -> dict[str, DataFrame]:
     """The per-chunk case lists concatenated into three flat tables."""
     return {
@@ -135,3 +195,9 @@ def quarantine(cases: DataFrame) -> DataFrame:
     bad = (F.col("query").isNull() | (F.length("query") == 0)
            | F.col("expected_keywords").isNull() | (F.size("expected_keywords") == 0))
     return cases.withColumn("status", F.when(bad, F.lit("quarantine")).otherwise(F.lit("good")))
+
+
+def truth_quarantine(cases: DataFrame) -> DataFrame:
+    """G2 for reference-answer cases: a missing query or reference answer."""
+    bad = (F.coalesce(F.length("query"), F.lit(0)) == 0) | (F.coalesce(F.length("ground_truth"), F.lit(0)) == 0)
+    return cases.withColumn("status", F.when(bad, F.lit("quarantine")).otherwise(F.lit("good")))

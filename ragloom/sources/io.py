@@ -6,11 +6,17 @@ is a DataFrame reader with a declared schema (no inference pass).
 
 from __future__ import annotations
 
+import logging
 import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ragloom.operators.counts import counted
+from ragloom.session import cut_lineage
+
+log = logging.getLogger(__name__)
+
 CHUNK_SCHEMA = "chunk_id STRING, text STRING, source STRING, page BIGINT"
 CASE_SCHEMA = ("query STRING, expected_keywords ARRAY<STRING>, ground_truth STRING, "
                "generation_cases STRING")
@@ -45,10 +51,11 @@ def _required(col: str, what: str):
 
 # ------------------------------------------------------------ S2 / S3 -----
 
-def write_chunks(chunks: DataFrame, path: str) -> None:
-    """One JSON object per line: chunk_id, text, source, page."""
-    (chunks.select("chunk_id", "text", "source", F.col("page").cast("bigint").alias("page"))
-     .write.mode("overwrite").json(path))
+def write_chunks(chunks: DataFrame, path: str) -> int:
+    """One JSON object per line: chunk_id, text, source, page.  Returns
+    the number of chunks (A7), counted while they are written."""
+    rows = chunks.select("chunk_id", "text", "source", F.col("page").cast("bigint").alias("page"))
+    return counted(rows, lambda df: df.write.mode("overwrite").json(path))
 
 
 def read_chunks(spark: SparkSession, path: str) -> DataFrame:
@@ -198,13 +205,14 @@ def read_judged_csv(spark: SparkSession, path: str) -> DataFrame:
 
 # ------------------------------------------------------------------ S12 ----
 
-def save_vectors(vectors: DataFrame, path: str, partition_by: str | None = None) -> None:
+def save_vectors(vectors: DataFrame, path: str, partition_by: str | None = None) -> int:
     """The vector store is a parquet table with a fixed schema (metadata
-    and vector in the same row, so no id -> document map is needed)."""
-    w = vectors.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(partition_by)
-    w.parquet(path)
+    and vector in the same row, so no id -> document map is needed).  Returns
+    the number of vectors, counted while they are written."""
+    def write(df):
+        w = df.write.mode("overwrite")
+        (w.partitionBy(partition_by) if partition_by else w).parquet(path)
+    return counted(vectors, write)
 
 
 def load_vectors(spark: SparkSession, path: str) -> DataFrame:
@@ -213,35 +221,60 @@ def load_vectors(spark: SparkSession, path: str) -> DataFrame:
 
 # ------------------------------------------------------------------ G3 -----
 
-def write_case_tables(tables: dict[str, DataFrame], root: str) -> list[str]:
+def write_case_tables(tables: dict[str, DataFrame], root: str) -> dict[str, int]:
     """The three generated case tables (retrieval, generation, ragas),
-    each as JSON under ``root/test_<name>_synthetic``."""
-    written = []
-    for name, df in tables.items():
-        p = os.path.join(root, f"test_{name}_synthetic")
-        df.write.mode("overwrite").json(p)
-        written.append(p)
-    return written
+    each as JSON under ``root/test_<name>_synthetic``.  Returns the number of
+    cases by path, counted while they are written."""
+    paths = {os.path.join(root, f"test_{name}_synthetic"): df for name, df in tables.items()}
+    return {p: counted(df, lambda d, p=p: d.write.mode("overwrite").json(p)) for p, df in paths.items()}
 
 
 # ------------------------------------------------------------------ S1 -----
 
 PAGE_SCHEMA = "source STRING, page BIGINT, text STRING"
+ERROR_SCHEMA = "source STRING, error STRING"
+PAGE_BREAK = "\f"                       # as text extractors put between pages
+MAX_FILE_BYTES = 1 << 30                # a file is one value until its pages are split
+
+
+def read_pages(spark: SparkSession, path: str, pattern: str = "*.txt") -> tuple[DataFrame, DataFrame]:
+    """S1 for a directory of extracted texts, one file per document with form
+    feeds between its pages: (pages, errors).
+
+    Every file is read once, as bytes, into one stored table.  A file that is
+    valid UTF-8 gives a row per page (source = the file's path, page from 0; a
+    form feed at the end opens no page); one that is not, that is longer than
+    ``MAX_FILE_BYTES``, or that could not be read at all (it was listed, and
+    its bytes never came) is a row of the error table, with its name and what
+    is wrong, and stops nothing.  An empty file has no page, an empty directory
+    gives two empty tables.
+    """
+    listed = read_or_empty(spark, lambda: spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path).select("path", "length"),
+                           "path string, length bigint")
+    listed = cut_lineage(listed)
+
+    def read():
+        raw = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("ignoreCorruptFiles", "true").load(path)
+        return raw.where(F.col("length") <= MAX_FILE_BYTES).select("path", "content")
+    text = F.decode("content", "utf-8")
+    whole = F.is_valid_utf8(F.col("content").cast("string"))
+    parts = F.split(F.regexp_replace(text, PAGE_BREAK + "\\z", ""), PAGE_BREAK)
+    rows = read_or_empty(spark, read, "path string, content binary").select(
+        "path", F.posexplode(F.when(whole, parts).otherwise(F.array(F.lit(None).cast("string")))).alias("page", "text"))
+    rows = cut_lineage(rows)
+    pages = rows.where(F.col("text").isNotNull()).select(F.col("path").alias("source"), F.col("page").cast("bigint").alias("page"), "text")
+    damaged = rows.where(F.col("text").isNull()).select(F.col("path").alias("source"), F.lit("not valid UTF-8").alias("error"))
+    lost = listed.join(rows.select("path").distinct(), "path", "left_anti").select(
+        F.col("path").alias("source"), F.when(F.col("length") > MAX_FILE_BYTES, F.lit("longer than a page file may be"))
+        .otherwise(F.lit("could not be read")).alias("error"))
+    return pages, damaged.unionByName(lost)
 
 
 def read_page_texts(spark: SparkSession, path: str, pattern: str = "*.txt") -> DataFrame:
-    """S1 for a directory of extracted page texts (one file per page): source
-    = the file path, page = 0 per file; unreadable files are skipped and an
-    empty directory gives no rows (not an error)."""
-    from pyspark.errors import AnalysisException
-    files = path.rstrip("/") + "/" + pattern
-    try:
-        # ``text()`` has its own ``wholetext`` argument; an earlier ``.option``
-        # would be overridden by its default
-        raw = spark.read.option("ignoreCorruptFiles", "true").text(files, wholetext=True)
-    except AnalysisException as e:  # nothing matches the pattern: no pages
-        if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
-            raise
-        return spark.createDataFrame([], PAGE_SCHEMA)
-    return raw.select(F.col("_metadata.file_path").alias("source"), F.lit(0).cast("bigint").alias("page"),
-                      F.col("value").alias("text"))
+    """The pages of :func:`read_pages`; bad files are skipped, and reported
+    through the log."""
+    pages, errors = read_pages(spark, path, pattern)
+    bad = errors.limit(20).collect()
+    for r in bad:
+        log.warning("page file skipped: %s: %s", r["source"], r["error"])
+    return pages

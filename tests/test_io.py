@@ -90,6 +90,36 @@ def test_impact_documents_keep_answers_and_summaries(spark, tmp_path):
     assert sorted(map(tuple, back.collect()), key=lambda r: r[::2][:2]) == want
 
 
+def test_impact_document_round_trip_of_all_fields(spark, tmp_path):
+    cols = [*impact.IDENTITY_COLS, *impact.TEXT_COLS, *impact.CONTEXT_COLS]
+    want = [("q1", "q one", "v0", "A", 0.9, 0.8, 0.7, 0.6, "m", "ans", None, ["c1", "c \"2\"\n"], [("k1", "f.pdf", 3), ("k2", None, None)]),
+            ("q1", "q one", "v1", "B", 0.5, None, 0.7, 0.6, "m", "", "shorter", [], []),
+            ("q2", "q two", "v0", None, None, None, None, None, None, None, None, None, None)]
+    types = {**{c: "double" for c in impact.NUMERIC_COLS}, **impact.CONTEXT_COLS}
+    rows = spark.createDataFrame(want, ", ".join(f"{c} {types.get(c, 'string')}" for c in cols))
+    io.write_impact_documents(impact.nest_impact(rows), str(tmp_path / "docs"))
+    back = impact.flatten_impact(io.read_impact_documents(spark, str(tmp_path / "docs"))).select(cols)
+    got = sorted((tuple(r) for r in back.collect()), key=lambda r: (r[0], r[2]))
+    assert got == want
+
+
+def test_repeated_entry_of_a_document_keeps_the_last(spark):
+    """A repeated (question, version) does not abort; the greatest run order
+    counts, whatever the order of the rows; a row without a version is left out."""
+    schema = ("question_id string, question_text string, prompt_version string, grade string, rqi double, ragas double, "
+              "retrieval double, generation double, model_name string, response string, run_order int")
+    rows = [("q", "q", "v0", "A", 0.9, 0.9, 0.9, 0.9, "m", "first", 1), ("q", "q", "v0", "F", 0.1, 0.1, 0.1, 0.1, "m", "last", 7),
+            ("q", "q", "v0", "B", 0.7, 0.7, 0.7, 0.7, "m", "middle", 3), ("q", "q", "v1", "C", 0.6, 0.6, 0.6, 0.6, "m", "other", 2),
+            ("q", "q", None, "C", 0.6, 0.6, 0.6, 0.6, "m", "none", 9)]
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame(order, schema).repartition(3)
+        got = {r["prompt_version"]: (r["response"], r["rqi"]) for r in impact.flatten_impact(impact.nest_impact(df)).collect()}
+        assert got == {"v0": ("last", 0.1), "v1": ("other", 0.6)}
+        # without a run order the result is still the same for any order of rows
+        plain = {r["prompt_version"]: r["response"] for r in impact.flatten_impact(impact.nest_impact(df.drop("run_order"))).collect()}
+        assert plain == {"v0": "middle", "v1": "other"}
+
+
 def test_single_file_impact_document(spark, tmp_path):
     doc = {"What is X?": {"question": "What is X?", "prompt_results": {
         "prompt_v0": {"response": "x", "scores": {"rqi": 0.7, "grade": "B", "model_name": "prompt_v0"}},
@@ -150,3 +180,40 @@ def test_page_text_directory(spark, tmp_path):
     (d / "b.txt").write_text("second")
     rows = sorted((r["source"].rsplit("/", 1)[-1], r["text"]) for r in io.read_page_texts(spark, str(d)).collect())
     assert rows == [("a.txt", "first page\nline two"), ("b.txt", "second")]
+
+
+def test_page_files_give_pages_and_an_error_table(spark, tmp_path):
+    """One pass over the files: real page numbers, and the damaged file's name
+    and error in the second table."""
+    d = tmp_path / "pages"
+    d.mkdir()
+    (d / "a.txt").write_bytes("one é\nmore\ftwo\f\fthree\f".encode())
+    (d / "b.txt").write_bytes(b"")
+    (d / "c.txt").write_bytes(b"ok \xff\xfe broken")
+    (d / "d.pdf").write_bytes(b"not asked for")
+    pages, errors = io.read_pages(spark, str(d))
+    got = sorted((r["source"].rsplit("/", 1)[-1], r["page"], r["text"]) for r in pages.collect())
+    assert got == [("a.txt", 0, "one é\nmore"), ("a.txt", 1, "two"), ("a.txt", 2, ""), ("a.txt", 3, "three")]
+    assert [(r["source"].rsplit("/", 1)[-1], r["error"]) for r in errors.collect()] == [("c.txt", "not valid UTF-8")]
+    assert io.read_page_texts(spark, str(d)).count() == 4
+
+
+def test_unreadable_and_overlong_page_files_are_reported(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(io, "MAX_FILE_BYTES", 10)
+    d = tmp_path / "pages"
+    d.mkdir()
+    (d / "a.txt").write_text("short")
+    (d / "b.txt").write_text("far too long for a page file")
+    pages, errors = io.read_pages(spark, str(d))
+    assert [r["text"] for r in pages.collect()] == ["short"]
+    assert [(r["source"].rsplit("/", 1)[-1], r["error"]) for r in errors.collect()] == [("b.txt", "longer than a page file may be")]
+    missing = io.read_pages(spark, str(tmp_path / "none"))
+    assert missing[0].count() == 0 and missing[1].count() == 0
+
+
+def test_sinks_return_the_rows_they_wrote(spark, tmp_path):
+    df = spark.createDataFrame([(f"c{i}", "t", "s", i) for i in range(7)], "chunk_id string, text string, source string, page int")
+    assert io.write_chunks(df, str(tmp_path / "chunks")) == 7
+    vec = df.withColumn("embedding", F.array(F.lit(1.0)))
+    assert io.save_vectors(vec, str(tmp_path / "v")) == 7 and io.save_vectors(vec.where("page < 0"), str(tmp_path / "w")) == 0
+    assert sorted(io.write_case_tables({"a": df, "b": df.limit(2)}, str(tmp_path)).values()) == [2, 7]

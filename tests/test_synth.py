@@ -65,3 +65,50 @@ def test_cut_lineage_writes_under_checkpoint_dir(spark):
     files = out.inputFiles()
     assert files and all(checkpoint_dir(spark).rstrip("/").split("/")[-1] in f for f in files)
     assert sorted(r["sq"] for r in out.collect()) == [i * i for i in range(50)]
+
+
+def test_word_counts_within_the_row(spark):
+    rows = [(["b", "a", "b", "c", "b", "a"],), ([],), (["x"],), (None,)]
+    got = [{c["token"]: c["tf"] for c in r["c"]} if r["c"] is not None else None
+           for r in spark.createDataFrame(rows, "w array<string>").select(synth.word_counts(F.col("w")).alias("c")).collect()]
+    assert got[:3] == [{"a": 2, "b": 3, "c": 1}, {}, {"x": 1}]
+
+
+def test_generated_cases_end_to_end(spark, tmp_path):
+    """Sample -> model -> skipped failures -> quarantine -> three sinks."""
+    import json
+
+    from ragloom.plans import pipelines
+    chunks = spark.createDataFrame([(f"chunk_{i}", f"text {i}") for i in range(20)], "chunk_id string, text string")
+    sampled = sorted(r["chunk_id"] for r in synth.sample_rows(chunks, 8).collect())
+    bad, odd, shape = sampled[0], sampled[1], sampled[2]
+
+    def make():
+        def gen(text):
+            name = "chunk_" + text.split()[1]
+            if name == bad:
+                raise ValueError("model failure")
+            if name == odd:
+                return "no json"
+            case = {"query": f"q {name}", "expected_keywords": ["k"]}
+            wrong = [{"expected_keywords": ["k"]}] if name == shape else []
+            return json.dumps({"retrieval_cases": [case, *wrong], "generation_cases": [case], "ragas_cases": [{"query": "r", "ground_truth": "g"}]})
+        return gen
+    out = pipelines.generate_synthetic(chunks, str(tmp_path), n=8, make_generator=make)
+    assert {k: out[k].count() for k in ("retrieval", "generation", "ragas")} == {"retrieval": 6, "generation": 6, "ragas": 6}
+    skipped = {r["chunk_id"]: r["error"] for r in out["skipped"].collect()}
+    assert set(skipped) == {bad, odd} and "model failure" in skipped[bad] and "no batch" in skipped[odd]
+    assert [(r["kind"], r["chunk_id"], r["query"]) for r in out["quarantine"].collect()] == [("retrieval", shape, None)]
+    assert spark.read.json(str(tmp_path / "test_retrieval_synthetic")).count() == 6
+    assert spark.read.parquet(str(tmp_path / "quarantine")).count() == 1
+
+
+def test_default_cases_come_from_the_sample(spark):
+    from ragloom.plans import pipelines
+    ch = queries._window_chunks(spark, SF001).select("chunk_id", "text")
+    want = sorted(r["chunk_id"] for r in synth.sample_rows(ch).collect())
+    out = pipelines.generate_synthetic(ch)
+    for kind in ("retrieval", "generation", "ragas"):
+        assert sorted(r["chunk_id"] for r in out[kind].collect()) == want
+    all_kw = {r["chunk_id"]: r["keywords"] for r in synth.tfidf_keywords(ch).collect()}
+    assert all(list(r["expected_keywords"]) == list(all_kw[r["chunk_id"]]) for r in out["retrieval"].collect())
