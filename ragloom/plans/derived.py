@@ -11,7 +11,8 @@ grows with the tables.  The same definitions are written in SQL in
   embeddings table: every vector is a query (for case ``vec_id``) against all
   other vectors; vector ``v`` carries the text of document ``v % N`` with N
   the number of documents, so the corpus texts span the document table.
-* ``qa_cases`` -- a user turn answered by the next (assistant) turn.
+* ``qa_cases`` -- a user turn answered by the next (assistant) turn; its
+  query vector is the embedding whose id is the case id modulo their number.
 * ``impact_rows`` -- the tidy question x prompt-version fact table: document
   ``d`` is the answer of question ``q(d div 5)`` under ``prompt_v(d % 5)``;
   its scores come from the document and its labels.
@@ -28,6 +29,7 @@ from ragloom.operators.chunking import page_docs as _page_docs
 from ragloom.sources.tables import read_table, spread_small_scan
 
 VERSIONS_PER_QUESTION = 5
+TURNS = 1_000_000   # case ids: conversation * TURNS + turn
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,8 +81,10 @@ def qa_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
         "conv_id", "turn", F.col("text").alias("query"))
     a = c.where(F.col("role") == "assistant").select(
         "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("answer"))
+    case_id = F.col("conv_id") * TURNS + F.col("turn")
+    n = max(read_table(spark, sf_dir, "embeddings").count(), 1)  # from the files' footers
     return (u.join(a, ["conv_id", "turn"], "inner")
-            .select((F.col("conv_id") * 100 + F.col("turn")).alias("case_id"),
+            .select(case_id.alias("case_id"), F.pmod(case_id, F.lit(n)).alias("vec_id"),
                     "conv_id", "turn", "query", "answer"))
 
 

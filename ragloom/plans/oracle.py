@@ -73,7 +73,7 @@ case_ctx AS (
   FROM hit_text t JOIN vec_queries q USING (query_id) GROUP BY q.case_id)"""
 
 QA = """qa_cases AS (
-  SELECT conv_id * 100 + turn AS case_id, conv_id, turn, text AS query, next_text AS answer
+  SELECT conv_id * 1000000 + turn AS case_id, (conv_id * 1000000 + turn) % (SELECT count(*) FROM embeddings) AS vec_id, conv_id, turn, text AS query, next_text AS answer
   FROM (SELECT conv_id, turn, role, text,
                lead(role) OVER (PARTITION BY conv_id ORDER BY turn) AS next_role,
                lead(text) OVER (PARTITION BY conv_id ORDER BY turn) AS next_text
@@ -132,8 +132,8 @@ cr AS (
   SELECT case_id, len(toks)::BIGINT AS n_statements,
          len(list_filter(toks, lambda t: contains(ctx, t)))::BIGINT AS n_supported FROM cr_toks),
 ff_toks AS (
-  SELECT case_id, regexp_extract_all(lower(answer), '\\p{L}{6,}') AS toks, lower(coalesce(query, '')) AS ctx
-  FROM qa_cases WHERE query <> ''),
+  SELECT a.case_id, regexp_extract_all(lower(a.answer), '\\p{L}{6,}') AS toks, coalesce(c.context, '') AS ctx
+  FROM qa_cases a LEFT JOIN case_ctx c ON c.case_id = a.vec_id WHERE a.query <> ''),
 ff AS (
   SELECT case_id, coalesce(len(toks), 0)::BIGINT AS n_statements,
          coalesce(len(list_filter(toks, lambda t: contains(ctx, t))), 0)::BIGINT AS n_supported FROM ff_toks),
@@ -256,6 +256,41 @@ def _prompt_sql() -> str:
               f"md5({prompt}) AS prompt_md5 FROM x, catalogue c")
 
 
+def _impact_run_sql() -> str:
+    tok = "regexp_extract_all(lower({}), '\\p{{L}}{{6,}}')"
+    share = "len(list_filter({0}, lambda t: contains(lower(x.context), t)))::DOUBLE / nullif(len({0}), 0)"
+    return _with(
+        HITS, KEYWORD_CASES, _versions_values(), RETRIEVAL,
+        f"ctx AS (SELECT query_id AS case_id, string_agg(coalesce(h.text, ''), {_lit(CONTEXT_SEPARATOR)} ORDER BY rank) AS context, "
+        "count(*) AS n_chunks, string_agg('doc_' || c.doc_id, ',' ORDER BY rank) AS chunk_ids "
+        "FROM hit_text h JOIN vec_corpus c USING (corpus_id) GROUP BY query_id)",
+        "x AS (SELECT k.case_id, k.query, k.expected_keywords, v.prompt_version, coalesce(c.context, '') AS context, c.n_chunks, c.chunk_ids, "
+        "substr(coalesce(c.context, ''), 1, length(v.system_prompt)) AS answer "
+        "FROM keyword_cases k CROSS JOIN catalogue v LEFT JOIN ctx c USING (case_id) WHERE length(k.query) > 0)",
+        "verdicts AS (SELECT k.case_id, h.rank, CASE WHEN len(list_filter(" + tok.format("k.query")
+        + ", lambda t: contains(lower(coalesce(h.text, '')), t))) > 0 THEN 1 ELSE 0 END AS v "
+        "FROM keyword_cases k JOIN hit_text h ON h.query_id = k.case_id WHERE length(k.query) > 0)",
+        "cp AS (SELECT case_id, sum(pat * v) / (sum(v) + 1e-10) AS cp FROM (SELECT *, sum(v) OVER (PARTITION BY case_id ORDER BY rank "
+        "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)::DOUBLE / rank AS pat FROM verdicts) GROUP BY case_id)",
+        f"tk AS (SELECT x.*, {tok.format('x.query')} AS qt, {tok.format('x.answer')} AS wt FROM x)",
+        "long AS (SELECT prompt_version, case_id, unnest(qt) AS t, 1 AS q, 0 AS a FROM tk UNION ALL "
+        "SELECT prompt_version, case_id, unnest(wt), 0, 1 FROM tk)",
+        "n AS (SELECT prompt_version, case_id, t, sum(q) AS q, sum(a) AS a FROM long GROUP BY ALL)",
+        "cos AS (SELECT prompt_version, case_id, CASE WHEN sum(q) = 0 OR sum(a) = 0 THEN 0.0 ELSE sum(q * a)::DOUBLE / (sqrt(sum(q * q)::DOUBLE) "
+        "* sqrt(sum(a * a)::DOUBLE)) END AS ar FROM n GROUP BY ALL)",
+        "m AS (SELECT x.prompt_version, avg(cp.cp) AS cp, avg(" + share.format("x.qt") + ") AS cr, avg(" + share.format("x.wt") + ") AS ff, "
+        "avg(coalesce(cos.ar, 0.0)) AS ar, avg(CASE WHEN len(x.expected_keywords) = 0 THEN 0.0 ELSE len(list_filter(x.expected_keywords, "
+        "lambda w: contains(lower(x.answer), lower(w))))::DOUBLE / len(x.expected_keywords) END) AS g "
+        "FROM tk x LEFT JOIN cp USING (case_id) LEFT JOIN cos USING (prompt_version, case_id) GROUP BY x.prompt_version)",
+        "s AS (SELECT prompt_version, (SELECT coalesce(avg(n_found::DOUBLE / n_keywords), 0.0) FROM rr) AS r, g, list_avg([cp, cr, ff, ar]) AS j FROM m)",
+        f"rep AS (SELECT *, {_rqi('r', 'g', 'j')} AS rqi FROM s)",
+        "entry AS (SELECT query, prompt_version, min({'answer': answer, 'n': n_chunks, 'ids': chunk_ids}) AS e FROM x GROUP BY ALL)",
+    ) + ("SELECT md5(query) AS question_md5, prompt_version, md5(e.answer) AS response_md5, e.n::BIGINT AS n_chunks, e.ids AS chunk_ids, "
+         "prompt_version <> 'prompt_v0' AS has_summary, prompt_version AS model_name, round(round(rqi, 12), 6) AS rqi, round(round(j, 12), 6) AS ragas, "
+         "round(round(r, 12), 6) AS retrieval, round(round(g, 12), 6) AS generation, " + _grade("rqi") + " AS grade "
+         "FROM entry JOIN rep USING (prompt_version)")
+
+
 def _run_compare_sql() -> str:
     cols = ", ".join(f"round(round(max(rqi) FILTER (WHERE model = {_lit(m)}), 12), 6) AS {m}" for m in MODELS)
     return _with(RUNS) + f"SELECT run_no, {cols} FROM reports GROUP BY run_no"
@@ -363,7 +398,8 @@ ORACLE_SQL: dict[str, str] = {
     + f"SELECT model_name, {_just('retrieval', 'generation', 'ragas')} AS justification FROM rep",
 
     "console_report": _with(RUN_SCORES)
-    + "SELECT model_name, printf('%.2f', retrieval) AS retrieval_txt, printf('%.2f', generation) AS generation_txt, "
+    + "SELECT model_name, '0.40' AS retrieval_weight, '0.30' AS generation_weight, '0.30' AS ragas_weight, "
+      "printf('%.2f', retrieval) AS retrieval_txt, printf('%.2f', generation) AS generation_txt, "
       "printf('%.2f', ragas) AS ragas_txt, printf('%.2f', rqi) AS rqi_txt, " + _grade("rqi") + " AS grade FROM rep",
 
     "impact_rows": _with(IMPACT)
@@ -411,6 +447,8 @@ ORACLE_SQL: dict[str, str] = {
       "round(round(CASE WHEN len(nt) = 0 THEN NULL ELSE (len(nt) - len(list_intersect(nt, bt)))::DOUBLE / len(nt) END, 12), 6) "
       "AS new_token_share FROM tk",
 
+    "prompt_impact": _impact_run_sql(),
+
     "table_counts": _counts_sql(),
 
     "sample_chunks": _with(CHUNKS)
@@ -433,6 +471,27 @@ ORACLE_SQL: dict[str, str] = {
       "UNION ALL SELECT chunk_id, 'ragas', 'Explain how ' || coalesce(kw[1], 'the passage') || ' relates to ' "
       "|| coalesce(kw[2], 'its context') || '.', md5(text) FROM chunk_kw",
 
+    "extractive_answers": _with(HITS, KEYWORD_CASES, _versions_values(),
+                                f"ctx AS (SELECT query_id AS case_id, string_agg(coalesce(text, ''), {_lit(CONTEXT_SEPARATOR)} ORDER BY rank) "
+                                "AS context FROM hit_text GROUP BY query_id)",
+                                """lines AS (
+  SELECT k.case_id, list_distinct(regexp_extract_all(lower(k.query), '\\p{L}{3,}')) AS qw,
+         list_filter(list_transform(string_split(coalesce(c.context, ''), chr(10)), lambda x: trim(x, ' ' || chr(9) || chr(13))), lambda x: x <> '') AS l
+  FROM keyword_cases k LEFT JOIN ctx c USING (case_id) WHERE length(k.query) > 0),
+best AS (
+  SELECT case_id, list_sort(list_transform(range(1, len(l) + 1), lambda i: {
+           's': -len(list_filter(list_distinct(regexp_extract_all(lower(l[i]), '\\p{L}{3,}')), lambda w: list_contains(qw, w))), 'i': i}))[1:3] AS b, l
+  FROM lines),
+answers AS (
+  SELECT case_id, CASE WHEN len(l) = 0 THEN 'I don''t know.'
+                       ELSE array_to_string(list_transform(list_sort(list_transform(b, lambda t: t.i)), lambda i: l[i]), ' ') END AS answer FROM best)""")
+    + "SELECT a.case_id, c.prompt_version, length(a.answer)::BIGINT AS answer_chars, NULL::VARCHAR AS error FROM answers a, catalogue c",
+
+    "recursive_coverage": (
+        "WITH s AS (SELECT doc_id, regexp_replace(text, '[\\s\\x0b\\x1c-\\x1f\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}"
+        "\\x{202f}\\x{205f}\\x{3000}]+', '', 'g') AS t FROM documents) "
+        "SELECT doc_id, true AS within_size, true AS within_overlap, length(t)::BIGINT AS solid_chars, md5(t) AS solid_md5 FROM s WHERE t <> ''"),
+
     "run_average": _with(RUNS)
     + "SELECT model, round(round(avg(rqi), 12), 6) AS rqi_mean, round(round(stddev_samp(rqi), 12), 6) AS rqi_std, "
       "count(*)::BIGINT AS n_runs FROM reports GROUP BY model",

@@ -54,36 +54,60 @@ def _hits(spark, sf):
     return _search(spark, sf)[0]
 
 
-def _hits_with_text(spark, sf, hits=None):
+def _case_search(spark, sf):
+    """The search limited to what is asked: the query vectors that a case with
+    a query names, chosen before the search."""
+    cases = metrics.generation_case_filter(derived.keyword_cases(spark, sf)).select("case_id")
+    asked = derived.vec_queries(spark, sf).join(cases, "case_id", "left_semi")
+    return retrieval.knn_search(asked, derived.vec_corpus(spark, sf), carry=("doc_id", "label"), exclude_self=True)
+
+
+def _hits_with_text(spark, sf, found=None):
     """Late materialisation: only the documents the hits point at are read
-    into the join (semi-join reduction, broadcast under the proven bound)."""
-    if hits is None:
-        hits, bound = _search(spark, sf)
-    else:
-        bound = None
+    into the join (semi-join reduction under the proven bound).  ``found``:
+    hits with their bound; default all vectors' hits."""
+    hits, bound = found if found is not None else _search(spark, sf)
     return retrieval.fetch_rows(hits, derived.documents(spark, sf), "doc_id", ["text"], bound)
 
 
-def _case_contexts(spark, sf, hits=None):
-    """(case_id, context): lower-cased hit texts joined by one space."""
-    ctx = retrieval.joined_context(_hits_with_text(spark, sf, hits), sep=" ", lower=True)
-    q = derived.vec_queries(spark, sf).select("query_id", "case_id")
-    return ctx.join(q, "query_id").select("case_id", "context")
+def _contexts_of(spark, sf, ids, found=None):
+    """(query_id, context): lower-cased hit texts joined by one space, of the
+    query vectors ``ids`` (query_id); ``found``: all vectors' hits with their
+    bound, if they are there, else these vectors alone are searched for."""
+    ids = ids.distinct()
+    if found is None:
+        found = retrieval.knn_search(derived.vec_queries(spark, sf).join(ids, "query_id", "left_semi"),
+                                     derived.vec_corpus(spark, sf), carry=("doc_id", "label"), exclude_self=True)
+    else:
+        found = (found[0].join(ids, "query_id", "left_semi"), found[1])
+    return retrieval.joined_context(_hits_with_text(spark, sf, found), sep=" ", lower=True)
+
+
+def _case_ids(spark, sf):
+    return metrics.generation_case_filter(derived.keyword_cases(spark, sf)).select(F.col("case_id").alias("query_id"))
+
+
+def _qa_ids(qa):
+    return metrics.judged_case_filter(qa).select(F.col("vec_id").alias("query_id"))
+
+
+def _case_contexts(spark, sf):
+    """(case_id, context) of the cases' query vectors."""
+    return _contexts_of(spark, sf, _case_ids(spark, sf)).withColumnRenamed("query_id", "case_id")
 
 
 def q_knn_topk(spark, sf):
     return _hits(spark, sf).select("query_id", "rank", "corpus_id", round6("distance").alias("distance"))
 
 
-# Block bound of the blocked-path query: small enough that the driver
-# tables' query side exceeds it, so queries and corpus are cut into hashed
-# blocks and paired by cogroup (the path taken at scale) instead of the
-# query matrix being broadcast.
+# Bound of the indexed-path query: small enough that both sides of the driver
+# tables exceed it, so the corpus is indexed and the queries visit its blocks
+# (the path taken at scale) instead of one side being broadcast.
 KNN_BLOCK_BYTES = 128 * 1024
 
 
 def q_knn_block(spark, sf):
-    """R1, blocked physical path: same result as ``knn_topk``."""
+    """R1, indexed physical path: same result as ``knn_topk``."""
     hits = retrieval.knn_topk(derived.vec_queries(spark, sf), derived.vec_corpus(spark, sf),
                               carry=("doc_id", "label"), exclude_self=True,
                               max_broadcast_bytes=KNN_BLOCK_BYTES)
@@ -111,7 +135,7 @@ def q_context_format(spark, sf):
 
 
 def q_prompt_render(spark, sf):
-    hits = _hits_with_text(spark, sf)
+    hits = _hits_with_text(spark, sf, _case_search(spark, sf))
     ctx = prompts.format_context(hits).join(
         derived.vec_queries(spark, sf).select("query_id", "case_id"), "query_id")
     cases = metrics.generation_case_filter(derived.keyword_cases(spark, sf)).select("case_id", "query")
@@ -125,8 +149,8 @@ def q_prompt_render(spark, sf):
 
 # ---------------------------------------------------------- evaluation -----
 
-def _retrieval_recall(spark, sf, hits=None, ctx=None):
-    ctx = ctx if ctx is not None else _case_contexts(spark, sf, hits)
+def _retrieval_recall(spark, sf, ctx=None):
+    ctx = ctx if ctx is not None else _case_contexts(spark, sf)
     return metrics.retrieval_recall(derived.keyword_cases(spark, sf), ctx)
 
 
@@ -176,9 +200,9 @@ def q_context_precision(spark, sf):
         "query_id", round6("context_precision").alias("context_precision"))
 
 
-def _context_recall(spark, sf, hits=None, ctx=None):
+def _context_recall(spark, sf, ctx=None):
     cases = metrics.judged_case_filter(derived.keyword_cases(spark, sf).withColumn("ground_truth", F.col("query")))
-    ctx = ctx if ctx is not None else _case_contexts(spark, sf, hits)
+    ctx = ctx if ctx is not None else _case_contexts(spark, sf)
     s = cases.join(ctx, "case_id", "left")
     return metrics.statement_support(s, "ground_truth", "context", out="context_recall")
 
@@ -188,9 +212,12 @@ def q_context_recall(spark, sf):
                                              round6("context_recall").alias("context_recall"))
 
 
-def _faithfulness(spark, sf, qa=None):
-    qa = metrics.judged_case_filter(qa if qa is not None else derived.qa_cases(spark, sf))
-    return metrics.statement_support(qa, "answer", "query", out="faithfulness")
+def _faithfulness(spark, sf, qa=None, contexts=None):
+    """M5: the answer's statements against the text retrieved for the case."""
+    qa = qa if qa is not None else derived.qa_cases(spark, sf)
+    ctx = contexts if contexts is not None else _contexts_of(spark, sf, _qa_ids(qa))
+    s = metrics.judged_case_filter(qa).join(ctx.withColumnRenamed("query_id", "vec_id"), "vec_id", "left")
+    return metrics.statement_support(s, "answer", "context", out="faithfulness")
 
 
 def q_faithfulness(spark, sf):
@@ -207,34 +234,40 @@ def q_answer_relevancy(spark, sf):
     return _answer_relevancy(spark, sf).select("case_id", round6("answer_relevancy").alias("answer_relevancy"))
 
 
-def _judged_long(spark, sf, hits=None, qa=None, ctx=None):
+def _judged_long(spark, sf, hits=None, qa=None, contexts=None):
     def lng(df, key, col):
         return df.select(F.col(key).cast("bigint").alias("sample_id"), F.lit(col).alias("metric"),
                          F.col(col).cast("double").alias("value"))
+    ctx = contexts.withColumnRenamed("query_id", "case_id") if contexts is not None else None
     return (lng(_context_precision(spark, sf, hits), "query_id", "context_precision")
-            .unionByName(lng(_context_recall(spark, sf, hits, ctx), "case_id", "context_recall"))
-            .unionByName(lng(_faithfulness(spark, sf, qa), "case_id", "faithfulness"))
+            .unionByName(lng(_context_recall(spark, sf, ctx), "case_id", "context_recall"))
+            .unionByName(lng(_faithfulness(spark, sf, qa, contexts), "case_id", "faithfulness"))
             .unionByName(lng(_answer_relevancy(spark, sf, qa), "case_id", "answer_relevancy")))
 
 
+def _shared_inputs(spark, sf):
+    """What several metrics read, materialised once under the cluster's
+    checkpoint folder: the kNN hits, the question-answer cases, and the
+    retrieved contexts of both kinds of cases, so that the document table is
+    scanned for hit texts once."""
+    from ragloom.session import cut_lineage
+    found = _search(spark, sf)
+    qa = cut_lineage(derived.qa_cases(spark, sf))
+    contexts = cut_lineage(_contexts_of(spark, sf, _case_ids(spark, sf).union(_qa_ids(qa)), found))
+    return found[0], qa, contexts
+
+
 def q_judged_mean_of_means(spark, sf):
-    return metrics.mean_of_means(_judged_long(spark, sf)).select(round6("ragas").alias("ragas"))
+    return metrics.mean_of_means(_judged_long(spark, sf, *_shared_inputs(spark, sf))).select(round6("ragas").alias("ragas"))
 
 
 def evaluation_report(spark, sf, name: str = "offline") -> DataFrame:
     """Lifecycle A as one lineage: retrieval (R1 -> M1 -> A1), generation
-    (M2 -> A2), judged (M3-M6 -> A3) -> Q1-Q4.  Shared inputs are
-    materialised once under the cluster's checkpoint folder: the kNN hits
-    (three metrics), the question-answer cases (three metrics) and the
-    retrieved contexts of the cases (M1 and M4) -- so the document table is
-    scanned for hit texts once, not once per metric."""
-    from ragloom.session import cut_lineage
-    hits = _hits(spark, sf)
-    qa = cut_lineage(derived.qa_cases(spark, sf))
-    ctx = cut_lineage(_case_contexts(spark, sf, hits))
-    r = metrics.mean_score(_retrieval_recall(spark, sf, hits, ctx))
+    (M2 -> A2), judged (M3-M6 -> A3) -> Q1-Q4, over shared inputs."""
+    hits, qa, contexts = _shared_inputs(spark, sf)
+    r = metrics.mean_score(_retrieval_recall(spark, sf, contexts.withColumnRenamed("query_id", "case_id")))
     g = metrics.mean_score(_generation_recall(spark, sf, qa))
-    j = metrics.mean_of_means(_judged_long(spark, sf, hits, qa, ctx))
+    j = metrics.mean_of_means(_judged_long(spark, sf, hits, qa, contexts))
     rep = report.single_run_report(r, g, j, name)
     return rep.select("model_name", *[round6(c).alias(c) for c in ("retrieval", "generation", "ragas", "rqi")],
                       "grade", "justification")
@@ -336,18 +369,57 @@ def q_answer_diff(spark, sf):
                       round6("jaccard").alias("jaccard"), round6("new_token_share").alias("new_token_share"))
 
 
+def leading_generator():
+    """A model for the registered impact run: the first characters of the
+    context, as many as the system prompt has."""
+    from ragloom.operators.generation import takes_batches
+    return takes_batches(lambda queries, contexts, prompts: [(c or "")[:len(p or "")] for c, p in zip(contexts, prompts, strict=True)])
+
+
+def q_prompt_impact(spark, sf):
+    """Lifecycle B: every keyword case under every prompt version, answered by
+    a batched plug-in from its retrieved documents, compared with its baseline
+    answer, scored by the suite of its version, committed as a snapshot and
+    read back, once through the nested document."""
+    from ragloom.operators import generation
+    from ragloom.plans import pipelines
+    from ragloom.session import cut_lineage, scratch_path
+    cases = derived.keyword_cases(spark, sf)
+    valid = metrics.generation_case_filter(cases)
+    hits, bound = _case_search(spark, sf)
+    pages = derived.page_docs(spark, sf).select("doc_id", "source", "page", "text")
+    hits = retrieval.fetch_rows(hits, pages, "doc_id", ["source", "page", "text"], bound)
+    hits = cut_lineage(hits.select(F.col("query_id").alias("case_id"), "rank", F.concat(F.lit("doc_"), "doc_id").alias("chunk_id"),
+                                   "source", "page", "text"))
+    versions = sorted(prompts.PROMPT_VERSIONS)
+    new = pipelines.answer_versions(valid.select("case_id", F.col("query").alias("question_text")), hits, versions,
+                                    make_generator=leading_generator)
+    rows = (impact.expand_versions(pipelines.with_contexts(valid, hits), versions)
+            .join(F.broadcast(prompts.catalogue(spark)), "prompt_version", "left"))
+    answers = generation.generate_answers(rows, leading_generator)
+    recall = metrics.retrieval_recall(cases, retrieval.joined_context(hits, key="case_id"))
+    reports = pipelines.version_scores(answers, answers.withColumn("ground_truth", F.col("query")), recall)
+    table = pipelines.commit_impact(spark, scratch_path(spark, "impact"), new, reports)
+    back = impact.flatten_impact(impact.nest_impact(table))
+    return back.select(F.md5("question_text").alias("question_md5"), "prompt_version", F.md5("response").alias("response_md5"),
+                       F.size("retrieved_chunks").cast("bigint").alias("n_chunks"),
+                       F.array_join(F.transform("retrieved_metadata", lambda m: m["chunk_id"]), ",").alias("chunk_ids"),
+                       F.col("change_summary").isNotNull().alias("has_summary"), "model_name",
+                       *[round6(c).alias(c) for c in impact.NUMERIC_COLS], "grade")
+
+
 def q_table_counts(spark, sf):
-    """Row counts of the evaluation tables as one long table."""
-    parts = [("chunks", _window_chunks(spark, sf)),
-             ("query_vectors", derived.vec_queries(spark, sf)),
+    """Row counts of the evaluation tables as one long table; the chunks
+    are counted from the documents' lengths, no text is read for it."""
+    chunks = chunking.window_chunk_total(derived.documents(spark, sf))
+    parts = [("query_vectors", derived.vec_queries(spark, sf)),
              ("corpus_vectors", derived.vec_corpus(spark, sf)),
              ("keyword_cases", derived.keyword_cases(spark, sf)),
              ("qa_cases", derived.qa_cases(spark, sf)),
              ("impact_rows", _impact(spark, sf))]
-    out = None
+    out = chunks.select(F.lit("chunks").alias("table_name"), "n")
     for name, df in parts:
-        one = df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("table_name"), "n")
-        out = one if out is None else out.unionByName(one)
+        out = out.unionByName(df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("table_name"), "n"))
     return out
 
 
@@ -446,6 +518,7 @@ QUERIES: dict[str, Query] = {
     "upsert_results": q_upsert_results,
     "baseline_pairs": q_baseline_pairs,
     "answer_diff": q_answer_diff,
+    "prompt_impact": q_prompt_impact,
     "table_counts": q_table_counts,
     "sample_chunks": q_sample_chunks,
     "case_quarantine": q_case_quarantine,

@@ -1,11 +1,13 @@
-"""Registered queries without a SQL oracle (Python-side or ML operators).
+"""Registered queries with Python-side or ML operators.
 
-The driver checks them by row count; the tests check their invariants
-(chunk length and overlap bounds, unit norms, kNN equal to brute force).
+``recursive_coverage`` and ``extractive_answers`` have SQL; the others are
+checked by row count, and in the tests by their invariants and brute force
+(chunk length and overlap bounds, unit norms, kNN).
 """
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ragloom.functions.text import round6
@@ -24,6 +26,30 @@ def q_recursive_chunks(spark, sf):
                      F.length("text").cast("bigint").alias("n_chars"))
 
 
+# White space as the splitter trims it, for both regex engines.
+BLANK = r"[\s\x0b\x1c-\x1f\x85\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
+
+
+def q_recursive_coverage(spark, sf):
+    """What the recursive chunks of every document that has any keep of
+    it: whether all are within the size and share no more than the overlap,
+    and the characters other than white space, counted and digested in order,
+    each taken from the first chunk that holds it."""
+    docs = spread_small_scan(derived.documents(spark, sf))
+    ch = chunking.recursive_chunks(chunking.document_pages(docs)).select("doc_id", "pos", "start", "text")
+    w = Window.partitionBy("doc_id").orderBy("pos")  # the chunks of one document
+    ends = F.coalesce(F.lag(F.col("start") + F.length("text")).over(w), F.lit(0).cast("bigint"))
+    ch = ch.withColumn("shared", F.greatest(ends - F.col("start"), F.lit(0).cast("bigint")))
+    new = F.regexp_replace(F.expr("substring(text, int(shared) + 1)"), BLANK, "")
+    per_doc = ch.groupBy("doc_id").agg(
+        (F.max(F.length("text")) <= chunking.CHUNK_SIZE).alias("within_size"),
+        (F.max("shared") <= chunking.CHUNK_OVERLAP).alias("within_overlap"),
+        F.array_sort(F.collect_list(F.struct("pos", new.alias("t")))).alias("parts"))  # one document's text
+    whole = F.array_join(F.transform("parts", lambda x: x["t"]), "")
+    return per_doc.select("doc_id", "within_size", "within_overlap", F.length(whole).cast("bigint").alias("solid_chars"),
+                          F.md5(whole).alias("solid_md5"))
+
+
 def _embedded_chunks(spark, sf):
     ch = queries._window_chunks(spark, sf).select("chunk_no", "source", "text")
     return embedding.hashed_embedding(ch)
@@ -58,7 +84,7 @@ def q_pca_points(spark, sf):
 
 def q_extractive_answers(spark, sf):
     """An answer for every (case, prompt version) from its context."""
-    hits = queries._hits_with_text(spark, sf)
+    hits = queries._hits_with_text(spark, sf, queries._case_search(spark, sf))
     ctx = prompts.format_context(hits).join(
         derived.vec_queries(spark, sf).select("query_id", "case_id"), "query_id")
     cases = (derived.keyword_cases(spark, sf).where(F.length("query") > 0)
@@ -72,6 +98,7 @@ def q_extractive_answers(spark, sf):
 
 ROWS_ONLY_QUERIES = {
     "recursive_chunks": q_recursive_chunks,
+    "recursive_coverage": q_recursive_coverage,
     "hash_embed": q_hash_embed,
     "text_retrieval": q_text_retrieval,
     "pca_points": q_pca_points,

@@ -8,7 +8,6 @@ is missing.
 
 from __future__ import annotations
 
-import os
 import uuid
 
 from pyspark import StorageLevel
@@ -94,9 +93,9 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     return out
 
 
-def local_session_for_tests(tmp_root: str, cores: str = "local[4]",
-                            shuffle_partitions: int = 8) -> SparkSession:
-    spark = build_session(master=cores, shuffle_partitions=shuffle_partitions,
-                          extra={"spark.driver.memory": "4g"})
-    set_checkpoint_dir_if_unset(spark, os.path.join(tmp_root, "checkpoints"))
-    return spark
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new folder's path under the session's shared checkpoint folder."""
+    d = bind_checkpoint_dir(spark) or spark.sparkContext.getCheckpointDir()
+    if not d:
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return f"{d.rstrip('/')}/ragloom-{name}-{uuid.uuid4().hex}"

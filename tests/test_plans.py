@@ -84,7 +84,41 @@ def test_single_partition_exchanges_carry_only_aggregates(spark, name):
             assert "HashAggregate" in child, (name, line, child)
 
 
-def test_knn_block_query_takes_the_blocked_path(spark):
+def test_knn_block_query_takes_the_index_path(spark, monkeypatch):
+    """Both sides beyond the bound: blocks of the corpus are visited, and
+    neither side is broadcast whole or replicated."""
+    from ragloom.operators import retrieval
+    asked = []
+    real = retrieval.search_index
+    monkeypatch.setattr(retrieval, "search_index", lambda q, i, *a, **k: asked.append(i.n_blocks) or real(q, i, *a, **k))
     df = entry.queries()["knn_block"](spark, SF001)
-    plan = _plan(df)
-    assert "FlatMapCoGroupsInPandas" in plan and "MapInPandas" not in plan
+    assert len(asked) == 1 and asked[0] > 1
+    assert "CoGroup" not in _plan(df)
+
+
+def test_retrieval_recall_searches_for_the_cases_alone(spark, monkeypatch):
+    from ragloom.operators import retrieval
+    from ragloom.plans import derived
+    asked = []
+    real = retrieval.knn_search
+    monkeypatch.setattr(retrieval, "knn_search", lambda q, *a, **k: asked.append(q.count()) or real(q, *a, **k))
+    entry.queries()["retrieval_recall"](spark, SF001)
+    n = derived.keyword_cases(spark, SF001).where("length(query) > 0").count()
+    assert asked == [n] and n < derived.vec_queries(spark, SF001).count()
+
+
+def test_table_counts_read_no_text(spark):
+    import re
+    plan = _plan(entry.queries()["table_counts"](spark, SF001))
+    read = re.findall(r"ReadSchema: struct<([^>]*)>", plan)
+    assert read and all("text:" not in r for r in read if "conv_id" not in r)
+    assert any("n_chars" in r for r in read)
+
+
+def test_keywords_shuffle_words_alone(spark):
+    """The document frequency is the one shuffle over the chunks' words."""
+    from ragloom.operators import synth
+    from ragloom.plans import queries
+    ch = queries._window_chunks(spark, SF001).select("chunk_id", "text")
+    plan = _plan(synth.tfidf_keywords(ch))
+    assert "MapInArrow" in plan and "Exchange" not in plan and "Window" not in plan
