@@ -11,17 +11,18 @@ agree in a register with a probability of at least their Jaccard similarity J
    sets that agree in all registers of a band meet in a bucket.  At J = 0.8 a
    pair misses all buckets with a probability below 2e-8, at J = 0.9 below
    1e-19; that is the only approximation.
-2. In every round a bucket names a centre, which is paired with the members
-   that are not yet in its component; the links found shrink the bucket to its
-   components, and the centre leaves it (it has met all others).  A bucket of
-   at most ``SMALL`` members that still has several components gives all pairs
-   of members of different components.  After ``REFINED`` rounds the members of
-   larger buckets that are still mixed (texts that share a passage, say) are
-   put in buckets of those that agree in a second band as well, which a linked
-   pair misses with a probability below 2e-8; rounds go on with these, with
-   more centres from round to round.  They end when every bucket is one
-   component or empty: nothing is capped, and a group of m near copies costs
-   about m pairs a round, not their square.
+2. A bucket's centre is its heaviest member (weight: the sizes of the buckets
+   that a set is in), which is near the middle of a group of copies.  It is
+   paired with every other member, so a group of m near copies costs about m
+   pairs, not their square; the links found give components.
+   What is left are buckets with members of several components.  Components of
+   at most ``SMALL`` sets meet inside their buckets, in packs of ``PACK``
+   members that carry their registers: a task compares packs and gives only
+   pairs that step 3 lets pass.  Larger components are cut into blocks of
+   sets, and every set of another component that shares a bucket with one is
+   compared with all its blocks, exactly and inside tasks, each of which gives
+   at most a link for a set.  After that no two sets that share a bucket are
+   left uncompared; nothing is capped.
 3. A pair's J is estimated by maximum likelihood from the registers in which
    the one, the other or neither set is ahead, given the two known sizes.  A
    pair is dropped here only if the likelihood at the threshold lies
@@ -58,7 +59,7 @@ BANDS, ROWS = 60, 6
 REGISTERS = BANDS * ROWS
 BASE, RATE, TOP = 1.001, 20.0, (1 << 16) - 1  # of the registers: b, a and q + 1
 SLACK = 50.0
-SMALL, REFINED = 48, 2
+SMALL, PACK, PACK_BYTES, SALTS = 48, 128, 1 << 22, 16
 BATCH = 256
 _MULTIPLY = np.random.default_rng(13).integers(1, 1 << 63, REGISTERS, np.uint64) * np.uint64(2) + np.uint64(1)
 _ADD = np.random.default_rng(14).integers(0, 1 << 63, REGISTERS, np.uint64)
@@ -176,22 +177,6 @@ def _linked(limit: Limit):
     return run
 
 
-def _small_pairs(limit: Limit):
-    """Pairs of members of different components, of buckets of bounded size."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a, b = [], []
-            for members in batch.column("members").to_pylist():
-                node, n, part = (np.array([m[c] for m in members], np.int64) for c in ("node", "n", "part"))
-                use = (part[:, None] != part) & _sizes_allow(limit, n[:, None], n)
-                i, j = np.nonzero(np.triu(use, 1))
-                a.append(np.minimum(node[i], node[j]))
-                b.append(np.maximum(node[i], node[j]))
-            pairs = np.unique(np.stack([np.concatenate(a), np.concatenate(b)]), axis=1) if a else np.empty((2, 0), np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[0], pa.int64()), pa.array(pairs[1], pa.int64())], ["a", "b"])
-    return run
-
-
 def _sizes_allow(limit: Limit, x, y):
     """Whether sets of these sizes can link at all (NumPy or columns)."""
     if isinstance(x, Column):
@@ -203,17 +188,130 @@ def _verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, k: int, limi
     """The pairs (a, b) that link: by likelihood first, then on the sets."""
     side = lambda c: nodes.select(F.col("node").alias(c), F.col("n").alias(f"{c}_n"), F.col("registers").alias(f"{c}_registers"))
     close = stored(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_likely(limit.num / limit.den), "a long, b long"), "likely")
-    ends = close.select(F.col("a").alias("node")).union(close.select("b")).distinct()
-    wanted = stored(ends.join(nodes.select("node", "digest", "doc_id"), "node"), "wanted")
-    # the texts by doc_id (null-safe), then the sets by their digest
+    return _exact(close, nodes, texts, k, limit)
+
+
+def _sets(wanted: DataFrame, nodes: DataFrame, texts: DataFrame, k: int) -> DataFrame:
+    """(node, tokens) of the nodes in ``wanted``, made of their texts again:
+    the texts by doc_id (null-safe), then the sets by their digest."""
+    wanted = stored(wanted.select("node").distinct().join(nodes.select("node", "digest", "doc_id"), "node"), "wanted")
     key = [F.coalesce("doc_id", F.lit(0)).alias("k1"), F.col("doc_id").isNull().alias("k2")]
     some = texts.select("text", *key).join(wanted.select(*key).distinct(), ["k1", "k2"], "left_semi")
     sets = some.select("text").mapInArrow(_tokens(k), "digest binary, tokens binary")
-    sets = sets.join(wanted.select("digest", "node"), "digest").groupBy("node").agg(F.first("tokens").alias("tokens"))
-    sets = stored(sets, "sets")
+    return stored(sets.join(wanted.select("digest", "node"), "digest").groupBy("node").agg(F.first("tokens").alias("tokens")), "sets")
+
+
+def _exact(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, k: int, limit: Limit) -> DataFrame:
+    sets = _sets(pairs.select(F.col("a").alias("node")).union(pairs.select("b")), nodes, texts, k)
     side = lambda c: sets.select(F.col("node").alias(c), F.col("tokens").alias(f"{c}_tokens"))
     with batches_of(texts.sparkSession, BATCH):
-        return stored(close.join(side("a"), "a").join(side("b"), "b").mapInArrow(_linked(limit), "a long, b long"), "links")
+        return stored(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_linked(limit), "a long, b long"), "links")
+
+
+PACKED = "key long, no long, nodes array<long>, ns array<long>, parts array<long>, sizes array<long>, data binary"
+
+
+def _packs(rows: int, size: int):
+    """Rows sorted by key -> packs of one key, of so many rows and bytes (or
+    a single row)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+        no, key, held, held_size = TaskContext.get().partitionId() << 32, None, [], 0
+
+        def pack():
+            nonlocal no, held, held_size
+            columns = [[key], [no], *([[h[i] for h in held]] for i in range(3)), [[len(h[3]) for h in held]], [b"".join(h[3] for h in held)]]
+            types = [pa.int64(), pa.int64(), *[pa.list_(pa.int64())] * 4, pa.binary()]
+            no, held, held_size = no + 1, [], 0
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], [f.split()[0] for f in PACKED.split(", ")])
+
+        for batch in batches:
+            lists = [batch.column(c).to_pylist() for c in ("key", "node", "n", "part")]
+            for at, *row in zip(*lists, batch.column("data"), strict=True):
+                data = row[-1].as_py()
+                if held and (at != key or len(held) == rows or held_size + len(data) > size):
+                    yield pack()
+                key = at
+                held.append((*row[:-1], data))
+                held_size += len(data)
+        if held:
+            yield pack()
+    return run
+
+
+def _packed(rows: DataFrame, size: int) -> DataFrame:
+    """``rows`` (key, node, n, part, data) in packs; equal keys are spread by
+    node over as many tasks as they need."""
+    ordered = rows.select("key", "node", "n", "part", "data").repartitionByRange("key", "node").sortWithinPartitions("key", "node")
+    return ordered.mapInArrow(_packs(PACK, size), PACKED)
+
+
+def _side(packs: DataFrame, name: str) -> DataFrame:
+    return packs.select("key", *(F.col(c).alias(f"{name}_{c}") for c in packs.columns if c != "key"))
+
+
+def _pack_of(row: dict, side: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return tuple(np.array(row[f"{side}_{c}"], np.int64) for c in ("nodes", "ns", "parts"))
+
+
+def _close_in_packs(limit: Limit):
+    """Two packs of a bucket -> pairs of different components that may link,
+    by size and likelihood."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                (a, n_a, part_a), (b, n_b, part_b) = _pack_of(row, "a"), _pack_of(row, "b")
+                use = (part_a[:, None] != part_b) & _sizes_allow(limit, n_a[:, None], n_b)
+                i, j = np.nonzero(np.triu(use, 1) if row["a_no"] == row["b_no"] else use)
+                regs = [np.frombuffer(row[f"{x}_data"], "<u2").reshape(-1, REGISTERS) for x in "ab"]
+                for at in range(0, len(i), 4096):
+                    x, y = i[at:at + 4096], j[at:at + 4096]
+                    ok = likely(regs[0][x], regs[1][y], n_a[x].astype(float), n_b[y].astype(float), limit.num / limit.den)
+                    x, y = a[x[ok]], b[y[ok]]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
+    return run
+
+
+def overlaps(a: list[np.ndarray], b: list[np.ndarray], columns: int = 2048) -> np.ndarray:
+    """Sizes of the intersections of all sets of ``a`` with all of ``b``: the
+    product of their membership matrices over the tokens both sides have."""
+    flat = [np.concatenate(x) if x else np.empty(0, np.uint64) for x in (a, b)]
+    rows = [np.repeat(np.arange(len(x)), [len(t) for t in x]) for x in (a, b)]
+    shared = np.intersect1d(*flat)
+    out = np.zeros((len(a), len(b)), np.int64)
+    placed = []
+    for tokens, row in zip(flat, rows, strict=True):
+        at = np.searchsorted(shared, tokens)
+        at[at == len(shared)] = 0
+        known = shared[at] == tokens if len(shared) else np.zeros(len(tokens), bool)
+        at, row = at[known], row[known]
+        order = np.argsort(at, kind="stable")
+        placed.append((at[order], row[order]))
+    for low in range(0, len(shared), columns):
+        sides = []
+        for (at, row), n in zip(placed, out.shape, strict=True):
+            x, y = np.searchsorted(at, (low, low + columns))
+            m = np.zeros((n, min(columns, len(shared) - low)), np.float32)
+            m[row[x:y], at[x:y] - low] = 1
+            sides.append(m)
+        out += (sides[0] @ sides[1].T).astype(np.int64)  # sums below 2^24: exact
+    return out
+
+
+def _linked_blocks(limit: Limit):
+    """A pack of sets and a block of a component -> for each set of the pack
+    that links with any of the block, one such link."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                (a, n_a, _), (b, n_b, _) = _pack_of(row, "a"), _pack_of(row, "b")
+                sets = [np.split(np.frombuffer(row[f"{x}_data"], np.uint64), np.cumsum(row[f"{x}_sizes"])[:-1] // 8) for x in "ab"]
+                common = overlaps(*sets)
+                hit = limit.den * common >= limit.num * (n_a[:, None] + n_b - common)
+                x = np.flatnonzero(hit.any(axis=1))
+                y = b[hit[x].argmax(axis=1)]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a[x], y)), pa.array(np.maximum(a[x], y))], ["a", "b"])
+    return run
 
 
 def _band_keys() -> Column:
@@ -229,54 +327,54 @@ def _buckets(nodes: DataFrame) -> DataFrame:
     return stored(placed.join(shared, "bucket"), "buckets")
 
 
-def _round(members: DataFrame, limit: Limit, centres: int, small: int, turn: int) -> tuple[DataFrame, DataFrame]:
-    """Pairs of this round, and the members that are left for the next.
-
-    ``members`` (bucket, node, n, part).  Buckets of one component go; those of
-    at most ``small`` members give all their pairs and go; of the others the
-    least member and about ``centres`` - 1 more meet all members, and go."""
-    size = stored(members.groupBy("bucket").agg(F.count("*").alias("m"), F.min("part").alias("x"), F.max("part").alias("y"),
-                                                F.min("node").alias("least")).where("x != y").drop("x", "y"), "bucket-sizes")
-    few = members.join(size.where(F.col("m") <= small).select("bucket"), "bucket", "left_semi")
-    grouped = few.groupBy("bucket").agg(F.collect_list(F.struct("node", "n", "part")).alias("members"))  # SMALL at most
-    pairs = grouped.select("members").mapInArrow(_small_pairs(limit), "a long, b long")
-    large = members.join(size.where(F.col("m") > small), "bucket")
-    drawn = F.pmod(F.xxhash64("node", F.lit(turn)), F.col("m")) < centres - 1
-    large = stored(large.select("bucket", "node", "n", "part", ((F.col("node") == F.col("least")) | drawn).alias("central")), "large-buckets")
-    centre = large.where("central").select("bucket", *(F.col(c).alias(f"c_{c}") for c in ("node", "n", "part")))
-    met = large.join(centre, "bucket").where((F.col("part") != F.col("c_part")) & _sizes_allow(limit, F.col("n"), F.col("c_n")))
-    stars = met.select(F.least("node", "c_node").alias("a"), F.greatest("node", "c_node").alias("b"))
-    return pairs.union(stars).distinct(), large.where("not central").select("bucket", "node", "n")
-
-
-def _refined(left: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Members of large buckets, in buckets of those that meet in two bands."""
-    keys = left.join(nodes.select("node", "registers"), "node").select("bucket", "node", "n", F.explode(_band_keys()).alias("second"))
-    keys = keys.where("bucket != second").select(F.xxhash64(F.least("bucket", "second"), F.greatest("bucket", "second")).alias("bucket"), "node", "n").distinct()
-    keys = stored(keys, "second-bands")
-    return keys.join(stored(keys.groupBy("bucket").agg(F.count("*").alias("m")).where("m > 1").select("bucket"), "shared"), "bucket")
+def _stars(placed: DataFrame, limit: Limit) -> DataFrame:
+    """Pairs of every bucket's heaviest member with its others."""
+    size = stored(placed.groupBy("bucket").agg(F.count("*").alias("m")), "bucket-sizes")
+    weight = stored(placed.join(size, "bucket").groupBy("node").agg(F.sum("m").alias("w")), "weights")
+    heavy = placed.join(weight, "node").groupBy("bucket").agg(F.max(F.struct("w", "node", "n")).alias("c"))
+    centre = stored(heavy.select("bucket", F.col("c.node").alias("c_node"), F.col("c.n").alias("c_n")), "centres")
+    met = placed.join(centre, "bucket").where((F.col("node") != F.col("c_node")) & _sizes_allow(limit, F.col("n"), F.col("c_n")))
+    return met.select(F.least("node", "c_node").alias("a"), F.greatest("node", "c_node").alias("b")).distinct()
 
 
 def _links(nodes: DataFrame, texts: DataFrame, k: int, limit: Limit) -> DataFrame:
     """Edges between nodes, enough to connect all that links connect."""
-    left, links, tried, turn = _buckets(nodes), None, None, 0
-    while True:
-        if links is None:  # nothing is known: every member is a component
-            members = left.withColumn("part", F.col("node"))
-        else:
-            parts = stored(components(links), "parts").select(F.col("node").alias("of"), "component")
-            members = left.join(parts, F.col("node") == F.col("of"), "left").select("bucket", "node", "n", F.coalesce("component", "node").alias("part"))
-        members = stored(members, "members")
-        pairs, left = _round(members, limit, max(1, 8 ** (turn - REFINED - 1)), SMALL if turn else 0, turn)
-        pairs = stored(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
-        found = _verified(pairs, nodes, texts, k, limit)
-        if links is not None and left.isEmpty():
-            return links.union(found)
-        links = found if links is None else stored(links.union(found), "all-links")
-        tried = pairs if tried is None else tried.union(pairs)
-        turn += 1
-        if turn == REFINED:
-            left = stored(_refined(left, nodes), "refined")
+    spark = texts.sparkSession
+    placed = _buckets(nodes)
+    links = _verified(stored(_stars(placed, limit), "stars"), nodes, texts, k, limit)
+    parts = stored(components(links), "parts").select(F.col("node").alias("of"), "component")
+    members = placed.join(parts, F.col("node") == F.col("of"), "left").select("bucket", "node", "n", F.coalesce("component", "node").alias("part"))
+    members = stored(members, "members")
+    mixed = members.groupBy("bucket").agg(F.min("part").alias("x"), F.max("part").alias("y")).where("x != y").select("bucket")
+    members = stored(members.join(stored(mixed, "mixed"), "bucket"), "mixed-members")
+    large = stored(parts.groupBy("component").agg(F.count("*").alias("m")).where(F.col("m") > SMALL).select(F.col("component").alias("target")), "large")
+
+    # sets of small components meet inside their buckets
+    few = members.join(large, F.col("part") == F.col("target"), "left_anti").join(nodes.select("node", F.col("registers").alias("data")), "node")
+    packs = stored(_packed(few.withColumnRenamed("bucket", "key"), 1 << 20), "bucket-packs")
+    with batches_of(spark, BATCH):
+        met = _side(packs, "a").join(_side(packs, "b"), "key").where("a_no <= b_no").mapInArrow(_close_in_packs(limit), "a long, b long")
+        pairs = stored(met.distinct(), "pairs")
+    links = links.union(_exact(pairs, nodes, texts, k, limit))
+
+    # a set of any component meets the whole of a large one that it shares a bucket with
+    there = members.join(large, F.col("part") == F.col("target")).select("bucket", "target").distinct()
+    is_large = large.select(F.col("target").alias("own"))
+    asked = (members.join(there, "bucket").where("part != target").join(is_large, F.col("part") == F.col("own"), "left")
+             .where("own IS NULL OR own < target").select("target", "node", "n", "part").distinct())
+    asked = stored(asked, "asked")
+    owned = parts.join(large, F.col("component") == F.col("target")).select("target", F.col("of").alias("node"))
+    owned = stored(owned.join(asked.select("target").distinct(), "target", "left_semi"), "owned")
+    sets = _sets(asked.select("node").union(owned.select("node")), nodes, texts, k).withColumnRenamed("tokens", "data")
+    block = owned.join(nodes.select("node", "n"), "node").join(sets, "node").withColumn("part", F.col("target")).withColumnRenamed("target", "key")
+    blocks = stored(_packed(block, PACK_BYTES), "component-blocks").withColumn("salt", F.pmod(F.xxhash64("no"), F.lit(SALTS)).cast("int"))
+    packs = stored(_packed(asked.join(sets, "node").withColumnRenamed("target", "key"), PACK_BYTES), "asked-packs")
+    packs = packs.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    left, right = _side(packs, "a"), _side(blocks, "b")
+    with batches_of(spark, BATCH // 16):
+        found = left.join(right, (left["key"] == right["key"]) & (F.col("a_salt") == F.col("b_salt"))).drop("key", "a_salt", "b_salt")
+        found = stored(found.mapInArrow(_linked_blocks(limit), "a long, b long").distinct(), "component-links")
+    return links.union(found)
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:

@@ -157,7 +157,9 @@ def _near_rows(rng):
 
 @pytest.mark.parametrize(("k", "num", "small"), [(2, 80, 48), (5, 85, 48), (2, 80, 2)])
 def test_near_duplicates(spark, docs, empty, k, num, small, monkeypatch):  # noqa: F811
-    monkeypatch.setattr(setsketch, "SMALL", small)  # 2: rounds of centres and second bands
+    monkeypatch.setattr(setsketch, "SMALL", small)  # 2: most groups are large components, cut into blocks
+    if small == 2:
+        monkeypatch.setattr(setsketch, "PACK", 3)
     rows = _rows(docs) + _near_rows(np.random.default_rng(k))
     got = setsketch.near_duplicates(_table(spark, rows), k, num, 100).collect()
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == _components(rows, k, num, 100)
@@ -205,6 +207,30 @@ def test_estimate_is_near_the_similarity_and_drops_no_linked_pair():
     assert kept[np.array(linked)].all() and not kept[np.array(true) < 0.45].any()
 
 
+def test_overlaps_of_sets():
+    rng = np.random.default_rng(6)
+    a, b = ([np.unique(rng.integers(0, 90, int(rng.integers(0, 60))).astype(np.uint64)) for _ in range(n)] for n in (7, 11))
+    want = [[len(np.intersect1d(x, y)) for y in b] for x in a]
+    for columns in (5, 2048):
+        assert setsketch.overlaps(a, b, columns).tolist() == want
+    assert setsketch.overlaps([], b).shape == (0, 11)
+
+
+def test_members_far_from_the_centre_are_compared_with_the_whole_group(spark, monkeypatch):
+    """A chain of copies, each linked with the next alone: the centre links
+    few of them, and the others must still be found."""
+    monkeypatch.setattr(setsketch, "SMALL", 3)
+    monkeypatch.setattr(setsketch, "PACK", 4)
+    words = [f"w{i}" for i in range(100)]
+    rows = []
+    for i in range(40):
+        rows.append((i, " ".join(words)))
+        words[(i * 7) % 100] = f"x{i}"
+        words[(i * 7 + 50) % 100] = f"y{i}"
+    got = setsketch.near_duplicates(_table(spark, rows), 2).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == _components(rows, 2, 80, 100)
+
+
 def test_group_of_near_copies_gives_pairs_in_proportion(spark):
     """A bucket's centre meets its members: far from all pairs of a group."""
     rng = np.random.default_rng(4)
@@ -217,8 +243,7 @@ def test_group_of_near_copies_gives_pairs_in_proportion(spark):
     table = _table(spark, rows)
     nodes = table.select(F.col("doc_id").alias("uid"), "doc_id", "text").mapInArrow(setsketch._sketches(2), setsketch.SKETCH).select(
         "digest", F.col("uid").alias("node"), "doc_id", "n", "registers")
-    members = setsketch._buckets(nodes).withColumn("part", F.col("node"))
-    pairs, _ = setsketch._round(members, Limit(80, 100), 1, 0, 0)
+    pairs = setsketch._stars(setsketch._buckets(nodes), Limit(80, 100))
     assert 299 <= pairs.count() <= 300 * 20
     got = setsketch.near_duplicates(table, 2).collect()
     assert {r.component_id for r in got} == {0} and sum(r.kept for r in got) == 1
