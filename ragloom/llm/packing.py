@@ -26,14 +26,15 @@ from __future__ import annotations
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .tables import stored
-from .words import UnitCache, library_tokenizer, plain_units
+from .tables import stored, worker_state
+from .words import UnitIds, library_tokenizer, plain_units, text_parts
 
 CAPACITY = 4096
 PIECES = "uid long, doc_id long, piece int, start long, length long, ids_crc32 long, task long, nth long"
@@ -42,20 +43,24 @@ PIECES = "uid long, doc_id long, piece int, start long, length long, ids_crc32 l
 def _pieces(tokenizer_path: str, end_id: int, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
-        tokenizer, task = library_tokenizer(tokenizer_path), TaskContext.get().partitionId()
-        cache = UnitCache(lambda u: np.array(tokenizer.encode(u, add_special_tokens=False).ids, "<u4").tobytes())
+        task = TaskContext.get().partitionId()
+        cache = worker_state(f"unit ids of {tokenizer_path}", lambda: UnitIds(library_tokenizer(tokenizer_path), "<u4"))
         seen, end = [0] * (capacity + 1), np.array([end_id], "<u4").tobytes()
         fields = [("uid", pa.int64()), ("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()),
                   ("length", pa.int64()), ("ids_crc32", pa.int64()), ("task", pa.int64()), ("nth", pa.int64())]
         for batch in batches:
             rows = []
-            for uid, doc_id, text in zip(*(batch.column(c).to_pylist() for c in ("uid", "doc_id", "text")), strict=True):
-                ids = b"".join(map(cache.__getitem__, plain_units(text or ""))) + end
-                for piece, start in enumerate(range(0, len(ids), 4 * capacity)):
-                    own = ids[start:start + 4 * capacity]
-                    n = len(own) // 4
-                    rows.append((uid, doc_id, piece, start // 4, n, zlib.crc32(own), task, seen[n]))
-                    seen[n] += 1
+            uids, doc_ids, texts = (batch.column(c).to_pylist() for c in ("uid", "doc_id", "text"))
+            for a, b in text_parts(texts):
+                units = [plain_units(t or "") for t in texts[a:b]]
+                cache.learn(chain.from_iterable(units))
+                for uid, doc_id, own_units in zip(uids[a:b], doc_ids[a:b], units, strict=True):
+                    ids = b"".join(map(cache.__getitem__, own_units)) + end
+                    for piece, start in enumerate(range(0, len(ids), 4 * capacity)):
+                        own = ids[start:start + 4 * capacity]
+                        n = len(own) // 4
+                        rows.append((uid, doc_id, piece, start // 4, n, zlib.crc32(own), task, seen[n]))
+                        seen[n] += 1
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, (_, t) in enumerate(fields)], [n for n, _ in fields])
     return run
 

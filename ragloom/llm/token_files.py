@@ -1,7 +1,8 @@
 """Token ids in Arrow files of fixed-size lists (operator 7).
 
 Every shard is an Arrow IPC file whose batches hold two columns of fixed-size
-lists, the ids and the mask of sequences of equal length; the documents of a
+lists, the ids (16 bits each while the vocabulary fits them, else 32) and the
+mask (a bit each) of sequences of equal length; the documents of a
 shard lie in it one after the other, the last sequence is padded under mask 0.
 The file's footer has the place of every batch and a list's place follows from
 its number, so a memory-mapped reader gets any sequence without copying or
@@ -23,56 +24,63 @@ from __future__ import annotations
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .tables import file_system, shared_folder
-from .words import UnitCache, gpt2_units, library_tokenizer, unit_text
+from .tables import file_system, shared_folder, worker_state
+from .words import UnitIds, gpt2_units, library_tokenizer, text_parts, unit_text
 
 SEQUENCE = 2048
 BATCH_SEQUENCES = 256
 MANIFEST = "shard long, file string, documents long, tokens long"
 
 
-def sequence_schema(length: int) -> pa.Schema:
-    return pa.schema([("ids", pa.list_(pa.uint32(), length)), ("mask", pa.list_(pa.uint8(), length))])
+def sequence_schema(length: int, ids: pa.DataType) -> pa.Schema:
+    return pa.schema([("ids", pa.list_(ids, length)), ("mask", pa.list_(pa.bool_(), length))])
 
 
 DOCUMENTS = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
 
 
-def encoder(tokenizer_path: str):
-    """text -> ids as bytes (little-endian 32-bit), equal to encoding the
-    whole text with the library."""
-    tokenizer = library_tokenizer(tokenizer_path)
-    one = lambda u: np.array(tokenizer.encode(u, add_special_tokens=False).ids, "<u4").tobytes()
-    further, first = UnitCache(lambda u: one(unit_text(u))), UnitCache(one, 10_000)
+class Encoder:
+    """texts -> ids as bytes, equal to encoding the whole texts with the
+    library; in 16 bits while the vocabulary's numbers fit them, else in 32."""
 
-    def encode(text: str | None) -> bytes:
-        head, rest = gpt2_units(text or "")
-        return first[head] + b"".join(map(further.__getitem__, rest))
-    return encode
+    def __init__(self, tokenizer_path: str):
+        tokenizer = library_tokenizer(tokenizer_path)
+        self.width = "<u2" if tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
+        self._further, self._first = UnitIds(tokenizer, self.width, unit_text), UnitIds(tokenizer, self.width, None, 10_000)
+
+    def encode(self, texts: list) -> Iterator[bytes]:
+        for a, b in text_parts(texts):
+            cut = [gpt2_units(t or "") for t in texts[a:b]]
+            self._first.learn(head for head, _ in cut)
+            self._further.learn(chain.from_iterable(rest for _, rest in cut))
+            for head, rest in cut:
+                yield self._first[head] + b"".join(map(self._further.__getitem__, rest))
 
 
 class ShardWriter:
     """The two files of one shard; holds one batch of sequences at most."""
 
-    def __init__(self, folder: str, name: str, length: int):
+    def __init__(self, folder: str, name: str, length: int, width: str):
         fs, path = file_system(folder)
         fs.create_dir(path, recursive=True)
-        self._length, self._step = length, length * BATCH_SEQUENCES
+        self._length, self._step, self._width = length, length * BATCH_SEQUENCES, np.dtype(width)
+        self._schema = sequence_schema(length, pa.from_numpy_dtype(self._width))
         self._files = [fs.open_output_stream(f"{path}/{name}.{kind}.tmp") for kind in ("sequences", "documents")]
-        self._sequences = pa.ipc.new_file(self._files[0], sequence_schema(length))
+        self._sequences = pa.ipc.new_file(self._files[0], self._schema)
         self._documents = pa.ipc.new_file(self._files[1], DOCUMENTS)
         self._ids: list[bytes] = []
         self._held = self.tokens = self.documents = 0
         self._index: list[tuple] = []
 
     def add(self, doc_id: int | None, ids: bytes) -> None:
-        n = len(ids) // 4
+        n = len(ids) // self._width.itemsize
         self._index.append((doc_id, self.tokens, n))
         self.documents, self.tokens, self._held = self.documents + 1, self.tokens + n, self._held + n
         self._ids.append(ids)
@@ -82,15 +90,15 @@ class ShardWriter:
             self._write_index()
 
     def _write_full(self) -> None:
-        data = np.frombuffer(b"".join(self._ids), "<u4")
+        data = np.frombuffer(b"".join(self._ids), self._width)
         end = len(data) // self._step * self._step
         for i in range(0, end, self._step):
-            self._batch(data[i:i + self._step], np.ones(self._step, np.uint8))
+            self._batch(data[i:i + self._step], np.ones(self._step, bool))
         self._ids, self._held = [data[end:].tobytes()], len(data) - end
 
     def _batch(self, ids: np.ndarray, mask: np.ndarray) -> None:
         columns = [pa.FixedSizeListArray.from_arrays(pa.array(x), self._length) for x in (ids, mask)]
-        self._sequences.write_batch(pa.RecordBatch.from_arrays(columns, schema=sequence_schema(self._length)))
+        self._sequences.write_batch(pa.RecordBatch.from_arrays(columns, schema=self._schema))
 
     def _write_index(self) -> None:
         columns = [pa.array([x[i] for x in self._index], pa.int64()) for i in range(3)]
@@ -98,10 +106,10 @@ class ShardWriter:
         self._index = []
 
     def close(self) -> None:
-        data = np.frombuffer(b"".join(self._ids), "<u4")
+        data = np.frombuffer(b"".join(self._ids), self._width)
         padded = -(-len(data) // self._length) * self._length
         if padded:
-            self._batch(np.r_[data, np.zeros(padded - len(data), "<u4")], (np.arange(padded) < len(data)).astype(np.uint8))
+            self._batch(np.r_[data, np.zeros(padded - len(data), self._width)], np.arange(padded) < len(data))
         self._write_index()
         for x in (self._sequences, self._documents, *self._files):
             x.close()
@@ -110,13 +118,14 @@ class ShardWriter:
 def _write(folder: str, tokenizer_path: str, end_id: int, length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
-        shard, name, writer, encode = TaskContext.get().partitionId(), uuid.uuid4().hex, None, None
-        end = np.array([end_id], "<u4").tobytes()
+        shard, name, writer = TaskContext.get().partitionId(), uuid.uuid4().hex, None
+        encoder = worker_state(f"encoder of {tokenizer_path}", lambda: Encoder(tokenizer_path))
+        end = np.array([end_id], encoder.width).tobytes()
         for batch in batches:
             if writer is None and batch.num_rows:
-                writer, encode = ShardWriter(folder, name, length), encoder(tokenizer_path)
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
-                writer.add(doc_id, encode(text.as_py()) + end)
+                writer = ShardWriter(folder, name, length, encoder.width)
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(batch.column("text").to_pylist()), strict=True):
+                writer.add(doc_id, ids + end)
         if writer is not None:
             writer.close()
             yield pa.RecordBatch.from_pydict({"shard": [shard], "file": [name], "documents": [writer.documents], "tokens": [writer.tokens]})
@@ -163,17 +172,18 @@ class Sequences:
         return self._batch
 
     def sequence(self, i: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and mask of the i-th sequence: views of the file's pages."""
+        """Ids and mask of the i-th sequence: the ids are a view of the file's
+        pages, the mask's bits are unpacked."""
         batch, row = self._load(i // BATCH_SEQUENCES), i % BATCH_SEQUENCES
-        return tuple(batch.column(c).values.to_numpy()[row * self._length:(row + 1) * self._length] for c in (0, 1))
+        return tuple(batch.column(c).values[row * self._length:(row + 1) * self._length].to_numpy(zero_copy_only=not c) for c in (0, 1))
 
     def tokens(self, start: int, n: int) -> np.ndarray:
         """The shard's ids start .. start + n, padding left out."""
         step, out = self._length * BATCH_SEQUENCES, []
         while n:
             i, at = divmod(start, step)
-            values, mask = (self._load(i).column(c).values.to_numpy()[at:at + n] for c in (0, 1))
-            out.append(values[mask == 1])
+            values, mask = (self._load(i).column(c).values[at:at + n].to_numpy(zero_copy_only=not c) for c in (0, 1))
+            out.append(values[mask])
             start, n = start + len(values), n - len(values)
         return np.concatenate(out) if out else np.empty(0, "<u4")
 
@@ -196,9 +206,12 @@ def _read(folder: str, length: int):
 def read_token_files(spark: SparkSession, folder: str, length: int = SEQUENCE) -> DataFrame:
     """Per document, from the files: doc_id, start (ids of all documents
     before it), n_tokens, ids_crc32."""
-    shards = spark.read.schema(MANIFEST).parquet(f"{folder}/manifest")
-    earlier = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
-    placed = shards.withColumn("before", F.coalesce(F.sum("tokens").over(earlier), F.lit(0)))
+    shards = spark.read.schema(MANIFEST).parquet(f"{folder}/manifest").collect()  # a row a file, as many as there were tasks
+    placed, before = [], 0
+    for row in sorted(shards, key=lambda r: r.shard):
+        placed.append((row.file, before))
+        before += row.tokens
+    placed = spark.createDataFrame(placed, "file string, before long")
     spread = placed.repartition(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))), "file")
     return spread.select("file", "before").mapInArrow(_read(folder, length), "doc_id long, start long, n_tokens long, ids_crc32 long")
 

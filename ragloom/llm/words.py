@@ -9,6 +9,8 @@ from __future__ import annotations
 import re
 from collections import Counter
 
+import numpy as np
+
 CACHE_UNITS = 600_000
 
 #: White space of the tokenizers' patterns (Unicode White_Space), fixed values.
@@ -57,15 +59,44 @@ class UnitCache(dict):
         return out
 
 
+class UnitIds(dict):
+    """unit -> its ids as bytes, of the numbers' type ``width``; units that are
+    new are encoded many at a call.  Emptied when it grows too large."""
+
+    def __init__(self, tokenizer, width: str, text_of=None, limit: int = CACHE_UNITS):
+        super().__init__()
+        self._tokenizer, self._width, self._text_of, self._limit = tokenizer, width, text_of, limit
+
+    def learn(self, units) -> None:
+        new = set(units).difference(self)
+        if len(self) + len(new) > self._limit:
+            self.clear()
+            new = set(units)
+        new = list(new)
+        texts = new if self._text_of is None else list(map(self._text_of, new))
+        for unit, found in zip(new, self._tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+            self[unit] = np.array(found.ids, self._width).tobytes()
+
+
+def text_parts(texts: list, chars: int = 1 << 20):
+    """Ranges of texts of about so many characters."""
+    start = held = 0
+    for i, t in enumerate(texts):
+        held += len(t or "")
+        if held >= chars:
+            yield start, i + 1
+            start, held = i + 1, 0
+    if start < len(texts):
+        yield start, len(texts)
+
+
 def library_tokenizer(path: str):
-    """The tokenizers library's object; strings that look like special tokens
-    are ordinary text."""
+    """The tokenizers library's object, as it encodes by a plain call: strings
+    of special tokens in a text are these tokens."""
     import os
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
-    t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(path)
 
 
 class Counts:

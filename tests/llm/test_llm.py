@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ragloom.llm import bpe, brown, exact_dedup, jaccard_rtree, line_dedup, nn_descent, packing, token_files, toxicity, warc
 
+SPECIAL = ["a<|endoftext|>b", "x <|endoftext|> y", "x  <|endoftext|>  y\n<|endoftext|>", "<|startoftext|> Hi<|endoftext|>", "<|endoftext"]
 LONG = " ".join(f"w{i % 997}x{i % 31}" for i in range(6000))
 TEXTS = [
     "", None, " ", "a b", "One two  three\tfour five six seven", "one two three four five six seven",
@@ -133,8 +134,7 @@ def test_byte_bpe_equals_the_library(docs, empty):
 
 def _encoded(docs, name, end):
     from tokenizers import Tokenizer
-    t = Tokenizer.from_file(public_tokenizers.path(name))
-    t.encode_special_tokens = True
+    t = Tokenizer.from_file(public_tokenizers.path(name))  # a plain call: special tokens in a text are such
     return [(i, np.array([*t.encode(x or "", add_special_tokens=False).ids, end], "<u4")) for i, x in _rows(docs)]
 
 
@@ -147,7 +147,8 @@ def test_packed_words_are_found():
     assert bpe.Vocabulary(bpe.pack_words(pa.array([], pa.binary()), pa.array([], pa.list_(pa.int32())))).get(b"a") is None
 
 
-def test_token_files_round_trip(docs, empty):
+def test_token_files_round_trip(docs, empty, spark):
+    docs = docs.unionByName(_table(spark, [(500 + i, t) for i, t in enumerate(SPECIAL)]))
     path = public_tokenizers.path("byte_bpe_50k.json")
     for length in (2048, 7):
         got = sorted(token_files.token_files(docs, path, length=length).collect(), key=lambda r: r.start)
@@ -158,7 +159,8 @@ def test_token_files_round_trip(docs, empty):
     assert token_files.token_files(empty, path).count() == 0
 
 
-def test_packing(docs, empty):
+def test_packing(docs, empty, spark):
+    docs = docs.unionByName(_table(spark, [(500 + i, t) for i, t in enumerate(SPECIAL)]))
     path = public_tokenizers.path("word_bpe_49k.json")
     got = packing.pack(docs, path, capacity=512).collect()
     want = Counter((i, p, s, len(x[s:s + 512]), zlib.crc32(x[s:s + 512].tobytes()))
