@@ -68,10 +68,11 @@ class UnitIds(dict):
         self._tokenizer, self._width, self._text_of, self._limit = tokenizer, width, text_of, limit
 
     def learn(self, units) -> None:
-        new = set(units).difference(self)
+        units = set(units)
+        new = units.difference(self)
         if len(self) + len(new) > self._limit:
             self.clear()
-            new = set(units)
+            new = units
         new = list(new)
         texts = new if self._text_of is None else list(map(self._text_of, new))
         for unit, found in zip(new, self._tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
