@@ -17,9 +17,13 @@ in order of size.  Then:
 1. every member is compared with the centre of its leaf and of its subtree, the
    members that lie in most subtrees: if the sum of coordinate minima allows a
    link, the exact intersection decides; the links found so far give parts;
-2. in subtrees with members of more than one part, pairs of leaves whose upper
-   corners pass the bound are joined, pairs of points of different parts that
-   pass it are kept once, and these verified on the sets.
+2. in subtrees with members of more than one small part, pairs of leaves whose
+   upper corners pass the bound are joined, pairs of points of different parts
+   that pass it are kept once, and these verified on the sets;
+3. a part of more than ``LARGE`` sets is cut into blocks, and every set outside
+   it that shares a subtree with one of its members is compared with all of
+   them, exactly and inside tasks: the few members of a large group that no
+   centre reaches cost no pairs as rows.
 
 A point has about one group for every eight tokens, so that the bound tells
 long texts apart as well as short ones; points of different detail are
@@ -34,8 +38,7 @@ Defined results: null, empty and blank texts have an empty set and link with
 nothing; a text of fewer than k words is one shingle; rows that repeat a
 doc_id are rows of their own; a null doc_id is never a component's name unless
 no member has another; an empty table gives no rows; other columns are
-ignored.  ``docs`` is read more than once and must give the same rows in the
-same partitions each time, as a table scan does.
+ignored.  Rows are numbered once, in a stored copy.
 """
 
 from __future__ import annotations
@@ -52,11 +55,13 @@ from pyspark.sql import functions as F
 
 from .bpe import frequent
 from .components import components
+from .set_blocks import asked_of_large, links_with_large
 from .tables import batches_of, numbered, rows_of, stored
 from .words import UnitCache
 
 GROUPS = 64  # of the corners; a point has as many or more
 LEAF = 64
+LARGE = 64  # sets of a part from which on it is met as a whole
 BATCH = 128  # leaves, or pairs of sets, in a task's memory at once
 COMMON, COMMON_ROWS, COMMON_SEEN = 1 << 18, 8000, 4
 _U = np.uint64
@@ -290,11 +295,15 @@ def _verified(limit: Limit):
     return run
 
 
+def _sets(wanted: DataFrame, texts: DataFrame, member: DataFrame, k: int) -> DataFrame:
+    """(sid, tokens) of the sets ``wanted`` (sid); only their texts are read."""
+    wanted = stored(wanted.distinct().join(member, "sid").select("uid", "sid"), "wanted")
+    return stored(texts.select("uid", "text").join(wanted, "uid").select("sid", "text").mapInArrow(_tokens(k), "sid long, tokens binary"), "tokens")
+
+
 def _verify(pairs: DataFrame, texts: DataFrame, member: DataFrame, k: int, limit: Limit) -> DataFrame:
     """The pairs (a, b) that link; only the texts in them are read as sets."""
-    ends = pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).distinct()
-    wanted = stored(ends.join(member, "sid").select("uid", "sid"), "wanted")
-    sets = stored(texts.select("uid", "text").join(wanted, "uid").select("sid", "text").mapInArrow(_tokens(k), "sid long, tokens binary"), "tokens")
+    sets = _sets(pairs.select(F.col("a").alias("sid")).union(pairs.select("b")), texts, member, k)
     side = lambda c: sets.select(F.col("sid").alias(c), F.col("tokens").alias(f"{c}_tokens"))
     return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_verified(limit), "a long, b long")
 
@@ -422,10 +431,13 @@ def _links(texts: DataFrame, rows: DataFrame, k: int, limit: Limit) -> DataFrame
     parts = stored(components(linked), "star-parts")
     split = placed.join(parts, placed["sid"] == parts["node"], "left").select("cell", "leaf", "sid", F.coalesce("component", "sid").alias("part"))
     split = stored(split, "split")
-    mixed = stored(split.groupBy("cell").agg(F.min("part").alias("x"), F.max("part").alias("y")).where("x != y").select("cell"), "mixed")
-    labels = split.join(mixed, "cell").groupBy("cell", "leaf").agg(F.collect_list(F.struct("sid", "part")).alias("parts"))  # LEAF + 1 at most
+    large = stored(parts.groupBy("component").agg(F.count("*").alias("m")).where(F.col("m") > LARGE).select(F.col("component").alias("target")), "large")
+    few = stored(split.join(large, F.col("part") == F.col("target"), "left_anti"), "small-parts")
+    mixed = stored(few.groupBy("cell").agg(F.min("part").alias("x"), F.max("part").alias("y")).where("x != y").select("cell"), "mixed")
+    grouped = few.join(mixed, "cell").join(point, "sid").groupBy("cell", "leaf").agg(  # LEAF + 1 at most
+        F.collect_list(F.struct("sid", "w", "n", "point")).alias("members"), F.collect_list(F.struct("sid", "part")).alias("parts"))
     with batches_of(texts.sparkSession, BATCH):
-        boxes = stored(leaves.join(labels, ["cell", "leaf"]).select("cell", "leaf", "members", "parts").mapInArrow(
+        boxes = stored(grouped.mapInArrow(
             _corners, f"{_MEMBERS}, parts array<struct<sid:long,part:long>>, least_n long, corner array<long>"), "boxes")
         sides = [boxes.select("cell", *(F.col(c).alias(f"{side}_{c}") for c in ("leaf", "members", "parts", "least_n", "corner")))
                  for side in ("left", "right")]
@@ -434,7 +446,12 @@ def _links(texts: DataFrame, rows: DataFrame, k: int, limit: Limit) -> DataFrame
         pairs = sides[0].join(sides[1], "cell").where("left_leaf <= right_leaf").where(overlap >= need)
         pairs = stored(pairs.mapInArrow(_leaf_pairs(limit), "a long, b long").distinct(), "pairs")
         more = stored(_verify(pairs, texts, member, k, limit), "more-links")
-    return linked.unionByName(more)
+    # every set that shares a subtree with a large part, and is not in it, meets the whole part
+    asked = asked_of_large(split.select(F.col("cell").alias("place"), F.col("sid").alias("node"), "part"), large)
+    owned = parts.join(large, F.col("component") == F.col("target")).select("target", "node")
+    sets_of = lambda wanted: _sets(wanted.withColumnRenamed("node", "sid"), texts, member, k).withColumnRenamed("sid", "node")
+    met = links_with_large(asked, owned, point.select(F.col("sid").alias("node"), "n"), sets_of, limit)
+    return linked.unionByName(more).unionByName(met)
 
 
 def _texts(docs: DataFrame, uid: str) -> DataFrame:

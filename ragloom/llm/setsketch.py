@@ -16,7 +16,7 @@ agree in a register with a probability of at least their Jaccard similarity J
    paired with every other member, so a group of m near copies costs about m
    pairs, not their square; the links found give components.
    What is left are buckets with members of several components.  Components of
-   at most ``SMALL`` sets meet inside their buckets, in packs of ``PACK``
+   at most ``SMALL`` sets meet inside their buckets, in packs of
    members that carry their registers: a task compares packs and gives only
    pairs that step 3 lets pass.  Larger components are cut into blocks of
    sets, and every set of another component that shares a bucket with one is
@@ -52,6 +52,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .jaccard_rtree import Limit, _common, shingle_set
+from .set_blocks import asked_of_large, links_with_large, pack_of, packed, side_of
 from .tables import batches_of, stored
 from .words import UnitCache
 
@@ -59,7 +60,7 @@ BANDS, ROWS = 60, 6
 REGISTERS = BANDS * ROWS
 BASE, RATE, TOP = 1.001, 20.0, (1 << 16) - 1  # of the registers: b, a and q + 1
 SLACK = 50.0
-SMALL, PACK, PACK_BYTES, SALTS = 48, 128, 1 << 22, 16
+SMALL = 48
 BATCH = 256
 _MULTIPLY = np.random.default_rng(13).integers(1, 1 << 63, REGISTERS, np.uint64) * np.uint64(2) + np.uint64(1)
 _ADD = np.random.default_rng(14).integers(0, 1 << 63, REGISTERS, np.uint64)
@@ -208,59 +209,13 @@ def _exact(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, k: int, limit:
         return stored(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_linked(limit), "a long, b long"), "links")
 
 
-PACKED = "key long, no long, nodes array<long>, ns array<long>, parts array<long>, sizes array<long>, data binary"
-
-
-def _packs(rows: int, size: int):
-    """Rows sorted by key -> packs of one key, of so many rows and bytes (or
-    a single row)."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-        no, key, held, held_size = TaskContext.get().partitionId() << 32, None, [], 0
-
-        def pack():
-            nonlocal no, held, held_size
-            columns = [[key], [no], *([[h[i] for h in held]] for i in range(3)), [[len(h[3]) for h in held]], [b"".join(h[3] for h in held)]]
-            types = [pa.int64(), pa.int64(), *[pa.list_(pa.int64())] * 4, pa.binary()]
-            no, held, held_size = no + 1, [], 0
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], [f.split()[0] for f in PACKED.split(", ")])
-
-        for batch in batches:
-            lists = [batch.column(c).to_pylist() for c in ("key", "node", "n", "part")]
-            for at, *row in zip(*lists, batch.column("data"), strict=True):
-                data = row[-1].as_py()
-                if held and (at != key or len(held) == rows or held_size + len(data) > size):
-                    yield pack()
-                key = at
-                held.append((*row[:-1], data))
-                held_size += len(data)
-        if held:
-            yield pack()
-    return run
-
-
-def _packed(rows: DataFrame, size: int) -> DataFrame:
-    """``rows`` (key, node, n, part, data) in packs; equal keys are spread by
-    node over as many tasks as they need."""
-    ordered = rows.select("key", "node", "n", "part", "data").repartitionByRange("key", "node").sortWithinPartitions("key", "node")
-    return ordered.mapInArrow(_packs(PACK, size), PACKED)
-
-
-def _side(packs: DataFrame, name: str) -> DataFrame:
-    return packs.select("key", *(F.col(c).alias(f"{name}_{c}") for c in packs.columns if c != "key"))
-
-
-def _pack_of(row: dict, side: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    return tuple(np.array(row[f"{side}_{c}"], np.int64) for c in ("nodes", "ns", "parts"))
-
-
 def _close_in_packs(limit: Limit):
     """Two packs of a bucket -> pairs of different components that may link,
     by size and likelihood."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                (a, n_a, part_a), (b, n_b, part_b) = _pack_of(row, "a"), _pack_of(row, "b")
+                (a, n_a, part_a), (b, n_b, part_b) = pack_of(row, "a"), pack_of(row, "b")
                 use = (part_a[:, None] != part_b) & _sizes_allow(limit, n_a[:, None], n_b)
                 i, j = np.nonzero(np.triu(use, 1) if row["a_no"] == row["b_no"] else use)
                 regs = [np.frombuffer(row[f"{x}_data"], "<u2").reshape(-1, REGISTERS) for x in "ab"]
@@ -272,48 +227,6 @@ def _close_in_packs(limit: Limit):
     return run
 
 
-def overlaps(a: list[np.ndarray], b: list[np.ndarray], columns: int = 2048) -> np.ndarray:
-    """Sizes of the intersections of all sets of ``a`` with all of ``b``: the
-    product of their membership matrices over the tokens both sides have."""
-    flat = [np.concatenate(x) if x else np.empty(0, np.uint64) for x in (a, b)]
-    rows = [np.repeat(np.arange(len(x)), [len(t) for t in x]) for x in (a, b)]
-    shared = np.intersect1d(*flat)
-    out = np.zeros((len(a), len(b)), np.int64)
-    placed = []
-    for tokens, row in zip(flat, rows, strict=True):
-        at = np.searchsorted(shared, tokens)
-        at[at == len(shared)] = 0
-        known = shared[at] == tokens if len(shared) else np.zeros(len(tokens), bool)
-        at, row = at[known], row[known]
-        order = np.argsort(at, kind="stable")
-        placed.append((at[order], row[order]))
-    for low in range(0, len(shared), columns):
-        sides = []
-        for (at, row), n in zip(placed, out.shape, strict=True):
-            x, y = np.searchsorted(at, (low, low + columns))
-            m = np.zeros((n, min(columns, len(shared) - low)), np.float32)
-            m[row[x:y], at[x:y] - low] = 1
-            sides.append(m)
-        out += (sides[0] @ sides[1].T).astype(np.int64)  # sums below 2^24: exact
-    return out
-
-
-def _linked_blocks(limit: Limit):
-    """A pack of sets and a block of a component -> for each set of the pack
-    that links with any of the block, one such link."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                (a, n_a, _), (b, n_b, _) = _pack_of(row, "a"), _pack_of(row, "b")
-                sets = [np.split(np.frombuffer(row[f"{x}_data"], np.uint64), np.cumsum(row[f"{x}_sizes"])[:-1] // 8) for x in "ab"]
-                common = overlaps(*sets)
-                hit = limit.den * common >= limit.num * (n_a[:, None] + n_b - common)
-                x = np.flatnonzero(hit.any(axis=1))
-                y = b[hit[x].argmax(axis=1)]
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a[x], y)), pa.array(np.maximum(a[x], y))], ["a", "b"])
-    return run
-
-
 def _band_keys() -> Column:
     width = 2 * ROWS
     return F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)),
@@ -351,30 +264,16 @@ def _links(nodes: DataFrame, texts: DataFrame, k: int, limit: Limit) -> DataFram
 
     # sets of small components meet inside their buckets
     few = members.join(large, F.col("part") == F.col("target"), "left_anti").join(nodes.select("node", F.col("registers").alias("data")), "node")
-    packs = stored(_packed(few.withColumnRenamed("bucket", "key"), 1 << 20), "bucket-packs")
+    packs = stored(packed(few.withColumnRenamed("bucket", "key"), 1 << 20), "bucket-packs")
     with batches_of(spark, BATCH):
-        met = _side(packs, "a").join(_side(packs, "b"), "key").where("a_no <= b_no").mapInArrow(_close_in_packs(limit), "a long, b long")
+        met = side_of(packs, "a").join(side_of(packs, "b"), "key").where("a_no <= b_no").mapInArrow(_close_in_packs(limit), "a long, b long")
         pairs = stored(met.distinct(), "pairs")
     links = links.union(_exact(pairs, nodes, texts, k, limit))
 
     # a set of any component meets the whole of a large one that it shares a bucket with
-    there = members.join(large, F.col("part") == F.col("target")).select("bucket", "target").distinct()
-    is_large = large.select(F.col("target").alias("own"))
-    asked = (members.join(there, "bucket").where("part != target").join(is_large, F.col("part") == F.col("own"), "left")
-             .where("own IS NULL OR own < target").select("target", "node", "n", "part").distinct())
-    asked = stored(asked, "asked")
+    asked = asked_of_large(members.withColumnRenamed("bucket", "place"), large)
     owned = parts.join(large, F.col("component") == F.col("target")).select("target", F.col("of").alias("node"))
-    owned = stored(owned.join(asked.select("target").distinct(), "target", "left_semi"), "owned")
-    sets = _sets(asked.select("node").union(owned.select("node")), nodes, texts, k).withColumnRenamed("tokens", "data")
-    block = owned.join(nodes.select("node", "n"), "node").join(sets, "node").withColumn("part", F.col("target")).withColumnRenamed("target", "key")
-    blocks = stored(_packed(block, PACK_BYTES), "component-blocks").withColumn("salt", F.pmod(F.xxhash64("no"), F.lit(SALTS)).cast("int"))
-    packs = stored(_packed(asked.join(sets, "node").withColumnRenamed("target", "key"), PACK_BYTES), "asked-packs")
-    packs = packs.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    left, right = _side(packs, "a"), _side(blocks, "b")
-    with batches_of(spark, BATCH // 16):
-        found = left.join(right, (left["key"] == right["key"]) & (F.col("a_salt") == F.col("b_salt"))).drop("key", "a_salt", "b_salt")
-        found = stored(found.mapInArrow(_linked_blocks(limit), "a long, b long").distinct(), "component-links")
-    return links.union(found)
+    return links.union(links_with_large(asked, owned, nodes.select("node", "n"), lambda wanted: _sets(wanted, nodes, texts, k), limit))
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:

@@ -11,7 +11,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from ragloom.llm import fill_middle, hard_negatives, setsketch
+from ragloom.llm import fill_middle, hard_negatives, jaccard_rtree, set_blocks, setsketch
 from ragloom.llm.jaccard_rtree import Limit, shingle_set
 from test_llm import TEXTS, _components, _place, _rows, _table, docs, empty  # noqa: F401
 
@@ -159,7 +159,7 @@ def _near_rows(rng):
 def test_near_duplicates(spark, docs, empty, k, num, small, monkeypatch):  # noqa: F811
     monkeypatch.setattr(setsketch, "SMALL", small)  # 2: most groups are large components, cut into blocks
     if small == 2:
-        monkeypatch.setattr(setsketch, "PACK", 3)
+        monkeypatch.setattr(set_blocks, "PACK", 3)
     rows = _rows(docs) + _near_rows(np.random.default_rng(k))
     got = setsketch.near_duplicates(_table(spark, rows), k, num, 100).collect()
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == _components(rows, k, num, 100)
@@ -212,15 +212,15 @@ def test_overlaps_of_sets():
     a, b = ([np.unique(rng.integers(0, 90, int(rng.integers(0, 60))).astype(np.uint64)) for _ in range(n)] for n in (7, 11))
     want = [[len(np.intersect1d(x, y)) for y in b] for x in a]
     for columns in (5, 2048):
-        assert setsketch.overlaps(a, b, columns).tolist() == want
-    assert setsketch.overlaps([], b).shape == (0, 11)
+        assert set_blocks.overlaps(a, b, columns).tolist() == want
+    assert set_blocks.overlaps([], b).shape == (0, 11)
 
 
 def test_members_far_from_the_centre_are_compared_with_the_whole_group(spark, monkeypatch):
     """A chain of copies, each linked with the next alone: the centre links
     few of them, and the others must still be found."""
     monkeypatch.setattr(setsketch, "SMALL", 3)
-    monkeypatch.setattr(setsketch, "PACK", 4)
+    monkeypatch.setattr(set_blocks, "PACK", 4)
     words = [f"w{i}" for i in range(100)]
     rows = []
     for i in range(40):
@@ -248,3 +248,18 @@ def test_group_of_near_copies_gives_pairs_in_proportion(spark):
     got = setsketch.near_duplicates(table, 2).collect()
     assert {r.component_id for r in got} == {0} and sum(r.kept for r in got) == 1
     assert shingle_set("a b", 2, setsketch._cache()).size == 1 and _place(None)
+
+
+# ----------------------------------------- 10: large parts of the R-tree join ----
+
+def test_jaccard_components_through_blocks_of_large_parts(spark, docs, monkeypatch):  # noqa: F811
+    monkeypatch.setattr(jaccard_rtree, "LARGE", 2)
+    monkeypatch.setattr(jaccard_rtree, "LEAF", 4)
+    monkeypatch.setattr(set_blocks, "PACK", 3)
+    rows = _rows(docs) + _near_rows(np.random.default_rng(11))
+    words = [f"w{i}" for i in range(90)]
+    for i in range(30):  # a chain, each linked with its neighbours
+        rows.append((5000 + i, " ".join(words)))
+        words[(i * 11) % 90] = f"x{i}"
+    got = jaccard_rtree.jaccard_components(_table(spark, rows), 4, 85, 100).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == _components(rows, 4, 85, 100)
