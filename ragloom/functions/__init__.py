@@ -6,7 +6,6 @@ from ragloom.functions.text import (  # noqa: F401
     bround_stable,
     keyword_recall,
     lower_tokens,
-    nan_to_null,
     preview,
     round6,
     tokens,

@@ -64,12 +64,6 @@ def preview(text, n: int = 200) -> Column:
     return F.concat(F.substring(_c(text), 1, n), F.lit("..."))
 
 
-def nan_to_null(c) -> Column:
-    """pandas skips NaN in means, Spark's ``avg`` propagates it: normalise."""
-    c = _c(c)
-    return F.when(F.isnan(c), F.lit(None).cast("double")).otherwise(c)
-
-
 def round6(c) -> Column:
     """Six places after a 12-place pre-round (as :func:`bround_stable`), so
     that the last-bit noise of a parallel sum -- whose order depends on the

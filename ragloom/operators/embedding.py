@@ -18,7 +18,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import PCA, HashingTF, Normalizer, RegexTokenizer, VectorAssembler
+from pyspark.ml.feature import PCA, HashingTF, Normalizer, RegexTokenizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -68,7 +68,3 @@ def pca_points(vectors: DataFrame, id_col: str = "corpus_id", label_col: str = "
     proj = pca.transform(v).withColumn("__a", vector_to_array("__p"))
     cols = [(F.col("__a")[i] * F.lit(float(signs[i]))).alias(n) for i, n in enumerate(["x", "y", "z"][:k])]
     return proj.select(id_col, label_col, *cols)
-
-
-def assemble(df: DataFrame, cols: list[str], out: str = "features") -> DataFrame:
-    return VectorAssembler(inputCols=cols, outputCol=out).transform(df)

@@ -487,6 +487,9 @@ answers AS (
                        ELSE array_to_string(list_transform(list_sort(list_transform(b, lambda t: t.i)), lambda i: l[i]), ' ') END AS answer FROM best)""")
     + "SELECT a.case_id, c.prompt_version, length(a.answer)::BIGINT AS answer_chars, NULL::VARCHAR AS error FROM answers a, catalogue c",
 
+    "hash_embed": _with(CHUNKS)
+    + "SELECT chunk_no, 256::BIGINT AS dim, CASE WHEN regexp_matches(text, '[\\p{L}\\p{N}]') THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS norm FROM chunks",
+
     "recursive_coverage": (
         "WITH s AS (SELECT doc_id, regexp_replace(text, '[\\s\\x0b\\x1c-\\x1f\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}"
         "\\x{202f}\\x{205f}\\x{3000}]+', '', 'g') AS t FROM documents) "

@@ -314,11 +314,17 @@ def q_prompt_summary(spark, sf):
 
 
 def q_question_pivot(spark, sf):
-    return impact.question_pivot(_impact(spark, sf))
+    return impact.question_pivot(_stored_impact(spark, sf))
+
+
+def _stored_impact(spark, sf):
+    """The fact table written once, for what reads it several times."""
+    from ragloom.session import cut_lineage
+    return cut_lineage(_impact(spark, sf))
 
 
 def q_delta_all_baselines(spark, sf):
-    out = impact.delta_vs_baselines(_impact(spark, sf))
+    out = impact.delta_vs_baselines(_stored_impact(spark, sf))
     return out.select(*[round6(c).alias(c) if c in impact.NUMERIC_COLS else F.col(c) for c in out.columns])
 
 
@@ -328,14 +334,14 @@ def q_distinct_versions(spark, sf):
 
 
 def q_attach_scores(spark, sf):
-    rows = _impact(spark, sf)
+    rows = _stored_impact(spark, sf)
     out = impact.attach_scores(rows, impact.version_reports(rows))
     return out.select("question_id", "prompt_version", "model_name",
                       *[round6(c).alias(c) for c in ("retrieval", "generation", "ragas", "rqi")], "grade")
 
 
 def q_pending_generation(spark, sf):
-    rows = _impact(spark, sf)
+    rows = _stored_impact(spark, sf)
     questions = rows.select("question_text").distinct()
     existing = rows.where(F.col("rqi").isNotNull())
     return impact.pending_pairs(questions, sorted(prompts.PROMPT_VERSIONS), existing)
@@ -345,7 +351,7 @@ UPSERT_VERSION = "prompt_v2"
 
 
 def q_upsert_results(spark, sf):
-    rows = _impact(spark, sf)
+    rows = _stored_impact(spark, sf)
     existing = rows.where(F.col("rqi").isNotNull())
     new_rows = rows.where(F.col("rqi").isNull() & (F.col("prompt_version") == UPSERT_VERSION))
     rep = impact.version_reports(rows).where(F.col("prompt_version") == UPSERT_VERSION)

@@ -1,6 +1,6 @@
 """Registered queries with Python-side or ML operators.
 
-``recursive_coverage`` and ``extractive_answers`` have SQL; the others are
+``recursive_coverage``, ``hash_embed`` and ``extractive_answers`` have SQL; the others are
 checked by row count, and in the tests by their invariants and brute force
 (chunk length and overlap bounds, unit norms, kNN).
 """
