@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from .tables import batches_of, stored
 
-PACK, PACK_BYTES, SALTS = 128, 1 << 22, 16
+PACK, PACK_BYTES, SALTS, BLOCKS_A_TASK = 128, 1 << 22, 16, 4
 BATCH = 16  # pairs of a pack and a block in a task's memory at once
 PACKED = "key long, no long, nodes array<long>, ns array<long>, parts array<long>, sizes array<long>, data binary"
 
@@ -124,8 +124,8 @@ def links_with_large(asked: DataFrame, owned: DataFrame, sizes: DataFrame, sets_
     their target's component, ``owned`` (target, node).
 
     ``sizes`` (node, n); ``sets_of`` gives (node, tokens) for nodes.  Packs of
-    asked sets meet the blocks of a component in ``SALTS`` tasks a component at
-    least."""
+    asked sets meet the blocks of a component in up to ``SALTS`` tasks, or more
+    where adaptive execution splits them."""
     spark = asked.sparkSession
     owned = stored(owned.join(asked.select("target").distinct(), "target", "left_semi"), "owned")
     sets = sets_of(asked.select("node").union(owned.select("node"))).withColumnRenamed("tokens", "data")
@@ -133,8 +133,11 @@ def links_with_large(asked: DataFrame, owned: DataFrame, sizes: DataFrame, sets_
     def in_packs(rows, name):
         rows = rows.join(sizes, "node").join(sets, "node").withColumn("part", F.col("target")).withColumnRenamed("target", "key")
         return stored(packed(rows, PACK_BYTES), name)
-    blocks = in_packs(owned, "component-blocks").withColumn("salt", F.pmod(F.xxhash64("no"), F.lit(SALTS)).cast("int"))
-    packs = in_packs(asked, "asked-packs").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    blocks = in_packs(owned, "component-blocks")
+    # a task for every few blocks of a component; packs are copied as often
+    tasks = stored(blocks.groupBy("key").agg(F.least(F.lit(SALTS), F.ceil(F.count("*") / BLOCKS_A_TASK).cast("int")).alias("tasks")), "tasks")
+    blocks = blocks.join(tasks, "key").withColumn("salt", F.pmod(F.xxhash64("no"), F.col("tasks")).cast("int")).drop("tasks")
+    packs = in_packs(asked, "asked-packs").join(tasks, "key").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("tasks") - 1))).drop("tasks")
     left, right = side_of(packs, "a"), side_of(blocks, "b")
     with batches_of(spark, BATCH):
         met = left.join(right, (left["key"] == right["key"]) & (F.col("a_salt") == F.col("b_salt"))).drop("key", "a_salt", "b_salt")
