@@ -14,6 +14,12 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def let(value, body) -> Column:
+    """``body`` of a value that is computed once for the row, however often
+    (or inside whatever lambda) the body uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def tokens(text, pattern: str = KEYWORD_PATTERN) -> Column:
     """All matches of ``pattern`` in ``text`` (duplicates and order kept)."""
     return F.regexp_extract_all(_c(text), F.lit(pattern), F.lit(0))

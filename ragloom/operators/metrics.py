@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, StringType, StructField, StructType
 
-from ragloom.functions.text import KEYWORD_PATTERN, keyword_recall, lower_tokens
+from ragloom.functions.text import KEYWORD_PATTERN, keyword_recall, let, lower_tokens
 from ragloom.operators.generation import attempt
 from ragloom.session import cut_lineage
 
@@ -110,7 +110,8 @@ def statement_support(samples: DataFrame, statements: str, context: str,
     return samples.select(
         key,
         F.size(toks).cast("bigint").alias("n_statements"),
-        F.size(F.filter(toks, lambda t: F.contains(ctx, t))).cast("bigint").alias("n_supported"),
+        # the text is lower-cased once for the row, not for each statement
+        let(ctx, lambda c: F.size(F.filter(toks, lambda t: F.contains(c, t)))).cast("bigint").alias("n_supported"),
     ).withColumn(out, F.try_divide(F.col("n_supported").cast("double"),
                                    F.nullif(F.col("n_statements"), F.lit(0)).cast("double")))
 

@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ragloom.functions.text import KEYWORD_PATTERN, lower_tokens
+from ragloom.functions.text import KEYWORD_PATTERN, let, lower_tokens
 from ragloom.operators.generation import attempt
 from ragloom.session import cut_lineage
 
@@ -37,21 +37,16 @@ def sample_rows(df: DataFrame, n: int = NUM_SAMPLES, seed: int = 42,
     return df.withColumn("sample_key", key).orderBy("sample_key", id_col).limit(n)
 
 
-def _let(value, body) -> Column:
-    """``body`` of a value that is computed once, however often it is used."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def word_counts(words) -> Column:
     """Distinct words of an array with their counts, within the row: the words
     sorted, a word's count is the distance between where it and the next start."""
     def counts(s):
         starts = F.filter(F.sequence(F.lit(1), F.size(s)), lambda i: (i == 1) | (s[i - 1] != s[F.greatest(i - 2, F.lit(0))]))
-        return _let(starts, lambda at: F.zip_with(
+        return let(starts, lambda at: F.zip_with(
             at, F.concat(F.slice(at, 2, F.size(at)), F.array(F.size(s) + 1)),
             lambda i, e: F.struct(s[i - 1].alias("token"), (e - i).alias("tf"))))
     none = F.array().cast("array<struct<token:string,tf:int>>")
-    return _let(F.array_sort(words), lambda s: F.when(F.size(s) > 0, counts(s)).otherwise(none))
+    return let(F.array_sort(words), lambda s: F.when(F.size(s) > 0, counts(s)).otherwise(none))
 
 
 def _top_words(vocabulary, n_docs: int, n: int):
