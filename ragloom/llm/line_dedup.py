@@ -1,22 +1,26 @@
 """Line deduplication by pairwise alignment (operator 2).
 
-Of every pair of documents, the blocks they share are deleted from the later
-one.  A block is a run of lines that follow each other in both (blanks at
-their ends apart) and hold at least ``LEAST_CHARS`` characters together, be it
-one line or many short ones.  A block counts wherever it lies in either
-document and however often: what a diff of the two aligns in blocks of that
-length is always deleted, and so is what it cannot align because of the order
-or of repetitions.
-
-No pair is formed for this.  The keys of a document are the hashes of its
-shortest runs of that length, from every line onwards and up to every line.
-A block of that length has such a run around each of its lines: up to a line
-if what lies before it in the block is long enough, else from the block's
-start.  So a line is in a block shared with some earlier document if and only
-if a run around it has a key whose first document is an earlier one, and one
-aggregation finds the first document of every key.  No line is too common to
-count; the join of keys and first documents is an inner join of stored
-tables, which Spark splits at a frequent key.
+Of two documents, the blocks they share are deleted from the later one.  A
+block is a run of lines that follow each other in both (blanks at their ends
+apart) and hold at least ``least_chars`` characters together, be it one line
+or many short ones, wherever it lies in either document and however often.
+
+Partners: the keys of a document are the hashes of its shortest runs of that
+length, from every line onwards and up to every line.  A block has such a run
+around each of its lines: up to a line if what lies before it in the block is
+long enough, else from the block's start.  One aggregation finds the first
+document of every key; a document's partners are the first documents of its
+keys.  So copies form a star around the first of them, never pairs among
+themselves, and no key is too common to count; the joins are inner joins of
+stored tables, which Spark splits at a frequent key or partner.
+
+Alignment: a pair's lines (128 bits of hash each) are matched by patience
+diff, and aligned blocks of the length are marked.  What shares a run with
+the partner and stays unmarked (blocks in another order, stretches without a
+line that is unique in both) is aligned again with the whole partner, while
+every round halves it; the rest, lines that repeat, is compared with the
+partner run by run.  In the end every line of the later document that is in a
+block shared with the partner is marked, whatever path the diff took.
 
 Order of documents: doc_id (null last), then the row's number in the scan.
 Defined results: null and empty texts have one empty line and stay as they
@@ -40,6 +44,7 @@ from pyspark.sql import functions as F
 from .tables import numbered, stored, unused
 
 LEAST_CHARS = 40
+DEPTH = 64  # levels of the diff; what lies deeper is compared run by run
 BASE = 0x9E3779B97F4A7C15  # odd, 5 mod 8
 
 
@@ -72,74 +77,201 @@ def _longest_order(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 def patience(a: list, b: list) -> list[tuple[int, int]]:
     """Matched positions of two sequences, in order."""
-    found, todo = [], [(0, len(a), 0, len(b))]
+    found, todo = [], [(0, len(a), 0, len(b), 0)]
     while todo:
-        a0, a1, b0, b1 = todo.pop()
+        a0, a1, b0, b1, depth = todo.pop()
         while a0 < a1 and b0 < b1 and a[a0] == b[b0]:
             found.append((a0, b0))
             a0, b0 = a0 + 1, b0 + 1
         while a0 < a1 and b0 < b1 and a[a1 - 1] == b[b1 - 1]:
             a1, b1 = a1 - 1, b1 - 1
             found.append((a1, b1))
-        if a0 == a1 or b0 == b1:
+        if a0 == a1 or b0 == b1 or depth == DEPTH:
             continue
         once_a, once_b = _once(a, a0, a1), _once(b, b0, b1)
         anchors = _longest_order([(i, once_b[x]) for x, i in once_a.items() if x in once_b])
         found += anchors
         for (i, j), (k, m) in zip([(a0 - 1, b0 - 1), *anchors], [*anchors, (a1, b1)], strict=True) if anchors else ():
-            todo.append((i + 1, k, j + 1, m))
+            if i + 1 < k and j + 1 < m:
+                todo.append((i + 1, k, j + 1, m, depth + 1))
     return sorted(found)
 
 
-def runs_of(lines: list[str], least_chars: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and key of the shortest runs of at least ``least_chars``
-    characters from every line onwards and up to every line."""
-    own = [x.strip() for x in lines]
-    h = np.array([xxhash.xxh3_64_intdigest(x.encode("utf-8", "surrogatepass")) for x in own], np.uint64)
-    sums = np.cumsum([0, *map(len, own)])
-    least = max(least_chars, 1)
+# lines and runs
+
+def line_hashes(text: str | None) -> tuple[bytes, np.ndarray]:
+    """The 16-byte hashes of a text's lines without blanks at their ends, and their lengths."""
+    own = [x.strip() for x in lines_of(text)]
+    return b"".join(xxhash.xxh3_128_digest(x.encode("utf-8", "surrogatepass")) for x in own), np.array([len(x) for x in own], "<i4")
+
+
+def _shortest(sums: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """Start and end of the shortest runs of ``least`` characters: first those
+    from every line onwards, whose number is the third, then those up to every line."""
     ends = np.searchsorted(sums, sums[:-1] + least)  # len(sums) if the rest is too short
     starts = np.searchsorted(sums, sums[1:] - least, "right") - 1  # -1 if what is before is too short
-    lead = np.flatnonzero(ends < len(sums))
-    trail = np.flatnonzero(starts >= 0)
-    start, end = np.r_[lead, starts[trail]], np.r_[ends[lead], trail + 1]
-    up, down = (np.cumprod(np.r_[np.uint64(1), np.full(len(h), x, np.uint64)]) for x in (BASE, pow(BASE, -1, 1 << 64)))
-    prefix = np.cumsum(np.r_[np.uint64(0), h * up[:-1]], dtype=np.uint64)
-    return start, end, ((prefix[end] - prefix[start]) * down[start]).astype(np.int64)
+    lead, trail = np.flatnonzero(ends < len(sums)), np.flatnonzero(starts >= 0)
+    return np.concatenate([lead, starts[trail]]), np.concatenate([ends[lead], trail + 1]), len(lead)
+
+
+def _run_keys(hashes: bytes, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    h = np.frombuffer(hashes, "<u8")[::2]
+    powers = (np.cumprod(np.concatenate([[np.uint64(1)], np.full(len(h), x, np.uint64)])) for x in (BASE, pow(BASE, -1, 1 << 64)))
+    up, down = powers
+    prefix = np.concatenate([[np.uint64(0)], np.cumsum(h * up[:-1], dtype=np.uint64)])
+    return ((prefix[end] - prefix[start]) * down[start]).astype(np.int64)
 
 
-def _keys(least_chars: int):
+def runs_of(hashes: bytes, chars: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """Start, end and key of a document's shortest runs, and how many of them are from a line onwards."""
+    start, end, leads = _shortest(np.concatenate([[0], np.cumsum(chars, dtype=np.int64)]), least)
+    return start, end, _run_keys(hashes, start, end), leads
+
+
+def _keys(least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = [np.unique(runs_of(lines_of(text), least_chars)[2]) for text in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("uid"), batch.column("doc_id"), pa.array(keys, pa.list_(pa.int64()))], ["uid", "doc_id", "keys"])
+            rows = [line_hashes(text) for text in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([
+                batch.column("uid"), batch.column("doc_id"), pa.array([x for x, _ in rows], pa.binary()), pa.array([c.tobytes() for _, c in rows], pa.binary()),
+                pa.array([np.unique(runs_of(x, c, least)[2]) for x, c in rows], pa.list_(pa.int64()))], ["uid", "doc_id", "lines", "chars", "keys"])
     return run
 
 
-def repeated_runs(docs: DataFrame, uid: str, least_chars: int = LEAST_CHARS) -> DataFrame:
-    """uid (the row's number, ``uid`` in ``docs``) and keys (of the runs that an earlier
-    document has) of the documents that lose lines."""
+# alignment of a pair
+
+def _blocks(pairs: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """Start and end, in the first sequence, of the matches that follow each other in both."""
+    at = 0
+    for n in range(1, len(pairs) + 1):
+        if n == len(pairs) or pairs[n][0] != pairs[n - 1][0] + 1 or pairs[n][1] != pairs[n - 1][1] + 1:
+            yield pairs[at][0], pairs[n - 1][0] + 1
+            at = n
+
+
+def _compared(a: list, b: list, runs: list[tuple[int, int, int]], first_to_last: bool) -> Iterator[tuple[int, int]]:
+    """The runs (start, end, place in b) that are equal in both; those inside the one found before are passed over."""
+    done = None
+    for s, e, j in runs if first_to_last else reversed(runs):
+        if done is not None and (e <= done if first_to_last else s >= done):
+            continue
+        if a[s:e] == b[j:j + e - s]:
+            done = e if first_to_last else s
+            yield s, e
+
+
+def _ranges(marks: list[bool]) -> list[tuple[int, int]]:
+    out, at = [], None
+    for i, marked in enumerate([*marks, False]):
+        if marked and at is None:
+            at = i
+        elif not marked and at is not None:
+            out.append((at, i))
+            at = None
+    return out
+
+
+class Side:
+    """A document's lines, with its runs where an alignment needs them."""
+
+    def __init__(self, hashes: bytes, chars: bytes, least: int):
+        self.hashes, self.chars, self.least = hashes, np.frombuffer(chars, "<i4"), least
+        self.lines = [hashes[i:i + 16] for i in range(0, len(hashes), 16)]
+        self.sums = [0, *np.cumsum(self.chars, dtype=np.int64).tolist()]
+
+    def runs(self) -> tuple[list, list]:
+        """(start, end, key) of the runs from every line onwards, and of those up to every line."""
+        if not hasattr(self, "_runs"):
+            start, end, key, leads = runs_of(self.hashes, self.chars, self.least)
+            rows = list(zip(start.tolist(), end.tolist(), key.tolist(), strict=True))
+            self._runs = rows[:leads], rows[leads:]
+        return self._runs
+
+    def places(self) -> tuple[dict, dict]:
+        """Where a run of each key starts."""
+        if not hasattr(self, "_places"):
+            self._places = tuple({key: s for s, _, key in reversed(rows)} for rows in self.runs())
+        return self._places
+
+
+def aligned(a: Side, b: Side) -> list[tuple[int, int]]:
+    """The ranges of a's lines that are in a block shared with b."""
+    least, marks = a.least, [False] * len(a.lines)
+    lines, place, before = a.lines, range(len(a.lines)), None
+    while True:
+        for s, e in _blocks(patience(lines, b.lines)):
+            i, j = place[s], place[e - 1] + 1  # a block never holds a stretch's end, which b has nowhere
+            if a.sums[j] - a.sums[i] >= least:
+                marks[i:j] = [True] * (j - i)
+        if all(marks):
+            break
+        unmarked = [0]
+        for m in marks:
+            unmarked.append(unmarked[-1] + (not m))
+        left = [[(s, e, at[key]) for s, e, key in runs if unmarked[e] > unmarked[s] and key in at]
+                for runs, at in zip(a.runs(), b.places(), strict=True)]
+        if not any(left):
+            break
+        open_ = [False] * len(marks)
+        for rows, order in zip(left, (True, False), strict=True):
+            for s, e in _compared(a.lines, b.lines, rows, order):
+                open_[s:e] = [True] * (e - s)
+        stretches = _ranges(open_)
+        size = sum(e - s for s, e in stretches)
+        if before is not None and 2 * size > before:
+            marks = [m or o for m, o in zip(marks, open_, strict=True)]
+            break
+        lines, place, before = [], [], size
+        for s, e in stretches:
+            lines += [*a.lines[s:e], None]
+            place += [*range(s, e), -1]
+    return _ranges(marks)
+
+
+def _align(least: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        partner, name = None, None
+        for batch in batches:
+            uids, cuts = [], []
+            for uid, lines, chars, other, its_lines, its_chars in zip(*(batch.column(c) for c in ("uid", "lines", "chars", "partner", "its_lines", "its_chars")), strict=True):
+                if other.as_py() != name:  # pairs with one partner mostly follow each other
+                    name, partner = other.as_py(), Side(its_lines.as_py(), its_chars.as_py(), least)
+                ranges = aligned(Side(lines.as_py(), chars.as_py(), least), partner)
+                if ranges:
+                    uids.append(uid.as_py())
+                    cuts.append([x for r in ranges for x in r])
+            yield pa.RecordBatch.from_arrays([pa.array(uids, pa.int64()), pa.array(cuts, pa.list_(pa.int32()))], ["uid", "cuts"])
+    return run
+
+
+def shared_blocks(docs: DataFrame, uid: str, least_chars: int = LEAST_CHARS) -> DataFrame:
+    """uid (the row's number, ``uid`` in ``docs``) and cuts (start, end, start, end ... of
+    line ranges, which may overlap) of the documents that lose lines."""
+    least = max(least_chars, 1)
     texts = docs.select(F.col(uid).alias("uid"), F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows = stored(texts.mapInArrow(_keys(least_chars), "uid long, doc_id long, keys array<long>"), "runs")
+    rows = stored(texts.mapInArrow(_keys(least), "uid long, doc_id long, lines binary, chars binary, keys array<long>"), "lines")
     order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("uid"))
     keyed = rows.select("uid", order.alias("place"), F.explode("keys").alias("key"))
-    shared = stored(keyed.groupBy("key").agg(F.min("place")["uid"].alias("first"), F.count("*").alias("n")).where("n > 1").drop("n"), "shared-runs")
-    found = stored(keyed.select("uid", "key").join(shared, "key").where("uid != first").select("uid", "key"), "repeated-runs")
-    return found.groupBy("uid").agg(F.collect_list("key").alias("keys"))  # two for each line of the document at most
+    shared = stored(keyed.groupBy("key").agg(F.min("place")["uid"].alias("partner"), F.count("*").alias("n")).where("n > 1").drop("n"), "shared-runs")
+    pairs = stored(keyed.select("uid", "key").join(shared, "key").where("uid != partner").select("uid", "partner").distinct(), "pairs")
+    later = rows.select("uid", "lines", "chars").join(pairs, "uid")
+    firsts = rows.select(F.col("uid").alias("partner"), F.col("lines").alias("its_lines"), F.col("chars").alias("its_chars")).join(
+        pairs.select("partner").distinct(), "partner")
+    met = later.join(firsts, "partner").select("uid", "lines", "chars", "partner", "its_lines", "its_chars")
+    cuts = met.mapInArrow(_align(least), "uid long, cuts array<int>")
+    return cuts.groupBy("uid").agg(F.flatten(F.collect_list("cuts")).alias("cuts"))  # a row for each partner, of which a document has at most its runs
 
 
-def _cut(column: str, least_chars: int):
+def _cut(column: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out, lost = [], []
-            for text, keys in zip(batch.column("text").to_pylist(), batch.column(column), strict=True):
-                if keys.is_valid:
+            for text, cuts in zip(batch.column("text").to_pylist(), batch.column(column), strict=True):
+                if cuts.is_valid:
                     lines = lines_of(text)
-                    start, end, key = runs_of(lines, least_chars)
-                    hit = np.isin(key, keys.values.to_numpy())
-                    marks = np.zeros(len(lines) + 1, np.int64)
-                    np.add.at(marks, start[hit], 1)
-                    np.add.at(marks, end[hit], -1)
+                    ranges, marks = cuts.values.to_numpy(), np.zeros(len(lines) + 1, np.int64)
+                    np.add.at(marks, ranges[::2], 1)
+                    np.add.at(marks, ranges[1::2], -1)
                     kept = np.cumsum(marks)[:-1] == 0
                     lost.append(int((~kept).sum()))
                     text = "\n".join(x for x, k in zip(lines, kept.tolist(), strict=True) if k)
@@ -152,11 +284,11 @@ def _cut(column: str, least_chars: int):
 
 
 def dedup_lines(docs: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame:
-    """``docs`` with the repeated blocks cut from ``text``, and n_deleted."""
+    """``docs`` with the shared blocks cut from ``text``, and n_deleted."""
     docs = docs.drop("n_deleted")
     rows, uid = numbered(docs)
-    cut = unused(docs, "__keys")
-    repeated = stored(repeated_runs(rows, uid, least_chars).select(F.col("uid").alias(uid), F.col("keys").alias(cut)), "repeated")
-    marked = rows.join(repeated, uid, "left").drop(uid)
+    cut = unused(docs, "__cuts")
+    blocks = stored(shared_blocks(rows, uid, least_chars).select(F.col("uid").alias(uid), F.col("cuts").alias(cut)), "blocks")
+    marked = rows.join(blocks, uid, "left").drop(uid)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return marked.mapInArrow(_cut(cut, least_chars), f"{schema}, n_deleted long")
+    return marked.mapInArrow(_cut(cut), f"{schema}, n_deleted long")

@@ -315,6 +315,30 @@ def test_line_dedup_equals_all_blocks_of_all_pairs(spark):
     assert _cut_lines(spark, rows, least_chars=8) == left
 
 
+def _side(lines, least):
+    hashes, chars = line_dedup.line_hashes("\n".join(lines))
+    return line_dedup.Side(hashes, chars.tobytes(), least)
+
+
+def test_aligned_pairs_equal_all_blocks():
+    rng = np.random.default_rng(1)
+    words = ["", " ", "a", "bc", "def", "ghij", "k" * 6]
+    for n in range(500):
+        a, b = ([words[x] for x in rng.integers(0, len(words), rng.integers(1, 25))] for _ in range(2))
+        if n % 2:  # passages in another order, and twice
+            b = b[len(b) // 2:] + a[len(a) // 2:] + b[:len(b) // 2] + a[:len(a) // 2] + a[-3:]
+        least = int(rng.integers(1, 14))
+        got = {i for s, e in line_dedup.aligned(_side(a, least), _side(b, least)) for i in range(s, e)}
+        assert got == _repeated_blocks([(1, "\n".join(b)), (2, "\n".join(a))], least)[1]
+
+
+def test_alignment_of_long_documents():
+    a = [f"line {i} of a very long document, in which every line is long enough" for i in range(20_000)]
+    assert line_dedup.aligned(_side(a, 40), _side(a[::-1], 40)) == [(0, len(a))]
+    assert line_dedup.aligned(_side(["x" * 50] * 20_000, 40), _side(["y", "x" * 50, "z"], 40)) == [(0, 20_000)]
+    assert line_dedup.aligned(_side(["w" * 20, *[""] * 50_000, "v" * 20], 40), _side(["v" * 20, *[""] * 50_000, "w" * 20], 40)) == []
+
+
 def test_patience_matches_are_ordered_and_equal():
     rng = np.random.default_rng(6)
     for _ in range(200):
