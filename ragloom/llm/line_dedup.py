@@ -289,6 +289,6 @@ def dedup_lines(docs: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame:
     rows, uid = numbered(docs)
     cut = unused(docs, "__cuts")
     blocks = stored(shared_blocks(rows, uid, least_chars).select(F.col("uid").alias(uid), F.col("cuts").alias(cut)), "blocks")
-    marked = rows.join(blocks, uid, "left").drop(uid)
+    marked = rows.join(blocks.hint("merge"), uid, "left").drop(uid)  # the same join at every size
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     return marked.mapInArrow(_cut(cut), f"{schema}, n_deleted long")
