@@ -11,8 +11,9 @@ around each of its lines: up to a line if what lies before it in the block is
 long enough, else from the block's start.  One aggregation finds the first
 document of every key; a document's partners are the first documents of its
 keys.  So copies form a star around the first of them, never pairs among
-themselves, and no key is too common to count; the joins are inner joins of
-stored tables, which Spark splits at a frequent key or partner.
+themselves, and no key is too common to count; the join of keys and first
+documents is an inner join of stored tables, which Spark splits at a frequent
+key, and the pairs of a frequent partner are dealt to ``SALTS`` parts.
 
 Alignment: a pair's lines (128 bits of hash each) are matched by patience
 diff, and aligned blocks of the length are marked.  What shares a run with
@@ -45,6 +46,7 @@ from .tables import numbered, stored, unused
 
 LEAST_CHARS = 40
 DEPTH = 64  # levels of the diff; what lies deeper is compared run by run
+SALTS = 256  # parts that the pairs of one partner are dealt to
 BASE = 0x9E3779B97F4A7C15  # odd, 5 mod 8
 
 
@@ -253,11 +255,12 @@ def shared_blocks(docs: DataFrame, uid: str, least_chars: int = LEAST_CHARS) ->
     order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("uid"))
     keyed = rows.select("uid", order.alias("place"), F.explode("keys").alias("key"))
     shared = stored(keyed.groupBy("key").agg(F.min("place")["uid"].alias("partner"), F.count("*").alias("n")).where("n > 1").drop("n"), "shared-runs")
-    pairs = stored(keyed.select("uid", "key").join(shared, "key").where("uid != partner").select("uid", "partner").distinct(), "pairs")
+    pairs = stored(keyed.select("uid", "key").join(shared, "key").where("uid != partner").select(
+        "uid", "partner", F.pmod(F.xxhash64("uid"), F.lit(SALTS)).alias("salt")).distinct(), "pairs")
     later = rows.select("uid", "lines", "chars").join(pairs, "uid")
-    firsts = rows.select(F.col("uid").alias("partner"), F.col("lines").alias("its_lines"), F.col("chars").alias("its_chars")).join(
-        pairs.select("partner").distinct(), "partner")
-    met = later.join(firsts, "partner").select("uid", "lines", "chars", "partner", "its_lines", "its_chars")
+    copies = pairs.select("partner", "salt").distinct().join(
+        rows.select(F.col("uid").alias("partner"), F.col("lines").alias("its_lines"), F.col("chars").alias("its_chars")), "partner")
+    met = later.join(copies, ["partner", "salt"]).select("uid", "lines", "chars", "partner", "its_lines", "its_chars")
     cuts = met.mapInArrow(_align(least), "uid long, cuts array<int>")
     return cuts.groupBy("uid").agg(F.flatten(F.collect_list("cuts")).alias("cuts"))  # a row for each partner, of which a document has at most its runs
 
