@@ -2,6 +2,7 @@
 
 Equal vectors are one node with the smallest ids that carry them, so that a
 large group of copies neither fills the neighbour lists nor meets in one task.
+Nodes are numbered in order of their smallest id.
 
 Building: random hyperplanes, fitted to a bounded sample, cut the nodes into
 cells, some times over; neighbours within a cell start the graph.  Then rounds
@@ -25,7 +26,8 @@ vectors.
 Defined results: vectors null, zero or with null or non-finite components, or
 of another length than most, take no part, as queries or candidates; a query
 finds other rows with its own vector at distance 0; rows that repeat a vec_id
-are one row; fewer candidates than ``k`` give fewer rows; an empty table gives
+are one candidate or query at the smallest distance that one of its vectors
+has; components are taken as floats; fewer candidates than ``k`` give fewer rows; an empty table gives
 none; other columns are ignored.
 """
 
@@ -35,7 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .tables import stored
@@ -131,10 +133,11 @@ def _merge_equal(keep: int):
 
 
 def nodes_of(vectors: DataFrame, k: int) -> DataFrame:
-    """node (the smallest id), vec (binary of floats), ids (the k + 1 smallest)."""
+    """node (a number), vec (binary of floats), ids (the k + 1 smallest)."""
     rows = vectors.mapInArrow(_merge_equal(k + 1), "vec binary, ids array<long>")
     merged = rows.groupBy("vec").agg(F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("ids")))), 1, k + 1).alias("ids"))
-    return stored(merged.select(F.get("ids", F.lit(0)).alias("node"), "vec", "ids"), "nodes")
+    # an id may have several vectors, so it can't name a node
+    return stored(merged.orderBy(F.get("ids", F.lit(0)), "vec").select(F.monotonically_increasing_id().alias("node"), "vec", "ids"), "nodes")
 
 
 # building
@@ -348,15 +351,14 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, vector: str = "em
     lengths = rows.groupBy(F.size("vector").alias("length")).agg(F.count("*").alias("n")).orderBy(F.col("n").desc(), "length").first()
     rows = rows.where(F.size("vector") == (lengths["length"] if lengths else 0))
     nodes = nodes_of(rows.select("vec_id", "vector"), k)
-    queries = stored(rows.where("is_query").select(F.col("vec_id").alias("query_id"), "vector").mapInArrow(
-        _as_bytes, "query_id long, vec binary").dropDuplicates(["query_id"]), "queries")
-    queries = stored(queries.join(nodes.select("vec", F.col("node").alias("own")), "vec", "left"), "own-nodes")
-    found = search(queries, nodes, build_graph(nodes), max(BEAM, k + 1))
-    each = (found.join(nodes.select("node", "ids"), "node").select("query_id", "score", F.explode("ids").alias("vec_id"))
-            .where("vec_id != query_id"))
-    best = each.groupBy("query_id").agg(F.slice(F.array_sort(F.collect_list(F.struct("score", "vec_id"))), 1, k).alias("best"))  # beam * (k + 1) at most
-    return best.select("query_id", F.posexplode("best").alias("at", "b")).select(
-        "query_id", (F.col("at") + 1).alias("rank"), F.col("b.vec_id").alias("vec_id"), F.col("b.score").alias("score"))
+    queries = rows.where("is_query").select(F.col("vec_id").alias("query_id"), "vector").mapInArrow(_as_bytes, "query_id long, vec binary").distinct()
+    queries = stored(queries.join(nodes.select("vec", F.col("node").alias("own")), "vec", "left").withColumn("search", F.monotonically_increasing_id()), "queries")
+    found = search(queries.select(F.col("search").alias("query_id"), "vec", "own"), nodes, build_graph(nodes), max(BEAM, k + 1))
+    each = (found.withColumnRenamed("query_id", "search").join(queries.select("search", "query_id"), "search").join(nodes.select("node", "ids"), "node")
+            .select("query_id", "score", F.explode("ids").alias("vec_id")).where("vec_id != query_id"))
+    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    return (each.groupBy("query_id", "vec_id").agg(F.min("score").alias("score")).withColumn("rank", F.row_number().over(order))
+            .where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score"))
 
 
 def _as_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

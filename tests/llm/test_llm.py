@@ -454,6 +454,23 @@ def test_nearest_neighbours_in_clusters_without_an_entry(spark, monkeypatch):
     assert hits >= 950 and all(q + 500 in found[q] for q in range(20))
 
 
+def test_nn_descent_of_repeated_ids(spark):
+    rng = np.random.default_rng(12)
+    rows = [(int(i), rng.integers(-9, 10, 3).astype(float).tolist()) for i in rng.integers(0, 60, 150)]
+    rows += [(0, [1.0, 0.0, 0.0]), (1, [2.0, 0.0, 0.0]), (1, [3.0, 0.0, 0.0]), (1, [3.0, 0.0, 0.0]), (2, [9.0, 9.0, 9.0])]
+    rows = [x for x in rows if any(x[1])]
+    got = nn_descent.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), F.col("vec_id") % 10 == 0, k=5).collect()
+    want = set()
+    for q in {i for i, _ in rows if i % 10 == 0}:
+        best = {}
+        for i, x in rows:
+            if i != q:
+                d = min(math.dist(x, y) for j, y in rows if j == q)
+                best[i] = min(d, best.get(i, d))
+        want |= {(q, n + 1, i, round(d, 9)) for n, (d, i) in enumerate(sorted((d, i) for i, d in best.items())[:5])}
+    assert len(got) == len(want) and {(r.query_id, r["rank"], r.vec_id, round(r.score, 9)) for r in got} == want
+
+
 @pytest.fixture
 def moving_splits(spark, monkeypatch):
     """Scans are split in another way after every stored table, as when executors come and go."""
