@@ -6,13 +6,12 @@ import sys
 import tempfile
 import types
 import uuid
-from contextlib import contextmanager
 
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ragloom.session import checkpoint_dir
+from ragloom.session import batches_of, checkpoint_dir  # noqa: F401
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
@@ -40,19 +39,6 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-@contextmanager
-def batches_of(spark: SparkSession, rows: int):
-    """Arrow batches of at most ``rows`` rows for what runs inside: for tables
-    whose rows are large, so that a task holds little of them at once."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(rows))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
-
-
 def unused(df: DataFrame, name: str) -> str:
     """``name``, lengthened until no column of ``df`` has it."""
     taken = {c.lower() for c in df.columns}

@@ -14,14 +14,18 @@ The index cuts the corpus into cells around centres and the cells into blocks:
 
 A search visits blocks by their lower bound.  For a query at distance ``d`` of
 a cell's centre, the triangle inequality puts every vector of a block at least
-``max(d - outer, inner - d)`` away.  The nearest blocks give a first k-th
-distance; after that only blocks whose bound does not exceed it are visited,
-in rounds of ``VISITS`` blocks a query, the last round being all that remain.
-The bound is never above the true distance (it is widened by the rounding of
-the distance to the centre), so the result is exact, ties included.
-
-No corpus row is ever copied: a round shuffles (block, query) visits, packed
-``PACK`` queries to a row, and joins them with the blocks they visit.
+``max(d - outer, inner - d)`` away.  The nearest ``FIRST_VISITS`` blocks give a
+first k-th distance; after that only blocks whose bound does not exceed it are
+visited.  The bound is never above the true distance (it is widened by the
+rounding of the distance to the centre), so the result is exact, ties included.
+
+The first round shuffles (block, query) visits, packed ``PACK`` queries to a
+row, and joins them with the blocks they visit.  What remains may be every
+block for every query (vectors without clusters), so it is no longer moved by
+visits: the blocks are cut into regions and the queries into slices, both of
+bounded bytes, and a task meets one slice with one region.  A query goes once to
+each region that may hold a neighbour, a region once to each slice that asks
+for it, and inside the task the bounds still skip blocks.
 """
 
 from __future__ import annotations
@@ -34,23 +38,32 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ragloom.session import cut_lineage
+from ragloom.session import batches_of, cut_lineage
 
 MAX_CENTRES = 4096
 CENTRE_BYTES = 32 * 1024 * 1024
 MAX_BLOCKS = 1 << 18          # headers: 32 bytes each, 8 MiB
 BLOCK_ROWS = 256              # rows of a block while the corpus needs no more than MAX_BLOCKS
 PACK = 256                    # queries of a visit row
-VISITS = (2, 16, None)        # blocks a query visits in each round; None: all that may still hold a neighbour
+FIRST_VISITS = 2              # blocks a query visits before the regions
 TILE_BOUNDS = 1 << 20         # (query, block) bounds computed at once
+GRID_BYTES = 32 * 1024 * 1024 # vectors of a slice of queries, or of a region of blocks
+PAIR_TILE = 1 << 20           # (query, vector) distances computed at once
+PAIR_BYTES = 16 * 1024 * 1024 # differences re-ranked at once
+BATCH_BYTES = 32 * 1024 * 1024  # vectors of the visits in an Arrow batch
 
 HIT = "query_id bigint, corpus_id bigint, distance double"
 
 
-def _matrix(column) -> np.ndarray:
+def _matrix(column, dtype=np.float64) -> np.ndarray:
     """Vectors of an Arrow list column, one row each, in doubles."""
-    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    return flat.reshape(len(column), -1) if len(column) else np.zeros((0, 0))
+    flat = column.flatten().to_numpy(zero_copy_only=False).astype(dtype)
+    return flat.reshape(len(column), -1) if len(column) else np.zeros((0, 0), dtype)
+
+
+def _width(df: DataFrame, vector: str = "embedding") -> type:
+    """What holds the components as they come: floats stay floats when stored."""
+    return np.float32 if df.schema[vector].dataType.elementType.simpleString() == "float" else np.float64
 
 
 def _sq(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -64,12 +77,14 @@ def _sq(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 @dataclass
 class MetricIndex:
     """``blocks`` (block, cell, ids, vectors, carried columns) as stored, the
-    centres and the headers (block, cell, inner, outer, n)."""
+    centres, the headers (block, cell, inner, outer, n), and what the vectors
+    are stored as."""
 
     blocks: DataFrame
     centres: np.ndarray
     headers: np.ndarray
     carry: tuple[str, ...]
+    dtype: type = np.float64
 
     @property
     def n_blocks(self) -> int:
@@ -99,7 +114,7 @@ def _assign(centres, carry):
     return run
 
 
-def _cut(rows_per_block: int, schema: pa.Schema):
+def _cut(rows_per_block: int, schema: pa.Schema, dtype: type):
     """Rows sorted by (cell, dist, corpus_id) -> blocks of one cell."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -110,7 +125,7 @@ def _cut(rows_per_block: int, schema: pa.Schema):
             block = pa.Table.from_batches(held).combine_chunks()
             dist = block.column("dist").to_numpy()
             lists = [pa.array([block.column(n).to_pylist()], schema.field(n).type) for n in block.column_names if n not in ("cell", "dist", "embedding")]
-            vectors = _matrix(block.column("embedding").combine_chunks())
+            vectors = _matrix(block.column("embedding").combine_chunks(), dtype)
             out = [pa.array([(task << 32) + number], pa.int64()), pa.array([at], pa.int32()), pa.array([dist.min()]), pa.array([dist.max()]),
                    pa.array([len(dist)], pa.int64()), pa.array([vectors.tobytes()], pa.binary()), *lists]
             number, held, size = number + 1, [], 0
@@ -156,11 +171,11 @@ def build_index(corpus: DataFrame, carry: tuple[str, ...] = (), n_centres: int |
            + ", ".join(f"`{a}` array<{t}>" for a, t in kept))
     from pyspark.sql.pandas.types import to_arrow_schema
     schema = to_arrow_schema(spark.createDataFrame([], ddl).schema)
-    blocks = cut_lineage(ordered.mapInArrow(_cut(rows_per_block, schema), ddl))
-    headers = blocks.select("block", "cell", "inner", "outer").toPandas()  # MAX_BLOCKS, and a block for each cell and task, at most
+    blocks = cut_lineage(ordered.mapInArrow(_cut(rows_per_block, schema, _width(rows)), ddl))
+    headers = blocks.select("block", "cell", "inner", "outer", "n").toPandas().sort_values("block")  # MAX_BLOCKS, and a block for each cell and task, at most
     packed = np.rec.fromarrays([headers["block"].to_numpy("int64"), headers["cell"].to_numpy("int64"), headers["inner"].to_numpy("float64"),
-                                headers["outer"].to_numpy("float64")], names="block,cell,inner,outer")
-    return MetricIndex(blocks, centres.value, packed, carry)
+                                headers["outer"].to_numpy("float64"), headers["n"].to_numpy("int64")], names="block,cell,inner,outer,n")
+    return MetricIndex(blocks, centres.value, packed, carry, _width(rows))
 
 
 # ------------------------------------------------------------------ search --
@@ -175,9 +190,9 @@ def lower_bounds(queries: np.ndarray, centres: np.ndarray, headers: np.ndarray)
     return np.square(np.maximum(gap, 0.0)) * (1 - 1e-12)
 
 
-def _visit(shared, start: int, count: int | None):
-    """(block, query) visits: the blocks ``start .. start + count`` of each
-    query in order of their bound, up to its k-th distance so far."""
+def _visit(shared):
+    """(block, query) visits: the first blocks of each query in order of
+    their bound."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         centres, headers = shared.value
         tile = max(1, min(256, TILE_BOUNDS // max(len(headers), 1)))
@@ -185,27 +200,43 @@ def _visit(shared, start: int, count: int | None):
             for a in range(0, batch.num_rows, tile):
                 part = batch.slice(a, tile)
                 bound = lower_bounds(_matrix(part.column("embedding")), centres, headers)
-                worst = part.column("worst").to_numpy(zero_copy_only=False)
-                order = np.argsort(bound, axis=1, kind="stable")
-                order = order[:, start:] if count is None else order[:, start:start + count]
-                open_ = np.take_along_axis(bound, order, axis=1) <= np.nan_to_num(worst, nan=np.inf)[:, None]
-                q, b = np.nonzero(open_)
+                order = np.argsort(bound, axis=1, kind="stable")[:, :FIRST_VISITS]
+                taken = part.take(pa.array(np.repeat(np.arange(part.num_rows), order.shape[1])))
+                yield pa.RecordBatch.from_arrays([pa.array(headers["block"][order.reshape(-1)], pa.int64()), taken.column("query_id"),
+                                                  taken.column("embedding")], ["block", "query_id", "embedding"])
+    return run
+
+
+def _route(shared, regions: np.ndarray):
+    """Queries with their k-th distance so far -> a row for each region that
+    may hold a neighbour, with the number of its blocks that may."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        centres, headers = shared.value
+        starts = np.flatnonzero(np.r_[True, regions[1:] != regions[:-1]]) if len(regions) else np.empty(0, np.int64)
+        tile = max(1, min(256, TILE_BOUNDS // max(len(headers), 1)))
+        for batch in batches:
+            for a in range(0, batch.num_rows if len(starts) else 0, tile):
+                part = batch.slice(a, tile)
+                bound = lower_bounds(_matrix(part.column("embedding")), centres, headers)
+                worst = np.nan_to_num(part.column("worst").to_numpy(zero_copy_only=False), nan=np.inf)
+                open_ = np.add.reduceat((bound <= worst[:, None]).astype(np.int64), starts, axis=1)
+                q, r = np.nonzero(open_)
                 taken = part.take(pa.array(q))
-                yield pa.RecordBatch.from_arrays([pa.array(headers["block"][order[q, b]], pa.int64()), taken.column("query_id"), taken.column("embedding"),
-                                                  taken.column("worst")], ["block", "query_id", "embedding", "worst"])
+                yield pa.RecordBatch.from_arrays([pa.array(regions[starts[r]], pa.int32()), pa.array(open_[q, r]), *taken.columns],
+                                                 ["region", "visits", *taken.schema.names])
     return run
 
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Visits sorted by block -> rows of one block and at most PACK queries."""
-    names = ["block", "query_ids", "worst", "vectors"]
+    names = ["block", "query_ids", "vectors"]
 
     def row(block, rows):
         table = pa.Table.from_batches(rows).combine_chunks()
         x = np.vstack([_matrix(c) for c in table.column("embedding").chunks])
         return pa.RecordBatch.from_arrays([
             pa.array([block], pa.int64()), pa.array([table.column("query_id").to_numpy()], pa.list_(pa.int64())),
-            pa.array([table.column("worst").to_numpy()], pa.list_(pa.float64())), pa.array([x.tobytes()], pa.binary())], names)
+            pa.array([x.tobytes()], pa.binary())], names)
 
     held, size, at = [], 0, None
     for batch in batches:
@@ -223,39 +254,115 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield row(at, held)
 
 
-def _score(k: int, carry: tuple[str, ...], exclude_self: bool, names: list[str], types: pa.Schema):
+def _score(k: int, dtype: type, exclude_self: bool):
+    """Packed visits with their blocks -> the k nearest of each visit."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 get = lambda c: batch.column(c)[i]  # noqa: E731, B023
-                ids = get("corpus_id").values.to_numpy()
-                qids, worst = get("query_ids").values.to_numpy(), np.nan_to_num(get("worst").values.to_numpy(), nan=np.inf)
-                c = np.frombuffer(get("vectors").as_buffer(), np.float64).reshape(len(ids), -1)
+                ids, qids = get("corpus_id").values.to_numpy(), get("query_ids").values.to_numpy()
+                c = np.frombuffer(get("vectors").as_buffer(), dtype).reshape(len(ids), -1).astype(np.float64)
                 q = np.frombuffer(get("query_vectors").as_buffer(), np.float64).reshape(len(qids), -1)
-                sq, slip = _sq(q, c)
-                # those that may be among the k nearest, however many tie
-                least = sq - slip
-                if exclude_self:
-                    least = np.where(qids[:, None] == ids, np.inf, least)
-                take = min(k, len(ids))
-                kth = np.partition(np.where(np.isinf(least), np.inf, sq + slip), take - 1, axis=1)[:, take - 1]
-                rows, cols = np.nonzero((least <= np.minimum(kth, worst)[:, None]) & np.isfinite(least))
-                d = q[rows] - c[cols]
-                exact = np.einsum("ij,ij->i", d, d)
-                keep = exact <= worst[rows]
-                rows, cols, exact = rows[keep], cols[keep], exact[keep]
-                order = np.lexsort((ids[cols], exact, rows))
-                rows, cols, exact = rows[order], cols[order], exact[order]
-                first = np.arange(len(rows)) - np.searchsorted(rows, rows) < k
-                rows, cols, exact = rows[first], cols[first], exact[first]
-                carried = [get(n).values.take(pa.array(cols)) for n in carry]
-                yield pa.RecordBatch.from_arrays(
-                    [x.cast(types.field(n).type) for x, n in zip([pa.array(qids[rows]), pa.array(ids[cols]), pa.array(exact), *carried], names, strict=True)], names)
+                rows, _, exact = _nearest(q, qids if exclude_self else None, c, ids, np.full(len(qids), np.inf), k)
+                yield pa.RecordBatch.from_arrays([pa.array(qids[rows]), pa.array(exact)], ["query_id", "distance"])
+    return run
+
+
+def _nearest(q: np.ndarray, own: np.ndarray | None, c: np.ndarray, ids: np.ndarray, worst: np.ndarray,
+             k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The k nearest of each query among ``c`` that are no farther than
+    ``worst``, ties by id: (query, place in ``c``, distance), by query."""
+    sq, slip = _sq(q, c)
+    slip = slip.max(axis=1, initial=0.0)[:, None]
+    if own is not None:
+        sq[own[:, None] == ids] = np.inf
+    take = min(k, len(ids))
+    kth = np.partition(sq, take - 1, axis=1)[:, take - 1:take]
+    # those that may be among the k nearest, however many tie
+    rows, cols = np.nonzero((sq <= np.minimum(kth + 2 * slip, worst[:, None] + slip)) & (sq < np.inf))
+    exact = np.empty(len(rows))
+    step = max(1, PAIR_BYTES // (8 * max(q.shape[1], 1)))
+    for a in range(0, len(rows), step):
+        d = q[rows[a:a + step]] - c[cols[a:a + step]]
+        exact[a:a + step] = np.einsum("ij,ij->i", d, d)
+    keep = exact <= worst[rows]
+    rows, cols, exact = rows[keep], cols[keep], exact[keep]
+    order = np.lexsort((ids[cols], exact, rows))
+    rows, cols, exact = rows[order], cols[order], exact[order]
+    first = np.arange(len(rows)) - np.searchsorted(rows, rows) < k
+    return rows[first], cols[first], exact[first]
+
+
+def _meet(k: int, carry: tuple[str, ...], exclude_self: bool, shared, dtype: type, types: pa.Schema):
+    """A slice of queries and the blocks of a region -> the k nearest of each
+    query there, none farther than its k-th distance so far."""
+    def run(asked: pa.Table, blocks: pa.Table) -> pa.Table:
+        if not asked.num_rows or not blocks.num_rows:
+            return types.empty_table()
+        centres, headers = shared.value
+        at = headers[np.searchsorted(headers["block"], np.sort(blocks.column("block").to_numpy()))]
+        blocks = blocks.sort_by("block")
+        ids = blocks.column("corpus_id").combine_chunks().flatten()
+        ids = ids.to_numpy(zero_copy_only=False)
+        data = [np.frombuffer(v.as_buffer(), dtype).reshape(n, -1) for v, n in zip(blocks.column("vectors"), at["n"], strict=True)]
+        ends = np.r_[0, np.cumsum(at["n"])]
+        x = np.vstack([_matrix(p, dtype) for p in asked.column("embedding").chunks if len(p)])
+        near = _nearest_cell(x, centres[np.unique(at["cell"])])
+        order = np.argsort(near, kind="stable")  # queries of one cell share the blocks that they need
+        x, qids = x[order], asked.column("query_id").to_numpy()[order]
+        worst = np.nan_to_num(asked.column("worst").to_numpy()[order], nan=np.inf)
+        n_q = len(qids)
+        best_d, best_i = np.full((n_q, k), np.inf), np.zeros((n_q, k), np.int64)  # place in the region
+        per = max(1, PAIR_TILE // 1024)
+        for a in range(0, n_q, per):
+            q, limit = x[a:a + per].astype(np.float64), worst[a:a + per]
+            bound = lower_bounds(q, centres, at)
+            held = np.arange(len(q))
+            todo = np.argsort(bound.min(axis=0), kind="stable")  # the nearest blocks first
+            for group in (todo[b:b + 4] for b in range(0, len(todo), 4)):
+                far = np.minimum(limit, best_d[a:a + per, -1])
+                group = group[(bound[:, group] <= far[:, None]).any(axis=0)]
+                if not len(group):
+                    continue
+                some = held[(bound[:, group] <= far[:, None]).any(axis=1)]
+                place = np.concatenate([np.arange(ends[g], ends[g + 1]) for g in group])
+                c = np.concatenate([data[g] for g in group]).astype(np.float64)
+                rows, cols, exact = _nearest(q[some], qids[a:a + per][some] if exclude_self else None, c, ids[place], far[some], k)
+                if not len(rows):
+                    continue
+                # the found ones and those so far, the k first of each query
+                hit, back = np.unique(rows, return_inverse=True)
+                slot = np.arange(len(rows)) - np.searchsorted(rows, rows)
+                d, i = np.full((len(hit), k), np.inf), np.zeros((len(hit), k), np.int64)
+                d[back, slot], i[back, slot] = exact, place[cols]
+                to = a + some[hit]
+                d, i = np.concatenate([best_d[to], d], axis=1), np.concatenate([best_i[to], i], axis=1)
+                first = np.lexsort((ids[i], d), axis=1)[:, :k]
+                best_d[to], best_i[to] = np.take_along_axis(d, first, axis=1), np.take_along_axis(i, first, axis=1)
+        rows, slot = np.nonzero(np.isfinite(best_d))
+        place = best_i[rows, slot]
+        carried = [blocks.column(n).combine_chunks().flatten().take(pa.array(place)) for n in carry]
+        out = [pa.array(qids[rows]), pa.array(ids[place]), pa.array(best_d[rows, slot]), *carried]
+        return pa.Table.from_arrays([v.cast(f.type) for v, f in zip(out, types, strict=True)], schema=types)
     return run
 
 
+def _nearest_cell(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    return np.concatenate([_sq(x[a:a + 1024].astype(np.float64), centres)[0].argmin(axis=1) for a in range(0, len(x), 1024)])
+
+
+def _regions(headers: np.ndarray, row_bytes: int, least: int) -> np.ndarray:
+    """The region of each block, in order: runs of blocks of GRID_BYTES of
+    vectors at most (or one block), ``least`` of them where there are as many
+    blocks."""
+    total = int(headers["n"].sum())
+    count = max(-(-total * row_bytes // GRID_BYTES), least)
+    rows = max(1, -(-total // count))
+    return ((np.cumsum(headers["n"]) - headers["n"]) // rows).astype(np.int32)
+
+
 def search_index(queries: DataFrame, index: MetricIndex, k: int, exclude_self: bool = False,
-                 visits: tuple = VISITS, visited: list | None = None) -> DataFrame:
+                 visited: list | None = None) -> DataFrame:
     """Exact k nearest of every query (query_id, embedding): query_id, rank,
     corpus_id, distance (squared L2) and the carried columns.
 
@@ -263,36 +370,46 @@ def search_index(queries: DataFrame, index: MetricIndex, k: int, exclude_self: b
     each round."""
     spark = queries.sparkSession
     shared = spark.sparkContext.broadcast((index.centres, index.headers))  # bounded at the build
-    q = usable(queries).select(F.col("query_id").cast("bigint").alias("query_id"), F.col("embedding").cast("array<double>").alias("embedding"))
-    q = cut_lineage(q)
+    q = usable(queries).select(F.col("query_id").cast("bigint").alias("query_id"), "embedding")
+    vector = q.schema["embedding"].dataType.simpleString()
+    # written once: a row keeps its number, and with it its slice
+    q = cut_lineage(q.withColumn("at", F.monotonically_increasing_id()))
     carried = [f"`{c}` {index.blocks.schema[c].dataType.elementType.simpleString()}" for c in index.carry]
     ddl = ", ".join([HIT, *carried])
     from pyspark.sql.pandas.types import to_arrow_schema
     types = to_arrow_schema(spark.createDataFrame([], ddl).schema)
-    names = types.names
     best = Window.partitionBy("query_id").orderBy("distance", "corpus_id")
-    # the blocks' columns keep their names; the visits' vectors take another
-    held = index.blocks.select("block", "vectors", "corpus_id", *index.carry)
-    hits, start = None, 0
-    for count in visits:
-        if start >= index.n_blocks and hits is not None:
-            break
-        if hits is None:
-            asked = q.withColumn("worst", F.lit(None).cast("double"))
-        else:
-            kth = hits.where(F.col("rank") == k).select("query_id", F.col("distance").alias("worst"))
-            asked = q.join(kth, "query_id", "left")
-        spread = asked.mapInArrow(_visit(shared, start, count), "block bigint, query_id bigint, embedding array<double>, worst double")
-        spread = spread.repartitionByRange("block", "query_id").sortWithinPartitions("block", "query_id")
-        packs = spread.mapInArrow(_pack, "block bigint, query_ids array<bigint>, worst array<double>, vectors binary")
-        packs = cut_lineage(packs)
-        if visited is not None:
-            visited.append(packs.agg(F.coalesce(F.sum(F.size("query_ids")), F.lit(0))).first()[0])
-        pairs = packs.withColumnRenamed("vectors", "query_vectors").join(held, "block")
-        found = pairs.mapInArrow(_score(k, index.carry, exclude_self, names, types), ddl)
-        if hits is not None:
-            found = found.unionByName(hits.select(*names))
-        hits = found.withColumn("rank", F.row_number().over(best).cast("bigint")).where(F.col("rank") <= k)
-        hits = cut_lineage(hits.select("query_id", "rank", "corpus_id", "distance", *index.carry))
-        start += count or index.n_blocks
-    return hits
+
+    # the k-th distance in the nearest blocks
+    spread = q.mapInArrow(_visit(shared), f"block bigint, query_id bigint, embedding {vector}")
+    spread = spread.repartitionByRange("block", "query_id").sortWithinPartitions("block", "query_id")
+    packs = cut_lineage(spread.mapInArrow(_pack, "block bigint, query_ids array<bigint>, vectors binary"))
+    if visited is not None:
+        visited.append(packs.agg(F.coalesce(F.sum(F.size("query_ids")), F.lit(0))).first()[0])
+    near = packs.withColumnRenamed("vectors", "query_vectors").join(index.blocks.select("block", "vectors", "corpus_id"), "block")
+    near = near.mapInArrow(_score(k, index.dtype, exclude_self), "query_id bigint, distance double")
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy("distance"))
+    kth = near.withColumn("rank", rank).where(F.col("rank") == k).select("query_id", F.col("distance").alias("worst"))
+    dim, n_q = index.centres.shape[1], q.count()
+    widest = (PACK + int(index.headers["n"].max(initial=1))) * max(dim, 1) * 8
+    with batches_of(spark, max(1, BATCH_BYTES // widest)):
+        kth = cut_lineage(kth)
+
+    # slices of queries meet the regions that may hold their neighbours
+    least = int(np.ceil(np.sqrt(2 * spark.sparkContext.defaultParallelism)))  # a few tasks a core
+    slices = max(-(-n_q * dim * 8 // GRID_BYTES), least)
+    regions = _regions(index.headers, dim * np.dtype(index.dtype).itemsize, least)
+    asked = q.join(kth, "query_id", "left").select(F.pmod("at", F.lit(slices)).cast("int").alias("slice"), "query_id", "embedding", "worst")
+    routed = cut_lineage(asked.mapInArrow(_route(shared, regions), f"region int, visits bigint, slice int, query_id bigint, embedding {vector}, worst double"))
+    if visited is not None:
+        visited.append(routed.agg(F.coalesce(F.sum("visits"), F.lit(0))).first()[0])
+    of = spark.createDataFrame(pa.table({"block": pa.array(index.headers["block"], pa.int64()), "region": pa.array(regions, pa.int32())}))
+    wanted = routed.select(F.col("region").alias("in_region"), F.col("slice").alias("for_slice")).distinct()  # slices x regions at most
+    sent = (index.blocks.select("block", "vectors", "corpus_id", *index.carry).join(F.broadcast(of), "block")
+            .join(F.broadcast(wanted), F.col("region") == F.col("in_region")).drop("region"))
+    tasks = spark.sparkContext.defaultParallelism * 4
+    found = (routed.repartition(tasks, "slice", "region").groupBy("slice", "region")
+             .cogroup(sent.repartition(tasks, "for_slice", "in_region").groupBy("for_slice", "in_region"))
+             .applyInArrow(_meet(k, index.carry, exclude_self, shared, index.dtype, types), ddl))
+    hits = found.withColumn("rank", F.row_number().over(best).cast("bigint")).where(F.col("rank") <= k)
+    return cut_lineage(hits.select("query_id", "rank", "corpus_id", "distance", *index.carry))

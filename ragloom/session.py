@@ -9,6 +9,7 @@ is missing.
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -99,3 +100,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if not d:
         raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     return f"{d.rstrip('/')}/ragloom-{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def batches_of(spark: SparkSession, rows: int):
+    """Arrow batches of at most ``rows`` rows for what runs inside: for tables
+    whose rows are large, so that a task holds little of them at once."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)

@@ -213,6 +213,35 @@ def test_index_visits_few_blocks_and_is_exact(spark):
     assert sum(visited) < 0.5 * index.n_blocks * len(set(ask)), (visited, index.n_blocks)
 
 
+def test_queries_without_clusters_are_not_copied_for_each_block(spark, monkeypatch):
+    """Where every block may hold a neighbour, a query is written once for
+    each region of blocks, not once for each block."""
+    from ragloom.operators import metric_index
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(600, 32)).astype(np.float32)
+    corpus = spark.createDataFrame([(i, x[i].tolist()) for i in range(len(x))], "corpus_id long, embedding array<float>")
+    index = metric_index.build_index(corpus, rows_per_block=8)
+    written, cut = [], metric_index.cut_lineage
+
+    def counted(df):
+        out = cut(df)
+        if "vectors" in out.columns:
+            written.append(out.agg(F.sum(F.size("query_ids"))).first()[0])
+        elif "embedding" in out.columns:
+            written.append(out.count())
+        return out
+    monkeypatch.setattr(metric_index, "cut_lineage", counted)
+    visited = []
+    got = metric_index.search_index(corpus.withColumnRenamed("corpus_id", "query_id"), index, 2, exclude_self=True, visited=visited)
+    xd = x.astype(np.float64)
+    dist = ((xd[:, None] - xd[None]) ** 2).sum(axis=2)
+    np.fill_diagonal(dist, np.inf)
+    assert sorted((r["query_id"], r["rank"], r["corpus_id"]) for r in got.collect()) == [
+        (i, r + 1, int(np.argsort(dist[i], kind="stable")[r])) for i in range(len(x)) for r in range(2)]
+    assert sum(visited) > 0.5 * index.n_blocks * len(x)  # nothing to skip
+    assert sum(written) < 0.2 * index.n_blocks * len(x), (written, index.n_blocks)
+
+
 def test_index_bounds_never_exceed_a_distance(spark):
     from ragloom.operators.metric_index import build_index, lower_bounds
     rng = np.random.default_rng(8)
