@@ -41,9 +41,10 @@ from ragloom.operators.metric_index import build_index, search_index, usable
 from ragloom.session import cut_lineage
 
 TOP_K = 3              # fixed value of the reference: three chunks per query
-PAIR_TILE = 65536      # (query, candidate) pairs re-ranked at once
+PAIR_BYTES = 16 * 1024 * 1024  # differences re-ranked at once
 QUERY_TILE = 1024      # queries per distance tile inside a task
-CORPUS_TILE = 4096     # corpus rows per distance tile on the broadcast-corpus path
+CORPUS_TILE = 1024     # corpus rows per distance tile
+OUT_ROWS = 8192        # queries whose hits a task returns in one batch
 CARRY_BYTES = 16       # assumed width of one narrow carried value (id, label)
 DEFAULT_MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
@@ -69,15 +70,17 @@ class _TopK:
     direct sum (the expanded form cancels near 0 and may misorder near-ties),
     and the exact candidates, ties by corpus id, are merged into the
     running top-k ordered by (distance, corpus id).  A task holds only
-    n_queries x k distances, ids and carried values -- no vectors.
+    n_queries x k distances, ids and carried values -- no vectors; carried
+    numbers keep their own width, and a tile of queries is merged at a time.
     """
 
     def __init__(self, n_queries: int, k: int, carry=(), qids: np.ndarray | None = None):
         self.k, self.carry = k, tuple(carry)
         self.qids = qids          # set: a query never matches the corpus row with its own id
-        self.dist = np.zeros((n_queries, 0))
-        self.ids = np.zeros((n_queries, 0), dtype=np.int64)
-        self.vals = {c: np.empty((n_queries, 0), dtype=object) for c in self.carry}
+        self.seen = 0             # how many of the k places are filled
+        self.dist = np.full((n_queries, k), np.inf)
+        self.ids = np.zeros((n_queries, k), dtype=np.int64)
+        self.vals = {}
 
     def offer(self, qm: np.ndarray, qn: np.ndarray, cm: np.ndarray, cid: np.ndarray,
               payload: pd.DataFrame | None = None) -> None:
@@ -87,43 +90,62 @@ class _TopK:
         take = min(self.k, len(cid))
         # rounding of the expanded form, for any pair of this batch
         slip = 8 * (cm.shape[1] + 2) * np.finfo(np.float64).eps
-        new_d, new_i = [], []
+        step = max(1, PAIR_BYTES // (8 * max(cm.shape[1], 1)))
+        batch = {c: _carried(payload[c]) for c in self.carry}
+        for c, v in batch.items():
+            if c not in self.vals:
+                self.vals[c] = np.zeros(self.dist.shape, dtype=v.dtype)
+            elif self.vals[c].dtype != v.dtype:  # a batch with a null among batches without
+                batch[c], self.vals[c] = v.astype(object), self.vals[c].astype(object)
+        seen = self.seen
         for lo in range(0, len(qm), QUERY_TILE):
             tile, tile_n = qm[lo:lo + QUERY_TILE], qn[lo:lo + QUERY_TILE]
-            approx = tile_n[:, None] + cn[None, :] - 2.0 * (tile @ cm.T)
+            approx = tile @ cm.T
+            approx *= -2.0
+            approx += tile_n[:, None]
+            approx += cn[None, :]
             if self.qids is not None:
                 approx[self.qids[lo:lo + QUERY_TILE, None] == cid[None, :]] = np.inf
             kth = np.partition(approx, take - 1, axis=1)[:, take - 1]
             rows, cols = np.nonzero(approx <= (kth + slip * (tile_n + cn.max()))[:, None])
-            exact = np.concatenate([_exact_sq_l2(tile[rows[a:a + PAIR_TILE]], cm[cols[a:a + PAIR_TILE]])
-                                    for a in range(0, len(rows), PAIR_TILE)])
+            exact = np.concatenate([_exact_sq_l2(tile[rows[a:a + step]], cm[cols[a:a + step]])
+                                    for a in range(0, len(rows), step)])
             exact[np.isinf(approx[rows, cols])] = np.inf
             order = np.lexsort((cid[cols], exact, rows))
             first = np.searchsorted(rows[order], np.arange(len(tile)))
             best = order[first[:, None] + np.arange(take)]
-            new_d.append(exact[best])
-            new_i.append(cols[best])
-        rows = np.vstack(new_i)                      # positions inside this batch
-        d_all = np.concatenate([self.dist, np.vstack(new_d)], axis=1)
-        id_all = np.concatenate([self.ids, cid[rows]], axis=1)
-        order = np.lexsort((id_all, d_all), axis=1)[:, :self.k]
-        self.dist = np.take_along_axis(d_all, order, axis=1)
-        self.ids = np.take_along_axis(id_all, order, axis=1)
-        for c in self.carry:
-            batch_vals = payload[c].to_numpy(dtype=object)[rows]
-            v_all = np.concatenate([self.vals[c], batch_vals], axis=1)
-            self.vals[c] = np.take_along_axis(v_all, order, axis=1)
-
-    def finish(self, qids: np.ndarray) -> pd.DataFrame:
-        if self.ids.shape[1] == 0:
-            return _empty(self.carry)
-        kk = self.ids.shape[1]
-        out = pd.DataFrame({"query_id": np.repeat(qids, kk).astype("int64"),
-                            "corpus_id": self.ids.reshape(-1).astype("int64"),
-                            "distance": self.dist.reshape(-1)})
-        for c in self.carry:
-            out[c] = self.vals[c].reshape(-1)
-        return out[np.isfinite(out["distance"].to_numpy())]
+            at, to = cols[best], slice(lo, lo + len(tile))   # positions inside this batch
+            d_all = np.concatenate([self.dist[to, :seen], exact[best]], axis=1)
+            id_all = np.concatenate([self.ids[to, :seen], cid[at]], axis=1)
+            order = np.lexsort((id_all, d_all), axis=1)[:, :self.k]
+            kept = order.shape[1]
+            self.dist[to, :kept] = np.take_along_axis(d_all, order, axis=1)
+            self.ids[to, :kept] = np.take_along_axis(id_all, order, axis=1)
+            for c, v in batch.items():
+                v_all = np.concatenate([self.vals[c][to, :seen], v[at]], axis=1)
+                self.vals[c][to, :kept] = np.take_along_axis(v_all, order, axis=1)
+        self.seen = min(self.k, seen + take)
+
+    def finish(self, qids: np.ndarray) -> Iterator[pd.DataFrame]:
+        """The hits, ``OUT_ROWS`` queries at a time."""
+        kk = self.seen
+        if kk == 0:
+            yield _empty(self.carry)
+            return
+        for lo in range(0, len(qids), OUT_ROWS):
+            part = slice(lo, lo + OUT_ROWS)
+            out = pd.DataFrame({"query_id": np.repeat(qids[part], kk).astype("int64"),
+                                "corpus_id": self.ids[part, :kk].reshape(-1),
+                                "distance": self.dist[part, :kk].reshape(-1)})
+            for c in self.carry:
+                out[c] = self.vals[c][part, :kk].reshape(-1)
+            yield out[np.isfinite(out["distance"].to_numpy())]
+
+
+def _carried(values: pd.Series) -> np.ndarray:
+    """A carried column as held: whole numbers as such, all else (nulls among
+    them) as objects."""
+    return values.to_numpy() if values.dtype.kind == "i" else values.to_numpy(dtype=object)
 
 
 def _empty(carry=()) -> pd.DataFrame:
@@ -143,10 +165,11 @@ def _scan_with_broadcast(bq, k: int, carry=(), exclude_self: bool = False):
         qn = np.einsum("ij,ij->i", qm, qm)
         top = _TopK(len(qids), k, carry, qids if exclude_self else None)
         for pdf in batches:
-            if len(pdf):
-                top.offer(qm, qn, _to_matrix(pdf["embedding"]), pdf["corpus_id"].to_numpy("int64"),
-                          pdf[list(carry)] if carry else None)
-        yield top.finish(qids)
+            for lo in range(0, len(pdf), CORPUS_TILE):
+                part = pdf.iloc[lo:lo + CORPUS_TILE]
+                top.offer(qm, qn, _to_matrix(part["embedding"]), part["corpus_id"].to_numpy("int64"),
+                          part[list(carry)] if carry else None)
+        yield from top.finish(qids)
     return run
 
 
@@ -163,7 +186,7 @@ def _scan_queries_with_broadcast_corpus(bc, k: int, carry=(), exclude_self: bool
             for lo in range(0, len(cids), CORPUS_TILE):
                 top.offer(qm, qn, cm[lo:lo + CORPUS_TILE], cids[lo:lo + CORPUS_TILE],
                           payload.iloc[lo:lo + CORPUS_TILE] if carry else None)
-            out = top.finish(qids)
+            out = pd.concat(top.finish(qids))
             # rows of a query are contiguous and ordered by (distance, id)
             out["rank"] = (out.groupby("query_id", sort=False).cumcount() + 1).astype("int64")
             yield out

@@ -267,3 +267,33 @@ def test_rows_without_a_usable_vector_take_no_part(spark, max_bytes):
     empty = c.where("corpus_id < 0")
     assert knn_topk(q, empty, k=2, max_broadcast_bytes=max_bytes).count() == 0
     assert knn_topk(q.where("query_id < 0"), c, k=2, max_broadcast_bytes=max_bytes).count() == 0
+
+
+def test_scan_of_a_large_batch_holds_small_tiles():
+    """A whole Arrow batch against many queries: distances are computed and
+    hits returned in parts, with the carried values of the right rows."""
+    import tracemalloc
+    from types import SimpleNamespace
+
+    import pandas as pd
+
+    from ragloom.operators.retrieval import _scan_with_broadcast
+    rng = np.random.default_rng(4)
+    q, c = rng.normal(size=(9000, 8)), rng.normal(size=(6000, 8))
+    label = [None if i % 5 == 0 else i * 3 for i in range(3000)]
+    tags = [pd.DataFrame({"embedding": list(c[:3000]), "corpus_id": np.arange(3000), "n": np.arange(3000) * 3, "label": pd.Series(label, dtype=object)}),
+            pd.DataFrame({"embedding": list(c[3000:]), "corpus_id": np.arange(3000, 6000), "n": np.arange(3000, 6000) * 3,
+                          "label": pd.Series(np.arange(3000, 6000) * 3)})]
+    run = _scan_with_broadcast(SimpleNamespace(value=(np.arange(9000), q)), 3, ("n", "label"))
+    tracemalloc.start()
+    parts = list(run(iter(tags)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60e6, peak
+    out = pd.concat(parts)
+    assert max(map(len, parts)) < len(out) == 27000
+    d = ((q[:50, None] - c[None]) ** 2).sum(axis=2)
+    want = np.argsort(d, axis=1)[:, :3].reshape(-1)
+    head = out.head(150)
+    assert head["corpus_id"].tolist() == want.tolist() and head["n"].tolist() == (want * 3).tolist()
+    assert head["label"].tolist() == [None if i < 3000 and i % 5 == 0 else i * 3 for i in want]
