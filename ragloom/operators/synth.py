@@ -23,6 +23,7 @@ NUM_SAMPLES = 5        # fixed value of the reference: five sampled chunks
 N_CASE_KEYWORDS = 5    # cases carry 3 to 5 keywords
 WORD_SALT = 32         # tasks one word's rows are spread over in the tf-idf join
 MAX_BROADCAST_WORDS = 2_000_000   # vocabulary rows (word, count) shipped to every task
+RARE = 1024            # a word of fewer chunks may be looked up by a join instead
 
 
 def sample_rows(df: DataFrame, n: int = NUM_SAMPLES, seed: int = 42,
@@ -49,15 +50,61 @@ def word_counts(words) -> Column:
     return let(F.array_sort(words), lambda s: F.when(F.size(s) > 0, counts(s)).otherwise(none))
 
 
+def _find(hashes: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each key is in the sorted ``hashes``, and whether it is there."""
+    if not len(hashes):
+        return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+    at = np.minimum(np.searchsorted(hashes, keys), len(hashes) - 1)
+    return at, hashes[at] == keys
+
+
+def _frequencies(listed: tuple, rare: tuple, keys: np.ndarray) -> np.ndarray:
+    """Chunks that hold each word: as listed, else as looked up, else one."""
+    df = np.ones(len(keys))
+    for hashes, counts in (rare, listed):
+        at, there = _find(hashes, keys)
+        df[there] = counts[at[there]]
+    return df
+
+
+def _least_listed(vocabulary: DataFrame, limit: int) -> int | None:
+    """The smallest frequency such that the words of it or more are ``limit``
+    at most; None if there is none up to ``RARE``."""
+    counts = vocabulary.groupBy(F.least("df", F.lit(RARE)).alias("df")).agg(F.count(F.lit(1)).alias("n")).collect()  # RARE rows at most
+    of = {r["df"]: r["n"] for r in counts}
+    left = sum(of.values())
+    for least in range(1, RARE + 1):
+        if left <= limit:
+            return least
+        left -= of.get(least, 0)
+    return None
+
+
+def _unlisted(vocabulary, key: str):
+    """Rows with their words' hashes -> (key, word) of those not listed."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = batch.column("words")
+            parent = pc.list_parent_indices(words).to_numpy(zero_copy_only=False)
+            there = _find(vocabulary.value[0], batch.column("hashes").flatten().to_numpy(zero_copy_only=False))[1]
+            yield pa.RecordBatch.from_arrays([batch.column(key).take(pa.array(parent[~there])), words.flatten().filter(pa.array(~there))],
+                                             [key, "token"])
+    return run
+
+
 def _top_words(vocabulary, n_docs: int, n: int):
     """Rows with their words' hashes and counts -> the ``n`` best words of each."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, df = vocabulary.value
         for batch in batches:
             words, tf, keys = (batch.column(c) for c in ("words", "tfs", "hashes"))
             parent = pc.list_parent_indices(words).to_numpy(zero_copy_only=False)
-            at = np.searchsorted(hashes, keys.flatten().to_numpy(zero_copy_only=False))
-            score = np.round(tf.flatten().to_numpy(zero_copy_only=False) * np.log(float(n_docs) / df[at]), 9)
+            rare = np.empty(0, np.int64), np.empty(0)
+            if "rare" in batch.schema.names:
+                found = batch.column("rare").flatten()
+                hashes, first = np.unique(found.field("h").to_numpy(zero_copy_only=False), return_index=True)
+                rare = hashes, found.field("df").to_numpy(zero_copy_only=False)[first]
+            df = _frequencies(vocabulary.value, rare, keys.flatten().to_numpy(zero_copy_only=False))
+            score = np.round(tf.flatten().to_numpy(zero_copy_only=False) * np.log(float(n_docs) / df), 9)
             flat = words.flatten()
             order = pc.sort_indices(pa.table({"p": parent, "s": score, "w": flat}),
                                     sort_keys=[("p", "ascending"), ("s", "descending"), ("w", "ascending")]).to_numpy()
@@ -65,7 +112,7 @@ def _top_words(vocabulary, n_docs: int, n: int):
             best = order[np.arange(len(order)) - np.searchsorted(parent, parent) < n]
             sizes = np.minimum(np.bincount(parent, minlength=batch.num_rows), n)
             kept = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)], pa.int32()), flat.take(pa.array(best)))
-            rest = [c for c in batch.schema.names if c not in ("words", "tfs", "hashes")]
+            rest = [c for c in batch.schema.names if c not in ("words", "tfs", "hashes", "rare")]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), kept], [*rest, "keywords"])
     return run
 
@@ -82,11 +129,16 @@ def tfidf_keywords(chunks: DataFrame, n: int = N_CASE_KEYWORDS, key: str = "chun
     * Document frequencies are the one shuffle: only distinct words are
       exploded, and a word common to a third of all chunks is pre-aggregated
       per task.  The vocabulary is written, and its row count decides the rest.
-    * Up to ``max_broadcast_words`` words its (hash, frequency) columns, 16
-      bytes a word, go to every task and every row ranks its own words: no
-      row moves.  Should two words share a 64-bit hash, or beyond the bound,
-      words meet their frequencies in a join keyed by (word, salt), so the rows
-      of a hot word are spread over ``salt`` tasks.
+    * The (hash, frequency) columns, 16 bytes a word, of the most frequent
+      words, ``max_broadcast_words`` at most, go to every task and every row
+      ranks its own words.  Mostly all words, or all but those of a single
+      chunk, are listed: a word that is not has the frequency one, and no row
+      moves.  Should words of two or more chunks be left out as well, they are
+      the rare ones: only their rows are looked up in a join, and the few
+      frequencies found go back to their chunks.  Should two words share a
+      64-bit hash (or too many words be frequent), words meet their frequencies
+      in a join keyed by (word, salt), so the rows of a hot word are spread over
+      ``salt`` tasks.
     * A chunk without any word has an empty list.
     ``N`` (number of chunks) is one count unless the caller knows it.
     """
@@ -98,17 +150,23 @@ def tfidf_keywords(chunks: DataFrame, n: int = N_CASE_KEYWORDS, key: str = "chun
     counted = chunks.select(key, *carried, word_counts(words).alias("c"))
     counted = cut_lineage(counted.select(key, *carried, F.col("c.token").alias("words"), F.col("c.tf").alias("tfs")))
     vocabulary = cut_lineage(counted.select(F.explode("words").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("df")))
-    if vocabulary.count() <= max_broadcast_words:
-        table = vocabulary.select(F.xxhash64("token").alias("h"), "df").toArrow()  # bounded: 16 bytes a word
+    least = _least_listed(vocabulary, max_broadcast_words)
+    hashed = vocabulary.select(F.xxhash64("token").alias("h"), "df")
+    if least and not hashed.groupBy("h").count().where("count > 1").head(1):
+        table = hashed.where(F.col("df") >= least).toArrow()  # bounded: 16 bytes a word
         hashes, df = table.column("h").to_numpy(), table.column("df").to_numpy().astype(np.float64)
         order = np.argsort(hashes)
-        hashes, df = hashes[order], df[order]
-        if not (hashes[1:] == hashes[:-1]).any():
-            shared = spark.sparkContext.broadcast((hashes, df))
-            rows = counted.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
-            out = [f"`{f.name}` {f.dataType.simpleString()}" for f in counted.select(key, *carried).schema.fields]
-            kw = rows.mapInArrow(_top_words(shared, n_docs, n), ", ".join([*out, "keywords array<string>"]))
-            return kw.select(key, "keywords", *carried, F.size("keywords").cast("bigint").alias("n_keywords"))
+        shared = spark.sparkContext.broadcast((hashes[order], df[order]))
+        rows = counted.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
+        ddl = {f.name: f"`{f.name}` {f.dataType.simpleString()}" for f in counted.schema.fields}
+        if least > 2:  # words of 2 .. least - 1 chunks are not listed
+            rare = vocabulary.where((F.col("df") > 1) & (F.col("df") < least))
+            found = (rows.select(key, "words", "hashes").mapInArrow(_unlisted(shared, key), f"{ddl[key]}, token string").join(rare, "token")
+                     .groupBy(F.col(key).alias("__key")).agg(F.collect_set(F.struct(F.xxhash64("token").alias("h"), "df")).alias("rare")))
+            rows = rows.join(found, F.col(key).eqNullSafe(F.col("__key")), "left").drop("__key")
+        out = [ddl[c] for c in (key, *carried)]
+        kw = rows.mapInArrow(_top_words(shared, n_docs, n), ", ".join([*out, "keywords array<string>"]))
+        return kw.select(key, "keywords", *carried, F.size("keywords").cast("bigint").alias("n_keywords"))
     pairs = counted.select(key, F.explode(F.arrays_zip("words", "tfs")).alias("p")).select(
         key, F.col("p.words").alias("token"), F.col("p.tfs").alias("tf"), F.pmod(F.xxhash64(key), F.lit(salt)).alias("__salt"))
     salted = vocabulary.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salt - 1).cast("bigint"))))

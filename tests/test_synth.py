@@ -2,6 +2,7 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF001
@@ -112,3 +113,29 @@ def test_default_cases_come_from_the_sample(spark):
         assert sorted(r["chunk_id"] for r in out[kind].collect()) == want
     all_kw = {r["chunk_id"]: r["keywords"] for r in synth.tfidf_keywords(ch).collect()}
     assert all(list(r["expected_keywords"]) == list(all_kw[r["chunk_id"]]) for r in out["retrieval"].collect())
+
+
+@pytest.mark.parametrize("limit", [0, 1, 2, 4, 7])
+def test_keywords_with_a_part_of_the_vocabulary_listed(spark, limit):
+    """Fewer words may be shipped than there are: the frequent ones are, those
+    of one chunk need no list, the rest are looked up; no row of a frequent word moves."""
+    import math
+    common = ["alphabet", "building"]
+    pairs = ["cabinet", "daylight"]
+    texts = {f"c{i}": " ".join([*common, "single" + "abcdefghij"[i] * 3, pairs[i // 2 % 2], "evening" if i % 3 == 0 else "evening evening"])
+             for i in range(10)}
+    texts["none"] = "a b"
+    df = spark.createDataFrame([*texts.items(), ("null", None)], "chunk_id string, text string").repartition(3)
+    out = synth.tfidf_keywords(df, n=3, max_broadcast_words=limit, carry_text=True)
+    n_docs = 12
+    seen = {}
+    for t in texts.values():
+        for w in set(t.split()):
+            seen[w] = seen.get(w, 0) + 1
+    got = {r["chunk_id"]: r for r in out.collect()}
+    assert len(got) == n_docs
+    for key, t in {**texts, "null": None}.items():
+        words = [w for w in (t or "").split() if len(w) >= 6]
+        want = sorted(set(words), key=lambda w: (-round(words.count(w) * math.log(n_docs / seen[w]), 9), w))[:3]
+        assert got[key]["keywords"] == want and got[key]["text"] == t
+    assert "__salt" not in out._jdf.queryExecution().toString()
