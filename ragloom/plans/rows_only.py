@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ragloom.functions.text import round6
 from ragloom.operators import chunking, embedding, generation, impact, prompts, retrieval
 from ragloom.plans import derived, queries
+from ragloom.session import cut_lineage
 from ragloom.sources.tables import spread_small_scan
 
 
@@ -66,9 +67,10 @@ def q_hash_embed(spark, sf):
 
 def q_text_retrieval(spark, sf):
     """E2 + R1: the qa questions embedded with the same model, top-3 chunks."""
-    qs = embedding.hashed_embedding(derived.qa_cases(spark, sf).select(
-        F.col("case_id").alias("query_id"), F.col("query").alias("text")))
-    corpus = _embedded_chunks(spark, sf).select(F.col("chunk_no").alias("corpus_id"), "embedding")
+    # both are written once: the search reads them several times
+    qs = cut_lineage(embedding.hashed_embedding(derived.qa_cases(spark, sf).select(
+        F.col("case_id").alias("query_id"), F.col("query").alias("text"))).select("query_id", "embedding"))
+    corpus = cut_lineage(_embedded_chunks(spark, sf).select(F.col("chunk_no").alias("corpus_id"), "embedding"))
     hits = retrieval.knn_topk(qs, corpus)
     return hits.select(F.col("query_id").alias("case_id"), "rank", F.col("corpus_id").alias("chunk_no"),
                        round6("distance").alias("distance"))
