@@ -64,6 +64,7 @@ LEAF = 64
 LARGE = 64  # sets of a part from which on it is met as a whole
 BATCH = 128  # leaves, or pairs of sets, in a task's memory at once
 COMMON, COMMON_ROWS, COMMON_SEEN = 1 << 18, 8000, 4
+MARKS = 1 << 23  # bits that tell which texts a step may want
 _U = np.uint64
 _ODD = [_U(x) for x in np.random.default_rng(7).integers(1, 1 << 63, 64, np.uint64) * _U(2) + _U(1)]
 
@@ -182,7 +183,7 @@ def _sizes(k: int):
         for batch in batches:
             sets = [shingle_set(t.as_py(), k, cache) for t in batch.column("text")]
             yield _table(fields, batch.column("uid"), batch.column("doc_id"), [len(s) for s in sets], [_set_id(s) for s in sets],
-                         [_point(s).tobytes() for s in sets])
+                         [_stored_point(_point(s)) for s in sets])
     return run
 
 
@@ -268,6 +269,16 @@ def _point(tokens: np.ndarray) -> np.ndarray:
     return np.bincount((tokens >> _U(7)).astype(np.int64) & (groups - 1), minlength=groups).astype("<i4")
 
 
+def _stored_point(point: np.ndarray) -> bytes:
+    """Counts in as few bytes as they need, after a byte that tells how many."""
+    width = next(w for w in (1, 2, 4) if point.max() < 1 << 8 * w)
+    return bytes([width]) + point.astype(f"<u{width}").tobytes()
+
+
+def _read_point(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, f"<u{data[0]}", offset=1).astype("<i4")
+
+
 def _folded(point: np.ndarray, groups: int) -> np.ndarray:
     return point.reshape(-1, groups).sum(axis=0)
 
@@ -295,10 +306,39 @@ def _verified(limit: Limit):
     return run
 
 
+def _mark(uid: np.ndarray) -> np.ndarray:
+    return (_mix(uid.astype(np.uint64)) & _U(MARKS - 1)).astype(np.int64)
+
+
+def _marks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        marks = np.unique(_mark(batch.column("uid").to_numpy()))
+        yield _table([("byte", pa.int64()), ("bits", pa.int64())], marks >> 3, 1 << (marks & 7))
+
+
+def _marks(rows: DataFrame) -> np.ndarray:
+    """A bitmap of ``MARKS`` bits, that of every uid's hash set: what it does
+    not tell apart is left to a join."""
+    found = rows.select("uid").mapInArrow(_marks_of, "byte long, bits long").groupBy("byte").agg(F.bit_or("bits").alias("bits")).toArrow()
+    out = np.zeros(MARKS // 8, np.uint8)
+    out[found["byte"].to_numpy()] = found["bits"].to_numpy()
+    return out
+
+
+def _marked(marks):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = _mark(batch.column("uid").to_numpy())
+            yield batch.filter(pa.array((marks.value[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)))
+    return run
+
+
 def _sets(wanted: DataFrame, texts: DataFrame, member: DataFrame, k: int) -> DataFrame:
-    """(sid, tokens) of the sets ``wanted`` (sid); only their texts are read."""
+    """(sid, tokens) of the sets ``wanted`` (sid); few other texts are moved."""
     wanted = stored(wanted.distinct().join(member, "sid").select("uid", "sid"), "wanted")
-    return stored(texts.select("uid", "text").join(wanted, "uid").select("sid", "text").mapInArrow(_tokens(k), "sid long, tokens binary"), "tokens")
+    marks = texts.sparkSession.sparkContext.broadcast(_marks(wanted))
+    marked = texts.select("uid", "text").mapInArrow(_marked(marks), "uid long, text string")
+    return stored(marked.join(wanted, "uid").select("sid", "text").mapInArrow(_tokens(k), "sid long, tokens binary"), "tokens")
 
 
 def _verify(pairs: DataFrame, texts: DataFrame, member: DataFrame, k: int, limit: Limit) -> DataFrame:
@@ -321,7 +361,7 @@ def _pairs_of(found: list) -> pa.RecordBatch:
 
 def _matrix(members: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Ids, sizes and points (in the detail of the coarsest) of members."""
-    points = [np.frombuffer(m["point"], "<i4") for m in members]
+    points = [_read_point(m["point"]) for m in members]
     groups = min(map(len, points))
     return (np.array([m["sid"] for m in members], np.int64), np.array([m["n"] for m in members], np.int64),
             np.array([_folded(p, groups) for p in points]))
@@ -402,7 +442,7 @@ def common_shingles(texts: DataFrame, rows: DataFrame, k: int) -> np.ndarray:
     n = rows.count()
     some = texts.where(F.pmod(F.xxhash64("uid"), F.lit(1 << 20)) < int((1 << 20) * min(1.0, COMMON_ROWS / max(n, 1))))
     seen = some.select("text").mapInArrow(_listed(k), "token long").groupBy("token").agg(F.count("*").alias("n"))
-    top = frequent(seen.where(F.col("n") >= COMMON_SEEN), COMMON).select("token").toArrow()
+    top = frequent(stored(seen.where(F.col("n") >= COMMON_SEEN), "seen"), COMMON).select("token").toArrow()
     return np.sort(top["token"].to_numpy().view(np.uint64))
 
 

@@ -117,6 +117,28 @@ def test_signatures_meet_for_every_linked_pair():
             assert jaccard_rtree._overlap_bound(jaccard_rtree._point(a), jaccard_rtree._point(b)) >= inter
 
 
+def test_points_are_stored_in_few_bytes_and_read_back():
+    rng = np.random.default_rng(2)
+    for n in (1, 300, 3000):
+        point = jaccard_rtree._point(rng.integers(0, 1 << 63, n).astype(np.uint64))
+        data = jaccard_rtree._stored_point(point)
+        assert np.array_equal(jaccard_rtree._read_point(data), point) and len(data) == len(point) + 1  # a byte a count
+    for large in (255, 256, 65535, 65536, 1 << 30):
+        point = np.array([0, large] * 32, "<i4")
+        assert np.array_equal(jaccard_rtree._read_point(jaccard_rtree._stored_point(point)), point)
+
+
+def test_only_wanted_texts_are_moved(spark, tmp_path):
+    texts = spark.range(2000).select(F.col("id").alias("uid"), F.concat(F.lit("words of text "), "id").alias("text"))
+    wanted = spark.createDataFrame([(7,), (1999,), (-3,), (7,)], "uid long")
+    marked = texts.mapInArrow(jaccard_rtree._marked(spark.sparkContext.broadcast(jaccard_rtree._marks(wanted))), "uid long, text string")
+    found = {r.uid for r in marked.collect()}
+    assert {7, 1999} <= found and len(found) < 20
+    assert marked.join(wanted.distinct(), "uid").count() == 2
+    none = spark.sparkContext.broadcast(jaccard_rtree._marks(wanted.limit(0)))
+    assert texts.mapInArrow(jaccard_rtree._marked(none), "uid long, text string").count() == 0
+
+
 def test_byte_bpe_equals_the_library(docs, empty):
     import tiktoken
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
