@@ -37,7 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .tables import stored
@@ -54,6 +54,7 @@ ENTRIES = 1024
 BEAM = 128
 EXPAND = 16
 SALTS = 8
+TASK_ROWS = 50_000  # rows that make a task of their own worth while
 
 
 def usable(vector: Column) -> Column:
@@ -110,6 +111,13 @@ def _flushed(found: Iterator[tuple], rows: int = 50_000) -> Iterator[pa.RecordBa
     yield _edges(held)
 
 
+def tasks_for(spark: SparkSession, rows: int) -> int:
+    """The most tasks that so many rows are worth.  There are dozens of joins,
+    so for a small table what tasks cost by themselves would be most of the
+    time; beyond the shuffle's own number of partitions it changes nothing."""
+    return max(2 * spark.sparkContext.defaultParallelism, -(-rows // TASK_ROWS))
+
+
 # nodes
 
 def _merge_equal(keep: int):
@@ -189,16 +197,16 @@ def _nearest(limit: int):
     return run
 
 
-def _lists(edges: DataFrame, limit: int) -> DataFrame:
-    return edges.repartition("u").sortWithinPartitions("u", "d", "v").select("u", "v", "d").mapInArrow(_nearest(limit), EDGE_SQL)
+def _lists(edges: DataFrame, limit: int, tasks: int) -> DataFrame:
+    return edges.repartition("u").coalesce(tasks).sortWithinPartitions("u", "d", "v").select("u", "v", "d").mapInArrow(_nearest(limit), EDGE_SQL)
 
 
-def _reverse(edges: DataFrame, limit: int) -> DataFrame:
+def _reverse(edges: DataFrame, limit: int, tasks: int) -> DataFrame:
     """The nearest reverse neighbours; a node that many point to is first
     reduced in parts."""
     turned = edges.select(F.col("v").alias("u"), F.col("u").alias("v"), "d")
-    part = turned.repartition("u", F.pmod("v", F.lit(SALTS))).sortWithinPartitions("u", F.pmod("v", F.lit(SALTS)), "d", "v")
-    return _lists(part.select("u", "v", "d").mapInArrow(_nearest(limit), EDGE_SQL), limit)
+    part = turned.repartition("u", F.pmod("v", F.lit(SALTS))).coalesce(tasks).sortWithinPartitions("u", F.pmod("v", F.lit(SALTS)), "d", "v")
+    return _lists(part.select("u", "v", "d").mapInArrow(_nearest(limit), EDGE_SQL), limit, tasks)
 
 
 def _local_join(emit: int):
@@ -239,19 +247,20 @@ def build_graph(nodes: DataFrame, degree: int = DEGREE) -> DataFrame:
     normals += 1e-6 * rng.standard_normal(normals.shape).astype(np.float32)
     offsets = np.median(np.einsum("nd,tpd->tpn", x, normals), axis=2)
     cells = nodes.select("node", "vec").mapInArrow(_cells(normals, offsets), "cell long, node long, vec binary")
-    start = cells.repartition("cell").sortWithinPartitions("cell").mapInArrow(_within_cells(degree), EDGE_SQL)
-    edges = stored(_lists(start, degree), "graph")
+    tasks = tasks_for(spark, n * (degree + REVERSE + 1))
+    start = cells.repartition("cell").coalesce(tasks).sortWithinPartitions("cell").mapInArrow(_within_cells(degree), EDGE_SQL)
+    edges = stored(_lists(start, degree, tasks), "graph")
     halves = stored(nodes.select("node", "vec").mapInArrow(_halves, "node long, vec binary"), "halves")
     while True:
         radius = edges.groupBy("u").agg(F.when(F.count("*") >= degree, F.max("d")).otherwise(float("inf")).cast("float").alias("radius"))
         members = halves.join(radius, halves["node"] == radius["u"], "left").select(
             F.col("node").alias("member"), "vec", F.coalesce("radius", F.lit(float("inf")).cast("float")).alias("radius"))
         around = edges.select(F.col("u").alias("centre"), F.col("v").alias("member")).union(
-            _reverse(edges, REVERSE).select("u", "v")).union(nodes.select("node", "node"))
-        met = (around.join(members, "member").repartition("centre").sortWithinPartitions("centre")
+            _reverse(edges, REVERSE, tasks).select("u", "v")).union(nodes.select("node", "node"))
+        met = (around.join(members, "member").coalesce(tasks).repartition("centre").coalesce(tasks).sortWithinPartitions("centre")
                .select("centre", "member", "vec", "radius").mapInArrow(_local_join(EMIT), EDGE_SQL))
-        better = stored(_lists(edges.union(met), degree), "graph")
-        changed = better.join(edges, ["u", "v"], "left_anti").count()
+        better = stored(_lists(edges.union(met), degree, tasks), "graph")
+        changed = better.join(edges, ["u", "v"], "left_anti").coalesce(tasks).count()
         edges = better
         if changed < LEAST_CHANGE * n * degree:
             break
@@ -322,22 +331,24 @@ def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, beam: int = B
     """query_id, node, score: the beam of every query (query_id, vec, own: its
     node, null if it has none)."""
     spark = queries.sparkSession
-    links = stored(graph.select("u", "v").union(_reverse(graph, REVERSE).select("u", "v")).distinct()
-                   .groupBy("u").agg(F.collect_list("v").alias("next")), "links")  # DEGREE + REVERSE at most
+    tasks = tasks_for(spark, graph.count())
+    links = stored(graph.select("u", "v").union(_reverse(graph, REVERSE, tasks).select("u", "v")).distinct()
+                   .groupBy("u").agg(F.collect_list("v").alias("next")).coalesce(tasks), "links")  # DEGREE + REVERSE at most
     first = nodes.orderBy(F.xxhash64("node")).limit(ENTRIES).select("node", "vec").collect()  # ENTRIES vectors
     if not first:
         return spark.createDataFrame([], "query_id long, node long, score double")
     entries = spark.sparkContext.broadcast((np.array([r["node"] for r in first], np.int64), np.array([np.frombuffer(r["vec"], "<f4") for r in first])))
     state = stored(queries.select("query_id", "vec", "own").mapInArrow(_begin(entries), _STATE_SQL), "beams")
+    tasks = tasks_for(spark, state.count() * EXPAND * (DEGREE + REVERSE))
     vectors = nodes.select("node", F.col("vec").alias("node_vec"))
     while True:
         to_expand = F.slice(F.filter("beam", lambda x, i: F.get("open", i)), 1, EXPAND)
         frontier = state.select("query_id", F.explode(to_expand).alias("u"))
         if not frontier.take(1):
             break
-        met = frontier.join(links, "u").select("query_id", F.explode("next").alias("node")).distinct().join(vectors, "node")
+        met = frontier.join(links, "u").select("query_id", F.explode("next").alias("node")).coalesce(tasks).distinct().coalesce(tasks).join(vectors, "node").coalesce(tasks)
         rows = state.withColumns({"node": F.lit(None).cast("long"), "node_vec": F.lit(None).cast("binary")}).unionByName(met, allowMissingColumns=True)
-        state = stored(rows.repartition("query_id").sortWithinPartitions("query_id").mapInArrow(_advance(beam), _STATE_SQL), "beams")
+        state = stored(rows.repartition("query_id").coalesce(tasks).sortWithinPartitions("query_id").mapInArrow(_advance(beam), _STATE_SQL), "beams")
     return state.select("query_id", F.explode(F.arrays_zip("beam", "dist")).alias("e")).select(
         "query_id", F.col("e.beam").alias("node"), F.col("e.dist").alias("score"))
 

@@ -117,6 +117,23 @@ def test_signatures_meet_for_every_linked_pair():
             assert jaccard_rtree._overlap_bound(jaccard_rtree._point(a), jaccard_rtree._point(b)) >= inter
 
 
+def test_few_nodes_take_few_tasks(spark):
+    x = np.random.default_rng(4).standard_normal((60, 8))
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, vector array<double>")
+    held = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        graph = nn_descent.build_graph(nn_descent.nodes_of(rows, 5))
+        assert 0 < len(graph.inputFiles()) <= 2 * spark.sparkContext.defaultParallelism
+        assert graph.select("u").distinct().count() == 60
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert nn_descent.tasks_for(spark, 10**9) == 10**9 // nn_descent.TASK_ROWS
+
+
 def test_points_are_stored_in_few_bytes_and_read_back():
     rng = np.random.default_rng(2)
     for n in (1, 300, 3000):
