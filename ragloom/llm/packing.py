@@ -33,10 +33,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .tables import stored, worker_state
+from .tables import batches_of, stored, worker_state
 from .words import UnitIds, library_tokenizer, plain_units, text_parts
 
 CAPACITY = 4096
+AT_ONCE = 1000  # documents in a batch that holds their texts
 PIECES = "uid long, doc_id long, piece int, start long, length long, ids_crc32 long, task long, nth long"
 
 
@@ -53,7 +54,7 @@ def _pieces(tokenizer_path: str, end_id: int, capacity: int):
             uids, doc_ids, texts = (batch.column(c).to_pylist() for c in ("uid", "doc_id", "text"))
             for a, b in text_parts(texts):
                 units = [plain_units(t or "") for t in texts[a:b]]
-                cache.learn(chain.from_iterable(units))
+                cache.expect(chain.from_iterable(units))
                 for uid, doc_id, own_units in zip(uids[a:b], doc_ids[a:b], units, strict=True):
                     ids = b"".join(map(cache.__getitem__, own_units)) + end
                     for piece, start in enumerate(range(0, len(ids), 4 * capacity)):
@@ -62,6 +63,7 @@ def _pieces(tokenizer_path: str, end_id: int, capacity: int):
                         rows.append((uid, doc_id, piece, start // 4, n, zlib.crc32(own), task, seen[n]))
                         seen[n] += 1
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, (_, t) in enumerate(fields)], [n for n, _ in fields])
+        cache.forget()  # the worker lives on, and stages of other operators need its memory
     return run
 
 
@@ -128,7 +130,8 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 1, capacity: int =
     """One row per piece: uid (the document's number in the scan), doc_id,
     piece, start, length, ids_crc32, sequence_id, offset."""
     texts = docs.select(F.monotonically_increasing_id().alias("uid"), F.col("doc_id").cast("long").alias("doc_id"), "text")
-    pieces = stored(texts.mapInArrow(_pieces(tokenizer_path, end_id, capacity), PIECES), "pieces")
+    with batches_of(docs.sparkSession, AT_ONCE):
+        pieces = stored(texts.mapInArrow(_pieces(tokenizer_path, end_id, capacity), PIECES), "pieces")
     per_task = pieces.groupBy("length", "task").agg(F.count("*").alias("n"))
     before = F.sum("n").over(Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1))
     shifts = per_task.select("length", "task", F.coalesce(before, F.lit(0)).alias("shift"))

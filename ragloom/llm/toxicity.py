@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .brown import held_out
-from .tables import unused
+from .tables import batches_of, stored, unused
 
 FOLDS = 5
 SAMPLE = 3000
@@ -47,6 +47,7 @@ LEAST_SUPPORT = 5
 LEAST_RATIO = 10.0
 _WORD = re.compile(rb"[a-z\x80-\xff]+")
 _AT_ONCE = 4096
+AT_ONCE = 1000  # documents in a batch that holds their texts
 
 
 def _lower(text: str | None) -> bytes:
@@ -171,7 +172,8 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = FOLDS, sample: int =
     return {"toxic": toxic, "ordinary": ordinary, "weights": calibrate(features, np.array([r["toxic"] for r in parts[1]]), share)}
 
 
-def _score(model, name: str = "score"):
+def _score(model, name: str = "score", kept: list[str] | None = None):
+    """Adds the score of the column ``text`` to the columns ``kept`` (all others)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model.value
         gains = Gains(m["toxic"], m["ordinary"]) if "weights" in m else None
@@ -179,8 +181,9 @@ def _score(model, name: str = "score"):
             if gains is None:
                 scores = np.full(batch.num_rows, m["share"])
             else:
-                scores = logistic(np.array([gains.features(t.as_py()) for t in batch.column(batch.num_columns - 1)]).reshape(-1, 5) @ m["weights"])
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(scores, pa.float64())], [*batch.schema.names[:-1], name])
+                scores = logistic(np.array([gains.features(t.as_py()) for t in batch.column("text")]).reshape(-1, 5) @ m["weights"])
+            columns = [c for c in batch.schema.names if c != "text"] if kept is None else kept
+            yield pa.RecordBatch.from_arrays([*map(batch.column, columns), pa.array(scores, pa.float64())], [*columns, name])
     return run
 
 
@@ -197,7 +200,10 @@ def toxicity(docs: DataFrame, labels: DataFrame, folds: int = FOLDS) -> DataFram
 def drop_toxic(docs: DataFrame, labels: DataFrame, **settings) -> DataFrame:
     """The rows of ``docs`` that are not toxic by their score, all columns."""
     model = docs.sparkSession.sparkContext.broadcast(train(docs, labels, **settings))
-    text, score = unused(docs, "__text"), unused(docs, "__score")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    scored = docs.withColumn(text, F.col("text")).mapInArrow(_score(model, score), f"{schema}, {score} double")
-    return scored.where(F.col(score) < 0.5).drop(score)
+    score = unused(docs, "__score")
+    names = [f"__{i}" for i in range(len(docs.columns))]
+    names[[c.lower() for c in docs.columns].index("text")] = "text"
+    schema = ", ".join(f"{n} {f.dataType.simpleString()}" for n, f in zip(names, docs.schema, strict=True))
+    scored = docs.toDF(*names).mapInArrow(_score(model, score, names), f"{schema}, {score} double")
+    with batches_of(docs.sparkSession, AT_ONCE):
+        return stored(scored.where(F.col(score) < 0.5).drop(score).toDF(*docs.columns), "ordinary")

@@ -6,12 +6,15 @@ distinct unit once and joins the results: equal to encoding the whole text.
 
 from __future__ import annotations
 
+import json
 import re
 from collections import Counter
+from collections.abc import Callable
 
 import numpy as np
 
-CACHE_UNITS = 600_000
+CACHE_UNITS = 150_000
+COUNT_UNITS = 600_000
 
 #: White space of the tokenizers' patterns (Unicode White_Space), fixed values.
 WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -59,13 +62,118 @@ class UnitCache(dict):
         return out
 
 
+#: Letters of ASCII and Latin-1 and the punctuation after them (no apostrophe),
+#: with the white space that the unit may begin with.
+_LETTERS, _MARKS = r"A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff", r"!-&(-/:-@\[-`{-~"
+_PLAIN = re.compile(rf"(\n?)( ?[{_LETTERS}]+)([{_MARKS}]*)")
+_PART_OF_PLAIN = re.compile(rf"\n? ?[{_LETTERS}]*[{_MARKS}]*")
+
+GPT2_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+#: (normaliser, pre-tokenizer) of the tokenizers' files -> what becomes of a
+#: plain unit's letters, and whether white space is kept.
+_RULES = [
+    (None, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}, str, True),
+    ({"type": "Sequence", "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+     {"type": "Sequence", "pretokenizers": [
+         {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+         {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]},
+     lambda word: word.strip().lower(), False),
+]
+
+#: The characters that stand for bytes in the tokenizers' vocabularies.
+_BYTE_LEVEL = {b: b if 0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or b >= 0xAE else None for b in range(256)}
+_BYTE_LEVEL |= {b: 256 + i for i, b in enumerate(b for b, to in _BYTE_LEVEL.items() if to is None)}
+
+
+def plain_words(unit: str) -> list[str] | None:
+    """Matches of ``GPT2_PATTERN`` in a plain unit; None for other units."""
+    m = _PLAIN.fullmatch(unit)
+    return None if m is None else [x for x in m.groups() if x]
+
+
+def plain_encoder(tokenizer, width: str, limit: int) -> Callable[[str], bytes | None] | None:
+    """For a tokenizer whose rules are known, a function that gives the ids of
+    a plain unit by calls of the library's model for its letters and for its
+    punctuation, which is what the rules make of it, without their cost (None
+    for other units)."""
+    rules = [json.loads(x.__getstate__()) if x else None for x in (tokenizer.normalizer, tokenizer.pre_tokenizer)]
+    known = [own[2:] for own in _RULES if list(own[:2]) == rules]
+    if not known or any(_PART_OF_PLAIN.fullmatch(t.content) for t in tokenizer.get_added_tokens_decoder().values()):
+        return None
+    (form, spaces), tokenize, match = known[0], tokenizer.model.tokenize, _PLAIN.fullmatch
+    numbers = [i.to_bytes(int(width[2:]), "little") for i in range(tokenizer.get_vocab_size())]
+
+    def ids_of(piece: str) -> bytes:
+        return b"".join([numbers[t.id] for t in tokenize(piece.encode("utf-8").decode("latin-1").translate(_BYTE_LEVEL))])
+    words, tails = RecentCache(ids_of, limit), UnitCache(ids_of, 10_000)
+
+    def encode(unit: str) -> bytes | None:
+        m = match(unit)
+        if m is None:
+            return None
+        line, word, tail = m.groups()
+        ids = words[form(word)]
+        if tail:
+            ids += tails[tail]
+        return tails[line] + ids if line and spaces else ids
+    return encode
+
+
+class RecentCache(UnitCache):
+    """As ``UnitCache``, but what was asked for since it was emptied the time
+    before is kept."""
+
+    def __init__(self, encode, limit: int = CACHE_UNITS):
+        super().__init__(encode, limit)
+        self._older: dict = {}
+
+    def __missing__(self, unit):
+        if len(self) >= self._limit:
+            self._older = dict(self)
+            self.clear()
+        out = self._older.get(unit)
+        out = self[unit] = self._encode(unit) if out is None else out
+        return out
+
+
 class UnitIds(dict):
-    """unit -> its ids as bytes, of the numbers' type ``width``; units that are
-    new are encoded many at a call.  Emptied when it grows too large."""
+    """unit -> its ids as bytes, of the numbers' type ``width``.  Plain units
+    are encoded by the model alone as they are asked for, others by the library
+    or, if ``learn`` was told of them, many at a call.  Emptied when it grows
+    too large; what it held then is looked up until the next time."""
 
-    def __init__(self, tokenizer, width: str, text_of=None, limit: int = CACHE_UNITS):
+    def __init__(self, tokenizer, width: str, text_of=str, limit: int = CACHE_UNITS):
         super().__init__()
         self._tokenizer, self._width, self._text_of, self._limit = tokenizer, width, text_of, limit
+        self.forget()
+
+    def forget(self) -> None:
+        """Gives the memory back."""
+        self.clear()
+        self._older: dict = {}
+        self._plain = plain_encoder(self._tokenizer, self._width, self._limit)
+
+    def __missing__(self, unit: str) -> bytes:
+        if len(self) >= self._limit:
+            self._older = dict(self)
+            self.clear()
+        ids = self._older.get(unit)
+        if ids is None and self._plain is not None:
+            ids = self._plain(self._text_of(unit))
+        if ids is None:
+            ids = self._bytes(self._tokenizer.encode(self._text_of(unit), add_special_tokens=False).ids)
+        self[unit] = ids
+        return ids
+
+    def _bytes(self, ids: list[int]) -> bytes:
+        return np.array(ids, self._width).tobytes()
+
+    def expect(self, units) -> None:
+        """Learns the units where single calls cost more."""
+        if self._plain is None:
+            self.learn(units)
 
     def learn(self, units) -> None:
         units = set(units)
@@ -74,9 +182,8 @@ class UnitIds(dict):
             self.clear()
             new = units
         new = list(new)
-        texts = new if self._text_of is None else list(map(self._text_of, new))
-        for unit, found in zip(new, self._tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
-            self[unit] = np.array(found.ids, self._width).tobytes()
+        for unit, found in zip(new, self._tokenizer.encode_batch_fast(list(map(self._text_of, new)), add_special_tokens=False), strict=True):
+            self[unit] = self._bytes(found.ids)
 
 
 def text_parts(texts: list, chars: int = 1 << 20):
@@ -103,7 +210,7 @@ def library_tokenizer(path: str):
 class Counts:
     """Counts of a task, handed on in parts of bounded size."""
 
-    def __init__(self, limit: int = CACHE_UNITS):
+    def __init__(self, limit: int = COUNT_UNITS):
         self._counter, self._limit = Counter(), limit
 
     def add(self, items) -> None:
