@@ -31,11 +31,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .tables import file_system, shared_folder, worker_state
+from .tables import batches_of, file_system, shared_folder, worker_state
 from .words import UnitIds, gpt2_units, library_tokenizer, text_parts, unit_text
 
 SEQUENCE = 2048
 BATCH_SEQUENCES = 256
+AT_ONCE = 1000  # documents in a batch that holds their texts
 MANIFEST = "shard long, file string, documents long, tokens long"
 
 
@@ -53,16 +54,20 @@ class Encoder:
     def __init__(self, tokenizer_path: str):
         tokenizer = library_tokenizer(tokenizer_path)
         self.width = "<u2" if tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
-        self._further, self._first = UnitIds(tokenizer, self.width, unit_text), UnitIds(tokenizer, self.width, None, 10_000)
+        self._further, self._first = UnitIds(tokenizer, self.width, unit_text), UnitIds(tokenizer, self.width, str, 10_000)
 
     def encode(self, texts: list) -> Iterator[bytes]:
         for a, b in text_parts(texts):
             cut = [gpt2_units(t or "") for t in texts[a:b]]
-            self._first.learn(head for head, _ in cut)
-            self._further.learn(chain.from_iterable(rest for _, rest in cut))
+            self._first.expect(head for head, _ in cut)
+            self._further.expect(chain.from_iterable(rest for _, rest in cut))
             for head, rest in cut:
                 yield self._first[head] + b"".join(map(self._further.__getitem__, rest))
 
+    def forget(self) -> None:
+        self._further.forget()
+        self._first.forget()
+
 
 class ShardWriter:
     """The two files of one shard; holds one batch of sequences at most."""
@@ -126,6 +131,7 @@ def _write(folder: str, tokenizer_path: str, end_id: int, length: int):
                 writer = ShardWriter(folder, name, length, encoder.width)
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(batch.column("text").to_pylist()), strict=True):
                 writer.add(doc_id, ids + end)
+        encoder.forget()  # the worker lives on, and stages of other operators need its memory
         if writer is not None:
             writer.close()
             yield pa.RecordBatch.from_pydict({"shard": [shard], "file": [name], "documents": [writer.documents], "tokens": [writer.tokens]})
@@ -148,7 +154,8 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id:
     """Encode ``docs`` (doc_id, text) into shards under ``folder``."""
     ordered = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
                .repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text"))
-    ordered.mapInArrow(_write(folder, tokenizer_path, end_id, length), MANIFEST).write.parquet(f"{folder}/manifest")
+    with batches_of(docs.sparkSession, AT_ONCE):
+        ordered.mapInArrow(_write(folder, tokenizer_path, end_id, length), MANIFEST).write.parquet(f"{folder}/manifest")
     shards = docs.sparkSession.read.schema(MANIFEST).parquet(f"{folder}/manifest")
     shards.select("file").mapInArrow(_commit(folder), "file string").write.parquet(f"{folder}/committed")
 
