@@ -24,9 +24,9 @@ import base64
 import hashlib
 import heapq
 import json
-from bisect import bisect_left
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +35,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .tables import stored, worker_state
-from .words import WHITE, Counts, UnitCache, gpt2_units, unit_text
+from .tables import batches_of, stored, worker_state
+from .words import GPT2_PATTERN, WHITE, Counts, gpt2_units, plain_words, unit_text
 
 EDGE = 1 << 16  # more than any id; EDGE - 1 is the guard
 NO_MERGE = 1 << 20  # more than any rank
@@ -45,6 +45,7 @@ MAX_FOLD = 256
 VOCABULARY = 1 << 19
 COUNTED = 150_000  # units in a task's memory at once
 AT_ONCE = 256  # documents in a batch that holds their words
+CACHED = 100_000  # units in a task's memory with their ids
 
 
 def load_ranks(path: str) -> list[bytes]:
@@ -175,15 +176,21 @@ def word_pattern(pattern: str):
     return regex.compile(pattern.replace(r"[^\s", "[^" + WHITE).replace(r"\S", f"[^{WHITE}]").replace(r"\s", f"[{WHITE}]"))
 
 
+def word_cutter(pattern: str) -> Callable[[str], list[str]]:
+    """The pattern's matches in a unit; most units need no pattern for that."""
+    matches = word_pattern(pattern).findall
+    return (lambda unit: plain_words(unit) or matches(unit)) if pattern == GPT2_PATTERN else matches
+
+
 def _count_words(pattern: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rx, counts, heads = word_pattern(pattern), Counts(COUNTED), Counts(COUNTED)
+        cut, counts, heads = word_cutter(pattern), Counts(COUNTED), Counts(COUNTED)
 
         def drain():
             words = Counter()
             for part, spell in ((counts, unit_text), (heads, str)):
                 for unit, n in zip(*part.drain(), strict=True):
-                    for w in rx.findall(spell(unit)):
+                    for w in cut(spell(unit)):
                         words[w.encode("utf-8", "surrogatepass")] += n
             kept = [(w, n) for w, n in words.items() if len(w) <= MAX_WORD]
             return pa.RecordBatch.from_arrays([pa.array([w for w, _ in kept], pa.binary()), pa.array([n for _, n in kept], pa.int64())], ["word", "n"])
@@ -249,18 +256,30 @@ class Vocabulary:
     """Look-up in what ``pack_words`` returns."""
 
     def __init__(self, packed: tuple[np.ndarray, ...]):
-        self._hashes, self._word_ends, self._words, self._id_ends, self._ids = map(memoryview, packed)
+        self._hashes, self._word_ends, words, self._id_ends, ids = packed
+        self._words, self._ids = memoryview(words), memoryview(ids)
 
     def get(self, word: bytes) -> bytes | None:
-        h = xxhash.xxh3_64_intdigest(word)
-        i = bisect_left(self._hashes, h)
-        while i < len(self._hashes) and self._hashes[i] == h:
+        return self.find([word])[0]
+
+    def find(self, words: list[bytes]) -> list[bytes | None]:
+        """The ids of words, None for those that are not in it."""
+        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+        first, last = (np.searchsorted(self._hashes, hashes, side).tolist() for side in ("left", "right"))
+        return [self._among(word, a, b) if a < b else None for word, a, b in zip(words, first, last, strict=True)]
+
+    def _among(self, word: bytes, first: int, last: int) -> bytes | None:
+        for i in range(first, last):
             if self._words[self._word_ends[i]:self._word_ends[i + 1]] == word:
                 return self._ids[self._id_ends[i]:self._id_ends[i + 1]].tobytes()
-            i += 1
         return None
 
 
+def in_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of ``AT_ONCE`` documents at most."""
+    return (b.slice(i, AT_ONCE) for b in batches for i in range(0, max(b.num_rows, 1), AT_ONCE))
+
+
 def _prepare(pattern: str, known, ranks):
     """Documents as ids with gaps: the words still to merge, and the sequence
     of ids in which -(i + 1) stands for the i-th of them."""
@@ -268,21 +287,31 @@ def _prepare(pattern: str, known, ranks):
               pa.field("words", pa.list_(pa.list_(pa.int32())))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rx, vocabulary = word_pattern(pattern), Vocabulary(known.value)
+        cut, vocabulary = word_cutter(pattern), Vocabulary(known.value)
         ids = worker_state("bpe_ids", lambda: {t: i for i, t in enumerate(ranks.value)})
-
-        def look_up(unit: str):
-            """Ids of a unit as bytes, or its words if one must be merged."""
-            parts = [w.encode("utf-8", "surrogatepass") for w in rx.findall(unit)]
-            found = [vocabulary.get(w) or (np.array([ids[w]], np.int32).tobytes() if w in ids else None) for w in parts]
-            return b"".join(found) if None not in found else list(zip(parts, found, strict=True))
-
-        further, first = UnitCache(lambda u: look_up(unit_text(u)), 200_000), UnitCache(look_up, 1000)
-        for batch in (b.slice(i, AT_ONCE) for b in batches for i in range(0, max(b.num_rows, 1), AT_ONCE)):
-            rows = []
-            for uid, doc_id, t in zip(*(batch.column(c).to_pylist() for c in ("uid", "doc_id", "text")), strict=True):
-                head, units = gpt2_units(t or "")
-                out = [first[head], *map(further.__getitem__, units)]
+        further, first = {}, {}
+
+        def learn(cache: dict, units: set, spell, limit: int) -> None:
+            """Ids of the units as bytes, or a unit's words if one must be merged."""
+            new = units.difference(cache)
+            if len(cache) + len(new) > limit:
+                cache.clear()
+                new = units
+            parts = [[w.encode("utf-8", "surrogatepass") for w in cut(spell(u))] for u in new]
+            words = list({w for ws in parts for w in ws})
+            known_ids = dict(zip(words, vocabulary.find(words), strict=True))
+            for w in [w for w, f in known_ids.items() if f is None and w in ids]:
+                known_ids[w] = np.array([ids[w]], np.int32).tobytes()
+            for u, ws in zip(new, parts, strict=True):
+                found = [known_ids[w] for w in ws]
+                cache[u] = b"".join(found) if None not in found else list(zip(ws, found, strict=True))
+
+        for batch in in_parts(batches):
+            rows, units = [], [gpt2_units(t or "") for t in batch.column("text").to_pylist()]
+            learn(first, {head for head, _ in units}, str, 1000)
+            learn(further, set(chain.from_iterable(rest for _, rest in units)), unit_text, CACHED)
+            for uid, doc_id, (head, rest) in zip(*(batch.column(c).to_pylist() for c in ("uid", "doc_id")), units, strict=True):
+                out = [first[head], *map(further.__getitem__, rest)]
                 todo: dict[bytes, int] = {}
                 for i, u in enumerate(out):
                     if u.__class__ is list:
@@ -362,13 +391,13 @@ def _decoder(tokens):
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    digits = [str(i).encode() for i in range(EDGE)]
+    digit = [str(i).encode() for i in range(EDGE)].__getitem__
     for batch in batches:
-        ids = [np.frombuffer(s.as_buffer(), np.int32).tolist() for s in batch.column("ids")]
+        ids = [s.as_buffer() for s in batch.column("ids")]
         yield pa.RecordBatch.from_arrays([
-            batch.column("doc_id"), pa.array([len(x) for x in ids], pa.int64()),
-            pa.array([hashlib.sha256(b",".join([digits[i] for i in x])).hexdigest() for x in ids]),
-            pa.array([hashlib.sha256(s.as_buffer()).hexdigest() for s in batch.column("decoded")])],
+            batch.column("doc_id"), pa.array([s.size // 4 for s in ids], pa.int64()),
+            pa.array([hashlib.sha256(b",".join(map(digit, np.frombuffer(s, np.int32).tolist()))).hexdigest() for s in ids], pa.string()),
+            pa.array([hashlib.sha256(s.as_buffer()).hexdigest() for s in batch.column("decoded")], pa.string())],
             ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
 
@@ -378,6 +407,7 @@ def round_trip(docs: DataFrame, ranks_path: str, pattern: str, **settings) -> Da
     tokens = docs.sparkSession.sparkContext.broadcast(load_ranks(ranks_path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:  # one Python worker for the three steps
-        return _digests(_decoder(tokens)(_fill(batches)))
-    return _merged(docs, ranks_path, pattern, settings.get("vocabulary", VOCABULARY)).mapInArrow(
-        run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+        return _digests(_decoder(tokens)(_fill(in_parts(batches))))
+    with batches_of(docs.sparkSession, 2 * AT_ONCE):  # the step before and this one hold texts, ids and words of a batch each
+        return stored(_merged(docs, ranks_path, pattern, settings.get("vocabulary", VOCABULARY)).mapInArrow(
+            run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"), "digests")
