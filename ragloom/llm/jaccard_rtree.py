@@ -62,6 +62,7 @@ from .words import UnitCache
 GROUPS = 64  # of the corners; a point has as many or more
 LEAF = 64
 LARGE = 64  # sets of a part from which on it is met as a whole
+TEXTS, SIGNED = 500, 2500  # texts, or texts and signatures, in a batch
 BATCH = 128  # leaves, or pairs of sets, in a task's memory at once
 COMMON, COMMON_ROWS, COMMON_SEEN = 1 << 18, 8000, 4
 MARKS = 1 << 23  # bits that tell which texts a step may want
@@ -338,7 +339,8 @@ def _sets(wanted: DataFrame, texts: DataFrame, member: DataFrame, k: int) -> Dat
     wanted = stored(wanted.distinct().join(member, "sid").select("uid", "sid"), "wanted")
     marks = texts.sparkSession.sparkContext.broadcast(_marks(wanted))
     marked = texts.select("uid", "text").mapInArrow(_marked(marks), "uid long, text string")
-    return stored(marked.join(wanted, "uid").select("sid", "text").mapInArrow(_tokens(k), "sid long, tokens binary"), "tokens")
+    with batches_of(texts.sparkSession, TEXTS):
+        return stored(marked.join(wanted, "uid").select("sid", "text").mapInArrow(_tokens(k), "sid long, tokens binary"), "tokens")
 
 
 def _verify(pairs: DataFrame, texts: DataFrame, member: DataFrame, k: int, limit: Limit) -> DataFrame:
@@ -442,7 +444,9 @@ def common_shingles(texts: DataFrame, rows: DataFrame, k: int) -> np.ndarray:
     n = rows.count()
     some = texts.where(F.pmod(F.xxhash64("uid"), F.lit(1 << 20)) < int((1 << 20) * min(1.0, COMMON_ROWS / max(n, 1))))
     seen = some.select("text").mapInArrow(_listed(k), "token long").groupBy("token").agg(F.count("*").alias("n"))
-    top = frequent(stored(seen.where(F.col("n") >= COMMON_SEEN), "seen"), COMMON).select("token").toArrow()
+    with batches_of(texts.sparkSession, TEXTS):
+        seen = stored(seen.where(F.col("n") >= COMMON_SEEN), "seen")
+    top = frequent(seen, COMMON).select("token").toArrow()
     return np.sort(top["token"].to_numpy().view(np.uint64))
 
 
@@ -452,7 +456,8 @@ def _links(texts: DataFrame, rows: DataFrame, k: int, limit: Limit) -> DataFrame
     common = texts.sparkSession.sparkContext.broadcast(common_shingles(texts, rows, k))
     signed = texts.select("text").mapInArrow(_signed(k, limit, common), "sig long, sid long, n long")
     cells = signed.repartition("sig").sortWithinPartitions("sig", "n", "sid").mapInArrow(_cells, "cell long, leaf long, members array<long>")
-    cells = stored(cells.distinct(), "cells")
+    with batches_of(texts.sparkSession, SIGNED):
+        cells = stored(cells.distinct(), "cells")
     placed = cells.select("cell", "leaf", F.explode("members").alias("sid"))
     weight = stored(placed.groupBy("sid").agg(F.count("*").alias("w")), "weights")
     member = rows.where("n > 0").groupBy("sid").agg(F.min("uid").alias("uid"))
@@ -507,7 +512,8 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
 
 def _components_of(texts: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     limit = Limit(num, den)
-    rows = stored(texts.mapInArrow(_sizes(k), "uid long, doc_id long, n long, sid long, point binary"), "sets")
+    with batches_of(texts.sparkSession, TEXTS):
+        rows = stored(texts.mapInArrow(_sizes(k), "uid long, doc_id long, n long, sid long, point binary"), "sets")
     parts = components(_links(texts, rows, k, limit))
     alone = F.col("n") == 0
     named = rows.join(parts, rows["sid"] == parts["node"], "left").select(
