@@ -24,7 +24,6 @@ from __future__ import annotations
 import uuid
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .tables import batches_of, file_system, shared_folder, worker_state
-from .words import UnitIds, gpt2_units, library_tokenizer, text_parts, unit_text
+from .words import gpt2_unit_lists, library_ids, library_tokenizer, parts_of, spelled
 
 SEQUENCE = 2048
 BATCH_SEQUENCES = 256
@@ -54,19 +53,16 @@ class Encoder:
     def __init__(self, tokenizer_path: str):
         tokenizer = library_tokenizer(tokenizer_path)
         self.width = "<u2" if tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
-        self._further, self._first = UnitIds(tokenizer, self.width, unit_text), UnitIds(tokenizer, self.width, str, 10_000)
+        self._tokenizer = tokenizer
+        self.forget()
 
-    def encode(self, texts: list) -> Iterator[bytes]:
-        for a, b in text_parts(texts):
-            cut = [gpt2_units(t or "") for t in texts[a:b]]
-            self._first.expect(head for head, _ in cut)
-            self._further.expect(chain.from_iterable(rest for _, rest in cut))
-            for head, rest in cut:
-                yield self._first[head] + b"".join(map(self._further.__getitem__, rest))
+    def encode(self, texts: pa.Array) -> Iterator[bytes]:
+        for part in parts_of(texts):
+            yield from self._ids.lists(*spelled(gpt2_unit_lists(part)))
 
     def forget(self) -> None:
-        self._further.forget()
-        self._first.forget()
+        """Gives the memory of the cache back."""
+        self._ids = library_ids(self._tokenizer, self.width)
 
 
 class ShardWriter:
@@ -129,7 +125,7 @@ def _write(folder: str, tokenizer_path: str, end_id: int, length: int):
         for batch in batches:
             if writer is None and batch.num_rows:
                 writer = ShardWriter(folder, name, length, encoder.width)
-            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(batch.column("text").to_pylist()), strict=True):
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(batch.column("text")), strict=True):
                 writer.add(doc_id, ids + end)
         encoder.forget()  # the worker lives on, and stages of other operators need its memory
         if writer is not None:
