@@ -52,7 +52,8 @@ def _block_names(rows: DataFrame, block_bytes: int, hash_bits: int, texts: DataF
     contents = texts.select("uid", F.posexplode(_blocks(F.col("norm"), block_bytes)).alias("pos", "block"))
     contents = contents.withColumn("h", _hash(F.col("block"), hash_bits))
     distinct = contents.select("h", "block").distinct()
-    named = stored(distinct.repartitionByRange("h").sortWithinPartitions("h", "block")
+    # a row for every different content, without the content: equal hashes get consecutive numbers
+    named = stored(distinct.select("h").repartitionByRange("h").sortWithinPartitions("h")
                    .select("h", F.monotonically_increasing_id().alias("name")), "block-names")
     # stored, so that the joins below have an exchange of their own on either side, which Spark can split
     per_hash = stored(named.groupBy("h").agg(F.min("name").alias("name"), F.count("*").alias("variants")), "hashes")

@@ -26,7 +26,6 @@ from __future__ import annotations
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,10 +33,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .tables import batches_of, stored, worker_state
-from .words import UnitIds, library_tokenizer, plain_units, text_parts
+from .words import flat_lists, library_ids, library_tokenizer, parts_of, plain_unit_lists
 
 CAPACITY = 4096
 AT_ONCE = 1000  # documents in a batch that holds their texts
+PART, CACHED = 1 << 20, 75_000  # bytes of texts that are encoded at a call, words in a task's memory with their ids
 PIECES = "uid long, doc_id long, piece int, start long, length long, ids_crc32 long, task long, nth long"
 
 
@@ -45,25 +45,24 @@ def _pieces(tokenizer_path: str, end_id: int, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         task = TaskContext.get().partitionId()
-        cache = worker_state(f"unit ids of {tokenizer_path}", lambda: UnitIds(library_tokenizer(tokenizer_path), "<u4"))
+        cache = library_ids(worker_state(f"tokenizer of {tokenizer_path}", lambda: library_tokenizer(tokenizer_path)), "<u4", CACHED)
         seen, end = [0] * (capacity + 1), np.array([end_id], "<u4").tobytes()
         fields = [("uid", pa.int64()), ("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()),
                   ("length", pa.int64()), ("ids_crc32", pa.int64()), ("task", pa.int64()), ("nth", pa.int64())]
         for batch in batches:
-            rows = []
-            uids, doc_ids, texts = (batch.column(c).to_pylist() for c in ("uid", "doc_id", "text"))
-            for a, b in text_parts(texts):
-                units = [plain_units(t or "") for t in texts[a:b]]
-                cache.expect(chain.from_iterable(units))
-                for uid, doc_id, own_units in zip(uids[a:b], doc_ids[a:b], units, strict=True):
-                    ids = b"".join(map(cache.__getitem__, own_units)) + end
+            rows, keys = [], zip(batch.column("uid").to_pylist(), batch.column("doc_id").to_pylist(), strict=True)
+            for part in parts_of(batch.column("text"), PART):
+                units, offsets = flat_lists(plain_unit_lists(part))
+                found = units.dictionary_encode()
+                for ids in cache.lists(found.dictionary, found.indices.to_numpy(), offsets[1:]):
+                    uid, doc_id = next(keys)
+                    ids += end
                     for piece, start in enumerate(range(0, len(ids), 4 * capacity)):
                         own = ids[start:start + 4 * capacity]
                         n = len(own) // 4
                         rows.append((uid, doc_id, piece, start // 4, n, zlib.crc32(own), task, seen[n]))
                         seen[n] += 1
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, (_, t) in enumerate(fields)], [n for n, _ in fields])
-        cache.forget()  # the worker lives on, and stages of other operators need its memory
     return run
 
 
