@@ -1,6 +1,7 @@
 """Byte-level BPE encoding and decoding (operator 8).
 
-The merges run in Spark's higher-order functions: a word is an array of byte
+The corpus's frequent words are merged in Spark's higher-order functions: a
+word is an array of byte
 values, folded with ``aggregate``; every step merges the leftmost pair of
 lowest rank.  The rank map is a literal column, a hash table laid out as an
 array of small buckets, so that a lookup touches one bucket only.
@@ -8,14 +9,15 @@ array of small buckets, so that a lookup touches one bucket only.
 Every distinct word is merged once for the corpus when it is among the
 ``vocabulary`` most frequent ones (a documented size: that table is the only
 thing broadcast, at most ``vocabulary`` words of at most ``MAX_WORD`` bytes),
-otherwise once for each document it occurs in, inside that document's row.
+otherwise in the Arrow step of the documents it occurs in, by the same rule and
+the same rank map, many words at a call, and at most once while a task holds it.
 Decoding concatenates the binary pieces of the ids.
 
 Defined results: a null text is an empty text (no ids, hashes of empty bytes);
 repeated rows and repeated or null ids give one result row each, in any
 table layout; extra columns are ignored; an empty table gives no rows.  Words
-longer than ``MAX_FOLD`` bytes are merged by the same rule with a heap in the
-Arrow step, because the fold copies its array at every merge.
+longer than ``MAX_FOLD`` bytes are merged by the same rule with a heap, because
+the other ways copy the word's ids at every merge.
 """
 
 from __future__ import annotations
@@ -24,7 +26,6 @@ import base64
 import hashlib
 import heapq
 import json
-from collections import Counter
 from collections.abc import Callable, Iterator
 from itertools import chain
 
@@ -36,16 +37,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .tables import batches_of, stored, worker_state
-from .words import GPT2_PATTERN, WHITE, Counts, gpt2_units, plain_words, unit_text
+from .words import GPT2_PATTERN, WHITE, BatchIds, WordCounts, gpt2_unit_lists, parts_of, plain_parts, plain_words, spelled
 
 EDGE = 1 << 16  # more than any id; EDGE - 1 is the guard
 NO_MERGE = 1 << 20  # more than any rank
 MAX_WORD = 64
 MAX_FOLD = 256
 VOCABULARY = 1 << 19
-COUNTED = 150_000  # units in a task's memory at once
-AT_ONCE = 256  # documents in a batch that holds their words
-CACHED = 100_000  # units in a task's memory with their ids
+COUNTED = 200_000  # words in a task's memory at once
+TEXTS = 1000  # documents in a batch that holds their texts
+AT_ONCE = 256  # documents in a batch that holds their ids and decoded bytes
+CACHED = 150_000  # words in a task's memory with their ids
 
 
 def load_ranks(path: str) -> list[bytes]:
@@ -88,7 +90,7 @@ class RankMap:
             rows.setdefault(left, []).append((right, merged))
         rng = np.random.default_rng(0)
         used = np.zeros(self.SLOTS, bool)
-        base, slots = [0] * EDGE, [None] * self.SLOTS
+        self.base, self.slots = np.zeros(EDGE, np.int64), np.full(self.SLOTS, -1, np.int64)
         for left in sorted(rows, key=lambda x: (-len(rows[x]), x)):
             at = np.array([right for right, _ in rows[left]])
             while True:
@@ -96,13 +98,16 @@ class RankMap:
                 if not used[start + at].any():
                     break
             used[start + at] = True
-            base[left] = start
-            for right, merged in rows[left]:
-                slots[start + right] = left * EDGE + merged
-        self._json = json.dumps({"base": base, "slots": slots, "bytes": self.byte_ids}, separators=(",", ":"))
+            self.base[left] = start
+            self.slots[start + at] = left * EDGE + np.array([merged for _, merged in rows[left]])
+
+    def arrays(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """What ``merge_words`` looks pairs up in."""
+        return self.base, self.slots, np.array(self.byte_ids, np.int64)
 
     def column(self) -> Column:
-        return F.from_json(F.lit(self._json), "base array<bigint>, slots array<bigint>, bytes array<bigint>")
+        table = json.dumps({"base": self.base.tolist(), "slots": self.slots.tolist(), "bytes": self.byte_ids}, separators=(",", ":"))
+        return F.from_json(F.lit(table), "base array<bigint>, slots array<bigint>, bytes array<bigint>")
 
 
 def _let(value: Column, body) -> Column:
@@ -170,6 +175,54 @@ def merge_bytes(word: bytes, ids: dict[bytes, int]) -> list[int]:
     return [ids[p] for p in parts if p is not None]
 
 
+def merge_words(words: list[bytes], table: tuple[np.ndarray, ...], at_once: int = 4096) -> list[bytes]:
+    """The same merges for many words, ids as bytes: words of like length are
+    rows of a matrix, and every step merges the leftmost pair of lowest rank of
+    each row that still has one."""
+    out: list = [b""] * len(words)
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    order = np.argsort(lengths, kind="stable")
+    for at in range(0, len(words), at_once):
+        rows = order[at:at + at_once]
+        for row, ids in zip(rows.tolist(), _merge_rows([words[i] for i in rows], lengths[rows], *table), strict=True):
+            out[row] = ids
+    return out
+
+
+def _merge_rows(words: list[bytes], n: np.ndarray, base: np.ndarray, slots: np.ndarray, byte_ids: np.ndarray) -> Iterator[bytes]:
+    def merged(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        entry = slots[base[left] + right]
+        return np.where(entry >> 16 == left, entry & (EDGE - 1), NO_MERGE)
+
+    width, ends = int(n[-1]) if len(n) else 0, np.cumsum(n)
+    done = np.full((len(words), width + 1), EDGE - 1, np.int64)  # a guard at every row's end
+    inside = np.arange(width + 1) < n[:, None]
+    done[inside] = byte_ids[np.frombuffer(b"".join(words), np.uint8)]
+    left, rows, ids = n.copy(), np.arange(len(words)), done
+    ranks = merged(ids[:, :-1], ids[:, 1:]) if width else np.full((len(words), 1), NO_MERGE)
+    while len(rows):
+        best = ranks.argmin(axis=1) if ranks.shape[1] else np.zeros(len(rows), np.int64)
+        new = ranks[np.arange(len(rows)), best]
+        more = new < NO_MERGE
+        if not more.all():
+            done[rows[~more], :ids.shape[1]] = ids[~more]
+            rows, ids, ranks, best, new = rows[more], ids[more], ranks[more], best[more], new[more]
+            if not len(rows):
+                break
+        k = np.arange(len(rows))
+        ids[k, best] = new
+        columns = np.arange(ids.shape[1] - 1)
+        ids = np.take_along_axis(ids, columns + (columns > best[:, None]), 1)  # what follows moves up; the last column was a guard
+        columns = columns[:-1]
+        ranks = np.take_along_axis(ranks, columns + (columns > best[:, None]), 1)
+        for pair in (best - 1, best):
+            use = (pair >= 0) & (pair < ranks.shape[1])
+            ranks[k[use], pair[use]] = merged(ids[k[use], pair[use]], ids[k[use], pair[use] + 1])
+        left[rows] -= 1
+    flat, stops = done[np.arange(width + 1) < left[:, None]].astype("<i4").tobytes(), np.cumsum(left) * 4
+    return (flat[a:b] for a, b in zip([0, *stops.tolist()], stops.tolist(), strict=False))
+
+
 def word_pattern(pattern: str):
     """The tokenizer's pattern with its white space spelled out."""
     import regex
@@ -184,25 +237,27 @@ def word_cutter(pattern: str) -> Callable[[str], list[str]]:
 
 def _count_words(pattern: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cut, counts, heads = word_cutter(pattern), Counts(COUNTED), Counts(COUNTED)
-
-        def drain():
-            words = Counter()
-            for part, spell in ((counts, unit_text), (heads, str)):
-                for unit, n in zip(*part.drain(), strict=True):
-                    for w in cut(spell(unit)):
-                        words[w.encode("utf-8", "surrogatepass")] += n
-            kept = [(w, n) for w, n in words.items() if len(w) <= MAX_WORD]
-            return pa.RecordBatch.from_arrays([pa.array([w for w, _ in kept], pa.binary()), pa.array([n for _, n in kept], pa.int64())], ["word", "n"])
-
+        matches, counts = word_pattern(pattern).findall, WordCounts(COUNTED)
         for batch in batches:
-            for t in batch.column("text"):
-                first, rest = gpt2_units(t.as_py() or "")
-                heads.add((first,))
-                counts.add(rest)
-                if counts.full() or heads.full():
-                    yield drain()
-        yield drain()
+            for part in parts_of(batch.column("text")):
+                units, codes, _ = spelled(gpt2_unit_lists(part))
+                times, other = np.bincount(codes, minlength=len(units)), np.arange(len(units))
+                if pattern == GPT2_PATTERN:
+                    numbers, distinct, other = plain_parts(units)
+                    plain = times.copy()
+                    plain[other] = 0
+                    for own, words in zip(numbers, distinct, strict=True):
+                        add(counts, words, np.bincount(own, plain, len(words)).astype(np.int64))  # below 2 ** 53: exact
+                cut = list(map(matches, units.take(pa.array(other)).to_pylist()))
+                add(counts, pa.array(list(chain(*cut)), pa.string()), np.repeat(times[other], list(map(len, cut))))
+                if counts.full():
+                    yield from counts.drain()
+        yield from counts.drain()
+
+    def add(counts: WordCounts, words: pa.Array, n: np.ndarray) -> None:
+        size = pc.binary_length(words).to_numpy(zero_copy_only=False)
+        kept = pa.array(np.flatnonzero((n > 0) & (size > 0) & (size <= MAX_WORD)))
+        counts.add(words.take(kept).cast(pa.binary()), pa.array(n, pa.int64()).take(kept))
     return run
 
 
@@ -280,92 +335,67 @@ def in_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     return (b.slice(i, AT_ONCE) for b in batches for i in range(0, max(b.num_rows, 1), AT_ONCE))
 
 
-def _prepare(pattern: str, known, ranks):
-    """Documents as ids with gaps: the words still to merge, and the sequence
-    of ids in which -(i + 1) stands for the i-th of them."""
-    fields = [pa.field("uid", pa.int64()), pa.field("doc_id", pa.int64()), pa.field("sequence", pa.binary()),
-              pa.field("words", pa.list_(pa.list_(pa.int32())))]
-
+def _encoder(pattern: str, known, ranks, table):
+    """Documents -> their ids.  Words are looked up among the merged ones; the
+    others are merged here, many at a call, and kept for the documents after."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cut, vocabulary = word_cutter(pattern), Vocabulary(known.value)
+        matches, vocabulary, merges = word_pattern(pattern).findall, Vocabulary(known.value), table.value
         ids = worker_state("bpe_ids", lambda: {t: i for i, t in enumerate(ranks.value)})
-        further, first = {}, {}
-
-        def learn(cache: dict, units: set, spell, limit: int) -> None:
-            """Ids of the units as bytes, or a unit's words if one must be merged."""
-            new = units.difference(cache)
-            if len(cache) + len(new) > limit:
-                cache.clear()
-                new = units
-            parts = [[w.encode("utf-8", "surrogatepass") for w in cut(spell(u))] for u in new]
-            words = list({w for ws in parts for w in ws})
-            known_ids = dict(zip(words, vocabulary.find(words), strict=True))
-            for w in [w for w, f in known_ids.items() if f is None and w in ids]:
-                known_ids[w] = np.array([ids[w]], np.int32).tobytes()
-            for u, ws in zip(new, parts, strict=True):
-                found = [known_ids[w] for w in ws]
-                cache[u] = b"".join(found) if None not in found else list(zip(ws, found, strict=True))
-
-        for batch in in_parts(batches):
-            rows, units = [], [gpt2_units(t or "") for t in batch.column("text").to_pylist()]
-            learn(first, {head for head, _ in units}, str, 1000)
-            learn(further, set(chain.from_iterable(rest for _, rest in units)), unit_text, CACHED)
-            for uid, doc_id, (head, rest) in zip(*(batch.column(c).to_pylist() for c in ("uid", "doc_id")), units, strict=True):
-                out = [first[head], *map(further.__getitem__, rest)]
-                todo: dict[bytes, int] = {}
-                for i, u in enumerate(out):
-                    if u.__class__ is list:
-                        out[i] = b"".join(f or _gap(w, todo, ids) for w, f in u)
-                rows.append((uid, doc_id, b"".join(out), [np.frombuffer(w, np.uint8).astype(np.int32) for w in todo]))
-            columns = [pa.array([r[i] for r in rows], f.type) for i, f in enumerate(fields)]
-            yield pa.RecordBatch.from_arrays(columns, schema=pa.schema(fields))
-    return run
-
-
-def _gap(word: bytes, todo: dict[bytes, int], ids: dict[bytes, int]) -> bytes:
-    if len(word) > MAX_FOLD:
-        return np.array(merge_bytes(word, ids), np.int32).tobytes()
-    return np.array([-1 - todo.setdefault(word, len(todo))], np.int32).tobytes()
 
-
-def _fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents with the merged words put into the gaps of their sequence."""
-    names = ["uid", "doc_id", "ids"]
-    for batch in batches:
-        merged, out = batch.column("merged"), []
-        for i, s in enumerate(batch.column("sequence")):
-            ids = np.frombuffer(s.as_buffer(), np.int32)
-            if (ids < 0).any():
-                pieces = [np.array(x, np.int32) for x in merged[i].as_py()]
-                gaps = np.flatnonzero(ids < 0)
-                cut = np.split(ids, np.r_[gaps, gaps + 1][np.argsort(np.r_[gaps * 2, gaps * 2 + 1], kind="stable")])
-                ids = np.concatenate([pieces[-1 - int(c[0])] if k % 2 else c for k, c in enumerate(cut)])
-            out.append(ids.tobytes())
-        yield pa.RecordBatch.from_arrays([batch.column("uid"), batch.column("doc_id"), pa.array(out, pa.binary())], names)
+        def of_words(words: list[str]) -> list[bytes]:
+            words = [w.encode("utf-8") for w in words]
+            out, fold = vocabulary.find(words), []
+            for i in [i for i, found in enumerate(out) if found is None]:
+                w = words[i]
+                if w in ids:
+                    out[i] = np.array([ids[w]], "<i4").tobytes()
+                elif len(w) > MAX_FOLD:
+                    out[i] = np.array(merge_bytes(w, ids), "<i4").tobytes()
+                else:
+                    fold.append(i)
+            for i, found in zip(fold, merge_words([words[i] for i in fold], merges), strict=True):
+                out[i] = found
+            return out
+
+        def of_units(units: list[str]) -> list[bytes]:
+            cut = list(map(matches, units))
+            words = list(dict.fromkeys(chain.from_iterable(cut)))
+            found = dict(zip(words, of_words(words), strict=True))
+            return [b"".join(map(found.__getitem__, ws)) for ws in cut]
+
+        cache = BatchIds("<i4", of_words if pattern == GPT2_PATTERN else None, of_units, limit=CACHED)
+        for batch in batches:
+            keys, start = [batch.column(c) for c in ("uid", "doc_id")], 0
+            for part in parts_of(batch.column("text")):
+                found = cache.lists(*spelled(gpt2_unit_lists(part)))
+                yield pa.RecordBatch.from_arrays([*(k.slice(start, len(part)) for k in keys), pa.array(found, pa.binary())], ["uid", "doc_id", "ids"])
+                start += len(part)
+    return run
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str, vocabulary: int = VOCABULARY) -> DataFrame:
     """uid, doc_id and ids (little-endian 32-bit, as binary) of every row."""
-    return _merged(docs, ranks_path, pattern, vocabulary).mapInArrow(_fill, "uid long, doc_id long, ids binary")
+    return _texts(docs).mapInArrow(_word_ids(docs, ranks_path, pattern, vocabulary), "uid long, doc_id long, ids binary")
+
 
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(F.monotonically_increasing_id().alias("uid"), F.col("doc_id").cast("long").alias("doc_id"), "text")
 
-def _merged(docs: DataFrame, ranks_path: str, pattern: str, vocabulary: int) -> DataFrame:
-    """Documents as sequences with gaps, and the merged words for the gaps."""
-    spark = docs.sparkSession
+
+def _word_ids(docs: DataFrame, ranks_path: str, pattern: str, vocabulary: int):
+    """The step that encodes documents, with the merged words of the corpus."""
+    broadcast = docs.sparkSession.sparkContext.broadcast
     ranks = RankMap(load_ranks(ranks_path))
-    texts = docs.select(F.monotonically_increasing_id().alias("uid"), F.col("doc_id").cast("long").alias("doc_id"), "text")
-    counted = stored(texts.select("text").mapInArrow(_count_words(pattern), "word binary, n long")
-                     .groupBy("word").agg(F.sum("n").alias("n")), "words")
+    with batches_of(docs.sparkSession, TEXTS):
+        counted = stored(docs.select("text").mapInArrow(_count_words(pattern), "word binary, n long")
+                         .groupBy("word").agg(F.sum("n").alias("n")), "words")
     common = frequent(counted, vocabulary)
     as_bytes = common.mapInArrow(_as_ints, "word binary, bytes array<int>")
-    merged = stored(as_bytes.repartition(spark.sparkContext.defaultParallelism * 2)
+    merged = stored(as_bytes.repartition(docs.sparkSession.sparkContext.defaultParallelism * 2)
                     .select("word", fold_merges(F.col("bytes"), ranks).alias("ids")), "merged-words")
-    table = merged.toArrow()  # bounded: ``vocabulary`` words of MAX_WORD bytes
-    known = pack_words(table["word"].combine_chunks(), table["ids"].combine_chunks())
-    prepared = texts.mapInArrow(
-        _prepare(pattern, spark.sparkContext.broadcast(known), spark.sparkContext.broadcast(ranks.tokens)),
-        "uid long, doc_id long, sequence binary, words array<array<int>>")
-    return prepared.select("uid", "doc_id", "sequence", F.transform("words", lambda w: fold_merges(w, ranks)).alias("merged"))
+    found = merged.toArrow()  # bounded: ``vocabulary`` words of MAX_WORD bytes
+    known = pack_words(found["word"].combine_chunks(), found["ids"].combine_chunks())
+    return _encoder(pattern, broadcast(known), broadcast(ranks.tokens), broadcast(ranks.arrays()))
 
 
 def _as_ints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -383,9 +413,9 @@ def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
 
 def _decoder(tokens):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = tokens.value
+        piece = tokens.value.__getitem__
         for batch in batches:
-            out = [b"".join([pieces[i] for i in np.frombuffer(s.as_buffer(), np.int32).tolist()]) for s in batch.column("ids")]
+            out = [b"".join(map(piece, np.frombuffer(s.as_buffer(), np.int32).tolist())) for s in batch.column("ids")]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], ["uid", "doc_id", "ids", "decoded"])
     return run
 
@@ -406,8 +436,9 @@ def round_trip(docs: DataFrame, ranks_path: str, pattern: str, **settings) -> Da
     commas), decoded_sha256 (of the decoded bytes)."""
     tokens = docs.sparkSession.sparkContext.broadcast(load_ranks(ranks_path))
 
+    word_ids = _word_ids(docs, ranks_path, pattern, settings.get("vocabulary", VOCABULARY))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:  # one Python worker for the three steps
-        return _digests(_decoder(tokens)(_fill(in_parts(batches))))
-    with batches_of(docs.sparkSession, 2 * AT_ONCE):  # the step before and this one hold texts, ids and words of a batch each
-        return stored(_merged(docs, ranks_path, pattern, settings.get("vocabulary", VOCABULARY)).mapInArrow(
-            run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"), "digests")
+        return _digests(_decoder(tokens)(in_parts(word_ids(batches))))
+    with batches_of(docs.sparkSession, TEXTS):
+        return stored(_texts(docs).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"), "digests")
