@@ -28,17 +28,17 @@ of an unknown one; an empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import frequent
 from .tables import stored
-from .words import Counts
+from .words import WordCounts, flat_lists, parts_of, word_lists
 
 VOCABULARY = 50_000
 MAX_WORD = 64
@@ -52,24 +52,34 @@ def held_out(doc_id: Column, folds: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds == 0, F.lit(False))
 
 
-def words_of(text: str | None) -> list[bytes]:
-    """ASCII letters in lower case, cut at ASCII white space."""
-    return (text or "").encode("utf-8", "surrogatepass").lower().split()
+def _numbered(texts: pa.Array, known: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The words of texts, their numbers in ``known`` (its size for others),
+    and where each text's words begin and the last one's end."""
+    words, offsets = flat_lists(word_lists(texts))
+    return words, pc.fill_null(pc.index_in(words, value_set=known), len(known)).to_numpy().astype(np.int64), offsets
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts = Counts()
+def _with_ends(x: np.ndarray, offsets: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the words of texts with an end after each text, and where
+    each text begins in them and the last one ends."""
+    texts = len(offsets) - 1
+    at = offsets + np.arange(texts + 1)
+    out = np.full(len(x) + texts, end, np.int64)
+    inside = np.ones(len(out), bool)
+    inside[at[1:] - 1] = False
+    out[inside] = x
+    return out, at
 
-    def drain():
-        words, n = counts.drain()
-        return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(n, pa.int64())], ["word", "n"])
 
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts = WordCounts()
     for batch in batches:
-        for text in batch.column("text"):
-            counts.add(words_of(text.as_py()))
+        for part in parts_of(batch.column("text")):
+            found = pc.value_counts(flat_lists(word_lists(part))[0])
+            counts.add(found.field("values"), found.field("counts"))
             if counts.full():
-                yield drain()
-    yield drain()
+                yield from counts.drain()
+    yield from counts.drain()
 
 
 def _bigrams(ids):
@@ -84,11 +94,11 @@ def _bigrams(ids):
             return pa.RecordBatch.from_arrays([pa.array(pairs // base), pa.array(pairs % base), pa.array(n.astype(np.int64))], ["l", "r", "n"])
 
         for batch in batches:
-            for text in batch.column("text"):
-                words = words_of(text.as_py())
-                x = np.fromiter((known.get(w, size) for w in words), np.int64, len(words))
-                held.append(np.r_[size + 1, x] * base + np.r_[x, size + 1])
-                total += len(x) + 1
+            for part in parts_of(batch.column("text")):
+                _, x, offsets = _numbered(part, known)
+                x, _ = _with_ends(x, offsets, size + 1)
+                held.append(np.r_[size + 1, x[:-1]] * base + x)
+                total += len(x)
                 if total > 4_000_000:
                     yield drain()
                     held, total = [], 0
@@ -178,16 +188,27 @@ def _score(model):
         m = model.value
         known, size = m["ids"], len(m["ids"])
         for batch in batches:
-            rows = []
-            for *row, text in zip(*(batch.column(c).to_pylist() for c in ("uid", "doc_id", "held_out")), batch.column("text"), strict=True):
-                words = words_of(text.as_py())
-                x = np.fromiter((known.get(w, size) for w in words), np.int64, len(words))
-                x = np.r_[x, size + 1]
+            start = 0
+            for part in parts_of(batch.column("text")):
+                words, own, offsets = _numbered(part, known)
+                rare = np.flatnonzero(own == size)
+                others = words.take(pa.array(rare)).dictionary_encode()
+                x, at = _with_ends(own, offsets, size + 1)
                 c = m["classes"][x]
-                steps = m["transition"][np.r_[len(m["transition"]) - 1, c[:-1]], c].sum()
-                rare = Counter(w for w in words if w not in known)
-                rows.append((*row, len(x), int(m["known"][x].sum()), float(m["base"][x].sum()), float(steps + m["emission"][x].sum()), list(rare), list(rare.values())))
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, (_, t) in enumerate(fields)], [n for n, _ in fields])
+                before = np.r_[0, c[:-1]]
+                before[at[:-1]] = len(m["transition"]) - 1
+                kinds = [m["known"][x], m["base"][x], m["transition"][before, c], m["emission"][x]]
+                sums = [[k[i:j].sum() for i, j in zip(at, at[1:], strict=False)] for k in kinds]
+                # (text, word) of the words outside the vocabulary, and how often
+                text = np.searchsorted(offsets, rare, side="right") - 1
+                pairs, times = np.unique(text << 32 | others.indices.to_numpy(), return_counts=True)
+                ends = pa.array(np.searchsorted(pairs >> 32, np.arange(len(part) + 1)), pa.int32())
+                spelling = others.dictionary.take(pa.array(pairs & 0xFFFFFFFF))
+                columns = [*(batch.column(k).slice(start, len(part)) for k in ("uid", "doc_id", "held_out")), pa.array(np.diff(at), pa.int64()),
+                           pa.array(np.array(sums[0], np.int64)), pa.array(np.array(sums[1], float)), pa.array(np.array(sums[2], float) + np.array(sums[3], float)),
+                           pa.ListArray.from_arrays(ends, spelling), pa.ListArray.from_arrays(ends, pa.array(times, pa.int32()))]
+                yield pa.RecordBatch.from_arrays([x.cast(t) for x, (_, t) in zip(columns, fields, strict=True)], [n for n, _ in fields])
+                start += len(part)
     return run
 
 
@@ -205,7 +226,7 @@ def brown_scores(docs: DataFrame, folds: int = 10, vocabulary: int = VOCABULARY,
 
     common = frequent(counts.where(F.octet_length("word") <= MAX_WORD), vocabulary, "word").orderBy(F.col("n").desc(), "word").toArrow()  # ``vocabulary`` rows at most
     n = np.array(common["n"].to_pylist(), np.float64)
-    ids = {w: i for i, w in enumerate(common["word"].to_pylist())}
+    ids = common["word"].combine_chunks().cast(pa.binary())
     size = len(ids)
     bigrams = stored(training.mapInArrow(_bigrams(spark.sparkContext.broadcast(ids)), "l long, r long, n long")
                      .groupBy("l", "r").agg(F.sum("n").alias("n")), "bigrams")
