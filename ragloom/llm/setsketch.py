@@ -209,11 +209,20 @@ def _exact(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, k: int, limit:
         return stored(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_linked(limit), "a long, b long"), "links")
 
 
+def _close(held: list[tuple[np.ndarray, ...]], limit: Limit) -> pa.RecordBatch:
+    """The pairs that may link, by likelihood, the lesser node first."""
+    a, b, *sides = (np.concatenate(x) for x in zip(*held, strict=True))
+    ok = likely(*sides, limit.num / limit.den)
+    a, b = a[ok], b[ok]
+    return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
+
 def _close_in_packs(limit: Limit):
     """Two packs of a bucket -> pairs of different components that may link,
     by size and likelihood."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            held: list[tuple[np.ndarray, ...]] = []  # a, b, registers and sizes of the pairs of several rows
             for row in batch.to_pylist():
                 (a, n_a, part_a), (b, n_b, part_b) = pack_of(row, "a"), pack_of(row, "b")
                 use = (part_a[:, None] != part_b) & _sizes_allow(limit, n_a[:, None], n_b)
@@ -221,9 +230,12 @@ def _close_in_packs(limit: Limit):
                 regs = [np.frombuffer(row[f"{x}_data"], "<u2").reshape(-1, REGISTERS) for x in "ab"]
                 for at in range(0, len(i), 4096):
                     x, y = i[at:at + 4096], j[at:at + 4096]
-                    ok = likely(regs[0][x], regs[1][y], n_a[x].astype(float), n_b[y].astype(float), limit.num / limit.den)
-                    x, y = a[x[ok]], b[y[ok]]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
+                    held.append((a[x], b[y], regs[0][x], regs[1][y], n_a[x].astype(float), n_b[y].astype(float)))
+                    if sum(len(h[0]) for h in held) >= 4096:
+                        yield _close(held, limit)
+                        held = []
+            if held:
+                yield _close(held, limit)
     return run
 
 
