@@ -26,6 +26,10 @@ visits: the blocks are cut into regions and the queries into slices, both of
 bounded bytes, and a task meets one slice with one region.  A query goes once to
 each region that may hold a neighbour, a region once to each slice that asks
 for it, and inside the task the bounds still skip blocks.
+
+Distances are first estimated by a product of matrices in single precision
+(:func:`nearest`); what rounding may have hidden is kept, and only pairs that
+may be among the k nearest get an exact distance, in doubles.
 """
 
 from __future__ import annotations
@@ -49,8 +53,11 @@ FIRST_VISITS = 2              # blocks a query visits before the regions
 TILE_BOUNDS = 1 << 20         # (query, block) bounds computed at once
 GRID_BYTES = 32 * 1024 * 1024 # vectors of a slice of queries, or of a region of blocks
 PAIR_TILE = 1 << 20           # (query, vector) distances computed at once
+MANY = 8                      # times k: more pairs of a query than that are cut by its k-th best estimate
+SINGLE = (1e-20, 1e20)        # squared norms that single precision holds with room for their products
 PAIR_BYTES = 16 * 1024 * 1024 # differences re-ranked at once
 BATCH_BYTES = 32 * 1024 * 1024  # vectors of the visits in an Arrow batch
+MAX_TASKS = 4096              # in which slices meet regions, or a few for each core
 
 HIT = "query_id bigint, corpus_id bigint, distance double"
 
@@ -261,31 +268,65 @@ def _score(k: int, dtype: type, exclude_self: bool):
             for i in range(batch.num_rows):
                 get = lambda c: batch.column(c)[i]  # noqa: E731, B023
                 ids, qids = get("corpus_id").values.to_numpy(), get("query_ids").values.to_numpy()
-                c = np.frombuffer(get("vectors").as_buffer(), dtype).reshape(len(ids), -1).astype(np.float64)
+                c = np.frombuffer(get("vectors").as_buffer(), dtype).reshape(len(ids), -1)
                 q = np.frombuffer(get("query_vectors").as_buffer(), np.float64).reshape(len(qids), -1)
-                rows, _, exact = _nearest(q, qids if exclude_self else None, c, ids, np.full(len(qids), np.inf), k)
+                rows, _, exact = nearest(q, squares(q), qids if exclude_self else None, c, squares(c), ids, np.full(len(qids), np.inf), k)
                 yield pa.RecordBatch.from_arrays([pa.array(qids[rows]), pa.array(exact)], ["query_id", "distance"])
     return run
 
 
-def _nearest(q: np.ndarray, own: np.ndarray | None, c: np.ndarray, ids: np.ndarray, worst: np.ndarray,
-             k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def squares(x: np.ndarray) -> np.ndarray:
+    """Squared norms, summed in doubles."""
+    return np.einsum("ij,ij->i", x, x, dtype=np.float64)
+
+
+def _estimated(q: np.ndarray, q_sq: np.ndarray, same: np.ndarray | None, c: np.ndarray, c_sq: np.ndarray,
+               worst: np.ndarray, k: int, dtype: type) -> tuple[np.ndarray, np.ndarray]:
+    """(query, place in ``c``) of all pairs that may be among the k nearest of
+    the query and no farther than ``worst``, however many tie, by estimates
+    q.c - |c|^2 / 2 in ``dtype``: the larger, the nearer."""
+    value = q.astype(dtype, copy=False) @ c.astype(dtype, copy=False).T
+    value -= (c_sq / 2).astype(dtype)
+    if same is not None:
+        value[same] = -np.inf
+    # twice what the rounding of components, products and sums may amount to
+    slip = 2 * (c.shape[1] + 8) * np.finfo(dtype).eps * (q_sq + c_sq.max())
+    below = lambda x: np.nextafter(x.astype(dtype), dtype(-np.inf))
+    least = below((q_sq - worst) / 2 - slip)
+    many = np.isinf(worst)
+    for _ in range(2):
+        if len(c) > k and many.any():
+            kth = np.partition(value[many], len(c) - k, axis=1)[:, len(c) - k]
+            least[many] = np.maximum(least[many], below(kth - 2 * slip[many]))
+        rows, cols = np.divmod(np.flatnonzero(value >= least[:, None]), len(c))
+        many = ~many & (np.bincount(rows, minlength=len(q)) > MANY * k)
+        if not many.any():
+            break
+    if same is not None:
+        other = ~same[rows, cols]
+        rows, cols = rows[other], cols[other]
+    return rows, cols
+
+
+def nearest(q: np.ndarray, q_sq: np.ndarray, own: np.ndarray | None, c: np.ndarray, c_sq: np.ndarray, ids: np.ndarray,
+            worst: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The k nearest of each query among ``c`` that are no farther than
-    ``worst``, ties by id: (query, place in ``c``, distance), by query."""
-    sq, slip = _sq(q, c)
-    slip = slip.max(axis=1, initial=0.0)[:, None]
-    if own is not None:
-        sq[own[:, None] == ids] = np.inf
-    take = min(k, len(ids))
-    kth = np.partition(sq, take - 1, axis=1)[:, take - 1:take]
-    # those that may be among the k nearest, however many tie
-    rows, cols = np.nonzero((sq <= np.minimum(kth + 2 * slip, worst[:, None] + slip)) & (sq < np.inf))
+    ``worst``, ties by id: (query, place in ``c``, distance), by query.
+    ``q_sq`` and ``c_sq`` are the squared norms; ``own`` are the queries' ids,
+    if a query is not to meet its own vector."""
+    same = None if own is None else own[:, None] == ids
+    top = c_sq.max()
+    rows = cols = None
+    if SINGLE[0] <= top <= SINGLE[1] and q_sq.max() <= SINGLE[1]:
+        rows, cols = _estimated(q, q_sq, same, c, c_sq, worst, k, np.float32)
+    if rows is None or len(rows) > 4 * MANY * k * len(q):  # near ones that single precision does not tell apart
+        rows, cols = _estimated(q, q_sq, same, c, c_sq, worst, k, np.float64)
     exact = np.empty(len(rows))
     step = max(1, PAIR_BYTES // (8 * max(q.shape[1], 1)))
     for a in range(0, len(rows), step):
-        d = q[rows[a:a + step]] - c[cols[a:a + step]]
+        d = np.subtract(q[rows[a:a + step]], c[cols[a:a + step]], dtype=np.float64)
         exact[a:a + step] = np.einsum("ij,ij->i", d, d)
-    keep = exact <= worst[rows]
+    keep = (exact <= worst[rows]) & (exact < np.inf)
     rows, cols, exact = rows[keep], cols[keep], exact[keep]
     order = np.lexsort((ids[cols], exact, rows))
     rows, cols, exact = rows[order], cols[order], exact[order]
@@ -293,7 +334,20 @@ def _nearest(q: np.ndarray, own: np.ndarray | None, c: np.ndarray, ids: np.ndarr
     return rows[first], cols[first], exact[first]
 
 
-def _meet(k: int, carry: tuple[str, ...], exclude_self: bool, shared, dtype: type, types: pa.Schema):
+def by_query(rows: np.ndarray, k: int, *columns: tuple[np.ndarray, object]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """What :func:`nearest` found as a row of ``k`` places for each query that
+    has any: the queries, and each column (values, what fills empty places)."""
+    hit, back = np.unique(rows, return_inverse=True)
+    slot = np.arange(len(rows)) - np.searchsorted(rows, rows)
+    out = []
+    for values, empty in columns:
+        table = np.full((len(hit), k), empty, values.dtype)
+        table[back, slot] = values
+        out.append(table)
+    return hit, out
+
+
+def _meet(k: int, carry: tuple[str, ...], exclude_self: bool, shared, dtype: type, width: type, types: pa.Schema):
     """A slice of queries and the blocks of a region -> the k nearest of each
     query there, none farther than its k-th distance so far."""
     def run(asked: pa.Table, blocks: pa.Table) -> pa.Table:
@@ -305,8 +359,9 @@ def _meet(k: int, carry: tuple[str, ...], exclude_self: bool, shared, dtype: typ
         ids = blocks.column("corpus_id").combine_chunks().flatten()
         ids = ids.to_numpy(zero_copy_only=False)
         data = [np.frombuffer(v.as_buffer(), dtype).reshape(n, -1) for v, n in zip(blocks.column("vectors"), at["n"], strict=True)]
+        sizes = [squares(d) for d in data]
         ends = np.r_[0, np.cumsum(at["n"])]
-        x = np.vstack([_matrix(p, dtype) for p in asked.column("embedding").chunks if len(p)])
+        x = np.vstack([_matrix(p, width) for p in asked.column("embedding").chunks if len(p)])
         near = _nearest_cell(x, centres[np.unique(at["cell"])])
         order = np.argsort(near, kind="stable")  # queries of one cell share the blocks that they need
         x, qids = x[order], asked.column("query_id").to_numpy()[order]
@@ -315,8 +370,8 @@ def _meet(k: int, carry: tuple[str, ...], exclude_self: bool, shared, dtype: typ
         best_d, best_i = np.full((n_q, k), np.inf), np.zeros((n_q, k), np.int64)  # place in the region
         per = max(1, PAIR_TILE // 1024)
         for a in range(0, n_q, per):
-            q, limit = x[a:a + per].astype(np.float64), worst[a:a + per]
-            bound = lower_bounds(q, centres, at)
+            q, limit = x[a:a + per], worst[a:a + per]
+            bound, q_sq = lower_bounds(q.astype(np.float64), centres, at), squares(q)
             held = np.arange(len(q))
             todo = np.argsort(bound.min(axis=0), kind="stable")  # the nearest blocks first
             for group in (todo[b:b + 4] for b in range(0, len(todo), 4)):
@@ -326,15 +381,13 @@ def _meet(k: int, carry: tuple[str, ...], exclude_self: bool, shared, dtype: typ
                     continue
                 some = held[(bound[:, group] <= far[:, None]).any(axis=1)]
                 place = np.concatenate([np.arange(ends[g], ends[g + 1]) for g in group])
-                c = np.concatenate([data[g] for g in group]).astype(np.float64)
-                rows, cols, exact = _nearest(q[some], qids[a:a + per][some] if exclude_self else None, c, ids[place], far[some], k)
+                c, c_sq = np.concatenate([data[g] for g in group]), np.concatenate([sizes[g] for g in group])
+                mine = slice(None) if len(some) == len(q) else some
+                rows, cols, exact = nearest(q[mine], q_sq[mine], qids[a:a + per][mine] if exclude_self else None, c, c_sq, ids[place], far[mine], k)
                 if not len(rows):
                     continue
                 # the found ones and those so far, the k first of each query
-                hit, back = np.unique(rows, return_inverse=True)
-                slot = np.arange(len(rows)) - np.searchsorted(rows, rows)
-                d, i = np.full((len(hit), k), np.inf), np.zeros((len(hit), k), np.int64)
-                d[back, slot], i[back, slot] = exact, place[cols]
+                hit, (d, i) = by_query(rows, k, (exact, np.inf), (place[cols], 0))
                 to = a + some[hit]
                 d, i = np.concatenate([best_d[to], d], axis=1), np.concatenate([best_i[to], i], axis=1)
                 first = np.lexsort((ids[i], d), axis=1)[:, :k]
@@ -397,7 +450,8 @@ def search_index(queries: DataFrame, index: MetricIndex, k: int, exclude_self: b
 
     # slices of queries meet the regions that may hold their neighbours
     least = int(np.ceil(np.sqrt(2 * spark.sparkContext.defaultParallelism)))  # a few tasks a core
-    slices = max(-(-n_q * dim * 8 // GRID_BYTES), least)
+    width = _width(q)
+    slices = max(-(-n_q * dim * np.dtype(width).itemsize // GRID_BYTES), least)
     regions = _regions(index.headers, dim * np.dtype(index.dtype).itemsize, least)
     asked = q.join(kth, "query_id", "left").select(F.pmod("at", F.lit(slices)).cast("int").alias("slice"), "query_id", "embedding", "worst")
     routed = cut_lineage(asked.mapInArrow(_route(shared, regions), f"region int, visits bigint, slice int, query_id bigint, embedding {vector}, worst double"))
@@ -407,9 +461,10 @@ def search_index(queries: DataFrame, index: MetricIndex, k: int, exclude_self: b
     wanted = routed.select(F.col("region").alias("in_region"), F.col("slice").alias("for_slice")).distinct()  # slices x regions at most
     sent = (index.blocks.select("block", "vectors", "corpus_id", *index.carry).join(F.broadcast(of), "block")
             .join(F.broadcast(wanted), F.col("region") == F.col("in_region")).drop("region"))
-    tasks = spark.sparkContext.defaultParallelism * 4
+    # about a task for each slice and region, so that no core is left with several at the end
+    tasks = max(spark.sparkContext.defaultParallelism * 4, min(slices * int(regions.max(initial=0) + 1), MAX_TASKS))
     found = (routed.repartition(tasks, "slice", "region").groupBy("slice", "region")
              .cogroup(sent.repartition(tasks, "for_slice", "in_region").groupBy("for_slice", "in_region"))
-             .applyInArrow(_meet(k, index.carry, exclude_self, shared, index.dtype, types), ddl))
+             .applyInArrow(_meet(k, index.carry, exclude_self, shared, index.dtype, width, types), ddl))
     hits = found.withColumn("rank", F.row_number().over(best).cast("bigint")).where(F.col("rank") <= k)
     return cut_lineage(hits.select("query_id", "rank", "corpus_id", "distance", *index.carry))

@@ -37,11 +37,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ragloom.functions.text import basename_or_unknown
-from ragloom.operators.metric_index import build_index, search_index, usable
+from ragloom.operators.metric_index import build_index, by_query, nearest, search_index, squares, usable
 from ragloom.session import cut_lineage
 
 TOP_K = 3              # fixed value of the reference: three chunks per query
-PAIR_BYTES = 16 * 1024 * 1024  # differences re-ranked at once
 QUERY_TILE = 1024      # queries per distance tile inside a task
 CORPUS_TILE = 1024     # corpus rows per distance tile
 OUT_ROWS = 8192        # queries whose hits a task returns in one batch
@@ -55,21 +54,13 @@ def _to_matrix(series: pd.Series) -> np.ndarray:
     return np.vstack([np.asarray(v, dtype=np.float64) for v in series])
 
 
-def _exact_sq_l2(q: np.ndarray, c: np.ndarray) -> np.ndarray:
-    """Direct sum of squared differences, row pairs aligned."""
-    d = q - c
-    return np.einsum("ij,ij->i", d, d)
-
-
 class _TopK:
     """Running exact top-``k`` per query across corpus batches.
 
-    Per batch and query tile: all candidates whose expanded form ``|q|^2 +
-    |x|^2 - 2 q.x`` is at most the k-th smallest plus its rounding error are
-    kept, however many tie; their distances are recomputed exactly by the
-    direct sum (the expanded form cancels near 0 and may misorder near-ties),
-    and the exact candidates, ties by corpus id, are merged into the
-    running top-k ordered by (distance, corpus id).  A task holds only
+    Per batch and query tile, what is nearer than a query's k-th so far, or as
+    near, is found by :func:`ragloom.operators.metric_index.nearest` (estimates
+    first, exact distances for what they leave), however many tie, and merged
+    into the running top-k ordered by (distance, corpus id).  A task holds only
     n_queries x k distances, ids and carried values -- no vectors; carried
     numbers keep their own width, and a tile of queries is merged at a time.
     """
@@ -77,7 +68,7 @@ class _TopK:
     def __init__(self, n_queries: int, k: int, carry=(), qids: np.ndarray | None = None):
         self.k, self.carry = k, tuple(carry)
         self.qids = qids          # set: a query never matches the corpus row with its own id
-        self.seen = 0             # how many of the k places are filled
+        self.seen = 0             # how many of the k places may be filled
         self.dist = np.full((n_queries, k), np.inf)
         self.ids = np.zeros((n_queries, k), dtype=np.int64)
         self.vals = {}
@@ -86,45 +77,29 @@ class _TopK:
               payload: pd.DataFrame | None = None) -> None:
         if len(cid) == 0 or len(qm) == 0:
             return
-        cn = np.einsum("ij,ij->i", cm, cm)
-        take = min(self.k, len(cid))
-        # rounding of the expanded form, for any pair of this batch
-        slip = 8 * (cm.shape[1] + 2) * np.finfo(np.float64).eps
-        step = max(1, PAIR_BYTES // (8 * max(cm.shape[1], 1)))
+        cn = squares(cm)
         batch = {c: _carried(payload[c]) for c in self.carry}
         for c, v in batch.items():
             if c not in self.vals:
                 self.vals[c] = np.zeros(self.dist.shape, dtype=v.dtype)
             elif self.vals[c].dtype != v.dtype:  # a batch with a null among batches without
                 batch[c], self.vals[c] = v.astype(object), self.vals[c].astype(object)
-        seen = self.seen
         for lo in range(0, len(qm), QUERY_TILE):
-            tile, tile_n = qm[lo:lo + QUERY_TILE], qn[lo:lo + QUERY_TILE]
-            approx = tile @ cm.T
-            approx *= -2.0
-            approx += tile_n[:, None]
-            approx += cn[None, :]
-            if self.qids is not None:
-                approx[self.qids[lo:lo + QUERY_TILE, None] == cid[None, :]] = np.inf
-            kth = np.partition(approx, take - 1, axis=1)[:, take - 1]
-            rows, cols = np.nonzero(approx <= (kth + slip * (tile_n + cn.max()))[:, None])
-            exact = np.concatenate([_exact_sq_l2(tile[rows[a:a + step]], cm[cols[a:a + step]])
-                                    for a in range(0, len(rows), step)])
-            exact[np.isinf(approx[rows, cols])] = np.inf
-            order = np.lexsort((cid[cols], exact, rows))
-            first = np.searchsorted(rows[order], np.arange(len(tile)))
-            best = order[first[:, None] + np.arange(take)]
-            at, to = cols[best], slice(lo, lo + len(tile))   # positions inside this batch
-            d_all = np.concatenate([self.dist[to, :seen], exact[best]], axis=1)
-            id_all = np.concatenate([self.ids[to, :seen], cid[at]], axis=1)
+            to = slice(lo, lo + QUERY_TILE)
+            rows, cols, exact = nearest(qm[to], qn[to], None if self.qids is None else self.qids[to], cm, cn, cid, self.dist[to, -1], self.k)
+            if not len(rows):
+                continue
+            hit, (d, at) = by_query(rows, self.k, (exact, np.inf), (cols, 0))  # positions inside this batch
+            hit = lo + hit
+            d_all = np.concatenate([self.dist[hit], d], axis=1)
+            id_all = np.concatenate([self.ids[hit], cid[at]], axis=1)
             order = np.lexsort((id_all, d_all), axis=1)[:, :self.k]
-            kept = order.shape[1]
-            self.dist[to, :kept] = np.take_along_axis(d_all, order, axis=1)
-            self.ids[to, :kept] = np.take_along_axis(id_all, order, axis=1)
+            self.dist[hit] = np.take_along_axis(d_all, order, axis=1)
+            self.ids[hit] = np.take_along_axis(id_all, order, axis=1)
             for c, v in batch.items():
-                v_all = np.concatenate([self.vals[c][to, :seen], v[at]], axis=1)
-                self.vals[c][to, :kept] = np.take_along_axis(v_all, order, axis=1)
-        self.seen = min(self.k, seen + take)
+                v_all = np.concatenate([self.vals[c][hit], v[at]], axis=1)
+                self.vals[c][hit] = np.take_along_axis(v_all, order, axis=1)
+        self.seen = min(self.k, self.seen + len(cid))
 
     def finish(self, qids: np.ndarray) -> Iterator[pd.DataFrame]:
         """The hits, ``OUT_ROWS`` queries at a time."""
